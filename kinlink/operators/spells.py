@@ -24,9 +24,9 @@ def age_and_relcode(df: DataFrame, entry: str = "entry", dob: str = "h_dob",
     h_age = if_else3(out_range, F.lit(None).cast("double"), age)
     rel = F.col(relcode).cast("string")
     h_rel = if_else3(rel.isin(codes.RELCODE_MISSING), F.lit(None).cast("string"), rel)
+    # the R code tests the already-nulled age, so the date goes with it
     return (df.withColumn("h_age", h_age)
-              .withColumn(dob, if_else3(F.col("h_age").isNull() | out_range, F.lit(None), F.col(dob))
-                          if False else F.when(F.col("h_age").isNull(), F.lit(None)).otherwise(F.col(dob)))
+              .withColumn(dob, F.when(F.col("h_age").isNull(), F.lit(None)).otherwise(F.col(dob)))
               .withColumn("h_relcode", h_rel))
 
 

@@ -505,3 +505,187 @@ WHERE c.n = t.m
 """)
 def q_modal_value(spark, d):
     return ag.modal_value(table(spark, d, "events"), "user_id", "event_type", keep_ties=True)
+
+
+# ------------------------------------------------ spells from orders -------
+# person = customer, spell = order, entry = order date, exit = last ship date
+# (open for status O/P), agency and project type from the priority.
+_SPELLS_SQL = """sp AS (
+  SELECT o.o_orderkey, o.o_custkey AS linkage_PID, CAST(o.o_orderdate AS DATE) AS entry,
+         CASE WHEN o.o_orderstatus IN ('O', 'P') THEN NULL ELSE CAST(li.last_ship AS DATE) END AS exit,
+         CASE o.o_orderpriority WHEN '1-URGENT' THEN 'SHA' WHEN '2-HIGH' THEN 'KCHA' ELSE 'HMIS' END AS agency,
+         CASE o.o_orderpriority WHEN '3-MEDIUM' THEN 'Emergency Shelter' WHEN '4-NOT SPECIFIED' THEN NULL
+              WHEN '5-LOW' THEN 'Street Outreach' ELSE 'Transitional Housing' END AS hmis_proj_type
+  FROM orders o LEFT JOIN (SELECT l_orderkey, max(l_shipdate) AS last_ship FROM lineitem GROUP BY l_orderkey) li
+    ON o.o_orderkey = li.l_orderkey
+  WHERE o.o_custkey IS NOT NULL AND CAST(o.o_orderdate AS DATE) >= DATE '1996-01-01')"""
+_SHORT_SQL = "coalesce(hmis_proj_type IN (" + ", ".join(_sql_text(p) for p in codes.SHORT_STAY_PROJECTS) + "), false)"
+_HEXIT_SQL = f"""CASE
+  WHEN agency = 'HMIS' AND exit IS NULL AND NOT {_SHORT_SQL} AND n_exit IS NOT NULL THEN n_entry
+  WHEN agency = 'HMIS' AND exit IS NULL AND NOT {_SHORT_SQL} AND n_exit IS NULL THEN DATE '2017-12-31'
+  WHEN agency = 'HMIS' AND exit IS NULL AND {_SHORT_SQL} AND n_exit IS NOT NULL AND n_entry - entry >= 90 THEN entry + 90
+  WHEN agency = 'HMIS' AND exit IS NULL AND {_SHORT_SQL} AND n_exit IS NOT NULL AND n_entry - entry < 90 THEN n_entry
+  WHEN agency = 'HMIS' AND exit IS NULL AND {_SHORT_SQL} AND n_exit IS NULL THEN entry + 90
+  ELSE exit END"""
+_IMPUTED_SQL = f"""{_SPELLS_SQL},
+nx AS (SELECT *, lead(entry) OVER w AS n_entry, lead(exit) OVER w AS n_exit FROM sp
+       WINDOW w AS (PARTITION BY linkage_PID ORDER BY entry NULLS LAST, o_orderkey)),
+im AS (SELECT o_orderkey, linkage_PID, entry, exit, agency, hmis_proj_type, {_HEXIT_SQL} AS h_exit FROM nx)"""
+
+
+def _spells(spark, d) -> DataFrame:
+    o = table(spark, d, "orders")
+    last = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.max("l_shipdate").alias("last_ship"))
+    s = o.join(last, o["o_orderkey"] == last["l_orderkey"], "left")
+    pr = F.col("o_orderpriority")
+    return s.select(
+        "o_orderkey", F.col("o_custkey").alias("linkage_PID"), F.col("o_orderdate").cast("date").alias("entry"),
+        F.when(F.col("o_orderstatus").isin("O", "P"), F.lit(None)).otherwise(
+            F.col("last_ship").cast("date")).alias("exit"),
+        F.when(pr == "1-URGENT", "SHA").when(pr == "2-HIGH", "KCHA").otherwise("HMIS").alias("agency"),
+        F.when(pr == "3-MEDIUM", "Emergency Shelter").when(pr == "4-NOT SPECIFIED", F.lit(None))
+         .when(pr == "5-LOW", "Street Outreach").otherwise("Transitional Housing").alias("hmis_proj_type"),
+    ).filter(F.col("linkage_PID").isNotNull() & (F.col("entry") >= F.lit("1996-01-01").cast("date")))
+
+
+@query("impute_exit", f"""
+WITH {_IMPUTED_SQL}
+SELECT o_orderkey, linkage_PID, strftime(h_exit, '%Y-%m-%d') AS h_exit FROM im
+""")
+def q_impute_exit(spark, d):
+    r = spells.impute_exit(_spells(spark, d), tiebreak=["o_orderkey"])
+    return r.select("o_orderkey", "linkage_PID", iso("h_exit").alias("h_exit"))
+
+
+def _union_len_sql(src: str, keys: str, out: str) -> str:
+    """Covered days by gaps and islands (independent of the running-max method)."""
+    return f"""{out}_x AS (SELECT {keys}, s, e, o_orderkey,
+        max(e) OVER (PARTITION BY {keys} ORDER BY s, e, o_orderkey
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pm
+      FROM {src} WHERE s IS NOT NULL AND e IS NOT NULL),
+{out}_y AS (SELECT *, sum(CASE WHEN pm IS NULL OR s > pm THEN 1 ELSE 0 END)
+        OVER (PARTITION BY {keys} ORDER BY s, e, o_orderkey) AS isl FROM {out}_x),
+{out}_z AS (SELECT {keys}, isl, greatest(max(e) - min(s), 0) AS len FROM {out}_y GROUP BY {keys}, isl),
+{out} AS (SELECT {keys}, CAST(sum(len) AS BIGINT) AS {out} FROM {out}_z GROUP BY {keys})"""
+
+
+_SERVICE_SQL = f"""{_IMPUTED_SQL},
+sv AS (SELECT *, h_exit - entry AS sd0, CASE WHEN h_exit - entry < 0 THEN exit ELSE entry END AS s,
+              h_exit AS e FROM im),
+{_union_len_sql("sv", "linkage_PID, agency", "h_agency_time")},
+{_union_len_sql("sv", "linkage_PID", "h_tot_time")},
+fin AS (SELECT sv.o_orderkey, sv.linkage_PID, sv.agency,
+          CASE WHEN sd0 IS NULL OR sd0 < 0 THEN NULL ELSE entry END AS h_entry,
+          CASE WHEN sd0 IS NULL OR sd0 < 0 THEN NULL ELSE h_exit END AS h_exit,
+          CASE WHEN sd0 IS NULL OR sd0 < 0 THEN NULL ELSE CAST(h_exit - entry + 1 AS INTEGER) END AS h_servdays,
+          coalesce(a.h_agency_time, 0) AS h_agency_time, coalesce(t.h_tot_time, 0) AS h_tot_time
+        FROM sv LEFT JOIN h_agency_time a ON sv.linkage_PID = a.linkage_PID AND sv.agency = a.agency
+        LEFT JOIN h_tot_time t ON sv.linkage_PID = t.linkage_PID)"""
+
+
+@query("covered_days", f"""
+WITH {_SERVICE_SQL}
+SELECT o_orderkey, linkage_PID, strftime(h_entry, '%Y-%m-%d') AS h_entry, strftime(h_exit, '%Y-%m-%d') AS h_exit,
+       h_servdays, h_agency_time, h_tot_time, CASE WHEN h_servdays IS NULL THEN 1 ELSE 0 END AS h_time_qual
+FROM fin
+""")
+def q_covered_days(spark, d):
+    r = spells.impute_exit(_spells(spark, d), tiebreak=["o_orderkey"])
+    r = spells.service_days(r, tiebreak=["o_orderkey"])
+    return r.select("o_orderkey", "linkage_PID", iso("h_entry").alias("h_entry"), iso("h_exit").alias("h_exit"),
+                    "h_servdays", "h_agency_time", "h_tot_time", "h_time_qual")
+
+
+@query("transitions", f"""
+WITH {_SERVICE_SQL},
+tr AS (SELECT o_orderkey, agency, h_entry, h_exit,
+         lead(agency) OVER w AS n_agency, lead(h_entry) OVER w AS n_entry, lead(h_exit) OVER w AS n_exit
+       FROM fin WINDOW w AS (PARTITION BY linkage_PID ORDER BY h_entry NULLS LAST, h_exit NULLS LAST, o_orderkey))
+SELECT o_orderkey, CASE WHEN n_agency IS NULL THEN agency ELSE agency || ' to ' || n_agency END AS h_agency_trans,
+       CAST(n_entry - h_exit AS INTEGER) AS h_t2next_prog,
+       (n_entry <= h_exit) AND (h_entry <= n_exit) AS h_overlap,
+       (n_entry >= h_entry) AND (n_exit <= h_exit) AS h_within
+FROM tr
+""")
+def q_transitions(spark, d):
+    r = spells.impute_exit(_spells(spark, d), tiebreak=["o_orderkey"])
+    r = spells.service_days(r, tiebreak=["o_orderkey"])
+    r = spells.transitions(r, tiebreak=["o_orderkey"])
+    return r.select("o_orderkey", "h_agency_trans", "h_t2next_prog", "h_overlap", "h_within")
+
+
+# ------------------------------------------------ household measures -------
+# household = order, entry = order date, person = line; age from a birth
+# date derived from the quantity; relationship code from the flags.
+_HH_BASE_SQL = """hb AS (
+  SELECT l.l_orderkey AS hh_id, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_quantity, l.l_extendedprice,
+         CAST(o.o_orderdate AS DATE) AS entry,
+         CASE WHEN l.l_quantity > 45 THEN NULL
+              ELSE CAST(o.o_orderdate AS DATE) - CAST(l.l_quantity * 1000 AS INTEGER) END AS h_dob,
+         CASE WHEN l.l_returnflag = 'A' THEN 'Y' WHEN l.l_returnflag = 'R' THEN 'F'
+              WHEN l.l_linestatus = 'F' THEN '2' ELSE 'D' END AS relcode,
+         CASE WHEN l.l_discount >= 0.05 THEN 'Disabled' ELSE 'Not disabled' END AS disability
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)"""
+
+
+def _if3(c: str, a: str, b: str) -> str:
+    return f"CASE WHEN ({c}) IS NULL THEN NULL WHEN {c} THEN {a} ELSE {b} END"
+
+
+_CHILD_SQL = _if3("a1 < 18 AND h_relcode = 'Y'", "'yes'", _if3(
+    "a1 < 18 AND h_relcode = 'F'", "'yes'", _if3(
+        "a1 < 18 AND h_relcode = '2'", "'yes'", _if3(
+            "a1 IS NULL AND h_relcode = 'Y'", "'relcode'", _if3(
+                "a1 >= 18 AND h_relcode = 'Y'", "'relcode'", "'no'")))))
+
+
+def _any_sql(c: str) -> str:
+    return (f"CASE WHEN sum(CASE WHEN {c} THEN 1 ELSE 0 END) OVER w > 0 THEN true "
+            f"WHEN sum(CASE WHEN ({c}) IS NULL THEN 1 ELSE 0 END) OVER w > 0 THEN NULL ELSE false END")
+
+
+def _rsum_sql(c: str) -> str:
+    return (f"CASE WHEN sum(CASE WHEN ({c}) IS NULL THEN 1 ELSE 0 END) OVER w > 0 THEN NULL "
+            f"ELSE CAST(sum(CAST({c} AS INTEGER)) OVER w AS BIGINT) END")
+
+
+@query("household_mix", f"""
+WITH {_HH_BASE_SQL},
+ag AS (SELECT *, (entry - h_dob) / 365.25 AS a0,
+              CASE WHEN relcode IN ('', '99', 'D', 'M', 'N') THEN NULL ELSE relcode END AS h_relcode FROM hb),
+a1 AS (SELECT *, {_if3("a0 < 0 OR a0 > 120", "NULL", "a0")} AS a1 FROM ag),
+ch AS (SELECT *, {_CHILD_SQL} AS h_child FROM a1),
+a2 AS (SELECT *, {_if3("h_child <> 'no' AND a1 > 25", "NULL", "a1")} AS h_age FROM ch),
+el AS (SELECT *, {_if3("h_child = 'no' AND h_age >= 62", "'yes'", _if3("h_child = 'no' AND h_age IS NULL", "NULL", "'no'"))} AS h_elder FROM a2),
+hh AS (SELECT *, count(*) OVER w AS h_hh_ct, {_rsum_sql("h_child <> 'no'")} AS h_hh_kids,
+              {_rsum_sql("h_child = 'no'")} AS h_hh_adults,
+              {_any_sql("h_elder = 'yes'")} AS e_any, {_any_sql("disability = 'Disabled'")} AS d_any
+       FROM el WINDOW w AS (PARTITION BY hh_id, entry)),
+t1 AS (SELECT *, {_if3("e_any", "'Elderly household'", "NULL")} AS t0 FROM hh),
+t2 AS (SELECT *, {_if3("t0 IS NULL AND d_any", "'Non-elderly disabled household'", "t0")} AS t1x FROM t1)
+SELECT hh_id, l_linenumber, l_partkey, l_suppkey, h_age,
+       strftime(CASE WHEN a1 IS NULL THEN NULL ELSE h_dob END, '%Y-%m-%d') AS h_dob, h_relcode, h_child, h_elder,
+       h_hh_ct, h_hh_kids, h_hh_adults,
+       coalesce(t1x, 'Non-elderly non-disabled household') AS h_hh_type1,
+       {_if3("h_hh_kids > 0 AND h_hh_adults > 1", "'multi-adult household with children'",
+             _if3("h_hh_kids > 0 AND h_hh_adults = 1", "'single parent household with children'",
+                  _if3("h_hh_kids = 0 AND h_hh_adults > 0", "'household without children'", "NULL")))} AS h_hh_type2
+FROM t2
+""")
+def q_household_mix(spark, d):
+    li = table(spark, d, "lineitem")
+    o = table(spark, d, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("entry"))
+    b = li.join(o, li["l_orderkey"] == o["o_orderkey"])
+    b = b.select(
+        F.col("l_orderkey").alias("hh_id"), "l_linenumber", "l_partkey", "l_suppkey", "entry",
+        F.when(F.col("l_quantity") > 45, F.lit(None))
+         .otherwise(F.date_sub("entry", (F.col("l_quantity") * 1000).cast("int"))).alias("h_dob"),
+        F.when(F.col("l_returnflag") == "A", "Y").when(F.col("l_returnflag") == "R", "F")
+         .when(F.col("l_linestatus") == "F", "2").otherwise("D").alias("relcode"),
+        F.when(F.col("l_discount") >= 0.05, "Disabled").otherwise("Not disabled").alias("disability"))
+    r = spells.age_and_relcode(b)
+    r = spells.child_elder_flags(r)
+    r = spells.household_mix(r)
+    return r.select("hh_id", "l_linenumber", "l_partkey", "l_suppkey", "h_age", iso("h_dob").alias("h_dob"),
+                    "h_relcode", "h_child", "h_elder", "h_hh_ct", "h_hh_kids", "h_hh_adults",
+                    "h_hh_type1", "h_hh_type2")
