@@ -26,9 +26,9 @@ PHA_PROGRAM = [("ha_maj_prog", "major_prog"), ("ha_prog_type", "prog_type"),
                ("ha_op_type", "operator_type"), ("ha_portfolio", "portfolio_final")]
 
 
-def hmis_spells(hmis: DataFrame) -> DataFrame:
+def hmis_spells(hmis: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """P17, P19, P21 for the HMIS wide table (one row per enrollment)."""
-    return hmis.select(
+    return hmis.select(*keep,
         rc.prefixed_id("HMIS0_", F.col("PersonalID")).alias("pid0"),
         rc.prefixed_id("HMIS_", F.col("HouseholdID")).alias("hh_id"),
         F.col("RelationshipToHoH").cast("string").alias("relcode"),
@@ -45,10 +45,10 @@ def hmis_spells(hmis: DataFrame) -> DataFrame:
         F.col("ProjectName").alias("hmis_proj_name"))
 
 
-def pha_spells(pha: DataFrame) -> DataFrame:
+def pha_spells(pha: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """P17-P19, P21 for the housing-authority longitudinal file."""
     race = F.col("race_new")
-    return pha.select(
+    return pha.select(*keep,
         rc.prefixed_id("PHA0_", F.col("pid")).alias("pid0"),
         F.concat_ws("_", F.coalesce(F.col("agency_new").cast("string"), F.lit("NA")),
                     F.coalesce(F.col("hh_id_new").cast("string"), F.lit("NA"))).alias("hh_id"),
@@ -67,13 +67,14 @@ def pha_spells(pha: DataFrame) -> DataFrame:
         *[F.col(src).alias(dst) for dst, src in PHA_PROGRAM])
 
 
-def merge_agencies(hmis: DataFrame, pha: DataFrame, links: DataFrame) -> DataFrame:
+def merge_agencies(hmis: DataFrame, pha: DataFrame, links: DataFrame,
+                   keep: Sequence[str] = ()) -> DataFrame:
     """Stack both agencies, attach ``linkage_PID`` (J11), program strings (P20).
 
     ``links`` maps ``pid0`` to ``linkage_PID`` (plus ``pid1``/``pid2``);
     several links for one ``pid0`` multiply rows as in a left join.
     """
-    merged = stack_by_name([hmis_spells(hmis), pha_spells(pha)])
+    merged = stack_by_name([hmis_spells(hmis, keep), pha_spells(pha, keep)])
     lk = links.select("pid0", *[c for c in ("pid1", "pid2") if c in links.columns], "linkage_PID")
     merged = merged.join(lk, "pid0", "left")
     ha, hm = rc.program_category(
@@ -101,7 +102,7 @@ def real_dob(merged: DataFrame, keep_ties: bool = True) -> DataFrame:
 
 
 def person_spell_frame(merged: DataFrame, min_entry: str = codes.SPELL_MIN_ENTRY,
-                       keep_ties: bool = True, tiebreak: Sequence[str] = ("pid0",),
+                       keep_ties: bool = False, tiebreak: Sequence[str] = ("pid0",),
                        relcode_when_no_age: bool = False) -> DataFrame:
     """One row per linked person and spell with age, household, exit
     imputation, service days, covered days and transitions."""

@@ -16,6 +16,7 @@ from ..functions import codes
 from ..functions import recode as rc
 from ..operators import aggregates as ag
 from ..operators import dedup, graph, joins, linkage, reshape, spells
+from . import agencies
 from ..sources.readers import stack_by_name
 
 # lineitem has no row id; this tuple is unique at every scale factor
@@ -557,14 +558,14 @@ def q_impute_exit(spark, d):
     return r.select("o_orderkey", "linkage_PID", iso("h_exit").alias("h_exit"))
 
 
-def _union_len_sql(src: str, keys: str, out: str) -> str:
+def _union_len_sql(src: str, keys: str, out: str, tb: str = "o_orderkey") -> str:
     """Covered days by gaps and islands (independent of the running-max method)."""
-    return f"""{out}_x AS (SELECT {keys}, s, e, o_orderkey,
-        max(e) OVER (PARTITION BY {keys} ORDER BY s, e, o_orderkey
+    return f"""{out}_x AS (SELECT {keys}, s, e, {tb},
+        max(e) OVER (PARTITION BY {keys} ORDER BY s, e, {tb}
                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pm
       FROM {src} WHERE s IS NOT NULL AND e IS NOT NULL),
 {out}_y AS (SELECT *, sum(CASE WHEN pm IS NULL OR s > pm THEN 1 ELSE 0 END)
-        OVER (PARTITION BY {keys} ORDER BY s, e, o_orderkey) AS isl FROM {out}_x),
+        OVER (PARTITION BY {keys} ORDER BY s, e, {tb}) AS isl FROM {out}_x),
 {out}_z AS (SELECT {keys}, isl, greatest(max(e) - min(s), 0) AS len FROM {out}_y GROUP BY {keys}, isl),
 {out} AS (SELECT {keys}, CAST(sum(len) AS BIGINT) AS {out} FROM {out}_z GROUP BY {keys})"""
 
@@ -689,3 +690,239 @@ def q_household_mix(spark, d):
     return r.select("hh_id", "l_linenumber", "l_partkey", "l_suppkey", "h_age", iso("h_dob").alias("h_dob"),
                     "h_relcode", "h_child", "h_elder", "h_hh_ct", "h_hh_kids", "h_hh_adults",
                     "h_hh_type1", "h_hh_type2")
+
+
+# ------------------------------------------------ E10 - E12 ---------------
+# HMIS-like enrollments: orders + customer (household = order date).
+# Housing-authority-like spells: lineitem + orders + supplier (household =
+# order).  Links: customer c -> person c, supplier s -> person s.
+_AGENCY_SQL = """hm_src AS (
+  SELECT 'o' || o.o_orderkey AS row_key, o.o_custkey AS PersonalID, strftime(o.o_orderdate, '%Y%m%d') AS HouseholdID,
+         substr(o.o_orderpriority, 1, 1) AS RelationshipToHoH, c.c_name AS LastName, c.c_mktsegment AS FirstName,
+         CAST(NULL AS VARCHAR) AS MiddleName, CAST(substr(o.o_orderpriority, 1, 1) AS INTEGER) - 1 AS Gender,
+         CAST(o.o_orderdate AS DATE) - CAST(floor(c.c_acctbal * 10) AS INTEGER) AS DOB,
+         CASE WHEN c.c_nationkey < 3 THEN 1 ELSE 0 END AS AmIndAKNative,
+         CASE WHEN c.c_nationkey BETWEEN 3 AND 8 THEN 1 ELSE 0 END AS Asian,
+         CASE WHEN c.c_nationkey BETWEEN 9 AND 14 THEN 1 ELSE 0 END AS BlackAfAmerican,
+         CASE WHEN c.c_nationkey = 15 THEN 1 ELSE 0 END AS NativeHIOtherPacific,
+         CASE WHEN c.c_nationkey >= 16 THEN 1 ELSE 0 END AS White,
+         CASE WHEN c.c_mktsegment = 'BUILDING' THEN 1 ELSE 0 END AS Ethnicity,
+         CAST(o.o_orderdate AS DATE) AS EntryDate,
+         CASE WHEN o.o_orderstatus = 'F' THEN CAST(o.o_orderdate AS DATE) + 30 END AS ExitDate,
+         CASE o.o_orderpriority WHEN '1-URGENT' THEN 'Emergency Shelter' WHEN '2-HIGH' THEN 'Street Outreach'
+              WHEN '3-MEDIUM' THEN 'Transitional Housing' WHEN '4-NOT SPECIFIED' THEN NULL
+              ELSE 'PH - Rapid Re-Housing' END AS ProjectType,
+         o.o_orderpriority AS ProjectName
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey),
+pha_src AS (
+  SELECT 'l' || l.l_orderkey || '_' || l.l_linenumber || '_' || l.l_partkey || '_' || l.l_suppkey || '_'
+           || CAST(l.l_quantity AS VARCHAR) || '_' || CAST(l.l_extendedprice AS VARCHAR) AS row_key,
+         l.l_suppkey AS pid, CASE WHEN l.l_returnflag = 'R' THEN 'KCHA' ELSE 'SHA' END AS agency_new,
+         l.l_orderkey AS hh_id_new, CASE WHEN l.l_linestatus = 'F' THEN 'Y' ELSE '2' END AS relcode,
+         s.s_name AS lname_new, l.l_returnflag AS fname_new, CAST(NULL AS VARCHAR) AS mname_new,
+         CASE WHEN l.l_tax < 0.03 THEN 'Female' WHEN l.l_tax < 0.06 THEN 'Male' END AS gender2,
+         CAST(o.o_orderdate AS DATE) - CAST(l.l_quantity * 500 AS INTEGER) AS dob,
+         CASE WHEN l.l_discount < 0.02 THEN 1 WHEN l.l_discount > 0.08 THEN NULL ELSE 0 END AS r_aian_new,
+         CAST(NULL AS INTEGER) AS r_asian_new, CASE WHEN l.l_tax > 0.05 THEN 1 ELSE 0 END AS r_black_new,
+         0 AS r_nhpi_new, CASE WHEN l.l_discount > 0.05 THEN NULL ELSE 0 END AS r_white_new,
+         CASE WHEN l.l_quantity < 10 THEN 'White only' WHEN l.l_quantity < 20 THEN 'Asian only'
+              WHEN l.l_quantity < 30 THEN 'Multiple race' END AS race_new,
+         CASE WHEN l.l_linestatus = 'O' THEN 1 ELSE 0 END AS r_hisp_new,
+         CASE WHEN l.l_discount > 0.05 THEN 'Disabled' ELSE 'Not disabled' END AS disability2,
+         CAST(l.l_shipdate AS DATE) AS startdate,
+         CAST(l.l_shipdate AS DATE) + CAST(l.l_quantity AS INTEGER) AS enddate,
+         l.l_linestatus AS major_prog, l.l_returnflag AS prog_type, CAST(l.l_linenumber AS VARCHAR) AS subsidy_type,
+         CAST(NULL AS VARCHAR) AS vouch_type_final, l.l_returnflag AS operator_type, l.l_linestatus AS portfolio_final
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN supplier s ON l.l_suppkey = s.s_suppkey),
+links AS (SELECT 'HMIS0_' || c_custkey AS pid0, c_custkey AS linkage_PID FROM customer
+          UNION ALL SELECT 'PHA0_' || s_suppkey, s_suppkey FROM supplier),
+hm AS (SELECT row_key, 'HMIS0_' || coalesce(CAST(PersonalID AS VARCHAR), 'NA') AS pid0,
+              'HMIS_' || coalesce(HouseholdID, 'NA') AS hh_id, RelationshipToHoH AS relcode,
+              LastName AS lname, FirstName AS fname, MiddleName AS mname,
+              CASE Gender WHEN 0 THEN 'Fem' WHEN 1 THEN 'Mal' WHEN 2 THEN 'MTF' WHEN 3 THEN 'FTM' WHEN 4 THEN 'GNC' END AS gender,
+              DOB AS dob, AmIndAKNative AS r_aian, Asian AS r_asian, BlackAfAmerican AS r_black,
+              NativeHIOtherPacific AS r_nhpi, White AS r_white, Ethnicity AS r_ethnicity,
+              EntryDate AS entry, ExitDate AS exit, 'HMIS' AS agency, ProjectType AS hmis_proj_type,
+              ProjectName AS hmis_proj_name FROM hm_src),
+ph AS (SELECT row_key, 'PHA0_' || coalesce(CAST(pid AS VARCHAR), 'NA') AS pid0,
+              coalesce(agency_new, 'NA') || '_' || coalesce(CAST(hh_id_new AS VARCHAR), 'NA') AS hh_id,
+              relcode, lname_new AS lname, fname_new AS fname, mname_new AS mname,
+              CASE gender2 WHEN 'Female' THEN 'Fem' WHEN 'Male' THEN 'Mal' END AS gender, dob,
+              CAST((r_aian_new = 1) OR (race_new = 'AIAN only') AS INTEGER) AS r_aian,
+              CAST((r_asian_new = 1) OR (race_new = 'Asian only') AS INTEGER) AS r_asian,
+              CAST((r_black_new = 1) OR (race_new = 'Black only') AS INTEGER) AS r_black,
+              CAST((r_nhpi_new = 1) OR (race_new = 'NHPI only') AS INTEGER) AS r_nhpi,
+              CAST((r_white_new = 1) OR (race_new = 'White only') AS INTEGER) AS r_white,
+              CAST(race_new = 'Multiple race' AS INTEGER) AS r_multi, r_hisp_new AS r_ethnicity,
+              disability2 AS disability, startdate AS entry, enddate AS exit, agency_new AS agency,
+              major_prog AS ha_maj_prog, prog_type AS ha_prog_type, subsidy_type AS ha_sub_type,
+              vouch_type_final AS ha_vouch_type, operator_type AS ha_op_type, portfolio_final AS ha_portfolio
+       FROM pha_src),
+merged AS (
+  SELECT u.*, links.linkage_PID,
+         CASE WHEN u.agency IN ('KCHA', 'SHA') THEN u.agency || ',' || coalesce(u.ha_sub_type, 'NA') || ','
+              || coalesce(u.ha_vouch_type, 'NA') || ',' || coalesce(u.ha_op_type, 'NA') || ','
+              || coalesce(u.ha_portfolio, 'NA') END AS ha_prog_cat,
+         CASE WHEN u.agency = 'HMIS' THEN u.agency || ',' || coalesce(u.hmis_proj_type, 'NA') || ','
+              || coalesce(u.hmis_proj_name, 'NA') || ',' END AS hmis_prog_cat
+  FROM (SELECT * FROM hm UNION ALL BY NAME SELECT * FROM ph) u LEFT JOIN links ON u.pid0 = links.pid0)"""
+
+
+def _agency_inputs(spark, d):
+    o, c = table(spark, d, "orders"), table(spark, d, "customer")
+    li, s = table(spark, d, "lineitem"), table(spark, d, "supplier")
+    oc = o.join(c, o["o_custkey"] == c["c_custkey"])
+    pr, entry = F.col("o_orderpriority"), F.col("o_orderdate").cast("date")
+    nat = F.col("c_nationkey")
+    hm = oc.select(
+        F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("row_key"),
+        F.col("o_custkey").alias("PersonalID"), F.date_format("o_orderdate", "yyyyMMdd").alias("HouseholdID"),
+        F.substring(pr, 1, 1).alias("RelationshipToHoH"), F.col("c_name").alias("LastName"),
+        F.col("c_mktsegment").alias("FirstName"), F.lit(None).cast("string").alias("MiddleName"),
+        (F.substring(pr, 1, 1).cast("int") - 1).alias("Gender"),
+        F.date_sub(entry, F.floor(F.col("c_acctbal") * 10).cast("int")).alias("DOB"),
+        F.when(nat < 3, 1).otherwise(0).alias("AmIndAKNative"),
+        F.when(nat.between(3, 8), 1).otherwise(0).alias("Asian"),
+        F.when(nat.between(9, 14), 1).otherwise(0).alias("BlackAfAmerican"),
+        F.when(nat == 15, 1).otherwise(0).alias("NativeHIOtherPacific"),
+        F.when(nat >= 16, 1).otherwise(0).alias("White"),
+        F.when(F.col("c_mktsegment") == "BUILDING", 1).otherwise(0).alias("Ethnicity"),
+        entry.alias("EntryDate"),
+        F.when(F.col("o_orderstatus") == "F", F.date_add(entry, 30)).alias("ExitDate"),
+        F.when(pr == "1-URGENT", "Emergency Shelter").when(pr == "2-HIGH", "Street Outreach")
+         .when(pr == "3-MEDIUM", "Transitional Housing").when(pr == "4-NOT SPECIFIED", F.lit(None))
+         .otherwise("PH - Rapid Re-Housing").alias("ProjectType"),
+        pr.alias("ProjectName"))
+    lo = li.join(o.select("o_orderkey", "o_orderdate"), li["l_orderkey"] == o["o_orderkey"]) \
+           .join(s.select("s_suppkey", "s_name"), li["l_suppkey"] == s["s_suppkey"])
+    rf, ls, tax, disc, qty = (F.col("l_returnflag"), F.col("l_linestatus"), F.col("l_tax"),
+                              F.col("l_discount"), F.col("l_quantity"))
+    ship = F.col("l_shipdate").cast("date")
+    ph = lo.select(
+        F.concat_ws("_", *[F.col(c).cast("string") for c in LI_ORDER]).alias("_rk"),
+        F.col("l_suppkey").alias("pid"), F.when(rf == "R", "KCHA").otherwise("SHA").alias("agency_new"),
+        F.col("l_orderkey").alias("hh_id_new"), F.when(ls == "F", "Y").otherwise("2").alias("relcode"),
+        F.col("s_name").alias("lname_new"), rf.alias("fname_new"), F.lit(None).cast("string").alias("mname_new"),
+        F.when(tax < 0.03, "Female").when(tax < 0.06, "Male").alias("gender2"),
+        F.date_sub(F.col("o_orderdate").cast("date"), (qty * 500).cast("int")).alias("dob"),
+        F.when(disc < 0.02, 1).when(disc > 0.08, F.lit(None)).otherwise(0).alias("r_aian_new"),
+        F.lit(None).cast("int").alias("r_asian_new"), F.when(tax > 0.05, 1).otherwise(0).alias("r_black_new"),
+        F.lit(0).alias("r_nhpi_new"), F.when(disc > 0.05, F.lit(None)).otherwise(0).alias("r_white_new"),
+        F.when(qty < 10, "White only").when(qty < 20, "Asian only").when(qty < 30, "Multiple race")
+         .alias("race_new"),
+        F.when(ls == "O", 1).otherwise(0).alias("r_hisp_new"),
+        F.when(disc > 0.05, "Disabled").otherwise("Not disabled").alias("disability2"),
+        ship.alias("startdate"), F.date_add(ship, qty.cast("int")).alias("enddate"),
+        ls.alias("major_prog"), rf.alias("prog_type"), F.col("l_linenumber").cast("string").alias("subsidy_type"),
+        F.lit(None).cast("string").alias("vouch_type_final"), rf.alias("operator_type"),
+        ls.alias("portfolio_final"))
+    ph = ph.withColumn("row_key", F.concat(F.lit("l"), F.col("_rk"))).drop("_rk")
+    links = c.select(F.concat(F.lit("HMIS0_"), F.col("c_custkey").cast("string")).alias("pid0"),
+                     F.col("c_custkey").alias("linkage_PID")).unionByName(
+        s.select(F.concat(F.lit("PHA0_"), F.col("s_suppkey").cast("string")).alias("pid0"),
+                 F.col("s_suppkey").alias("linkage_PID")))
+    return hm, ph, links
+
+
+def _merged(spark, d):
+    hm, ph, links = _agency_inputs(spark, d)
+    return agencies.merge_agencies(hm, ph, links, keep=["row_key"])
+
+
+_MERGED_COLS = ["row_key", "pid0", "hh_id", "relcode", "gender", "r_aian", "r_asian", "r_black", "r_nhpi",
+                "r_white", "r_multi", "r_ethnicity", "disability", "agency", "hmis_proj_type",
+                "linkage_PID", "ha_prog_cat", "hmis_prog_cat"]
+
+
+@query("agency_union", f"""
+WITH {_AGENCY_SQL}
+SELECT {", ".join(_MERGED_COLS)}, strftime(dob, '%Y-%m-%d') AS dob, strftime(entry, '%Y-%m-%d') AS entry,
+       strftime(exit, '%Y-%m-%d') AS exit FROM merged
+""")
+def q_agency_union(spark, d):
+    m = _merged(spark, d)
+    return m.select(*_MERGED_COLS, iso("dob").alias("dob"), iso("entry").alias("entry"), iso("exit").alias("exit"))
+
+
+@query("household_clusters", f"""
+WITH RECURSIVE {_AGENCY_SQL},
+mm AS (SELECT DISTINCT linkage_PID AS i, hh_id AS g FROM merged WHERE linkage_PID IS NOT NULL AND hh_id IS NOT NULL),
+{_cc_sql("SELECT m1.i AS a, m2.i AS b FROM mm m1 JOIN mm m2 ON m1.g = m2.g AND m1.i < m2.i",
+         "SELECT DISTINCT i AS node FROM mm")},
+sz AS (SELECT comp, count(*) AS n FROM cc GROUP BY comp),
+num AS (SELECT comp, n, dense_rank() OVER (ORDER BY comp) AS h FROM sz)
+SELECT merged.row_key, merged.pid0, merged.linkage_PID, CAST(num.h AS INTEGER) AS h_cluster,
+       CAST(num.n AS INTEGER) AS h_cluster_ct
+FROM merged LEFT JOIN cc ON merged.linkage_PID = cc.node LEFT JOIN num ON cc.comp = num.comp
+""")
+def q_household_clusters(spark, d):
+    r = agencies.household_clusters(_merged(spark, d))
+    return r.select("row_key", "pid0", "linkage_PID", "h_cluster", "h_cluster_ct")
+
+
+_PHA_IN = "coalesce(agency IN (" + ", ".join(_sql_text(a) for a in codes.PHA_AGENCIES) + "), false)"
+_SPELL_OUT = ["row_key", "linkage_PID", "agency", "h_age", "h_relcode", "h_child", "h_elder", "h_hh_ct",
+              "h_hh_kids", "h_hh_adults", "h_hh_type1", "h_hh_type2", "h_servdays", "h_agency_time",
+              "h_tot_time", "h_time_qual", "h_agency_trans", "h_t2next_prog", "h_overlap", "h_within"]
+
+
+@query("person_spells", f"""
+WITH {_AGENCY_SQL},
+dm AS (SELECT linkage_PID, agency, dob AS h_dob FROM merged),
+pc AS (SELECT linkage_PID, h_dob, count(*) AS n FROM dm WHERE {_PHA_IN} GROUP BY linkage_PID, h_dob),
+pb AS (SELECT linkage_PID, h_dob FROM (SELECT *, row_number() OVER (PARTITION BY linkage_PID
+         ORDER BY n DESC, h_dob ASC NULLS LAST) AS rn FROM pc) WHERE rn = 1),
+hc AS (SELECT linkage_PID, h_dob, count(*) AS n FROM dm
+       WHERE NOT EXISTS (SELECT 1 FROM pb WHERE pb.linkage_PID IS NOT DISTINCT FROM dm.linkage_PID)
+       GROUP BY linkage_PID, h_dob),
+hb AS (SELECT linkage_PID, h_dob FROM (SELECT *, row_number() OVER (PARTITION BY linkage_PID
+         ORDER BY n DESC, h_dob ASC NULLS LAST) AS rn FROM hc) WHERE rn = 1),
+rd AS (SELECT * FROM pb UNION ALL SELECT * FROM hb),
+base AS (SELECT m.*, rd.h_dob AS h_dob0 FROM merged m LEFT JOIN rd ON m.linkage_PID = rd.linkage_PID
+         WHERE m.linkage_PID IS NOT NULL AND m.entry >= DATE '1996-01-01'),
+ag AS (SELECT *, (entry - h_dob0) / 365.25 AS a0,
+              CASE WHEN relcode IN ('', '99', 'D', 'M', 'N') THEN NULL ELSE relcode END AS h_relcode FROM base),
+a1 AS (SELECT *, {_if3("a0 < 0 OR a0 > 120", "NULL", "a0")} AS a1 FROM ag),
+ch AS (SELECT *, {_CHILD_SQL} AS h_child FROM a1),
+a2 AS (SELECT *, {_if3("h_child <> 'no' AND a1 > 25", "NULL", "a1")} AS h_age,
+              CASE WHEN a1 IS NULL THEN NULL ELSE h_dob0 END AS h_dob FROM ch),
+el AS (SELECT *, {_if3("h_child = 'no' AND h_age >= 62", "'yes'", _if3("h_child = 'no' AND h_age IS NULL", "NULL", "'no'"))} AS h_elder FROM a2),
+hh AS (SELECT *, count(*) OVER w AS h_hh_ct, {_rsum_sql("h_child <> 'no'")} AS h_hh_kids,
+              {_rsum_sql("h_child = 'no'")} AS h_hh_adults,
+              {_any_sql("h_elder = 'yes'")} AS e_any, {_any_sql("disability = 'Disabled'")} AS d_any
+       FROM el WINDOW w AS (PARTITION BY hh_id, entry)),
+t1 AS (SELECT *, {_if3("e_any", "'Elderly household'", "NULL")} AS t0 FROM hh),
+t2 AS (SELECT *, coalesce({_if3("t0 IS NULL AND d_any", "'Non-elderly disabled household'", "t0")},
+                          'Non-elderly non-disabled household') AS h_hh_type1,
+              {_if3("h_hh_kids > 0 AND h_hh_adults > 1", "'multi-adult household with children'",
+                    _if3("h_hh_kids > 0 AND h_hh_adults = 1", "'single parent household with children'",
+                         _if3("h_hh_kids = 0 AND h_hh_adults > 0", "'household without children'", "NULL")))} AS h_hh_type2
+       FROM t1),
+nx AS (SELECT *, lead(entry) OVER w AS n_entry, lead(exit) OVER w AS n_exit FROM t2
+       WINDOW w AS (PARTITION BY linkage_PID ORDER BY entry NULLS LAST, row_key)),
+im AS (SELECT *, {_HEXIT_SQL} AS hx FROM nx),
+sv AS (SELECT *, hx - entry AS sd0, CASE WHEN hx - entry < 0 THEN exit ELSE entry END AS s, hx AS e FROM im),
+{_union_len_sql("sv", "linkage_PID, agency", "h_agency_time", "row_key")},
+{_union_len_sql("sv", "linkage_PID", "h_tot_time", "row_key")},
+fin AS (SELECT sv.*, CASE WHEN sd0 IS NULL OR sd0 < 0 THEN NULL ELSE entry END AS h_entry,
+          CASE WHEN sd0 IS NULL OR sd0 < 0 THEN NULL ELSE hx END AS h_exit,
+          CASE WHEN sd0 IS NULL OR sd0 < 0 THEN NULL ELSE CAST(hx - entry + 1 AS INTEGER) END AS h_servdays,
+          coalesce(a.h_agency_time, 0) AS h_agency_time, coalesce(t.h_tot_time, 0) AS h_tot_time
+        FROM sv LEFT JOIN h_agency_time a ON sv.linkage_PID = a.linkage_PID AND sv.agency = a.agency
+        LEFT JOIN h_tot_time t ON sv.linkage_PID = t.linkage_PID),
+tr AS (SELECT *, CASE WHEN h_servdays IS NULL THEN 1 ELSE 0 END AS h_time_qual,
+         lead(agency) OVER w AS n_agency, lead(h_entry) OVER w AS ne, lead(h_exit) OVER w AS nxx
+       FROM fin WINDOW w AS (PARTITION BY linkage_PID ORDER BY h_entry NULLS LAST, h_exit NULLS LAST, row_key))
+SELECT row_key, linkage_PID, agency, h_age, h_relcode, h_child, h_elder, h_hh_ct, h_hh_kids, h_hh_adults,
+       h_hh_type1, h_hh_type2, h_servdays, h_agency_time, h_tot_time, h_time_qual,
+       CASE WHEN n_agency IS NULL THEN agency ELSE agency || ' to ' || n_agency END AS h_agency_trans,
+       CAST(ne - h_exit AS INTEGER) AS h_t2next_prog, (ne <= h_exit) AND (h_entry <= nxx) AS h_overlap,
+       (ne >= h_entry) AND (nxx <= h_exit) AS h_within,
+       strftime(h_dob, '%Y-%m-%d') AS h_dob, strftime(h_entry, '%Y-%m-%d') AS h_entry,
+       strftime(h_exit, '%Y-%m-%d') AS h_exit
+FROM tr
+""")
+def q_person_spells(spark, d):
+    r = agencies.person_spell_frame(_merged(spark, d), min_entry="1996-01-01", tiebreak=["row_key"])
+    return r.select(*_SPELL_OUT, iso("h_dob").alias("h_dob"), iso("h_entry").alias("h_entry"),
+                    iso("h_exit").alias("h_exit"))
