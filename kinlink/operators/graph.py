@@ -86,14 +86,21 @@ def dense_ids(df: DataFrame, order: Sequence, out: str = "dense_id", start: int
     the upper bits), and add the row counts of the earlier partitions.  The
     offset table has one row per partition, so broadcasting it is bounded.
     No single-partition window is involved.
+
+    The tagged rows are written once with a reliable ``checkpoint()``: the
+    counts and the rows must come from the same range partitioning, and
+    two evaluations of a sampled range exchange over a shuffled input are
+    not guaranteed to agree (nor is a recomputation after a lost executor).
     """
     spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = [F.col(c) if isinstance(c, str) else c for c in order]
     ranged = df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
     tagged = (ranged.withColumn("_mid", F.monotonically_increasing_id())
                     .withColumn("_part", F.shiftright(F.col("_mid"), 33))
                     .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))))
+    tagged = tagged.checkpoint(eager=True)
     counts = tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_part", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))

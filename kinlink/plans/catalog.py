@@ -926,3 +926,75 @@ def q_person_spells(spark, d):
     r = agencies.person_spell_frame(_merged(spark, d), min_entry="1996-01-01", tiebreak=["row_key"])
     return r.select(*_SPELL_OUT, iso("h_dob").alias("h_dob"), iso("h_entry").alias("h_entry"),
                     iso("h_exit").alias("h_exit"))
+
+
+# -------------------------------------------------------------------- L5 --
+# housing-authority identities: orders of status F; HMIS identities: the
+# other orders.  One identity per customer and order attributes.
+_PRE_SSN_SQL = "CAST(floor(o_totalprice * 1000) AS BIGINT)"
+
+
+@query("prelink", f"""
+WITH pa AS (SELECT DISTINCT 'PHA0_' || o_custkey AS pid0, {_PRE_SSN_SQL} AS ssn, o_orderpriority AS lname,
+                   lower(o_orderstatus) AS fname, CAST(NULL AS VARCHAR) AS mname, CAST(NULL AS VARCHAR) AS suf,
+                   CAST(o_orderdate AS DATE) AS dob,
+                   CASE o_orderpriority WHEN '1-URGENT' THEN 'Female' WHEN '2-HIGH' THEN 'Male' END AS gen
+            FROM orders WHERE o_orderstatus = 'F'),
+ha AS (SELECT DISTINCT 'HMIS0_' || o_custkey AS pid0, {_PRE_SSN_SQL} AS ssn,
+              CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS ssn_dq, o_orderpriority AS lname,
+              lower(o_orderstatus) AS fname, CAST(NULL AS VARCHAR) AS mname, CAST(NULL AS VARCHAR) AS suf,
+              CAST(o_orderdate AS DATE) AS dob, CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS gen
+       FROM orders WHERE o_orderstatus <> 'F'),
+pbad AS (SELECT CAST(o_orderdate AS DATE) AS d FROM orders WHERE o_orderstatus = 'F' AND o_orderdate IS NOT NULL
+         GROUP BY 1 HAVING year(d) > 2018 OR year(d) < 1900 OR count(*) >= 4),
+hbad AS (SELECT CAST(o_orderdate AS DATE) AS d FROM orders WHERE o_orderstatus <> 'F' AND o_orderdate IS NOT NULL
+         GROUP BY 1 HAVING year(d) > 2018 OR year(d) < 1900 OR count(*) >= 7),
+p2 AS (SELECT pid0, ssn, lname, fname, mname, suf, dob,
+              CASE gen WHEN 'Female' THEN 1 WHEN 'Male' THEN 0 END AS gen,
+              CASE WHEN ssn IS NULL THEN 3 WHEN length(CAST(ssn AS VARCHAR)) < 9 THEN 2 ELSE 1 END AS ssn_dq,
+              CASE WHEN dob IN (SELECT d FROM pbad) THEN 2 ELSE 1 END AS dob_dq,
+              0 AS src, row_number() OVER (ORDER BY pid0, ssn, lname, fname, dob, gen) AS seq FROM pa),
+h2 AS (SELECT pid0, ssn, lname, fname, mname, suf, dob, gen,
+              CASE WHEN ssn_dq > 2 THEN 3 ELSE ssn_dq END AS ssn_dq,
+              CASE WHEN dob IN (SELECT d FROM hbad) THEN 2 ELSE 1 END AS dob_dq,
+              1 AS src, row_number() OVER (ORDER BY pid0, ssn, ssn_dq, lname, fname, dob, gen) AS seq FROM ha),
+u AS (SELECT *, printf('pha1_%06d', seq) AS pid1 FROM p2
+      UNION ALL BY NAME SELECT *, printf('hmis1_%06d', seq) AS pid1 FROM h2),
+q AS (SELECT * REPLACE (CASE WHEN ssn IS NULL OR ssn IN ({_NINE}) THEN 3 ELSE ssn_dq END AS ssn_dq),
+             printf('pid2_%06d', row_number() OVER (ORDER BY src, seq)) AS pid2 FROM u)
+SELECT pid0, CAST(ssn AS VARCHAR) AS ssn, upper(lname) AS lname, upper(fname) AS fname, mname, suf,
+       strftime(dob, '%Y-%m-%d') AS dob, CAST(gen AS INTEGER) AS gen, ssn_dq, dob_dq, pid1, pid2,
+       year(dob) AS dob_y, month(dob) AS dob_m, day(dob) AS dob_d,
+       CASE WHEN ssn_dq = 1 AND length(CAST(ssn AS VARCHAR)) = 9 THEN ssn END AS ssn1,
+       strftime(CASE WHEN dob_dq = 1 THEN dob END, '%Y-%m-%d') AS dob1,
+       year(CASE WHEN dob_dq = 1 THEN dob END) AS dob1_y, month(CASE WHEN dob_dq = 1 THEN dob END) AS dob1_m,
+       day(CASE WHEN dob_dq = 1 THEN dob END) AS dob1_d
+FROM q
+WHERE NOT coalesce(contains(upper(lname), 'REFUSED'), false) AND NOT coalesce(contains(upper(fname), 'REFUSED'), false)
+  AND NOT coalesce(contains(upper(lname), 'ANONYMOUS'), false) AND NOT coalesce(contains(upper(fname), 'ANONYMOUS'), false)
+""")
+def q_prelink(spark, d):
+    from . import prelink
+    o = table(spark, d, "orders")
+    base = o.select(F.col("o_custkey"), F.floor(F.col("o_totalprice") * 1000).cast("bigint").alias("ssn"),
+                    F.col("o_orderpriority").alias("lname"), F.lower("o_orderstatus").alias("fname"),
+                    F.lit(None).cast("string").alias("mname"), F.lit(None).cast("string").alias("suf"),
+                    F.col("o_orderdate").cast("date").alias("dob"), "o_orderstatus", "o_orderpriority")
+    pr = F.col("o_orderpriority")
+    pha = base.filter(F.col("o_orderstatus") == "F").select(
+        F.concat(F.lit("PHA0_"), F.col("o_custkey").cast("string")).alias("pid0"), "ssn", "lname", "fname",
+        "mname", "suf", "dob", F.when(pr == "1-URGENT", "Female").when(pr == "2-HIGH", "Male").alias("gen"))
+    hm = base.filter(F.col("o_orderstatus") != "F").select(
+        F.concat(F.lit("HMIS0_"), F.col("o_custkey").cast("string")).alias("pid0"), "ssn",
+        F.substring(pr, 1, 1).cast("int").alias("ssn_dq"), "lname", "fname", "mname", "suf", "dob",
+        F.substring(pr, 1, 1).cast("int").alias("gen"))
+    ident = {c: c for c in ["pid0", "ssn", "lname", "fname", "mname", "suf", "dob", "gen"]}
+    pv = prelink.pha_variants(pha, ident, min_freq=4,
+                              order=["pid0", "ssn", "lname", "fname", "dob", "gen"])
+    hv = prelink.hmis_variants(hm, {**ident, "ssn_dq": "ssn_dq"}, min_freq=7,
+                               order=["pid0", "ssn", "ssn_dq", "lname", "fname", "dob", "gen"])
+    t = prelink.prelink_table(pv, hv)
+    return t.select("pid0", F.col("ssn").cast("string").alias("ssn"), "lname", "fname", "mname", "suf",
+                    iso("dob").alias("dob"), F.col("gen").cast("int").alias("gen"), "ssn_dq", "dob_dq",
+                    "pid1", "pid2", "dob_y", "dob_m", "dob_d", "ssn1", iso("dob1").alias("dob1"),
+                    "dob1_y", "dob1_m", "dob1_d")

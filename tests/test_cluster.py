@@ -124,3 +124,11 @@ def test_household_clusters(spark):  # G4, A13
            for r in graph.household_clusters(df, "linkage_PID", "hh_id").collect()}
     assert got == {5: (1, 3), 7: (1, 3), 11: (1, 3), 9: (2, 1), 30: (3, 1), 20: (None, None),
                    None: (None, None)}
+
+
+def test_dense_ids_after_shuffle(spark):  # G6 on a shuffled, pruned input stays consistent
+    base = spark.range(0, 20000).selectExpr("id % 3001 AS a", "id % 7 AS b", "repeat('x', 50) AS pad")
+    df = base.distinct()
+    out = graph.dense_ids(df, ["a", "b"], out="n").select("a", "b", "n")
+    got = sorted((r.a, r.b, r.n) for r in out.collect())
+    assert [n for *_, n in got] == list(range(1, len(got) + 1))
