@@ -998,3 +998,83 @@ def q_prelink(spark, d):
                     iso("dob").alias("dob"), F.col("gen").cast("int").alias("gen"), "ssn_dq", "dob_dq",
                     "pid1", "pid2", "dob_y", "dob_m", "dob_d", "ssn1", iso("dob1").alias("dob1"),
                     "dob1_y", "dob1_m", "dob1_d")
+
+
+# ------------------------------------------------------------ D4 / E3 -----
+# client rows = orders; person = customer; keys = (customer, priority).
+_CLIENT_BASE_SQL = f"""b AS (SELECT o_orderkey, o_custkey, o_orderpriority, o_orderdate, {_FLAG_SQL} AS flag,
+                  {_CODE_SQL} AS code FROM orders),
+d1 AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey, o_orderpriority, o_orderdate,
+         flag, code ORDER BY o_orderkey DESC) AS rn FROM b) WHERE rn = 1)"""
+
+
+@query("client_resolve", f"""
+WITH {_CLIENT_BASE_SQL},
+st AS ({_STATS_SQL.format(c='o_orderdate', src='d1')}),
+sc AS ({_STATS_SQL.format(c='code', src='d1')}),
+sf AS (SELECT o_custkey, max(flag) AS hi FROM d1 WHERE o_custkey IS NOT NULL GROUP BY o_custkey),
+r AS (SELECT d1.o_orderkey, d1.o_custkey, d1.o_orderpriority,
+             {_TIME_SQL.format(c='d1.o_orderdate')} AS o_orderdate,
+             CASE WHEN d1.o_custkey IS NULL THEN d1.flag ELSE sf.hi END AS flag,
+             (SELECT CASE WHEN {_UNCHANGED} THEN d1.code WHEN s.cnt = 1 THEN s.hi ELSE NULL END
+              FROM (SELECT 1) z LEFT JOIN sc s ON s.o_custkey = d1.o_custkey) AS code
+      FROM d1 LEFT JOIN st s ON d1.o_custkey = s.o_custkey LEFT JOIN sf ON d1.o_custkey = sf.o_custkey),
+k AS (SELECT *, row_number() OVER (PARTITION BY o_custkey, o_orderpriority ORDER BY o_orderkey DESC) AS rn FROM r)
+SELECT o_custkey, o_orderpriority, o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, flag, code
+FROM k WHERE rn = 1
+""")
+def q_client_resolve(spark, d):
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate",
+                                         _flag().alias("flag"), _code().alias("code"))
+    keys = ["o_custkey", "o_orderpriority"]
+    o = dedup.keep_last(o, keys + ["o_orderdate", "flag", "code"], ["o_orderkey"])
+    o = dedup.resolve_conflicts(o, "o_custkey", time_cols=["o_orderdate"], bool_cols=["flag"],
+                                code_cols=["code"])
+    o = dedup.keep_last(o, keys, ["o_orderkey"])
+    return o.select(*keys, "o_orderkey", iso("o_orderdate").alias("o_orderdate"), "flag", "code")
+
+
+# ------------------------------------------------------- R3 compat -------
+def _ns_full(left: str, right: str, keys: list, lcols: list, rcols: list) -> str:
+    on = " AND ".join(f"{left}.{k} IS NOT DISTINCT FROM {right}.{k}" for k in keys)
+    sel = ", ".join([f"coalesce({left}.{k}, {right}.{k}) AS {k}" for k in keys]
+                    + [f"{left}.{c}" for c in lcols] + [f"{right}.{c}" for c in rcols])
+    return f"SELECT {sel} FROM {left} FULL OUTER JOIN {right} ON {on}"
+
+
+def _compat_sql() -> str:
+    names = [n for _, n in _FLAG_TYPES]
+    codes_ = {n: t for t, n in _FLAG_TYPES}
+    parts = ["base AS (SELECT l_orderkey AS id, l_linestatus AS st, CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 "
+             "WHEN 'R' THEN 3 END AS ty, l_quantity AS rs FROM lineitem)",
+             "e AS (SELECT id, ty AS ty_e, rs AS rs_e FROM base WHERE st = 'F')",
+             "x AS (SELECT id, ty AS ty_x, rs AS rs_x FROM base WHERE st = 'O')",
+             f"w AS ({_ns_full('e', 'x', ['id'], ['ty_e', 'rs_e'], ['ty_x', 'rs_x'])})"]
+    k1 = ["id", "ty_x", "rs_x"]
+    for n in names:
+        parts.append(f"p_{n} AS (SELECT id, ty_x, rs_x, rs_e AS rs_e_{n} FROM w WHERE ty_e = {codes_[n]})")
+    acc, acc_cols = f"p_{names[0]}", [f"rs_e_{names[0]}"]
+    for i, n in enumerate(names[1:], 1):
+        parts.append(f"s1_{i} AS ({_ns_full(acc, f'p_{n}', k1, acc_cols, [f'rs_e_{n}'])})")
+        acc, acc_cols = f"s1_{i}", acc_cols + [f"rs_e_{n}"]
+    step1 = acc
+    k2 = ["id"] + [f"rs_e_{n}" for n in names]
+    for n in names:
+        parts.append(f"q_{n} AS (SELECT {', '.join(k2)}, rs_x AS rs_x_{n} FROM {step1} WHERE ty_x = {codes_[n]})")
+    acc, acc_cols = f"q_{names[0]}", [f"rs_x_{names[0]}"]
+    for i, n in enumerate(names[1:], 1):
+        parts.append(f"s2_{i} AS ({_ns_full(acc, f'q_{n}', k2, acc_cols, [f'rs_x_{n}'])})")
+        acc, acc_cols = f"s2_{i}", acc_cols + [f"rs_x_{n}"]
+    sel = ", ".join(["id AS l_orderkey"] + [f"rs_e_{n} AS {n}_entry" for n in names]
+                    + [f"rs_x_{n} AS {n}_exit" for n in names])
+    return "WITH " + ",\n".join(parts) + f"\nSELECT {sel} FROM {acc}"
+
+
+@query("type_stage_wide_compat", _compat_sql())
+def q_type_stage_wide_compat(spark, d):
+    li = table(spark, d, "lineitem").select(
+        "l_orderkey", "l_linestatus", "l_quantity",
+        F.when(F.col("l_returnflag") == "A", 1).when(F.col("l_returnflag") == "N", 2)
+         .when(F.col("l_returnflag") == "R", 3).alias("rtype"))
+    return reshape.type_stage_wide(li, "l_orderkey", "l_linestatus", "rtype", "l_quantity",
+                                   "F", "O", _FLAG_TYPES, compat=True)
