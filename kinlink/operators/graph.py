@@ -17,7 +17,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import drop_materialized, ensure_checkpoint_dir, materialize
 from ._time import delta_micros, epoch_micros
 
 MAX_ROUNDS = 100
@@ -27,8 +27,9 @@ MAX_ROUNDS = 100
 def _large_star(e: DataFrame) -> DataFrame:
     nb = e.select("src", "dst").unionByName(e.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
     m = nb.groupBy("src").agg(F.least(F.min("dst"), F.first("src")).alias("m"))
+    # duplicates are harmless here: small-star groups and de-duplicates
     return (nb.join(m, "src").filter(F.col("dst") > F.col("src"))
-              .select(F.col("dst").alias("src"), F.col("m").alias("dst")).distinct())
+              .select(F.col("dst").alias("src"), F.col("m").alias("dst")))
 
 
 def _small_star(e: DataFrame) -> DataFrame:
@@ -60,9 +61,11 @@ def connected_components(edges: DataFrame, nodes: DataFrame | None = None, src:
               .filter(F.col("src").isNotNull() & F.col("dst").isNotNull() & (F.col("src") != F.col("dst")))
               .select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst"))
               .distinct())
-    e = e.checkpoint(eager=True)
+    e, path = materialize(e, "cc")
     for _ in range(max_rounds):
-        e = _small_star(_large_star(e)).checkpoint(eager=True)
+        nxt, npath = materialize(_small_star(_large_star(e)), "cc")
+        drop_materialized(spark, path)
+        e, path = nxt, npath
         if _is_star_forest(e):
             break
     else:
@@ -100,7 +103,7 @@ def dense_ids(df: DataFrame, order: Sequence, out: str = "dense_id", start: int
     tagged = (ranged.withColumn("_mid", F.monotonically_increasing_id())
                     .withColumn("_part", F.shiftright(F.col("_mid"), 33))
                     .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))))
-    tagged = tagged.checkpoint(eager=True)
+    tagged, _ = materialize(tagged, "ids")
     counts = tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_part", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
@@ -134,7 +137,7 @@ def time_co_occurrence(df: DataFrame, individual: str, time_vars: Sequence[str],
     per_col = []
     for i, tv in enumerate(time_vars):
         p = proximity_pairs_for(df, individual, tv, time_delta, time_unit)
-        per_col.append(p.select(F.least("a", "b").alias("id_a"), F.greatest("a", "b").alias("id_b"))
+        per_col.append(p.select(F.col("a").alias("id_a"), F.col("b").alias("id_b"))
                         .distinct().withColumn("_tv", F.lit(i)))
     allp = reduce(lambda x, y: x.unionByName(y), per_col)
     return allp.groupBy("id_a", "id_b").agg(F.count(F.lit(1)).alias("n_shared"))

@@ -55,3 +55,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     raise RuntimeError(
         "spark.checkpoint.dir is not set; iterative operators need a shared "
         "checkpoint folder on a cluster")
+
+
+def materialize(df, tag: str = "t"):
+    """Cut lineage by writing ``df`` as parquet under the checkpoint folder.
+
+    One computation (an RDD ``checkpoint()`` recomputes an uncached plan to
+    write it), columnar and compressed, and it survives lost executors.
+    Returns ``(frame, path)``; ``drop_materialized(spark, path)`` removes
+    an intermediate table once nothing reads it any more.
+    """
+    import uuid
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark)
+    path = f"{root.rstrip('/')}/kinlink-{tag}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path), path
+
+
+def drop_materialized(spark, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.delete(p, True)
