@@ -52,19 +52,30 @@ def frequent_values(df: DataFrame, date_col: str, min_freq: int,
     return c.filter((y > max_year) | (y < min_year) | (F.col("n") >= min_freq))
 
 
+def mode_from_counts(c: DataFrame, key: str, value: str, n: str = "n",
+                     keep_ties: bool = True) -> DataFrame:
+    """A7 on a table of counts ``(key, value, n)``: the most frequent values.
+
+    The counts table has one row per (key, value), so the per-key window or
+    aggregation here runs on already-combined data.
+    """
+    if keep_ties:
+        w = Window.partitionBy(key)
+        return c.withColumn("_m", F.max(n).over(w)).filter(F.col(n) == F.col("_m")).drop("_m")
+    rank = F.struct((-F.col(n)).alias("a"), F.col(value).isNull().alias("b"), F.col(value).alias("c"))
+    return c.groupBy(key).agg(F.min_by(F.struct(F.col(value), F.col(n)), rank).alias("_p")) \
+            .select(key, F.col("_p")[value].alias(value), F.col("_p")[n].alias(n))
+
+
 def modal_value(df: DataFrame, key: str, value: str, keep_ties: bool = True) -> DataFrame:
     """Most frequent value per key (null counts as a value).
 
     ``keep_ties=True`` keeps every tied value (the reference multiplies rows
-    later); otherwise the smallest value wins, nulls last.
+    later); otherwise the smallest value wins, nulls last.  Counting is one
+    map-side-combined aggregation.
     """
     c = df.groupBy(key, value).agg(F.count(F.lit(1)).alias("n"))
-    top = c.groupBy(key).agg(F.max("n").alias("_m"))
-    t = c.join(top, key).filter(F.col("n") == F.col("_m")).drop("_m")
-    if keep_ties:
-        return t
-    w = Window.partitionBy(key).orderBy(F.col(value).asc_nulls_last())
-    return t.withColumn("_r", F.row_number().over(w)).filter("_r = 1").drop("_r")
+    return mode_from_counts(c, key, value, "n", keep_ties)
 
 
 def covered_days(df: DataFrame, keys: Sequence[str], start: str, end: str,

@@ -89,16 +89,22 @@ def household_clusters(merged: DataFrame) -> DataFrame:
     return graph.household_clusters(merged, "linkage_PID", "hh_id")
 
 
-def real_dob(merged: DataFrame, keep_ties: bool = True) -> DataFrame:
+def real_dob(merged: DataFrame, keep_ties: bool = False) -> DataFrame:
     """A7 for E12: modal birth date per person, housing-authority rows first;
-    HMIS rows only for persons without housing-authority rows."""
-    m = merged.select("linkage_PID", "agency", F.col("dob").cast("date").alias("h_dob"))
-    pha = m.filter(r_in(F.col("agency"), codes.PHA_AGENCIES))
-    pha_dob = ag.modal_value(pha, "linkage_PID", "h_dob", keep_ties)
-    pha_ids = pha_dob.select("linkage_PID").distinct()
-    rest = m.join(pha_ids, m["linkage_PID"].eqNullSafe(pha_ids["linkage_PID"]), "left_anti")
-    hmis_dob = ag.modal_value(rest, "linkage_PID", "h_dob", keep_ties)
-    return pha_dob.unionByName(hmis_dob).drop("n")
+    HMIS rows only for persons without housing-authority rows.
+
+    One aggregation counts every (person, date) overall and on
+    housing-authority rows; the pick per person runs on those counts.
+    """
+    is_pha = r_in(F.col("agency"), codes.PHA_AGENCIES)
+    c = (merged.select("linkage_PID", F.col("dob").cast("date").alias("h_dob"), is_pha.alias("_pha"))
+               .groupBy("linkage_PID", "h_dob")
+               .agg(F.count(F.lit(1)).alias("_all"), F.sum(F.col("_pha").cast("int")).alias("_npha")))
+    from pyspark.sql import Window
+    has_pha = F.max(F.col("_npha")).over(Window.partitionBy("linkage_PID")) > 0
+    c = c.withColumn("n", F.when(has_pha, F.col("_npha")).otherwise(F.col("_all"))).filter("n > 0")
+    return ag.mode_from_counts(c.select("linkage_PID", "h_dob", "n"), "linkage_PID", "h_dob", "n",
+                               keep_ties).drop("n")
 
 
 def person_spell_frame(merged: DataFrame, min_entry: str = codes.SPELL_MIN_ENTRY,
