@@ -229,13 +229,25 @@ def get_project(spark, county=None, file_spec=None, data_dir=None, paths=None, m
 
 def merge_tables(spark, county=None, meta_files: Mapping | None = None, data_dir=None, paths=None,
                  files: Mapping | None = None, groups: bool = True, name_exclusion: bool = False,
-                 observation: Observation | None = None, **kw) -> DataFrame:
+                 observation: Observation | None = None, row_counts: dict | None = None,
+                 **kw) -> DataFrame:
     """The wide table, one row per person and enrollment.
 
     A missing entry in ``meta_files`` or ``files`` falls back to the
     default configuration / file name.  ``observation`` (optional) receives
     the number of bad birth dates (D10) when the result is computed.
+    ``row_counts`` (optional dict) is filled with one ``Observation`` per
+    table whose ``n_rows`` is known after the first action (A5); no extra
+    count jobs run.
     """
+
+    def counted(name: str, df: DataFrame) -> DataFrame:
+        if row_counts is None:
+            return df
+        obs = Observation(f"rows_{name}")
+        row_counts[name] = obs
+        return df.observe(obs, F.count(F.lit(1)).alias("n_rows"))
+
     meta_files = dict(meta_files or {})
     files = dict(files or {})
 
@@ -247,11 +259,12 @@ def merge_tables(spark, county=None, meta_files: Mapping | None = None, data_dir
 
     common = dict(county=county, data_dir=data_dir, paths=paths, **kw)
     em = m("enrollment")
-    enroll = get_enrollment(spark, groups=groups, file_spec=f("enrollment"), metadata=em, **common)
+    enroll = counted("enrollment", get_enrollment(spark, groups=groups, file_spec=f("enrollment"),
+                                                  metadata=em, **common))
     enr_id, pid, prid, entry = (em["person_enrollment_ID"], em["person_ID"], em["program_ID"],
                                 em["entry_date"])
     xm = m("exit")
-    exits = get_exit(spark, file_spec=f("exit"), metadata=xm, **common)
+    exits = counted("exit", get_exit(spark, file_spec=f("exit"), metadata=xm, **common))
     merged = joins.safe_join(enroll, exits, enr_id, xm["person_enrollment_ID"], "left")
 
     cm = m("client")
@@ -265,16 +278,16 @@ def merge_tables(spark, county=None, meta_files: Mapping | None = None, data_dir
             observation, F.sum(flag.cast("int")).alias("n_bad_dob")).drop("first_entry")
     client = dedup.null_bad_dates(client, cpid, dob, first)
     client = dedup.reconcile_dates(client, cpid, dob, list(cm["duplicate_check_columns"]), ORDER)
-    client = client.drop(*ORDER)
+    client = counted("client", client.drop(*ORDER))
     merged = joins.safe_join(merged, client, pid, cpid, "right")
 
     for name, getter in (("disabilities", get_disabilities),
                          ("employment_education", get_employment_education),
                          ("health_dv", get_health_dv), ("income", get_income)):
         tm = m(name)
-        t = getter(spark, file_spec=f(name), metadata=tm, **common)
+        t = counted(name, getter(spark, file_spec=f(name), metadata=tm, **common))
         merged = joins.safe_join(merged, t, enr_id, tm["person_enrollment_ID"], "left")
 
     pm = m("project")
-    project = get_project(spark, file_spec=f("project"), metadata=pm, **common)
+    project = counted("project", get_project(spark, file_spec=f("project"), metadata=pm, **common))
     return joins.safe_join(merged, project, prid, pm["program_ID"], "left")

@@ -1,0 +1,2 @@
+"""Incremental ingestion.  The reference has no streaming operators; the
+only streaming job here lands newly arrived extract files as parquet."""

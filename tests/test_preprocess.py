@@ -286,8 +286,9 @@ def test_merge_tables(spark, tmp_path, name_exclusion):  # F10
     from pyspark.sql import Observation
     metas = _f10(tmp_path)
     obs = Observation("dob")
+    counts = {}
     df = hmis.merge_tables(spark, meta_files=metas, data_dir=str(tmp_path), paths=["2011"], groups=False,
-                           name_exclusion=name_exclusion, observation=obs)
+                           name_exclusion=name_exclusion, observation=obs, row_counts=counts)
     got = rows(df, key=["personID"])
     exp = [{k: v[i] for k, v in F10.items()} for i in range(4)]
     if name_exclusion:
@@ -299,5 +300,7 @@ def test_merge_tables(spark, tmp_path, name_exclusion):  # F10
         assert g["Developmental_entry"] is None
     for gone in ("pid", "ppid", "dest_num", "pr_id", "type"):
         assert gone not in df.columns
+    assert counts["enrollment"].get["n_rows"] == 4 and counts["income"].get["n_rows"] == 4
+    assert counts["client"].get["n_rows"] == (3 if name_exclusion else 4)
     # person 2 (1855) is screened out by name before the birth-date check
     assert obs.get["n_bad_dob"] == (1 if name_exclusion else 2)
