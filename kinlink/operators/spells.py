@@ -54,23 +54,41 @@ def child_elder_flags(df: DataFrame, relcode_when_no_age: bool = False) -> DataF
 
 def household_mix(df: DataFrame, hh: str = "hh_id", entry: str = "entry",
                   disability: str = "disability") -> DataFrame:
-    """Size, kids, adults and household types per (household, entry)."""
-    w = Window.partitionBy(hh, entry)
-    child = F.col("h_child")
-    df = (df.withColumn("h_hh_ct", F.count(F.lit(1)).over(w))
-            .withColumn("h_hh_kids", r_sum((child != "no").cast("int"), w))
-            .withColumn("h_hh_adults", r_sum((child == "no").cast("int"), w)))
-    elder_any = r_any(F.col("h_elder") == "yes", w)
-    dis_any = r_any(F.col(disability) == "Disabled", w)
+    """Size, kids, adults and household types per (household, entry).
+
+    One ``groupBy`` with map-side combine, joined back on the group keys
+    (null-safe, so rows with a null household still get their group's
+    values); a household holding a large share of the rows never lands in
+    one task the way a window partition would.
+    """
+    child, elder, dis = F.col("h_child"), F.col("h_elder") == "yes", F.col(disability) == "Disabled"
+
+    def n_if(c):
+        return F.sum(F.when(c, 1).otherwise(0))
+
+    g = df.groupBy(F.col(hh).alias("_hh"), F.col(entry).alias("_en")).agg(
+        F.count(F.lit(1)).alias("h_hh_ct"),
+        n_if(child.isNull()).alias("_child_na"),
+        n_if(child != "no").alias("_kids"), n_if(child == "no").alias("_adults"),
+        n_if(elder).alias("_eld_t"), n_if(elder.isNull()).alias("_eld_na"),
+        n_if(dis).alias("_dis_t"), n_if(dis.isNull()).alias("_dis_na"))
+    kids = F.when(F.col("_child_na") > 0, F.lit(None)).otherwise(F.col("_kids"))
+    adults = F.when(F.col("_child_na") > 0, F.lit(None)).otherwise(F.col("_adults"))
+    elder_any = F.when(F.col("_eld_t") > 0, True).when(F.col("_eld_na") > 0, F.lit(None)).otherwise(False)
+    dis_any = F.when(F.col("_dis_t") > 0, True).when(F.col("_dis_na") > 0, F.lit(None)).otherwise(False)
     t1 = if_else3(elder_any, "Elderly household", F.lit(None).cast("string"))
     t1 = if_else3(t1.isNull() & dis_any, "Non-elderly disabled household", t1)
     t1 = F.when(t1.isNull(), F.lit("Non-elderly non-disabled household")).otherwise(t1)
-    kids, adults = F.col("h_hh_kids"), F.col("h_hh_adults")
-    t2 = if_else3((kids > 0) & (adults > 1), "multi-adult household with children",
-                  if_else3((kids > 0) & (adults == 1), "single parent household with children",
-                           if_else3((kids == 0) & (adults > 0), "household without children",
+    g = g.select("_hh", "_en", "h_hh_ct", kids.alias("h_hh_kids"), adults.alias("h_hh_adults"),
+                 t1.alias("h_hh_type1"))
+    k, a = F.col("h_hh_kids"), F.col("h_hh_adults")
+    t2 = if_else3((k > 0) & (a > 1), "multi-adult household with children",
+                  if_else3((k > 0) & (a == 1), "single parent household with children",
+                           if_else3((k == 0) & (a > 0), "household without children",
                                     F.lit(None).cast("string"))))
-    return df.withColumn("h_hh_type1", t1).withColumn("h_hh_type2", t2)
+    g = g.withColumn("h_hh_type2", t2)
+    cond = F.col(hh).eqNullSafe(F.col("_hh")) & F.col(entry).eqNullSafe(F.col("_en"))
+    return df.join(g, cond, "left").drop("_hh", "_en")
 
 
 def impute_exit(df: DataFrame, person: str = "linkage_PID", entry: str = "entry", exit: str = "exit",
