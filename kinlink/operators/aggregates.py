@@ -79,23 +79,51 @@ def modal_value(df: DataFrame, key: str, value: str, keep_ties: bool = True) ->
 
 
 def covered_days(df: DataFrame, keys: Sequence[str], start: str, end: str,
-                 order_tiebreak: Sequence[str] = (), out: str = "covered_days") -> DataFrame:
+                 order_tiebreak: Sequence[str] = (), out: str = "covered_days",
+                 bucket_days: int | None = 365) -> DataFrame:
     """Days covered by the union of ``[start, end)`` per key, on every row.
 
-    Running-maximum method: sorted by start, each interval adds the part
-    that reaches past the furthest end seen so far.  Rows with a null bound
-    add nothing.
+    Union length is additive over disjoint time ranges, so each interval is
+    clipped to fixed buckets of ``bucket_days`` and the union is measured
+    per (key, bucket) with a running maximum: sorted by start, an interval
+    adds the part that reaches past the furthest end seen so far.  A key
+    holding many rows is thereby spread over many tasks.  Totals are summed
+    per key and joined back (null-safe).  Rows with a null bound add
+    nothing.  ``bucket_days=None`` uses one window per key instead.
     """
     s, e = F.col(start), F.col(end)
-    valid = s.isNotNull() & e.isNotNull()
-    order = [F.when(valid, 0).otherwise(1), s, e, *[F.col(c) for c in order_tiebreak]]
-    w_prev = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    prev_end = F.max(F.when(valid, e)).over(w_prev)
-    lo = F.greatest(s, F.coalesce(prev_end, s))
-    add = F.when(valid, F.greatest(F.lit(0), F.datediff(e, lo)))
-    tmp = df.withColumn("_add", add)
-    return tmp.withColumn(out, F.coalesce(F.sum("_add").over(Window.partitionBy(*keys)), F.lit(0))) \
-              .drop("_add")
+    valid = s.isNotNull() & e.isNotNull() & (e > s)
+    if bucket_days is None:
+        order = [F.when(valid, 0).otherwise(1), s, e, *[F.col(c) for c in order_tiebreak]]
+        w_prev = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        prev_end = F.max(F.when(valid, e)).over(w_prev)
+        add = F.when(valid, F.greatest(F.lit(0), F.datediff(e, F.greatest(s, F.coalesce(prev_end, s)))))
+        tmp = df.withColumn("_add", add)
+        return tmp.withColumn(out, F.coalesce(F.sum("_add").over(Window.partitionBy(*keys)), F.lit(0))) \
+                  .drop("_add")
+    epoch = F.lit("1970-01-01").cast("date")
+    b0 = F.floor(F.datediff(s, epoch) / bucket_days)
+    b1 = F.floor((F.datediff(e, epoch) - 1) / bucket_days)
+    iv = (df.filter(valid)
+            .select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], s.alias("_s"), e.alias("_e"),
+                    *[F.col(c).alias(f"_t{i}") for i, c in enumerate(order_tiebreak)],
+                    F.explode(F.sequence(b0, b1)).alias("_b")))
+    lo = F.date_add(epoch, (F.col("_b") * bucket_days).cast("int"))
+    hi = F.date_add(epoch, ((F.col("_b") + 1) * bucket_days).cast("int"))
+    iv = iv.withColumn("_cs", F.greatest(F.col("_s"), lo)).withColumn("_ce", F.least(F.col("_e"), hi))
+    kcols = [f"_k{i}" for i in range(len(keys))]
+    w_prev = (Window.partitionBy(*kcols, "_b")
+                    .orderBy("_cs", "_ce", *[f"_t{i}" for i in range(len(order_tiebreak))])
+                    .rowsBetween(Window.unboundedPreceding, -1))
+    prev_end = F.max("_ce").over(w_prev)
+    add = F.greatest(F.lit(0), F.datediff(F.col("_ce"), F.greatest(F.col("_cs"), F.coalesce(prev_end, F.col("_cs")))))
+    tot = iv.withColumn("_add", add).groupBy(*kcols).agg(F.sum("_add").alias("_tot"))
+    cond = None
+    for i, k in enumerate(keys):
+        c = F.col(k).eqNullSafe(F.col(f"_k{i}"))
+        cond = c if cond is None else cond & c
+    return (df.join(tot, cond, "left").withColumn(out, F.coalesce(F.col("_tot"), F.lit(0)).cast("long"))
+              .drop("_tot", *kcols))
 
 
 def cluster_sizes(df: DataFrame, cluster: str, person: str, out: str = "cluster_size") -> DataFrame:
