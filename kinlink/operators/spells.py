@@ -16,15 +16,16 @@ from ..functions.nulls import if_else3, r_any, r_in, r_sum
 
 
 def next_values(df: DataFrame, part: str, first: str, rest: Sequence[tuple], cols: Sequence[str],
-                prefix: str = "_n_", skew_safe: bool = True) -> DataFrame:
+                prefix: str = "_n_", skew_safe: bool = False) -> DataFrame:
     """``lead`` of ``cols`` within ``part`` ordered by ``first`` (nulls last)
     then ``rest`` (``(column, nulls_last)`` pairs, ascending).
 
-    Skew-safe form (default): ``lead`` inside each (part, first) group, and
+    Skew-safe form (``skew_safe=True``): ``lead`` inside each (part, first) group, and
     for a group's last row the first row of the next group, read from a
     per-(part, first) heads table (one row per person and date).  A person
     holding many rows is thereby spread over many window partitions; only
-    the small heads table is ordered per person.
+    the small heads table is ordered per person.  It costs more shuffles,
+    so jobs switch to it only when a person is hot (``largest_group``).
     """
     vals = F.struct(*[F.col(c) for c in cols])
     rest_order = [F.col(c).asc_nulls_last() if nl else F.col(c).asc_nulls_first() for c, nl in rest]
@@ -131,7 +132,7 @@ def impute_exit(df: DataFrame, person: str = "linkage_PID", entry: str = "entry"
                 tiebreak: Sequence[str] = (), open_end: str = codes.OPEN_SPELL_END,
                 short_days: int = codes.SHORT_STAY_DAYS,
                 short_stay: Sequence[str] = codes.SHORT_STAY_PROJECTS,
-                skew_safe: bool = True) -> DataFrame:
+                skew_safe: bool = False) -> DataFrame:
     """E15 (with W1): ``h_exit`` for HMIS spells without an exit.
 
     Next entry / next exit come from ``lead`` over the person's spells in
@@ -156,7 +157,8 @@ def impute_exit(df: DataFrame, person: str = "linkage_PID", entry: str = "entry"
 
 
 def service_days(df: DataFrame, person: str = "linkage_PID", agency: str = "agency",
-                 entry: str = "entry", exit: str = "exit", tiebreak: Sequence[str] = ()) -> DataFrame:
+                 entry: str = "entry", exit: str = "exit", tiebreak: Sequence[str] = (),
+                 bucket_days: int | None = None) -> DataFrame:
     """E16 + A12: service days, negative-spell swap, covered days, quality flag.
 
     Covered days (``h_agency_time`` per person and agency, ``h_tot_time`` per
@@ -166,8 +168,10 @@ def service_days(df: DataFrame, person: str = "linkage_PID", agency: str = "agen
     serv = F.datediff(F.col("h_exit"), F.col(entry))
     df = df.withColumn("h_servdays", serv).withColumn(
         "h_entry", if_else3(F.col("h_servdays") < 0, F.col(exit), F.col(entry)).cast("date"))
-    df = covered_days(df, [person, agency], "h_entry", "h_exit", tiebreak, out="h_agency_time")
-    df = covered_days(df, [person], "h_entry", "h_exit", tiebreak, out="h_tot_time")
+    df = covered_days(df, [person, agency], "h_entry", "h_exit", tiebreak, out="h_agency_time",
+                      bucket_days=bucket_days)
+    df = covered_days(df, [person], "h_entry", "h_exit", tiebreak, out="h_tot_time",
+                      bucket_days=bucket_days)
     sd = if_else3(F.col("h_servdays") < 0, F.lit(None).cast("int"), F.col("h_servdays"))
     df = df.withColumn("h_servdays", sd)
     df = df.withColumn("h_exit", F.when(F.col("h_servdays").isNull(), F.lit(None)).otherwise(F.col("h_exit")))
@@ -177,7 +181,7 @@ def service_days(df: DataFrame, person: str = "linkage_PID", agency: str = "agen
 
 
 def transitions(df: DataFrame, person: str = "linkage_PID", agency: str = "agency",
-                tiebreak: Sequence[str] = (), skew_safe: bool = True) -> DataFrame:
+                tiebreak: Sequence[str] = (), skew_safe: bool = False) -> DataFrame:
     """W2-W5 over the person's spells ordered by (h_entry, h_exit), nulls last."""
     df = next_values(df, person, "h_entry", [("h_exit", True)] + [(c, False) for c in tiebreak],
                      [agency, "h_entry", "h_exit"], "_tr_", skew_safe=skew_safe)

@@ -109,16 +109,33 @@ def real_dob(merged: DataFrame, keep_ties: bool = False) -> DataFrame:
 
 def person_spell_frame(merged: DataFrame, min_entry: str = codes.SPELL_MIN_ENTRY,
                        keep_ties: bool = False, tiebreak: Sequence[str] = ("pid0",),
-                       relcode_when_no_age: bool = False) -> DataFrame:
+                       relcode_when_no_age: bool = False, skew_safe="auto",
+                       hot_rows: int = ag.HOT_ROWS, bucket_days: int = 365) -> DataFrame:
     """One row per linked person and spell with age, household, exit
-    imputation, service days, covered days and transitions."""
+    imputation, service days, covered days and transitions.
+
+    Per-person steps (exit imputation, covered days, transitions) are
+    windows over one person's spells.  ``skew_safe="auto"`` measures the
+    largest person first (one combined aggregation); above ``hot_rows``
+    rows it switches to the skew-splitting forms (two-level lead, covered
+    days per time bucket of ``bucket_days``).  Those read their input twice,
+    so the spell table is then written once as parquet in the checkpoint
+    folder before them and again after service days.
+    """
+    from ..session import materialize
     tb = list(tiebreak)
     df = merged.join(real_dob(merged, keep_ties), "linkage_PID", "left")
     df = df.filter(F.col("linkage_PID").isNotNull() & (F.col("entry") >= F.lit(min_entry).cast("date")))
     df = spells.age_and_relcode(df)
     df = spells.child_elder_flags(df, relcode_when_no_age)
     df = spells.household_mix(df)
-    df = spells.impute_exit(df, tiebreak=tb)
-    df = spells.service_days(df, tiebreak=tb)
+    if skew_safe == "auto":
+        skew_safe = ag.largest_group(df, ["linkage_PID"]) > hot_rows
+    if skew_safe:
+        df, _ = materialize(df, "spells")
+    df = spells.impute_exit(df, tiebreak=tb, skew_safe=skew_safe)
+    df = spells.service_days(df, tiebreak=tb, bucket_days=bucket_days if skew_safe else None)
     df = df.distinct()
-    return spells.transitions(df, tiebreak=tb)
+    if skew_safe:
+        df, _ = materialize(df, "spells")
+    return spells.transitions(df, tiebreak=tb, skew_safe=skew_safe)

@@ -549,12 +549,18 @@ def _spells(spark, d) -> DataFrame:
     ).filter(F.col("linkage_PID").isNotNull() & (F.col("entry") >= F.lit("1996-01-01").cast("date")))
 
 
+def _hot(df: DataFrame, key: str = "linkage_PID") -> bool:
+    """Skew-splitting forms only when one person exceeds the hot-row limit."""
+    return ag.largest_group(df, [key]) > ag.HOT_ROWS
+
+
 @query("impute_exit", f"""
 WITH {_IMPUTED_SQL}
 SELECT o_orderkey, linkage_PID, strftime(h_exit, '%Y-%m-%d') AS h_exit FROM im
 """)
 def q_impute_exit(spark, d):
-    r = spells.impute_exit(_spells(spark, d), tiebreak=["o_orderkey"])
+    sp = _spells(spark, d)
+    r = spells.impute_exit(sp, tiebreak=["o_orderkey"], skew_safe=_hot(sp))
     return r.select("o_orderkey", "linkage_PID", iso("h_exit").alias("h_exit"))
 
 
@@ -591,8 +597,10 @@ SELECT o_orderkey, linkage_PID, strftime(h_entry, '%Y-%m-%d') AS h_entry, strfti
 FROM fin
 """)
 def q_covered_days(spark, d):
-    r = spells.impute_exit(_spells(spark, d), tiebreak=["o_orderkey"])
-    r = spells.service_days(r, tiebreak=["o_orderkey"])
+    sp = _spells(spark, d)
+    hot = _hot(sp)
+    r = spells.impute_exit(sp, tiebreak=["o_orderkey"], skew_safe=hot)
+    r = spells.service_days(r, tiebreak=["o_orderkey"], bucket_days=365 if hot else None)
     return r.select("o_orderkey", "linkage_PID", iso("h_entry").alias("h_entry"), iso("h_exit").alias("h_exit"),
                     "h_servdays", "h_agency_time", "h_tot_time", "h_time_qual")
 
@@ -609,9 +617,11 @@ SELECT o_orderkey, CASE WHEN n_agency IS NULL THEN agency ELSE agency || ' to '
 FROM tr
 """)
 def q_transitions(spark, d):
-    r = spells.impute_exit(_spells(spark, d), tiebreak=["o_orderkey"])
-    r = spells.service_days(r, tiebreak=["o_orderkey"])
-    r = spells.transitions(r, tiebreak=["o_orderkey"])
+    sp = _spells(spark, d)
+    hot = _hot(sp)
+    r = spells.impute_exit(sp, tiebreak=["o_orderkey"], skew_safe=hot)
+    r = spells.service_days(r, tiebreak=["o_orderkey"], bucket_days=365 if hot else None)
+    r = spells.transitions(r, tiebreak=["o_orderkey"], skew_safe=hot)
     return r.select("o_orderkey", "h_agency_trans", "h_t2next_prog", "h_overlap", "h_within")
 
 

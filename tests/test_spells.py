@@ -168,3 +168,11 @@ def test_skew_safe_forms_agree(spark):  # two-level lead and bucketed union == p
         y = ag.covered_days(df, ["p"], "s", "e", ["k"], bucket_days=None)
         assert sorted((r.k, r.covered_days) for r in x.collect()) == \
             sorted((r.k, r.covered_days) for r in y.collect())
+
+
+def test_person_spell_frame_skew_forms_agree(spark):  # E12 both plans give the same rows
+    merged = _merged(spark)
+    a = agencies.person_spell_frame(merged, skew_safe=True)
+    b = agencies.person_spell_frame(merged, skew_safe=False)
+    cols = ["pid0", "h_exit", "h_servdays", "h_agency_time", "h_tot_time", "h_agency_trans", "h_overlap"]
+    assert sorted(map(tuple, a.select(*cols).collect()), key=str) == sorted(map(tuple, b.select(*cols).collect()), key=str)
