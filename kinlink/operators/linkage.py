@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import codes
-from ..functions.similarity import date_feature, string_feature, string_similarity
+from ..functions.similarity import SWAP_MONTHS, date_feature, string_feature, string_similarity
 from .graph import connected_components, dense_ids
 
 
@@ -27,36 +27,96 @@ def _ns_eq(cols: Sequence[str], l: str, r: str) -> Column:
     return reduce(lambda a, b: a & b, [F.col(f"{l}{c}").eqNullSafe(F.col(f"{r}{c}")) for c in cols])
 
 
-def _value_similarity(pairs: DataFrame, col: str, method: str) -> DataFrame:
-    """Similarity table for the distinct (a, b) value pairs of one column."""
-    vp = (pairs.select(F.col(f"a_{col}").alias("_va"), F.col(f"b_{col}").alias("_vb"))
-               .filter(F.col("_va").isNotNull() & F.col("_vb").isNotNull()
-                       & (F.col("_va") != F.col("_vb")))
-               .distinct())
+def _value_similarity(v: DataFrame, block: str, col: str, method: str) -> DataFrame:
+    """Similarity of every ordered pair of distinct values of ``col`` that
+    occur in one block (both orders; the UDF runs once per value pair)."""
+    vals = v.select(F.col(block).alias("_b"), F.col(col).alias("_v")).filter(F.col("_v").isNotNull()).distinct()
+    a = vals.select("_b", F.col("_v").alias("_va"))
+    b = vals.select("_b", F.col("_v").alias("_vb"))
+    vp = a.join(b, "_b").filter(F.col("_va") != F.col("_vb")).select("_va", "_vb").distinct()
     return vp.select("_va", "_vb", string_similarity(F.col("_va"), F.col("_vb"), method).alias("_sim"))
 
 
+def _positive_candidates(v: DataFrame, block: str, comparisons: Mapping[str, str], string_method: str,
+                         string_threshold: float) -> DataFrame:
+    """Variant pairs ``(a__rep <= b__rep)`` with at least one positive feature.
+
+    Every match has one (its mean of non-null features is above a
+    threshold >= 0), so scoring only these pairs is exact.  Each source is
+    an equi-join: equal string values; similar string values through the
+    similarity table of distinct values; equal dates, day/month swaps and
+    the listed month mix-ups through (year, month, day) keys.
+    """
+    parts = []
+    for c, kind in comparisons.items():
+        if kind == "string":
+            vals = v.select(F.col(block).alias("_b"), F.col(c).alias("_v"), "_rep").filter(F.col("_v").isNotNull())
+            a = vals.select("_b", F.col("_v").alias("_va"), F.col("_rep").alias("_ra"))
+            b = vals.select(F.col("_b").alias("_bb"), F.col("_v").alias("_vb"), F.col("_rep").alias("_rb"))
+            eq = a.join(b, (F.col("_b") == F.col("_bb")) & (F.col("_va") == F.col("_vb"))).select("_ra", "_rb")
+            sims = _value_similarity(v, block, c, string_method).filter(F.col("_sim") >= string_threshold) \
+                .select(F.col("_va").alias("_sa"), F.col("_vb").alias("_sb"))
+            ab = a.join(sims, F.col("_va") == F.col("_sa"))
+            near = ab.join(b, (F.col("_b") == F.col("_bb")) & (F.col("_sb") == F.col("_vb"))).select("_ra", "_rb")
+            parts += [eq, near]
+        elif kind == "date":
+            d = v.select(F.col(block).alias("_b"), "_rep", F.year(c).alias("_y"), F.month(c).alias("_m"),
+                         F.dayofmonth(c).alias("_d")).filter(F.col("_y").isNotNull())
+            keys = [F.struct(F.col("_y").alias("y"), F.col("_m").alias("m"), F.col("_d").alias("d")),
+                    F.struct(F.col("_y").alias("y"), F.col("_d").alias("m"), F.col("_m").alias("d"))]
+            for m1, m2, _ in SWAP_MONTHS:
+                keys.append(F.when(F.col("_m") == m1, F.struct(F.col("_y").alias("y"), F.lit(m2).alias("m"),
+                                                               F.col("_d").alias("d"))))
+            a = d.select("_b", F.col("_rep").alias("_ra"), F.explode(F.array(*keys)).alias("_k")) \
+                 .filter(F.col("_k").isNotNull())
+            b = d.select(F.col("_b").alias("_bb"), F.col("_rep").alias("_rb"),
+                         F.struct(F.col("_y").alias("y"), F.col("_m").alias("m"), F.col("_d").alias("d")).alias("_kb"))
+            parts.append(a.join(b, (F.col("_b") == F.col("_bb")) & (F.col("_k") == F.col("_kb"))).select("_ra", "_rb"))
+        else:
+            raise ValueError(f"unknown comparison {kind!r} for {c}")
+    allc = reduce(lambda x, y: x.unionByName(y), parts)
+    return allc.select(F.least("_ra", "_rb").alias("a__rep"), F.greatest("_ra", "_rb").alias("b__rep")).distinct()
+
+
 def variant_pairs(df: DataFrame, block: str, comparisons: Mapping[str, str],
                   match_threshold: float = codes.MATCH_THRESHOLD,
                   string_method: str = "jarowinkler",
-                  string_threshold: float = codes.STRING_THRESHOLD) -> DataFrame:
+                  string_threshold: float = codes.STRING_THRESHOLD,
+                  id_col: str | None = None, prune: bool = False) -> DataFrame:
     """Scored pairs of distinct variants inside each block (a <= b, self pairs kept).
 
     Columns: ``a_<c>``, ``b_<c>`` for the block and compared columns, one
-    feature column per compared column, ``mean`` and ``match``.
+    feature column per compared column, ``mean`` and ``match``.  With
+    ``id_col`` every variant carries its smallest record id (``a__rep``,
+    ``b__rep``) and pairs are oriented by it.  ``prune=True`` (needs
+    ``id_col`` and a threshold >= 0) scores only pairs with a positive
+    feature, which contain every match; otherwise all pairs of a block.
     """
     cols = [block, *comparisons]
-    v = df.select(*cols).filter(F.col(block).isNotNull()).distinct()
-    a = v.select(*[F.col(c).alias(f"a_{c}") for c in cols])
-    b = v.select(*[F.col(c).alias(f"b_{c}") for c in cols])
-    key_a = F.struct(*[F.col(f"a_{c}") for c in comparisons])
-    key_b = F.struct(*[F.col(f"b_{c}") for c in comparisons])
-    pairs = a.join(b, F.col(f"a_{block}") == F.col(f"b_{block}")).filter(key_a <= key_b)
+    base = df.filter(F.col(block).isNotNull())
+    if id_col is not None:
+        v = base.groupBy(*cols).agg(F.min(id_col).alias("_rep"))
+        vcols = cols + ["_rep"]
+    else:
+        v = base.select(*cols).distinct()
+        vcols = cols
+    a = v.select(*[F.col(c).alias(f"a_{c}") for c in vcols])
+    b = v.select(*[F.col(c).alias(f"b_{c}") for c in vcols])
+    if prune and id_col is not None and match_threshold >= 0:
+        cand = _positive_candidates(v, block, comparisons, string_method, string_threshold)
+        pairs = cand.join(a, "a__rep").join(b, "b__rep")
+    else:
+        if id_col is not None:
+            orient = F.col("a__rep") <= F.col("b__rep")
+        else:
+            orient = F.struct(*[F.col(f"a_{c}") for c in comparisons]) <= F.struct(
+                *[F.col(f"b_{c}") for c in comparisons])
+        pairs = a.join(b, F.col(f"a_{block}") == F.col(f"b_{block}")).filter(orient)
     feats = []
     for c, kind in comparisons.items():
         ca, cb = F.col(f"a_{c}"), F.col(f"b_{c}")
         if kind == "string":
-            sims = _value_similarity(pairs, c, string_method)
+            sims = _value_similarity(v, block, c, string_method)
             pairs = pairs.join(sims, (ca == F.col("_va")) & (cb == F.col("_vb")), "left")
             sim = F.when(ca.isNull() | cb.isNull(), F.lit(None)).when(ca == cb, F.lit(1.0)) \
                    .otherwise(F.col("_sim"))
@@ -84,7 +144,8 @@ def block_and_match(df: DataFrame, id_col: str, block: str, comparisons: Mapping
     what linking consumes; ``keep="all"`` returns every candidate pair of
     the block (quadratic in the block size, as in the reference).
     """
-    vp = variant_pairs(df, block, comparisons, match_threshold, string_method, string_threshold)
+    vp = variant_pairs(df, block, comparisons, match_threshold, string_method, string_threshold,
+                       id_col=id_col, prune=(keep == "matches"))
     if keep == "matches":
         vp = vp.filter("match")
     cols = [block, *comparisons]
@@ -102,20 +163,20 @@ def match_edges(df: DataFrame, id_col: str, block: str, comparisons: Mapping[str
                 match_threshold: float = codes.MATCH_THRESHOLD,
                 string_method: str = "jarowinkler",
                 string_threshold: float = codes.STRING_THRESHOLD) -> DataFrame:
-    """Edges ``(src, dst)`` whose components equal those of L1's match graph."""
+    """Edges ``(src, dst)`` whose components equal those of L1's match graph.
+
+    A matching pair of different variants links their representatives; a
+    variant that matches itself (some compared value present) links each
+    of its records to its representative.  No record pair is listed.
+    """
     cols = [block, *comparisons]
+    vp = variant_pairs(df, block, comparisons, match_threshold, string_method, string_threshold,
+                       id_col=id_col, prune=True).filter("match")
+    cross = (vp.filter(F.col("a__rep") != F.col("b__rep"))
+               .select(F.col("a__rep").alias("src"), F.col("b__rep").alias("dst")))
+    keep = vp.filter(F.col("a__rep") == F.col("b__rep")).select(
+        F.col("a__rep").alias("_rep"), *[F.col(f"a_{c}").alias(f"k_{c}") for c in cols])
     rec = df.select(F.col(id_col).alias("_id"), *cols).filter(F.col(block).isNotNull())
-    reps = rec.groupBy(*cols).agg(F.min("_id").alias("_rep"))
-    vp = variant_pairs(df, block, comparisons, match_threshold, string_method,
-                       string_threshold).filter("match")
-    ra = reps.select(F.col("_rep").alias("rep_a"), *[F.col(c).alias(f"ra_{c}") for c in cols])
-    rb = reps.select(F.col("_rep").alias("rep_b"), *[F.col(c).alias(f"rb_{c}") for c in cols])
-    cross = (vp.join(ra, _ns_eq(cols, "a_", "ra_")).join(rb, _ns_eq(cols, "b_", "rb_"))
-               .filter(F.col("rep_a") != F.col("rep_b"))
-               .select(F.col("rep_a").alias("src"), F.col("rep_b").alias("dst")))
-    self_match = vp.filter(_ns_eq(cols, "a_", "b_")).select(*[F.col(f"a_{c}").alias(f"s_{c}") for c in cols])
-    keep = (reps.join(self_match, _ns_eq(cols, "", "s_"), "left_semi")
-                .select("_rep", *[F.col(c).alias(f"k_{c}") for c in cols]))
     members = rec.join(keep, _ns_eq(cols, "", "k_"))
     inner = members.filter(F.col("_id") != F.col("_rep")).select(F.col("_id").alias("src"), F.col("_rep").alias("dst"))
     return cross.unionByName(inner)

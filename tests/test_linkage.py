@@ -78,3 +78,21 @@ def test_jaro_winkler_values():
     assert abs(jaro_winkler("QERWT", "QWERT") - 0.88) < 1e-9
     assert abs(jaro_winkler("MARTHA", "MARHTA") - 0.9611111111111111) < 1e-12
     assert jaro_winkler("", "a") == 0.0 and jaro_winkler("ab", "ab") == 1.0
+
+
+def test_pruned_candidates_find_every_match(spark):  # exactness of positive-feature pruning
+    import random
+    rnd = random.Random(5)
+    names = ["QWERT", "QERWT", "ASDF", "ASDG", "ZXCV", None]
+    recs = []
+    for i in range(160):
+        dd = dt.datetime(1990, rnd.choice([1, 2, 6, 7, 9, 10]), rnd.choice([1, 2, 6, 7]))
+        recs.append((i, rnd.choice(["B1", "B2", "B3"]), rnd.choice(names), rnd.choice(names),
+                     None if rnd.random() < 0.2 else dd))
+    df = spark.createDataFrame(recs, "row int, blk string, f string, l string, dob timestamp_ntz")
+    comp = {"f": "string", "l": "string", "dob": "date"}
+    for t in (0.0, 0.3, 0.5, 0.7):
+        full = linkage.variant_pairs(df, "blk", comp, t, id_col="row", prune=False).filter("match")
+        pruned = linkage.variant_pairs(df, "blk", comp, t, id_col="row", prune=True).filter("match")
+        k = ["a__rep", "b__rep", "f", "l", "dob", "mean"]
+        assert sorted(map(tuple, full.select(*k).collect())) == sorted(map(tuple, pruned.select(*k).collect()))
