@@ -78,3 +78,25 @@ def drop_materialized(spark, path: str) -> None:
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     fs.delete(p, True)
+
+
+def clear_materialized(spark) -> int:
+    """Remove every table ``materialize`` wrote under the checkpoint folder.
+
+    Call at the end of a job, once no DataFrame built from them is used
+    any more.  Returns the number of folders removed.
+    """
+    root = spark.sparkContext.getCheckpointDir()
+    if not root:
+        return 0
+    jvm = spark.sparkContext._jvm
+    base = jvm.org.apache.hadoop.fs.Path(root)
+    fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(base):
+        return 0
+    n = 0
+    for st in fs.listStatus(base):
+        if st.getPath().getName().startswith("kinlink-"):
+            fs.delete(st.getPath(), True)
+            n += 1
+    return n

@@ -23,3 +23,10 @@ def test_write_table_partitioned(spark, tmp_path):  # S9
     write_table(df, out, partition_by=["agency"])
     back = spark.read.parquet(out).filter("agency = 'SHA'")
     assert [r.n for r in back.collect()] == [2]
+
+
+def test_materialize_and_clear(spark):
+    from kinlink.session import clear_materialized, materialize
+    df, path = materialize(spark.range(10), "t")
+    assert df.count() == 10
+    assert clear_materialized(spark) >= 1
