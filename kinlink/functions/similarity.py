@@ -28,6 +28,20 @@ WINKLER_BOOST_THRESHOLD = 0.7
 # ---------------------------------------------------------------------------
 
 
+def _ship_by_value() -> None:
+    """Serialize this module's functions by value in UDF closures, so
+    executors run the similarity code without having kinlink installed."""
+    import sys
+    try:
+        from pyspark import cloudpickle
+        cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    except Exception:  # noqa: BLE001 - older cloudpickle: fall back to import by name
+        pass
+
+
+_ship_by_value()
+
+
 def jaro_winkler(s1: str, s2: str) -> float:
     """Jaro-Winkler similarity of two strings (0 when either is empty)."""
     if s1 == s2:

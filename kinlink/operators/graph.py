@@ -97,9 +97,11 @@ def dense_ids(df: DataFrame, order: Sequence, out: str = "dense_id", start: int
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = [F.col(c) if isinstance(c, str) else c for c in order]
-    ranged = df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+    # without an explicit count AQE may merge adjacent small ranges; the
+    # merged partitions stay contiguous, so the order is kept
+    ranged = (df.repartitionByRange(num_partitions, *cols) if num_partitions
+              else df.repartitionByRange(*cols)).sortWithinPartitions(*cols)
     tagged = (ranged.withColumn("_mid", F.monotonically_increasing_id())
                     .withColumn("_part", F.shiftright(F.col("_mid"), 33))
                     .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))))

@@ -120,7 +120,8 @@ def person_spell_frame(merged: DataFrame, min_entry: str = codes.SPELL_MIN_ENTRY
     rows it switches to the skew-splitting forms (two-level lead, covered
     days per time bucket of ``bucket_days``).  Those read their input twice,
     so the spell table is then written once as parquet in the checkpoint
-    folder before them and again after service days.
+    folder before them and again after service days.  The spell table is
+    always written once before the household step.
     """
     from ..session import materialize
     tb = list(tiebreak)
@@ -128,9 +129,12 @@ def person_spell_frame(merged: DataFrame, min_entry: str = codes.SPELL_MIN_ENTRY
     df = df.filter(F.col("linkage_PID").isNotNull() & (F.col("entry") >= F.lit(min_entry).cast("date")))
     df = spells.age_and_relcode(df)
     df = spells.child_elder_flags(df, relcode_when_no_age)
-    df = spells.household_mix(df)
+    # household measures read the spells twice (rows + grouped summary):
+    # write the spell table once so the merge upstream is computed once
+    df, _ = materialize(df, "spells")
     if skew_safe == "auto":
         skew_safe = ag.largest_group(df, ["linkage_PID"]) > hot_rows
+    df = spells.household_mix(df)
     if skew_safe:
         df, _ = materialize(df, "spells")
     df = spells.impute_exit(df, tiebreak=tb, skew_safe=skew_safe)
