@@ -132,6 +132,19 @@ def q_name_exclude(spark, d):
     return rc.exclude_names(c, ["role", "text"]).select("conv_id", "turn")
 
 
+@query("name_exclude_documents", f"""
+SELECT doc_id FROM (
+  SELECT doc_id, lang, text, replace(lower(lang), '.', '') AS n1, replace(lower(text), '.', '') AS n2
+  FROM documents)
+WHERE lang IS NOT NULL AND text IS NOT NULL
+  AND NOT ({_tokens_sql('n1')}) AND length(n1) <> 1 AND NOT regexp_matches(n1, '\\p{{Nd}}')
+  AND NOT ({_tokens_sql('n2')}) AND length(n2) <> 1 AND NOT regexp_matches(n2, '\\p{{Nd}}')
+""")
+def q_name_exclude_documents(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "lang", "text")
+    return rc.exclude_names(docs, ["lang", "text"]).select("doc_id")
+
+
 # ---------------------------------------------------------------- A1 / E1 --
 @query("group_min_size", """
 SELECT l_orderkey, l_linenumber, l_partkey, l_quantity FROM lineitem
