@@ -104,7 +104,7 @@ def name_keep(df: DataFrame, name_cols: Sequence[str],
         if types.get(c) != "string":
             conds.append(F.lit(False))
             continue
-        name = F.regexp_replace(F.lower(F.col(c)), r"\.", "")
+        name = F.translate(F.lower(F.col(c)), ".", "")
         token_hit = reduce(lambda a, b: a | b, [name.contains(t) for t in exclusion])
         bad = token_hit | (F.length(name) == 1) | name.rlike(r"\p{Nd}")
         conds.append(F.col(c).isNotNull() & ~bad)
