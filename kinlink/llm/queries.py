@@ -2,24 +2,65 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import iforest_rules, simhash_anchor
+from . import iforest_rules, kk_packing, mixing, secret_tokens, simhash_anchor
 from .common import table
 
+#: Vocabulary files, by the path they have on every executor.
+PACK_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+SECRET_VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+#: Share of all tokens that each labelled domain shall have in the mix.
+TARGETS = {"good": 0.97, "good_toxic": 0.01, "poor": 0.015, "poor_toxic": 0.005}
+
+
+def labelled_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``doc_id, domain`` of the labelled documents."""
+    return (table(spark, sf_dir, "labels").dropna(subset=["quality", "toxic"])
+            .select("doc_id", F.concat(F.when(F.col("quality") > 0, "good").otherwise("poor"),
+                                       F.when(F.col("toxic") > 0, "_toxic").otherwise("")).alias("domain")))
+
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_anchor.simhash_groups(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kk_packing.pack(table(spark, sf_dir, "documents"), PACK_VOCABULARY)
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return iforest_rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "anomaly")
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_tokens.find_secrets(table(spark, sf_dir, "documents"), SECRET_VOCABULARY)
+    base = F.filter("found", lambda x: x["kind"] != "random")
+
+    def number(kind: str):
+        return F.size(F.filter("found", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    def joined(spans):
+        return F.concat_ws(",", F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))))
+
+    return found.select("doc_id", number("assign"), number("access"), number("hex"),
+                        F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("found")).alias("spans"))
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.domain_rates(table(spark, sf_dir, "documents"), labelled_domains(spark, sf_dir), TARGETS)
+
+
 QUERIES = {
     "op2_simhash": op2_simhash,
+    "op3_packing": op3_packing,
     "op5_quality_rules": op5_quality_rules,
+    "op9_secrets": op9_secrets,
+    "op10_mixing": op10_mixing,
 }
 
 SQL: dict[str, str] = {}
