@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import iforest_rules, kk_packing, mixing, secret_tokens, simhash_anchor
+from . import iforest_rules, kk_packing, kn_langid, mixing, secret_tokens, simhash_anchor
 from .common import table
 
 #: Vocabulary files, by the path they have on every executor.
@@ -32,6 +32,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kk_packing.pack(table(spark, sf_dir, "documents"), PACK_VOCABULARY)
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kn_langid.identify(table(spark, sf_dir, "documents"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return iforest_rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "anomaly")
@@ -58,6 +62,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_simhash": op2_simhash,
     "op3_packing": op3_packing,
+    "op4_language": op4_language,
     "op5_quality_rules": op5_quality_rules,
     "op9_secrets": op9_secrets,
     "op10_mixing": op10_mixing,
