@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import iforest_rules, kk_packing, kn_langid, mixing, secret_tokens, simhash_anchor
+from . import bitsliced_topk, iforest_rules, kk_packing, kn_langid, mixing, secret_tokens, simhash_anchor
 from .common import table
 
 #: Vocabulary files, by the path they have on every executor.
@@ -41,6 +41,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "anomaly")
 
 
+def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitsliced_topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_tokens.find_secrets(table(spark, sf_dir, "documents"), SECRET_VOCABULARY)
     base = F.filter("found", lambda x: x["kind"] != "random")
@@ -64,8 +68,26 @@ QUERIES = {
     "op3_packing": op3_packing,
     "op4_language": op4_language,
     "op5_quality_rules": op5_quality_rules,
+    "op7_topk": op7_topk,
     "op9_secrets": op9_secrets,
     "op10_mixing": op10_mixing,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op7_topk": """
+        WITH parts AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+                   CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
+            FROM parts q JOIN parts c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+        ranked AS (
+            SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+                   vec_id, score
+            FROM scored)
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+    """,
+}
