@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bitsliced_topk, iforest_rules, kk_packing, kn_langid, mixing, secret_tokens, simhash_anchor
+from . import bitsliced_topk, iforest_rules, kk_packing, kn_langid, license_rules, mixing, secret_tokens, simhash_anchor, sparse_suffix, weak_quality
 from .common import table
 
 #: Vocabulary files, by the path they have on every executor.
@@ -24,6 +24,10 @@ def labelled_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
                                        F.when(F.col("toxic") > 0, "_toxic").otherwise("")).alias("domain")))
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weak_quality.quality_scores(table(spark, sf_dir, "documents"))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_anchor.simhash_groups(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
 
@@ -41,10 +45,18 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "anomaly")
 
 
+def op6_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sparse_suffix.repeated_passages(table(spark, sf_dir, "documents"), min_words=50)
+
+
 def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitsliced_topk.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_rules.find_licenses(table(spark, sf_dir, "documents"))
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_tokens.find_secrets(table(spark, sf_dir, "documents"), SECRET_VOCABULARY)
     base = F.filter("found", lambda x: x["kind"] != "random")
@@ -64,16 +76,20 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality": op1_quality,
     "op2_simhash": op2_simhash,
     "op3_packing": op3_packing,
     "op4_language": op4_language,
     "op5_quality_rules": op5_quality_rules,
+    "op6_passages": op6_passages,
     "op7_topk": op7_topk,
+    "op8_licenses": op8_licenses,
     "op9_secrets": op9_secrets,
     "op10_mixing": op10_mixing,
 }
 
 SQL: dict[str, str] = {
+    "op8_licenses": license_rules.duckdb_sql(),
     "op7_topk": """
         WITH parts AS (
             SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
