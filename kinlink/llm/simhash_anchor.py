@@ -1,18 +1,25 @@
 """Operator 2, SimHash near-duplicates by anchor-point covering.
 
 Fingerprints have 64 bits; two texts link when at most ``max_bits`` differ.
-The 32-bit halves are covered by anchors: the 65,536 words of the
-second-order Reed-Muller code of length 32, whose covering radius is 6, so
-every half has an anchor (its home) within 6 bits.  If two fingerprints
-differ in at most ``max_bits`` bits, then their left halves differ in at
-most ``max_bits // 2`` bits or their right halves in at most
-``max_bits - max_bits // 2 - 1``.  A fingerprint is therefore replicated to
-every anchor within the covering radius plus that threshold, where it
-meets every linked fingerprint that has its home there.  For 4 bits that
-makes about 17 short rows per distinct fingerprint.  Each anchor compares
-homes with replicas on all 64 bits and keeps a spanning forest of its links,
-never the list of pairs.  Anchors with more than ``cell`` members are cut
-into cells of at most ``cell`` homes and ``cell`` replicas, compared apart.
+The bits are cut into blocks, each covered by the words of a perfect code,
+its anchors: two blocks of 23 bits (Golay code, covering radius 3), one of
+15 (Hamming code, radius 1) and one of 3 (every word).  Each value of a
+block has exactly one anchor within the covering radius, its home.
+
+If two fingerprints differ in at most 4 bits, then they differ in at most 1
+bit of the first block, or at most 1 of the second, or in none of the rest
+(``thresholds``).  So a fingerprint is replicated, for each of these three,
+to every anchor within the covering radius plus the threshold, where it
+meets every linked fingerprint that has its home there: about 15 short rows
+a fingerprint.  Each anchor compares homes with replicas on all 64 bits and
+keeps a spanning forest of its links, never the list of pairs.  Anchors with
+more than ``cell`` members are cut into cells of at most about ``cell``
+homes and ``cell`` replicas, compared apart.
+
+Comparisons grow with the square of the different fingerprints over 4096
+anchors.  For more than some 10**8 of them, ``fine=True`` takes the blocks
+in pairs (at most 2 of 4 bits differ in one of the three pairs): some 300
+rows a fingerprint, and 400 times fewer comparisons.
 
 Equal fingerprints are one node, so thousands of copies cost one row.
 Components of the links are found over distinct linked fingerprints.
@@ -27,6 +34,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +47,6 @@ from ..operators.graph import connected_components
 from ..session import materialize
 from .common import free_name, ship, slices, with_column
 
-RADIUS = 6
 CELL = 4096
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
 
@@ -76,43 +83,83 @@ def add_fingerprint(docs: DataFrame, shingle: int, name: str) -> DataFrame:
 
 
 # --------------------------------------------------------------- anchors --
-@lru_cache(maxsize=1)
-def anchors() -> np.ndarray:
-    """The words of the Reed-Muller code RM(2, 5) as 32-bit integers."""
-    points = np.arange(32)
-    x = [(points >> i) & 1 for i in range(5)]
-    rows = [np.ones(32, int), *x, *(x[i] * x[j] for i in range(5) for j in range(i))]
-    words = np.zeros(1, np.uint32)
-    for row in rows:
-        words = np.concatenate([words, words ^ np.uint32((row << points).sum())])
-    return words
-
-
-def thresholds(max_bits: int) -> list[tuple[int, int]]:
-    """``(shift, threshold)`` of the halves that must be searched."""
-    left = max_bits // 2
-    right = max_bits - left - 1
-    return [(32, left)] + ([(0, right)] if right >= 0 else [])
+class Code:
+    """A perfect cyclic code: where each word's near code words are."""
+
+    def __init__(self, bits: int, generator: int, radius: int):
+        self.bits, self.radius, self.generator = bits, radius, generator
+        self.check = generator.bit_length() - 1         # bits of the remainder
+        self.name_bits = bits - self.check              # a code word's first bits name it
+        self.low = np.array([self._remainder(x) for x in range(1 << min(bits, 12))], np.int64)
+        self.high = np.array([self._remainder(x << 12) for x in range(1 << max(0, bits - 12))], np.int64)
+
+    def _remainder(self, word: int) -> int:
+        for shift in range(word.bit_length() - 1, self.check - 1, -1):
+            if word >> shift & 1:
+                word ^= self.generator << (shift - self.check)
+        return word if self.check else 0
+
+    @lru_cache(maxsize=4)
+    def patterns(self, reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Error patterns of at most ``radius + reach`` bits by remainder: starts, patterns, excess weights."""
+        words = [sum(1 << b for b in c) for w in range(min(self.bits, self.radius + reach) + 1) for c in combinations(range(self.bits), w)]
+        words = np.array(words, np.int64)
+        of = self.low[words & 4095] ^ self.high[words >> 12]
+        order = np.argsort(of, kind="stable")
+        excess = np.maximum(0, np.bitwise_count(words[order]).astype(np.int64) - self.radius)
+        return np.searchsorted(of[order], np.arange((1 << self.check) + 1)), words[order], excess
+
+    def near(self, values: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``(place of the value, anchor, bits beyond the radius)`` of all anchors in reach."""
+        starts, words, excess = self.patterns(reach)
+        rest = self.low[values & 4095] ^ self.high[values >> 12]
+        many = starts[rest + 1] - starts[rest]
+        place = np.repeat(np.arange(len(values)), many)
+        at = np.arange(len(place)) - np.repeat(np.cumsum(many) - many, many) + starts[rest][place]
+        return place, (values[place] ^ words[at]) >> self.check, excess[at]
 
 
-def replicas(prints: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+@lru_cache(maxsize=1)
+def blocks() -> list[tuple[int, Code]]:
+    """``(lowest bit, code)`` of the four blocks."""
+    golay, hamming, every = Code(23, 0xC75, 3), Code(15, 0x13, 1), Code(3, 1, 0)   # generator polynomials
+    return [(41, golay), (18, golay), (3, hamming), (0, every)]
+
+
+def thresholds(max_bits: int, fine: bool = False) -> list[tuple[tuple[int, ...], int]]:
+    """Groups of blocks and how many bits may differ in one of them."""
+    groups = [(0,), (1,), (2, 3)]
+    if fine and max_bits:
+        pairs = [(0, 1), (0, 2, 3), (1, 2, 3)]
+        # the pairs' differences add up to 2 * max_bits, so one is at most a third
+        return [(g, 2 * max_bits // 3) for g in pairs]
+    # if every group differed by more than its threshold, more than max_bits would differ
+    spare = max_bits - 2
+    if spare < 0:
+        return [(g, 0) for g in groups[:max_bits + 1 if max_bits else 0]]
+    return [(groups[0], spare - spare // 2), (groups[1], spare // 2), (groups[2], 0)]
+
+
+def replicas(prints: np.ndarray, max_bits: int, fine: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(anchor, fingerprint, is home)`` rows of distinct fingerprints."""
-    code, at, of, home = anchors(), [], [], []
-    for number, (shift, limit) in enumerate(thresholds(max_bits)):
-        halves = (prints >> np.uint64(shift)).astype(np.uint32)
-        for i, half in enumerate(halves):
-            far = np.bitwise_count(code ^ half)
-            near = np.flatnonzero(far <= RADIUS + limit)
-            at.append(near + (number << 16))
-            of.append(np.full(len(near), i))
-            home.append(near == near[np.argmin(far[near])])
-    if not at:
-        return np.zeros(0, np.int32), np.zeros(0, np.uint64), np.zeros(0, bool)
-    return np.concatenate(at).astype(np.int32), prints[np.concatenate(of)], np.concatenate(home)
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, bool))]
+    for number, (group, limit) in enumerate(thresholds(max_bits, fine)):
+        place, name, used = np.arange(len(prints)), np.full(len(prints), number), np.zeros(len(prints), np.int64)
+        for low, code in (blocks()[b] for b in group):
+            values = ((prints >> np.uint64(low)) & np.uint64((1 << code.bits) - 1)).astype(np.int64)
+            row, anchor, excess = code.near(values[place], limit)
+            ok = used[row] + excess <= limit
+            row, anchor, excess = row[ok], anchor[ok], excess[ok]
+            place, name, used = place[row], (name[row] << code.name_bits) | anchor, used[row] + excess
+        found.append((name, prints[place], used == 0))
+    return tuple(np.concatenate(x) for x in zip(*found))
 
 
 def spanning_links(homes: np.ndarray, members: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
-    """Links that join what ``homes x members`` joins, fewer than rows in number."""
+    """Links that join what ``homes x members`` joins, fewer than rows in number.
+
+    ``members`` are sorted and distinct.
+    """
     links: list[tuple[int, int]] = []
     label = np.full(len(members), -1)      # home that first reached the member
     parent = list(range(len(homes)))
@@ -123,10 +170,14 @@ def spanning_links(homes: np.ndarray, members: np.ndarray, max_bits: int) -> lis
             i = parent[i]
         return i
 
+    own = np.minimum(np.searchsorted(members, homes), max(0, len(members) - 1))
+    is_member = members[own] == homes if len(members) else np.zeros(len(homes), bool)
     for first in range(0, len(homes), 64):
         close = np.bitwise_count(homes[first:first + 64, None] ^ members[None, :]) <= max_bits
         for i in np.flatnonzero(close.sum(axis=1) > 1) + first:
             hit = np.flatnonzero(close[i - first])
+            if is_member[i] and label[own[i]] >= 0:     # reached before: that link is known
+                parent[i] = root(label[own[i]])
             fresh = hit[label[hit] < 0]
             for other in {root(o) for o in np.unique(label[hit[label[hit] >= 0]]).tolist()}:
                 if root(i) != other:
@@ -165,7 +216,7 @@ def _compare(max_bits: int):
     return run
 
 
-def links(prints: DataFrame, max_bits: int, cell: int = CELL) -> DataFrame:
+def links(prints: DataFrame, max_bits: int, cell: int = CELL, fine: bool = False) -> DataFrame:
     """``src, dst``: links whose components are those of all linked pairs.
 
     ``prints`` has one column of distinct fingerprints (long).
@@ -174,17 +225,17 @@ def links(prints: DataFrame, max_bits: int, cell: int = CELL) -> DataFrame:
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, 4096):
-            at, of, home = replicas(part.column(0).to_numpy().view(np.uint64), max_bits)
+            at, of, home = replicas(part.column(0).to_numpy().view(np.uint64), max_bits, fine)
             yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(of.view(np.int64)), pa.array(home)], names=["anchor", "print", "home"])
 
-    rows, _ = materialize(prints.mapInArrow(spread, "anchor int, print long, home boolean"), "anchors")
-    # at most two rows per code word (131,072), so the count table is bounded
+    rows, _ = materialize(prints.mapInArrow(spread, "anchor long, print long, home boolean"), "anchors")
+    # few anchors are that crowded; the planner decides how to join them
     crowded = (rows.groupBy("anchor").agg(F.count_if("home").alias("_h"), F.count(F.lit(1)).alias("_m"))
                .filter(F.col("_m") > cell))
     cells = lambda n: F.coalesce(F.ceil(F.col(n) / cell), F.lit(1)).cast("int")
     own = lambda n: F.pmod(F.xxhash64("print"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    sized = (rows.join(F.broadcast(crowded), "anchor", "left")
+    sized = (rows.join(crowded, "anchor", "left")
              .select("anchor", "print", "home", F.greatest(cells("_h"), F.lit(1)).alias("_nh"), cells("_m").alias("_nm")))
     homes = sized.filter("home").withColumn("_i", own("_nh")).withColumn("_j", every("_nm"))
     members = sized.withColumn("home", F.lit(False)).withColumn("_j", own("_nm")).withColumn("_i", every("_nh"))
@@ -194,18 +245,18 @@ def links(prints: DataFrame, max_bits: int, cell: int = CELL) -> DataFrame:
     return dealt.mapInArrow(_compare(max_bits), "src long, dst long")
 
 
-def components(prints: DataFrame, max_bits: int) -> DataFrame:
+def components(prints: DataFrame, max_bits: int, fine: bool = False) -> DataFrame:
     """``print, root`` for every fingerprint that links to a different one."""
     distinct = prints.distinct()
-    return connected_components(links(distinct, max_bits)).select(F.col("id").alias("print"), F.col("component").alias("root"))
+    return connected_components(links(distinct, max_bits, fine=fine)).select(F.col("id").alias("print"), F.col("component").alias("root"))
 
 
 # -------------------------------------------------------------- operator --
-def simhash_groups(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
+def simhash_groups(docs: DataFrame, shingle: int = 4, max_bits: int = 4, fine: bool = False) -> DataFrame:
     """``doc_id, fingerprint (16 hex digits), component_id`` of every row."""
     rows, _ = materialize(add_fingerprint(docs.select("doc_id", "text"), shingle, "print").select("doc_id", "print"), "prints")
     groups = rows.groupBy("print").agg(F.min("doc_id").alias("least"))
-    linked = groups.join(components(rows.select("print"), max_bits), "print")
+    linked = groups.join(components(rows.select("print"), max_bits, fine), "print")
     least = linked.groupBy("root").agg(F.min("least").alias("reached"))
     # few rows: only fingerprints with a link to another one
     reach = linked.join(least, "root").select("print", "reached")
@@ -214,7 +265,7 @@ def simhash_groups(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> Data
             .select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id"))
 
 
-def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
+def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4, fine: bool = False) -> DataFrame:
     """One row of each component: that with the smallest id (nulls last).
 
     Ties between rows with the same id go to the row read first.
@@ -225,7 +276,7 @@ def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
     narrow = rows.select(F.col("doc_id"), F.col(row).alias("_row"), F.col(mark).alias("print"))
     best = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_row"))
     groups = narrow.groupBy("print").agg(best.alias("best"))
-    found = components(narrow.select("print"), max_bits)
+    found = components(narrow.select("print"), max_bits, fine)
     kept = (groups.join(found, "print", "left").withColumn("root", F.coalesce("root", "print"))
             .groupBy("root").agg(F.min("best").alias("best")).select(F.col("best._row").alias(row)))
     return rows.join(kept, row, "left_semi").select(*docs.columns)
