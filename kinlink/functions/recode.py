@@ -7,6 +7,7 @@ P17 gender, P18 race flags, P19 prefixed ids, P20 program category.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 from typing import Iterable, Sequence
 
@@ -21,8 +22,9 @@ NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType,
                  T.FloatType, T.DoubleType, T.DecimalType)
 
 # pandas reads these texts as missing; R's fread reads "" as missing.
-DEFAULT_NULL_TOKENS = ["", "NA", "N/A", "NULL", "NaN", "nan", "null", "None",
-                       "#N/A", "n/a", "-NaN", "-nan", "<NA>"]
+DEFAULT_NULL_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
+                       "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a",
+                       "nan", "null"]
 
 
 def _present(df: DataFrame, cols: Iterable[str]) -> list[str]:
@@ -54,6 +56,37 @@ def recode_unknown(df: DataFrame, cols: Sequence[str],
     return df.select(*out)
 
 
+def whole_number_text(col: Column) -> Column:
+    """Text of a whole number without a fraction ("1.0" is "1"); other text unchanged."""
+    return F.when(col.rlike(r"^\s*[+-]?[0-9]+\.0*\s*$"), F.regexp_extract(col, r"^\s*\+?(-?[0-9]+)", 1)).otherwise(col)
+
+
+def typed_numbers(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Text columns whose every value is a number become numbers.
+
+    As when a reader infers types, a column is whole numbers if all its
+    values are, else doubles if all are numbers, else it stays text.  One
+    aggregation over all the columns decides; typed columns are left alone.
+    """
+    types = dict(df.dtypes)
+    todo = [c for c in dict.fromkeys(cols) if types.get(c) == "string"]
+    if not todo:
+        return df
+    number = {c: F.trim(F.col(c)).try_cast("double") for c in todo}
+    seen = df.agg(*[x for i, c in enumerate(todo) for x in (
+        F.count_if(F.col(c).isNotNull() & number[c].isNull()).alias(f"t{i}"),
+        F.count_if(number[c].isNotNull() & ~((number[c] == F.floor(number[c])) & (F.abs(number[c]) < 2.0 ** 63))).alias(f"d{i}"))]).first()
+    to = {c: "double" if seen[f"d{i}"] else "bigint" for i, c in enumerate(todo) if not seen[f"t{i}"]}
+
+    def typed(c: str) -> Column:
+        if to[c] == "double":
+            return number[c]
+        # text of whole numbers keeps all digits; "1.0" goes by way of a double
+        return F.coalesce(F.trim(F.col(c)).try_cast("bigint"), number[c].cast("bigint"))
+
+    return df.select(*[typed(c).alias(c) if c in to else F.col(c) for c in df.columns])
+
+
 def parse_date_col(col: Column, dtype: str, as_date: bool = False) -> Column:
     """P4 for one column: bad input becomes null, never an error (ANSI safe).
 
@@ -99,15 +132,16 @@ def name_keep(df: DataFrame, name_cols: Sequence[str],
     a digit.
     """
     types = dict(df.dtypes)
+    # one pattern a column: '.' may stand anywhere in an excluded token, as it
+    # is ignored; one character, dots aside; any digit
+    tokens = [r"\.*".join(re.escape(x) for x in t) for t in exclusion]
+    pattern = "|".join([r"\p{Nd}", r"^\.*[^.]\.*$", *tokens])
     conds = []
     for c in name_cols:
         if types.get(c) != "string":
             conds.append(F.lit(False))
             continue
-        name = F.translate(F.lower(F.col(c)), ".", "")
-        token_hit = reduce(lambda a, b: a | b, [name.contains(t) for t in exclusion])
-        bad = token_hit | (F.length(name) == 1) | name.rlike(r"\p{Nd}")
-        conds.append(F.col(c).isNotNull() & ~bad)
+        conds.append(F.col(c).isNotNull() & ~F.lower(F.col(c)).rlike("(?s)" + pattern))
     return reduce(lambda a, b: a & b, conds)
 
 

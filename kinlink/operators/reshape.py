@@ -12,7 +12,7 @@ from __future__ import annotations
 from functools import reduce
 from typing import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import codes
@@ -41,8 +41,7 @@ def split_rows_to_columns(df: DataFrame, category_column: str, category_suffix:
     null or unlisted category are ignored.
     """
     if isinstance(category_column, (list, tuple)):
-        raise TypeError("The type column (e.g. 'CollectionStage') needs to be defined as a "
-                        "single string in the relevant metadata file. Cannot be a container!")
+        raise TypeError(f"category_column must name one column, not {category_column!r}")
     keys = _as_list(merge_columns)
     values = [c for c in df.columns if c not in keys and c != category_column]
     cats = list(category_suffix.items())
@@ -58,12 +57,17 @@ def split_rows_to_columns(df: DataFrame, category_column: str, category_suffix:
 
 
 def entry_exit_wide(df: DataFrame, stage_column: str, entry_val, exit_val, enrollment_id: str,
-                    suffixes: Sequence[str] = codes.ENTRY_EXIT_SUFFIX,
-                    unique: bool = False) -> DataFrame:
+                    suffixes: Sequence[str] = codes.ENTRY_EXIT_SUFFIX, unique: bool = False,
+                    listed: Sequence = (), observation: Observation | None = None) -> DataFrame:
     """R2 after the read: keep entry and exit stage rows, split them to columns.
 
     Update, annual-assessment, post-exit, unlisted and null stages drop out.
+    ``observation`` receives ``n_unlisted`` (P6): rows whose stage is neither
+    entry nor exit nor one of ``listed``, once the result is computed.
     """
+    if observation is not None:
+        known = F.col(stage_column).isin([entry_val, exit_val, *listed])
+        df = df.observe(observation, F.count_if(F.coalesce(~known, F.lit(True))).alias("n_unlisted"))
     return split_rows_to_columns(df, stage_column, {entry_val: suffixes[0], exit_val: suffixes[1]},
                                  enrollment_id, unique=unique)
 
@@ -71,18 +75,18 @@ def entry_exit_wide(df: DataFrame, stage_column: str, entry_val, exit_val, enrol
 def type_stage_wide(df: DataFrame, enrollment_id: str, stage_column: str, type_column: str,
                     response_column: str, entry_val, exit_val, type_names: Sequence,
                     suffixes: Sequence[str] = codes.ENTRY_EXIT_SUFFIX,
-                    compat: bool = False) -> DataFrame:
+                    one_row: bool = False) -> DataFrame:
     """``<Type>_entry`` / ``<Type>_exit`` response columns per enrollment.
 
-    Default: one conditional aggregation; an enrollment with rows for only
-    one stage is kept, and duplicate (enrollment, stage, type) rows keep the
-    largest response.  ``compat=True`` reproduces the reference exactly: the
-    stage split and then two type splits with R1's join chain, which drops
-    one-sided enrollments and multiplies duplicates.
+    The stage split and two type splits with R1's joins: several responses
+    of one enrollment, stage and type give several rows, and an enrollment
+    needs rows at both stages.  ``one_row=True`` is one conditional
+    aggregation instead: the largest response of each stage and type, one
+    row an enrollment, those with one stage included.
     """
     types = [(int(k), v) for k, v in type_names]
-    stages = [(entry_val, suffixes[0]), (exit_val, suffixes[1])]
-    if not compat:
+    if one_row:
+        stages = [(entry_val, suffixes[0]), (exit_val, suffixes[1])]
         st, ty, rs = F.col(stage_column), F.col(type_column), F.col(response_column)
         aggs = [F.max(F.when((st == F.lit(s)) & (ty == F.lit(t)), rs)).alias(f"{name}{sfx}")
                 for s, sfx in stages for t, name in types]

@@ -20,8 +20,8 @@ from ..functions import recode as rc
 from ..operators import aggregates as ag
 from ..operators import dedup, joins, reshape
 from ..sources import hmis_config
-from ..sources.readers import (ROW_ORD, SRC_ORD, drop_if_present, read_one, resolve_file_spec,
-                               stack_by_name, strip_bom)
+from ..sources.readers import (ROW_ORD, SRC_ORD, drop_if_present, ordered, read_one, resolve_file_spec,
+                               stack_by_name)
 from ..sources.spec import get_metadata_dict
 
 ORDER = [SRC_ORD, ROW_ORD]
@@ -37,26 +37,21 @@ def _meta(metadata) -> dict:
     return d
 
 
-def _numeric_code(col, dtype: str):
-    if dtype != "string":
-        return col
-    d = F.trim(col).try_cast("double")
-    return F.when(d == F.floor(d), d.cast("bigint"))
-
-
 def read_table(spark: SparkSession, file_spec, county=None, data_dir=None, paths=None,
                columns_to_drop=None, categorical_var=None,
                categorical_unknown=codes.UNKNOWN_CODES, time_var=None,
                duplicate_check_columns=None, dedup_rows: bool = True, encoding=None,
-               name_columns=None, fmt: str = "csv", compat_order: bool = False,
-               keep_order: bool = False, **_ignored) -> DataFrame:
+               name_columns=None, key_columns=None, numeric_columns=None, fmt: str = "csv", multi_line: bool = False,
+               compat_order: bool = False, keep_order: bool = False) -> DataFrame:
     """Scan + stack + BOM strip + drop + keep-last dedup + recode + dates.
 
     ``file_spec`` is a file name (with ``county`` or ``data_dir``/``paths``)
     or a dict ``{folder: path}``; a dict value may also be a DataFrame.
-    Code columns become integers, time columns timestamps; every other
-    column keeps its text.  Dedup runs before recode and parsing, as in the
-    reference.
+    Code columns become numbers where all their values are (one aggregation
+    over the files decides), ``numeric_columns`` doubles, time columns
+    timestamps; every other column keeps its text, that of ``key_columns``
+    in one form ("1.0" is "1").  Dedup runs on these values, before recode
+    and date parsing.  ``multi_line`` accepts line breaks inside quotes.
     """
     spec = resolve_file_spec(file_spec, county, data_dir, paths)
     items = list(spec.items())
@@ -64,12 +59,15 @@ def read_table(spark: SparkSession, file_spec, county=None, data_dir=None, paths
         items = [items[-1]] + items[:-1]
     frames = []
     for i, (_, src) in enumerate(items):
-        df = src if isinstance(src, DataFrame) else read_one(spark, src, fmt, encoding)
-        frames.append(strip_bom(df).withColumn(SRC_ORD, F.lit(i))
-                      .withColumn(ROW_ORD, F.monotonically_increasing_id()))
+        frames.append(ordered(src, i) if isinstance(src, DataFrame)
+                      else read_one(spark, src, fmt, encoding, multi_line=multi_line, source=i))
     df = stack_by_name(frames)
     df = rc.null_tokens(df)
     df = drop_if_present(df, list(columns_to_drop or []))
+    df = rc.typed_numbers(df, list(categorical_var or []))
+    text = {c for c, t in df.dtypes if t == "string"}
+    df = df.withColumns({c: rc.whole_number_text(F.col(c)) for c in (key_columns or []) if c in text}
+                        | {c: F.trim(F.col(c)).try_cast("double") for c in (numeric_columns or []) if c in text})
     if dedup_rows:
         if duplicate_check_columns is None:
             warnings.warn("dedup is True but duplicate_check_columns is None, no deduplication")
@@ -78,8 +76,6 @@ def read_table(spark: SparkSession, file_spec, county=None, data_dir=None, paths
     types = dict(df.dtypes)
     cats = [c for c in (categorical_var or []) if c in types]
     if cats:
-        df = df.select(*[_numeric_code(F.col(c), types[c]).alias(c) if c in cats else F.col(c)
-                         for c in df.columns])
         df = rc.recode_unknown(df, cats, categorical_unknown)
     tv = [c for c in (time_var or []) if c in types]
     if tv:
@@ -91,6 +87,8 @@ def _read(spark, meta: dict, file_spec, county, data_dir, paths, **kw) -> DataFr
     allowed = {"columns_to_drop", "categorical_var", "categorical_unknown", "time_var",
                "duplicate_check_columns", "dedup_rows", "encoding", "name_columns"}
     args = {k: v for k, v in meta.items() if k in allowed}
+    args["key_columns"] = [meta[k] for k in ("person_ID", "person_enrollment_ID", "program_ID", "groupID_column") if k in meta]
+    args["numeric_columns"] = list(meta.get("columns_to_take_max", []))
     args.update(kw)
     return read_table(spark, file_spec, county, data_dir, paths, **args)
 
@@ -107,11 +105,11 @@ def get_enrollment(spark, county=None, groups: bool = True, file_spec=None, data
 
 
 def get_exit(spark, county=None, file_spec=None, data_dir=None, paths=None, metadata=None,
-             **kw) -> DataFrame:
-    """Exits with destination labels."""
+             destination_map=None, **kw) -> DataFrame:
+    """Exits with destination labels (J1), from a list of one's own if given."""
     meta = _meta(metadata or hmis_config.EXIT)
     df = _read(spark, meta, file_spec or "Exit.csv", county, data_dir, paths, **kw)
-    return joins.merge_destination(df, meta["destination_column"])
+    return joins.merge_destination(df, meta["destination_column"], destination_map)
 
 
 def get_client(spark, county=None, file_spec=None, data_dir=None, paths=None, metadata=None,
@@ -155,17 +153,32 @@ def _stage_meta(meta: dict) -> dict:
 
 
 def read_entry_exit_table(spark, metadata, county=None, file_spec=None, data_dir=None, paths=None,
-                          suffixes=codes.ENTRY_EXIT_SUFFIX, keep_order: bool = False, **kw) -> DataFrame:
-    """R2: read, keep entry and exit stage rows, one column set per stage."""
+                          suffixes=codes.ENTRY_EXIT_SUFFIX, keep_order: bool = False,
+                          observation: Observation | None = None, **kw) -> DataFrame:
+    """R2: read, keep entry and exit stage rows, one column set per stage.
+
+    ``observation`` receives the number of rows with an unlisted stage (P6).
+    """
     meta = _stage_meta(_meta(metadata))
     df = _read(spark, meta, file_spec, county, data_dir, paths, keep_order=keep_order, **kw)
+    df = _numeric(df, meta["collection_stage_column"])
     return reshape.entry_exit_wide(df, meta["collection_stage_column"], meta["entry_stage_val"],
-                                   meta["exit_stage_val"], meta["person_enrollment_ID"], suffixes)
+                                   meta["exit_stage_val"], meta["person_enrollment_ID"], suffixes,
+                                   listed=[meta[k] for k in ("update_stage_val", "annual_assessment_stage_val", "post_exit_stage_val")],
+                                   observation=observation)
+
+
+def _numeric(df: DataFrame, column: str) -> DataFrame:
+    """A stage or type column as numbers; other text is no listed value."""
+    if dict(df.dtypes)[column] != "string":
+        return df
+    return df.withColumn(column, F.trim(F.col(column)).try_cast("double"))
 
 
 def get_disabilities(spark, county=None, file_spec=None, data_dir=None, paths=None, metadata=None,
-                     disability_types=codes.DISABILITY_TYPES, compat: bool = False, **kw) -> DataFrame:
-    """``<Type>_entry`` / ``<Type>_exit`` per enrollment."""
+                     disability_types=codes.DISABILITY_TYPES, disability_type_file=None,
+                     one_row: bool = False, **kw) -> DataFrame:
+    """``<Type>_entry`` / ``<Type>_exit`` per enrollment (R3; ``one_row`` as there)."""
     meta = _stage_meta(_meta(metadata or hmis_config.DISABILITIES))
     for k in ("type_column", "response_column"):
         if k not in meta:
@@ -173,32 +186,25 @@ def get_disabilities(spark, county=None, file_spec=None, data_dir=None, paths=No
     df = _read(spark, meta, file_spec or "Disabilities.csv", county, data_dir, paths, **kw)
     enr, st, ty, rs = (meta["person_enrollment_ID"], meta["collection_stage_column"],
                        meta["type_column"], meta["response_column"])
-    df = df.withColumn(ty, _numeric_code(F.col(ty), dict(df.dtypes)[ty]))
-    df = df.withColumn(st, _numeric_code(F.col(st), dict(df.dtypes)[st]))
+    if disability_type_file:
+        disability_types = joins.mapping_file(spark, disability_type_file)
+    df = _numeric(_numeric(df, ty), st)
     return reshape.type_stage_wide(df, enr, st, ty, rs, meta["entry_stage_val"], meta["exit_stage_val"],
-                                   disability_types, compat=compat)
-
-
-def _typed_stage(spark, meta, file_spec, county, data_dir, paths, keep_order=False, **kw):
-    st = meta["collection_stage_column"]
-    df = _read(spark, meta, file_spec, county, data_dir, paths, keep_order=keep_order, **kw)
-    df = df.withColumn(st, _numeric_code(F.col(st), dict(df.dtypes)[st]))
-    return reshape.entry_exit_wide(df, st, meta["entry_stage_val"], meta["exit_stage_val"],
-                                   meta["person_enrollment_ID"])
+                                   disability_types, one_row=one_row)
 
 
 def get_employment_education(spark, county=None, file_spec=None, data_dir=None, paths=None,
                              metadata=None, **kw) -> DataFrame:
     """E5."""
     meta = _stage_meta(_meta(metadata or hmis_config.EMPLOYMENT_EDUCATION))
-    return _typed_stage(spark, meta, file_spec or "EmploymentEducation.csv", county, data_dir, paths, **kw)
+    return read_entry_exit_table(spark, meta, county, file_spec or "EmploymentEducation.csv", data_dir, paths, **kw)
 
 
 def get_health_dv(spark, county=None, file_spec=None, data_dir=None, paths=None, metadata=None,
                   **kw) -> DataFrame:
     """E6."""
     meta = _stage_meta(_meta(metadata or hmis_config.HEALTH_DV))
-    return _typed_stage(spark, meta, file_spec or "HealthAndDV.csv", county, data_dir, paths, **kw)
+    return read_entry_exit_table(spark, meta, county, file_spec or "HealthAndDV.csv", data_dir, paths, **kw)
 
 
 def get_income(spark, county=None, file_spec=None, data_dir=None, paths=None, metadata=None,
@@ -210,8 +216,8 @@ def get_income(spark, county=None, file_spec=None, data_dir=None, paths=None, me
         raise ValueError("columns_to_take_max entry must be present in metadata file")
     meta = _stage_meta(meta)
     enr = meta["person_enrollment_ID"]
-    wide = _typed_stage(spark, meta, file_spec or "IncomeBenefits.csv", county, data_dir, paths,
-                        keep_order=True, **kw)
+    wide = read_entry_exit_table(spark, meta, county, file_spec or "IncomeBenefits.csv", data_dir, paths,
+                                 keep_order=True, **kw)
     sfx = codes.ENTRY_EXIT_SUFFIX
     order_cols = [f"{c}{s}" for s in sfx[:2] for c in ORDER]
     wide = wide.withColumn("_first_ord", F.struct(*[F.col(c) for c in order_cols])).drop(*order_cols)
@@ -220,11 +226,11 @@ def get_income(spark, county=None, file_spec=None, data_dir=None, paths=None, me
 
 
 def get_project(spark, county=None, file_spec=None, data_dir=None, paths=None, metadata=None,
-                **kw) -> DataFrame:
+                project_type_file=None, **kw) -> DataFrame:
     """Projects with the type label (P8 + J2)."""
     meta = _meta(metadata or hmis_config.PROJECT)
     df = _read(spark, meta, file_spec or "Project.csv", county, data_dir, paths, **kw)
-    return joins.label_project_type(df, meta["project_type_column"])
+    return joins.label_project_type(df, meta["project_type_column"], project_type_file)
 
 
 def merge_tables(spark, county=None, meta_files: Mapping | None = None, data_dir=None, paths=None,

@@ -121,7 +121,12 @@ _INCOME_COLS = ["IncomeFromAnySource", "TotalMonthlyIncome", "Earned", "EarnedAm
 
 INCOME = {
     "person_enrollment_ID": "ProjectEntryID",
-    "duplicate_check_columns": _INCOME_COLS + ["DataCollectionStage"],
+    "duplicate_check_columns": ["ProjectEntryID", "IncomeFromAnySource", "TotalMonthlyIncome", "Earned",
+                                "EarnedAmount", "TANF", "TANFAmount", "GA", "GAAmount", "ChildSupport",
+                                "ChildSupportAmount", "BenefitsFromAnySource", "SNAP", "WIC",
+                                "TANFChildCare", "RentalAssistanceOngoing", "RentalAssistanceTemp",
+                                "InsuranceFromAnySource", "Medicaid", "Medicare", "SCHIP",
+                                "DataCollectionStage"],
     "columns_to_drop": ["IncomeBenefitsID", "PersonalID", "InformationDate", "Unemployment",
                         "UnemploymentAmount", "SSI", "SSIAmount", "SSDI", "SSDIAmount",
                         "VADisabilityService", "VADisabilityServiceAmount", "VADisabilityNonService",

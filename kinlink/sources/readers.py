@@ -4,9 +4,8 @@ Each folder holds the same table for another year.  We read every file on
 its own (a single multi-path CSV read aligns columns by *position*) and
 stack them with ``unionByName(allowMissingColumns=True)``.  Two order
 columns replace pandas row order: ``_src_ord`` (position of the folder in
-the list) and ``_row_ord`` (row position inside the file, from
-``monotonically_increasing_id`` taken right after the scan).  Keep-last
-dedup uses them; newest folder wins.
+the list) and ``_row_ord`` (file, block and row position).  Keep-last dedup
+uses them; newest folder wins.
 """
 
 from __future__ import annotations
@@ -35,17 +34,17 @@ def resolve_file_spec(file_spec, county=None, data_dir=None, paths=None) -> dict
     """Argument checks of the reference, raised on the driver."""
     if isinstance(file_spec, Mapping):
         if data_dir is not None or paths is not None:
-            raise ValueError("If file_spec is a dict, data_dir and paths cannot be passed")
+            raise ValueError("file_spec names its files itself: leave out data_dir and paths")
         return dict(file_spec)
     if county is not None and not isinstance(county, str):
-        raise ValueError("county must be a string -- one county at a time, please!")
+        raise ValueError("county must be one name")
     if data_dir is None:
         if county is None:
-            raise ValueError("If file_spec is a string, data_dir or county must be passed")
+            raise ValueError("a file name needs data_dir or county")
         data_dir = os.path.join("data", county)
     if paths is None:
         if county is None:
-            raise ValueError("If file_spec is a string, paths or county must be passed")
+            raise ValueError("a file name needs paths or county")
         paths = COUNTY_FOLDERS[county]
     return std_path_setup(file_spec, data_dir, paths)
 
@@ -61,18 +60,34 @@ def drop_if_present(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.drop(*[c for c in cols if c in df.columns])
 
 
-def read_one(spark: SparkSession, path: str, fmt: str = "csv",
-             encoding: str | None = None, schema=None) -> DataFrame:
-    """One extract file; CSV is read as text (types are applied later)."""
+def ordered(df: DataFrame, source: int, file=None, block=None) -> DataFrame:
+    """``df`` without a byte-order mark in its names, and with the two order columns."""
+    row = F.struct((F.lit(None) if file is None else file).cast("string").alias("file"),
+                   (F.lit(None) if block is None else block).cast("bigint").alias("block"),
+                   F.monotonically_increasing_id().alias("row"))
+    return strip_bom(df).withColumn(SRC_ORD, F.lit(source)).withColumn(ROW_ORD, row)
+
+
+def read_one(spark: SparkSession, path: str, fmt: str = "csv", encoding: str | None = None,
+             schema=None, multi_line: bool = False, source: int = 0) -> DataFrame:
+    """One extract (a file, or a folder of its parts); CSV is read as text, types come later.
+
+    Rows are ordered by file name, then by the place of their block in the
+    file, then by their place in it: tasks get blocks by size, not in order.
+    """
     if fmt == "csv":
         r = spark.read.option("header", True).option("inferSchema", False)
-        r = r.option("multiLine", False).option("escape", '"')
+        r = r.option("multiLine", multi_line).option("escape", '"')
         if encoding:
             r = r.option("encoding", encoding)
         if schema is not None:
             r = r.schema(schema)
-        return r.csv(path)
-    return spark.read.format(fmt).load(path)
+        df = r.csv(path)
+    else:
+        df = spark.read.format(fmt).load(path)
+    if "_metadata" in df.columns:
+        return ordered(df, source)
+    return ordered(df, source, F.col("_metadata.file_path"), F.col("_metadata.file_block_start"))
 
 
 def stack_by_name(frames: Sequence[DataFrame]) -> DataFrame:
@@ -91,9 +106,4 @@ def read_stacked(spark: SparkSession, file_spec: Mapping[str, str], fmt: str = "
     items = list(file_spec.items())
     if compat_order and len(items) > 1:
         items = [items[-1]] + items[:-1]
-    frames = []
-    for i, (_, path) in enumerate(items):
-        df = strip_bom(read_one(spark, path, fmt, encoding))
-        frames.append(df.withColumn(SRC_ORD, F.lit(i))
-                        .withColumn(ROW_ORD, F.monotonically_increasing_id()))
-    return stack_by_name(frames)
+    return stack_by_name([read_one(spark, path, fmt, encoding, source=i) for i, (_, path) in enumerate(items)])

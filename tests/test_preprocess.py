@@ -150,12 +150,12 @@ DIS_META = {"person_enrollment_ID": "pid", "duplicate_check_columns": ["pid", "s
             "type_column": "type", "response_column": "response"}
 
 
-@pytest.mark.parametrize("compat", [False, True])
-def test_get_disabilities(spark, tmp_path, compat):  # F7
+@pytest.mark.parametrize("one_row", [False, True])
+def test_get_disabilities(spark, tmp_path, one_row):  # F7
     f = write_csv(str(tmp_path), "d.csv", pd.DataFrame({
         "pid": [11, 11, 11, 11, 12, 12, 12, 12], "stage": [10, 10, 20, 20, 10, 10, 20, 20],
         "type": [5, 6, 5, 6, 5, 6, 5, 6], "response": [0, 1, 0, 1, 99, 0, 0, 1]}))
-    df = hmis.get_disabilities(spark, file_spec={"x": f}, metadata=DIS_META, compat=compat)
+    df = hmis.get_disabilities(spark, file_spec={"x": f}, metadata=DIS_META, one_row=one_row)
     got = rows(df, ["pid", "Physical_entry", "Physical_exit", "Developmental_entry", "Developmental_exit"],
                key=["pid"])
     assert got == [
@@ -163,11 +163,48 @@ def test_get_disabilities(spark, tmp_path, compat):  # F7
         {"pid": "12", "Physical_entry": None, "Physical_exit": 0, "Developmental_entry": 0, "Developmental_exit": 1}]
 
 
-def test_disabilities_one_sided(spark, tmp_path):  # R3 divergence: kept by default, dropped in compat
+def test_disabilities_one_sided(spark, tmp_path):  # R3 needs both stages; one_row keeps such rows
     f = write_csv(str(tmp_path), "d.csv", pd.DataFrame({
         "pid": [11, 11, 13], "stage": [10, 20, 10], "type": [5, 5, 5], "response": [1, 0, 1]}))
-    assert hmis.get_disabilities(spark, file_spec={"x": f}, metadata=DIS_META).count() == 2
-    assert hmis.get_disabilities(spark, file_spec={"x": f}, metadata=DIS_META, compat=True).count() == 1
+    assert hmis.get_disabilities(spark, file_spec={"x": f}, metadata=DIS_META).count() == 1
+    assert hmis.get_disabilities(spark, file_spec={"x": f}, metadata=DIS_META, one_row=True).count() == 2
+
+
+def test_disabilities_several_responses(spark, tmp_path):  # R1: rows multiply
+    f = write_csv(str(tmp_path), "d.csv", pd.DataFrame({
+        "pid": [11, 11, 11], "stage": ["10.0", "10", "20"], "type": [5, 5, 5], "response": [0, 1, 1]}))
+    meta = {**DIS_META, "duplicate_check_columns": ["pid", "stage", "type", "response"]}
+    got = hmis.get_disabilities(spark, file_spec={"x": f}, metadata=meta).collect()
+    assert sorted((r.Physical_entry, r.Physical_exit) for r in got) == [(0, 1), (1, 1)]
+
+
+def test_default_income_keeps_every_enrollment_and_takes_numbers(spark, tmp_path):
+    from kinlink.sources import hmis_config
+    cols = [c for c in hmis_config.INCOME["duplicate_check_columns"] if c not in ("ProjectEntryID", "DataCollectionStage")]
+    base = {c: "1" for c in cols}
+    recs = [{**base, "ProjectEntryID": e, "DataCollectionStage": s, "TotalMonthlyIncome": t}
+            for e, s, t in (("2", "1", "900"), ("2", "1", "1200"), ("3", "1", "900"), ("3.0", "1", "1200"), ("2", "3", "5.5"))]
+    f = write_csv(str(tmp_path), "IncomeBenefits.csv", pd.DataFrame(recs))
+    got = {r.ProjectEntryID: r for r in hmis.get_income(spark, file_spec={"x": f}).collect()}
+    assert {k: (r.TotalMonthlyIncome_entry, r.TotalMonthlyIncome_exit) for k, r in got.items()} == {"2": (1200.0, 5.5), "3": (1200.0, None)}
+
+
+def test_codes_that_are_no_whole_numbers_stay(spark, tmp_path):  # P3 nulls listed codes only
+    f = write_csv(str(tmp_path), "t.csv", pd.DataFrame({"id": [1, 2, 3], "c": ["a", "8", "1"], "d": ["1.5", "8", "2"], "e": ["1.0", "8.0", "#NA"]}))
+    df = hmis.read_table(spark, {"x": f}, categorical_var=["c", "d", "e"], categorical_unknown=[8], dedup_rows=False).orderBy("id")
+    assert [tuple(r)[1:] for r in df.collect()] == [("a", 1.5, 1), (None, None, None), ("1", 2.0, None)]
+
+
+def test_line_break_in_quotes(spark, tmp_path):
+    f = write_csv(str(tmp_path), "t.csv", pd.DataFrame({"id": [1, 2], "name": ["one\ntwo", "x"]}))
+    df = hmis.read_table(spark, {"x": f}, dedup_rows=False, multi_line=True)
+    assert sorted((r.id, r.name) for r in df.collect()) == [("1", "one\ntwo"), ("2", "x")]
+
+
+def test_misspelt_option_is_an_error(spark, tmp_path):
+    f = write_csv(str(tmp_path), "t.csv", pd.DataFrame({"id": [1]}))
+    with pytest.raises(TypeError):
+        hmis.read_table(spark, {"x": f}, dedup_row=False)
 
 
 def test_get_income(spark, tmp_path):  # F8
@@ -304,3 +341,36 @@ def test_merge_tables(spark, tmp_path, name_exclusion):  # F10
     assert counts["client"].get["n_rows"] == (3 if name_exclusion else 4)
     # person 2 (1855) is screened out by name before the birth-date check
     assert obs.get["n_bad_dob"] == (1 if name_exclusion else 2)
+
+
+def test_mapping_files(spark, tmp_path):  # F15, and JSON lists
+    import json
+    m = write_csv(str(tmp_path), "map.csv", pd.DataFrame({
+        "Standard": ["New Standards"] * 3 + ["Old Standards"], "DestinationNumeric": [1, 2, 3, 4],
+        "DestinationDescription": list("abcd"), "DestinationGroup": list("efgh"), "DestinationSuccess": list("ijkl"),
+        "Subsidy": ["No", "Yes", "No", "No"]}))
+    x = write_csv(str(tmp_path), "x.csv", pd.DataFrame({"id": [1, 2, 3, 4], "dest": [1, 2, 3, 4]}))
+    meta = {"person_enrollment_ID": "id", "destination_column": "dest", "duplicate_check_columns": ["id", "dest"]}
+    got = rows(hmis.get_exit(spark, file_spec={"x": x}, metadata=meta, destination_map=m), key=["id"])
+    assert [(r["DestinationNumeric"], r["DestinationDescription"], r["Subsidy"]) for r in got] == [
+        (1, "a", False), (2, "b", True), (3, "c", False), (None, None, None)]
+    assert "dest" not in got[0] and "Standard" not in got[0]
+    (tmp_path / "p.json").write_text(json.dumps({"name": "types", "1": "One", "2": "Two"}))
+    p = write_csv(str(tmp_path), "p.csv", pd.DataFrame({"id": [1, 2], "t": ["2.0", "7"]}))
+    got = hmis.get_project(spark, file_spec={"x": p}, project_type_file=str(tmp_path / "p.json"),
+                           metadata={"program_ID": "id", "project_type_column": "t", "duplicate_check_columns": ["id"]})
+    assert [(r.ProjectNumeric, r.ProjectType) for r in got.orderBy("id").collect()] == [(2, "Two"), (None, None)]
+    (tmp_path / "d.json").write_text(json.dumps({"5": "Walking"}))
+    f = write_csv(str(tmp_path), "d.csv", pd.DataFrame({"pid": [1, 1], "stage": [10, 20], "type": [5, 5], "response": [0, 1]}))
+    got = hmis.get_disabilities(spark, file_spec={"x": f}, metadata=DIS_META, disability_type_file=str(tmp_path / "d.json")).first()
+    assert (got.Walking_entry, got.Walking_exit) == (0, 1)
+
+
+def test_unlisted_stages_are_counted(spark, tmp_path):  # P6
+    from pyspark.sql import Observation
+    f = write_csv(str(tmp_path), "s.csv", pd.DataFrame({"id": [1, 1, 2, 2, 3], "stage": ["0", "1.0", "2", "9", "x"], "value": list("abcde")}))
+    meta = {"person_enrollment_ID": "id", "collection_stage_column": "stage", "entry_stage_val": 0, "exit_stage_val": 1,
+            "update_stage_val": 2, "annual_assessment_stage_val": 5, "post_exit_stage_val": 6, "duplicate_check_columns": ["id", "stage"]}
+    seen = Observation("stages")
+    got = hmis.read_entry_exit_table(spark, meta, file_spec={"x": f}, observation=seen).collect()
+    assert [(r.id, r.value_entry, r.value_exit) for r in got] == [("1", "a", "b")] and seen.get["n_unlisted"] == 2
