@@ -14,17 +14,6 @@ from pyspark.sql import functions as F
 from ..functions import codes
 
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows in the biggest group of ``keys`` (an action: one combined
-    aggregation, one number to the driver).  Jobs use it to decide whether a
-    per-key window is safe or the skew-splitting form is needed."""
-    r = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n").alias("m")).first()
-    return int(r["m"] or 0)
-
-
-HOT_ROWS = 1_000_000
-
-
 def groups_only(df: DataFrame, group: str, min_size: int = 2) -> DataFrame:
     """A1: rows whose group has at least ``min_size`` rows; null groups drop."""
     big = (df.filter(F.col(group).isNotNull()).groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
@@ -91,7 +80,7 @@ def modal_value(df: DataFrame, key: str, value: str, keep_ties: bool = True) ->
 
 def covered_days(df: DataFrame, keys: Sequence[str], start: str, end: str,
                  order_tiebreak: Sequence[str] = (), out: str = "covered_days",
-                 bucket_days: int | None = None) -> DataFrame:
+                 bucket_days: int = 365) -> DataFrame:
     """Days covered by the union of ``[start, end)`` per key, on every row.
 
     Union length is additive over disjoint time ranges, so each interval is
@@ -100,19 +89,10 @@ def covered_days(df: DataFrame, keys: Sequence[str], start: str, end: str,
     adds the part that reaches past the furthest end seen so far.  A key
     holding many rows is thereby spread over many tasks.  Totals are summed
     per key and joined back (null-safe).  Rows with a null bound add
-    nothing.  ``bucket_days=None`` (default) uses one window per key, the
-    cheaper plan when no key is hot.
+    nothing.
     """
     s, e = F.col(start), F.col(end)
     valid = s.isNotNull() & e.isNotNull() & (e > s)
-    if bucket_days is None:
-        order = [F.when(valid, 0).otherwise(1), s, e, *[F.col(c) for c in order_tiebreak]]
-        w_prev = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-        prev_end = F.max(F.when(valid, e)).over(w_prev)
-        add = F.when(valid, F.greatest(F.lit(0), F.datediff(e, F.greatest(s, F.coalesce(prev_end, s)))))
-        tmp = df.withColumn("_add", add)
-        return tmp.withColumn(out, F.coalesce(F.sum("_add").over(Window.partitionBy(*keys)), F.lit(0))) \
-                  .drop("_add")
     epoch = F.lit("1970-01-01").cast("date")
     b0 = F.floor(F.datediff(s, epoch) / bucket_days)
     b1 = F.floor((F.datediff(e, epoch) - 1) / bucket_days)

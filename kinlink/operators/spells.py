@@ -12,42 +12,37 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import codes
-from ..functions.nulls import if_else3, r_any, r_in, r_sum
+from ..functions.nulls import if_else3, r_in
 
 
 def next_values(df: DataFrame, part: str, first: str, rest: Sequence[tuple], cols: Sequence[str],
-                prefix: str = "_n_", skew_safe: bool = False) -> DataFrame:
+                prefix: str = "_n_") -> DataFrame:
     """``lead`` of ``cols`` within ``part`` ordered by ``first`` (nulls last)
     then ``rest`` (``(column, nulls_last)`` pairs, ascending).
 
-    Skew-safe form (``skew_safe=True``): ``lead`` inside each (part, first) group, and
-    for a group's last row the first row of the next group, read from a
-    per-(part, first) heads table (one row per person and date).  A person
-    holding many rows is thereby spread over many window partitions; only
-    the small heads table is ordered per person.  It costs more shuffles,
-    so jobs switch to it only when a person is hot (``largest_group``).
+    ``lead`` inside each (part, first) group, and for a group's last row the
+    first row of the next group, read from a per-(part, first) heads table
+    (one row per person and date).  A person holding many rows is thereby
+    spread over many window partitions; only the small heads table is
+    ordered per person.
     """
     vals = F.struct(*[F.col(c) for c in cols])
     rest_order = [F.col(c).asc_nulls_last() if nl else F.col(c).asc_nulls_first() for c, nl in rest]
-    if not skew_safe:
-        w = Window.partitionBy(part).orderBy(F.col(first).asc_nulls_last(), *rest_order)
-        out = df.withColumn("_nv", F.lead(vals).over(w))
-    else:
-        # with no further order the group is unordered; order by the
-        # (constant) group column so lead is defined
-        w1 = Window.partitionBy(part, first).orderBy(*(rest_order or [F.col(first)]))
-        inner = df.withColumn("_in", F.lead(vals).over(w1))
-        key = []
-        for c, nl in rest:
-            key += [F.col(c).isNull() if nl else F.col(c).isNotNull(), F.col(c)]
-        heads = df.groupBy(F.col(part).alias("_p"), F.col(first).alias("_f")).agg(
-            F.min_by(vals, F.struct(*key) if key else F.lit(0)).alias("_head"))
-        w2 = Window.partitionBy("_p").orderBy(F.col("_f").asc_nulls_last())
-        heads = heads.select("_p", "_f", F.lead("_head").over(w2).alias("_nh"))
-        cond = F.col(part).eqNullSafe(F.col("_p")) & F.col(first).eqNullSafe(F.col("_f"))
-        out = (inner.join(heads, cond, "left")
-                    .withColumn("_nv", F.when(F.col("_in").isNull(), F.col("_nh")).otherwise(F.col("_in")))
-                    .drop("_in", "_nh", "_p", "_f"))
+    # with no further order the group is unordered; order by the
+    # (constant) group column so lead is defined
+    w1 = Window.partitionBy(part, first).orderBy(*(rest_order or [F.col(first)]))
+    inner = df.withColumn("_in", F.lead(vals).over(w1))
+    key = []
+    for c, nl in rest:
+        key += [F.col(c).isNull() if nl else F.col(c).isNotNull(), F.col(c)]
+    heads = df.groupBy(F.col(part).alias("_p"), F.col(first).alias("_f")).agg(
+        F.min_by(vals, F.struct(*key) if key else F.lit(0)).alias("_head"))
+    w2 = Window.partitionBy("_p").orderBy(F.col("_f").asc_nulls_last())
+    heads = heads.select("_p", "_f", F.lead("_head").over(w2).alias("_nh"))
+    cond = F.col(part).eqNullSafe(F.col("_p")) & F.col(first).eqNullSafe(F.col("_f"))
+    out = (inner.join(heads, cond, "left")
+                .withColumn("_nv", F.when(F.col("_in").isNull(), F.col("_nh")).otherwise(F.col("_in")))
+                .drop("_in", "_nh", "_p", "_f"))
     return out.select("*", *[F.col("_nv")[c].alias(prefix + c) for c in cols]).drop("_nv")
 
 
@@ -131,8 +126,7 @@ def impute_exit(df: DataFrame, person: str = "linkage_PID", entry: str = "entry"
                 agency: str = "agency", proj_type: str = "hmis_proj_type",
                 tiebreak: Sequence[str] = (), open_end: str = codes.OPEN_SPELL_END,
                 short_days: int = codes.SHORT_STAY_DAYS,
-                short_stay: Sequence[str] = codes.SHORT_STAY_PROJECTS,
-                skew_safe: bool = False) -> DataFrame:
+                short_stay: Sequence[str] = codes.SHORT_STAY_PROJECTS) -> DataFrame:
     """E15 (with W1): ``h_exit`` for HMIS spells without an exit.
 
     Next entry / next exit come from ``lead`` over the person's spells in
@@ -141,8 +135,7 @@ def impute_exit(df: DataFrame, person: str = "linkage_PID", entry: str = "entry"
     stay: entry + 90 unless the next exit is known and the next entry is
     under 90 days away, then the next entry.
     """
-    df = next_values(df, person, entry, [(c, False) for c in tiebreak], [entry, exit], "_nx_",
-                     skew_safe=skew_safe)
+    df = next_values(df, person, entry, [(c, False) for c in tiebreak], [entry, exit], "_nx_")
     n_entry, n_exit = F.col("_nx_" + entry), F.col("_nx_" + exit)
     hmis_open = (F.col(agency) == "HMIS") & F.col(exit).isNull()
     short = r_in(F.col(proj_type), short_stay)
@@ -158,7 +151,7 @@ def impute_exit(df: DataFrame, person: str = "linkage_PID", entry: str = "entry"
 
 def service_days(df: DataFrame, person: str = "linkage_PID", agency: str = "agency",
                  entry: str = "entry", exit: str = "exit", tiebreak: Sequence[str] = (),
-                 bucket_days: int | None = None) -> DataFrame:
+                 bucket_days: int = 365) -> DataFrame:
     """E16 + A12: service days, negative-spell swap, covered days, quality flag.
 
     Covered days (``h_agency_time`` per person and agency, ``h_tot_time`` per
@@ -181,10 +174,10 @@ def service_days(df: DataFrame, person: str = "linkage_PID", agency: str = "agen
 
 
 def transitions(df: DataFrame, person: str = "linkage_PID", agency: str = "agency",
-                tiebreak: Sequence[str] = (), skew_safe: bool = False) -> DataFrame:
+                tiebreak: Sequence[str] = ()) -> DataFrame:
     """W2-W5 over the person's spells ordered by (h_entry, h_exit), nulls last."""
     df = next_values(df, person, "h_entry", [("h_exit", True)] + [(c, False) for c in tiebreak],
-                     [agency, "h_entry", "h_exit"], "_tr_", skew_safe=skew_safe)
+                     [agency, "h_entry", "h_exit"], "_tr_")
     n_agency, n_entry, n_exit = F.col("_tr_" + agency), F.col("_tr_h_entry"), F.col("_tr_h_exit")
     e, x = F.col("h_entry"), F.col("h_exit")
     return (df.withColumn("h_agency_trans", F.when(n_agency.isNull(), F.col(agency))

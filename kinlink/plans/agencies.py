@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import codes
@@ -17,6 +17,7 @@ from ..functions import recode as rc
 from ..functions.nulls import r_in
 from ..operators import aggregates as ag
 from ..operators import graph, spells
+from ..session import drop_materialized, materialize
 from ..sources.readers import stack_by_name
 
 HMIS_RACE = [("r_aian", "AmIndAKNative"), ("r_asian", "Asian"), ("r_black", "BlackAfAmerican"),
@@ -67,12 +68,18 @@ def pha_spells(pha: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         *[F.col(src).alias(dst) for dst, src in PHA_PROGRAM])
 
 
+def repeated_links(links: DataFrame) -> DataFrame:
+    """J11 check: ``pid0`` values with more than one link, and how many."""
+    return links.groupBy("pid0").agg(F.count(F.lit(1)).alias("n_links")).filter("n_links > 1")
+
+
 def merge_agencies(hmis: DataFrame, pha: DataFrame, links: DataFrame,
                    keep: Sequence[str] = ()) -> DataFrame:
     """Stack both agencies, attach ``linkage_PID`` (J11), program strings (P20).
 
     ``links`` maps ``pid0`` to ``linkage_PID`` (plus ``pid1``/``pid2``);
-    several links for one ``pid0`` multiply rows as in a left join.
+    several links for one ``pid0`` multiply rows as in a left join
+    (``repeated_links`` finds them).
     """
     merged = stack_by_name([hmis_spells(hmis, keep), pha_spells(pha, keep)])
     lk = links.select("pid0", *[c for c in ("pid1", "pid2") if c in links.columns], "linkage_PID")
@@ -85,7 +92,11 @@ def merge_agencies(hmis: DataFrame, pha: DataFrame, links: DataFrame,
 
 
 def household_clusters(merged: DataFrame) -> DataFrame:
-    """E11 (G4 + A13): persons sharing a household id at any time."""
+    """E11 (G4 + A13): persons sharing a household id at any time.
+
+    ``merged`` feeds edges, nodes, sizes and labels, so it is written once.
+    """
+    merged, _ = materialize(merged, "merged")
     return graph.household_clusters(merged, "linkage_PID", "hh_id")
 
 
@@ -100,7 +111,6 @@ def real_dob(merged: DataFrame, keep_ties: bool = False) -> DataFrame:
     c = (merged.select("linkage_PID", F.col("dob").cast("date").alias("h_dob"), is_pha.alias("_pha"))
                .groupBy("linkage_PID", "h_dob")
                .agg(F.count(F.lit(1)).alias("_all"), F.sum(F.col("_pha").cast("int")).alias("_npha")))
-    from pyspark.sql import Window
     has_pha = F.max(F.col("_npha")).over(Window.partitionBy("linkage_PID")) > 0
     c = c.withColumn("n", F.when(has_pha, F.col("_npha")).otherwise(F.col("_all"))).filter("n > 0")
     return ag.mode_from_counts(c.select("linkage_PID", "h_dob", "n"), "linkage_PID", "h_dob", "n",
@@ -109,37 +119,27 @@ def real_dob(merged: DataFrame, keep_ties: bool = False) -> DataFrame:
 
 def person_spell_frame(merged: DataFrame, min_entry: str = codes.SPELL_MIN_ENTRY,
                        keep_ties: bool = False, tiebreak: Sequence[str] = ("pid0",),
-                       relcode_when_no_age: bool = False, skew_safe="auto",
-                       hot_rows: int = ag.HOT_ROWS, bucket_days: int = 365) -> DataFrame:
+                       relcode_when_no_age: bool = False, bucket_days: int = 365) -> DataFrame:
     """One row per linked person and spell with age, household, exit
     imputation, service days, covered days and transitions.
 
-    Per-person steps (exit imputation, covered days, transitions) are
-    windows over one person's spells.  ``skew_safe="auto"`` measures the
-    largest person first (one combined aggregation); above ``hot_rows``
-    rows it switches to the skew-splitting forms (two-level lead, covered
-    days per time bucket of ``bucket_days``).  Those read their input twice,
-    so the spell table is then written once as parquet in the checkpoint
-    folder before them and again after service days.  The spell table is
-    always written once before the household step.
+    ``merged`` is written once, so that the birth dates and the rows come
+    from one computation.  The per-person steps spread a person's rows over
+    many tasks (two-level lead, covered days per time bucket of
+    ``bucket_days``); each reads its input twice, so the spells are written
+    before them and after service days.  These tables lie in the checkpoint
+    folder until ``session.clear_materialized``.
     """
-    from ..session import materialize
     tb = list(tiebreak)
+    merged, first = materialize(merged, "merged")
     df = merged.join(real_dob(merged, keep_ties), "linkage_PID", "left")
     df = df.filter(F.col("linkage_PID").isNotNull() & (F.col("entry") >= F.lit(min_entry).cast("date")))
     df = spells.age_and_relcode(df)
     df = spells.child_elder_flags(df, relcode_when_no_age)
-    # household measures read the spells twice (rows + grouped summary):
-    # write the spell table once so the merge upstream is computed once
-    df, _ = materialize(df, "spells")
-    if skew_safe == "auto":
-        skew_safe = ag.largest_group(df, ["linkage_PID"]) > hot_rows
-    df = spells.household_mix(df)
-    if skew_safe:
-        df, _ = materialize(df, "spells")
-    df = spells.impute_exit(df, tiebreak=tb, skew_safe=skew_safe)
-    df = spells.service_days(df, tiebreak=tb, bucket_days=bucket_days if skew_safe else None)
-    df = df.distinct()
-    if skew_safe:
-        df, _ = materialize(df, "spells")
-    return spells.transitions(df, tiebreak=tb, skew_safe=skew_safe)
+    df, second = materialize(spells.household_mix(df), "spells")
+    drop_materialized(merged.sparkSession, first)
+    df = spells.impute_exit(df, tiebreak=tb)
+    df = spells.service_days(df, tiebreak=tb, bucket_days=bucket_days)
+    df, _ = materialize(df.distinct(), "spells")
+    drop_materialized(merged.sparkSession, second)
+    return spells.transitions(df, tiebreak=tb)

@@ -64,9 +64,11 @@ def hmis_variants(hmis: DataFrame, cols: Mapping[str, str], min_freq: int = code
 def prelink_table(pha_ids: DataFrame, hmis_ids: DataFrame) -> DataFrame:
     """Stack both sources (housing authority first), overall ``pid2``, usable
     SSN and birth date, refused names removed (P10)."""
+    # the overall id goes on after the first source's last one: a count, no sort
+    after = pha_ids.agg(F.coalesce(F.max("_seq"), F.lit(0))).first()[0]
     df = stack_by_name([pha_ids, hmis_ids])
     df = df.withColumn("ssn_dq", rc.ssn_repeated_digit(F.col("ssn"), F.col("ssn_dq")))
-    df = dense_ids(df, ["_src", "_seq"], out="_all")
+    df = df.withColumn("_all", F.col("_seq") + F.when(F.col("_src") == 1, F.lit(after)).otherwise(F.lit(0)))
     df = df.withColumn("pid2", rc.seq_id("pid2_", F.col("_all")))
     df = df.withColumn("ssn1", rc.usable_ssn(F.col("ssn"), F.col("ssn_dq")).cast("bigint"))
     df = df.withColumn("dob1", rc.usable_dob(F.col("dob"), F.col("dob_dq")))

@@ -150,8 +150,11 @@ def test_person_spell_frame(spark):  # E11, E12
     assert out["HMIS0_2"].h_child == "yes" and out["HMIS0_2"].h_hh_type2 == "single parent household with children"
 
 
-def test_skew_safe_forms_agree(spark):  # two-level lead and bucketed union == plain windows
+def test_hot_person_forms_agree_with_plain_windows(spark):  # two-level lead and bucketed union
     import random
+
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
     rnd = random.Random(11)
     rows = []
     for k in range(400):
@@ -159,20 +162,20 @@ def test_skew_safe_forms_agree(spark):  # two-level lead and bucketed union == p
         a = rnd.randint(0, 40)
         rows.append((k, p, d(a), None if rnd.random() < 0.2 else d(a + rnd.randint(0, 12))))
     df = spark.createDataFrame(rows, "k int, p int, s date, e date")
-    a = spells.next_values(df, "p", "s", [("e", True), ("k", False)], ["k", "e"], skew_safe=True)
-    b = spells.next_values(df, "p", "s", [("e", True), ("k", False)], ["k", "e"], skew_safe=False)
-    assert sorted(map(tuple, a.select("k", "_n_k", "_n_e").collect()), key=str) == \
-        sorted(map(tuple, b.select("k", "_n_k", "_n_e").collect()), key=str)
+    a = spells.next_values(df, "p", "s", [("e", True), ("k", False)], ["k", "e"])
+    w = Window.partitionBy("p").orderBy(F.col("s").asc_nulls_last(), F.col("e").asc_nulls_last(), "k")
+    b = df.select("k", F.lead("k").over(w), F.lead("e").over(w))
+    assert sorted(map(tuple, a.select("k", "_n_k", "_n_e").collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
+    days = {}
+    for _, p, s, e in rows:
+        if e is not None:
+            days.setdefault(p, set()).update(range(s.toordinal(), e.toordinal()))
     for width in (1, 3, 365):
         x = ag.covered_days(df, ["p"], "s", "e", ["k"], bucket_days=width)
-        y = ag.covered_days(df, ["p"], "s", "e", ["k"], bucket_days=None)
-        assert sorted((r.k, r.covered_days) for r in x.collect()) == \
-            sorted((r.k, r.covered_days) for r in y.collect())
+        assert all(r.covered_days == len(days.get(r.p, ())) for r in x.collect())
 
 
-def test_person_spell_frame_skew_forms_agree(spark):  # E12 both plans give the same rows
-    merged = _merged(spark)
-    a = agencies.person_spell_frame(merged, skew_safe=True)
-    b = agencies.person_spell_frame(merged, skew_safe=False)
+def test_person_spell_frame_does_not_depend_on_buckets(spark):
     cols = ["pid0", "h_exit", "h_servdays", "h_agency_time", "h_tot_time", "h_agency_trans", "h_overlap"]
-    assert sorted(map(tuple, a.select(*cols).collect()), key=str) == sorted(map(tuple, b.select(*cols).collect()), key=str)
+    a, b = (agencies.person_spell_frame(_merged(spark), bucket_days=n).select(*cols).collect() for n in (7, 365))
+    assert sorted(map(tuple, a), key=str) == sorted(map(tuple, b), key=str)
