@@ -2,8 +2,8 @@
 
 String similarity: Jaro-Winkler has no Spark built-in, so it runs as an
 Arrow-batched pandas UDF.  Callers apply it to *distinct value pairs* only
-(see ``operators.linkage``), never to every record pair, and equal strings
-short-cut to 1 in the JVM before any Python runs.  Levenshtein similarity
+(see ``operators.linkage``), never to every record pair, after a bound from
+lengths, characters and prefixes (``may_reach``) in the JVM.  Levenshtein similarity
 is a JVM built-in and needs no Python at all.
 """
 
@@ -99,6 +99,24 @@ def string_similarity(a: Column, b: Column, method: str = "jarowinkler") -> Colu
     return F.when(a.isNull() | b.isNull(), F.lit(None)).when(a == b, F.lit(1.0)).otherwise(sim)
 
 
+def may_reach(a: Column, b: Column, method: str, threshold: float) -> Column:
+    """False where the similarity of ``a`` and ``b`` surely lies below ``threshold``.
+
+    Jaro-Winkler: at most as many characters match as either text has
+    characters that occur in the other, no transposition is the best case,
+    and the prefix adds its share where the plain score allows it.
+    """
+    if method != "jarowinkler":
+        return F.lit(True)
+    n1, n2 = F.length(a), F.length(b)
+    gone = F.lit("")
+    most = F.least(n1 - F.length(F.call_function("translate", a, b, gone)), n2 - F.length(F.call_function("translate", b, a, gone)))
+    jaro = F.when(most > 0, (most / n1 + most / n2 + 1) / 3.0).otherwise(F.lit(0.0))
+    prefix = sum((F.when(F.left(a, F.lit(k)) == F.left(b, F.lit(k)), 1).otherwise(0) for k in range(1, WINKLER_PREFIX + 1)), F.lit(0))
+    best = F.when(jaro > WINKLER_BOOST_THRESHOLD, jaro + prefix * WINKLER_SCALE * (1.0 - jaro)).otherwise(jaro)
+    return F.coalesce(best >= F.lit(threshold - 1e-9), F.lit(True))
+
+
 def string_feature(sim: Column, threshold: float) -> Column:
     """L2: 1 when the similarity reaches the threshold, else 0; null stays null."""
     return F.when(sim.isNull(), F.lit(None)).when(sim >= threshold, F.lit(1.0)).otherwise(F.lit(0.0))

@@ -3,8 +3,10 @@
 Work is done on *variants* (distinct tuples of block key + compared
 values), not on records: records with identical tuples score identically
 against everybody, so scoring variant pairs once and mapping the result
-back is exact.  String similarity (the only Python step) runs once per
-distinct value pair of a column.  Linking (L4) never expands to record
+back is exact.  Variants and the similar values of each compared column are
+written once in the checkpoint folder; string similarity (the only Python
+step) runs once per pair of distinct values that lengths and characters do
+not rule out.  Linking (L4) never expands to record
 pairs: records join their variant's smallest record, and a matching
 variant pair links the two smallest records, which yields the same
 connected components.
@@ -19,7 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import codes
-from ..functions.similarity import SWAP_MONTHS, date_feature, string_feature, string_similarity
+from ..functions.similarity import SWAP_MONTHS, date_feature, may_reach, string_similarity
+from ..session import materialize
 from .graph import connected_components, dense_ids
 
 
@@ -27,18 +30,21 @@ def _ns_eq(cols: Sequence[str], l: str, r: str) -> Column:
     return reduce(lambda a, b: a & b, [F.col(f"{l}{c}").eqNullSafe(F.col(f"{r}{c}")) for c in cols])
 
 
-def _value_similarity(v: DataFrame, block: str, col: str, method: str) -> DataFrame:
-    """Similarity of every ordered pair of distinct values of ``col`` that
-    occur in one block (both orders; the UDF runs once per value pair)."""
+def _similar_values(v: DataFrame, block: str, col: str, method: str, threshold: float) -> DataFrame:
+    """Ordered pairs of different values of ``col`` in one block that are
+    similar enough.  Pairs that cannot be are dropped before any Python runs;
+    the table is written, so each pair is compared once."""
     vals = v.select(F.col(block).alias("_b"), F.col(col).alias("_v")).filter(F.col("_v").isNotNull()).distinct()
     a = vals.select("_b", F.col("_v").alias("_va"))
     b = vals.select("_b", F.col("_v").alias("_vb"))
-    vp = a.join(b, "_b").filter(F.col("_va") != F.col("_vb")).select("_va", "_vb").distinct()
-    return vp.select("_va", "_vb", string_similarity(F.col("_va"), F.col("_vb"), method).alias("_sim"))
+    vp = a.join(b, "_b").filter((F.col("_va") != F.col("_vb")) & may_reach(F.col("_va"), F.col("_vb"), method, threshold))
+    vp = vp.select("_va", "_vb").distinct()
+    sim = string_similarity(F.col("_va"), F.col("_vb"), method)
+    return materialize(vp.filter(sim >= threshold), "similar")[0]
 
 
-def _positive_candidates(v: DataFrame, block: str, comparisons: Mapping[str, str], string_method: str,
-                         string_threshold: float) -> DataFrame:
+def _positive_candidates(v: DataFrame, block: str, comparisons: Mapping[str, str],
+                         similar: Mapping[str, DataFrame]) -> DataFrame:
     """Variant pairs ``(a__rep <= b__rep)`` with at least one positive feature.
 
     Every match has one (its mean of non-null features is above a
@@ -54,8 +60,7 @@ def _positive_candidates(v: DataFrame, block: str, comparisons: Mapping[str, str
             a = vals.select("_b", F.col("_v").alias("_va"), F.col("_rep").alias("_ra"))
             b = vals.select(F.col("_b").alias("_bb"), F.col("_v").alias("_vb"), F.col("_rep").alias("_rb"))
             eq = a.join(b, (F.col("_b") == F.col("_bb")) & (F.col("_va") == F.col("_vb"))).select("_ra", "_rb")
-            sims = _value_similarity(v, block, c, string_method).filter(F.col("_sim") >= string_threshold) \
-                .select(F.col("_va").alias("_sa"), F.col("_vb").alias("_sb"))
+            sims = similar[c].select(F.col("_va").alias("_sa"), F.col("_vb").alias("_sb"))
             ab = a.join(sims, F.col("_va") == F.col("_sa"))
             near = ab.join(b, (F.col("_b") == F.col("_bb")) & (F.col("_sb") == F.col("_vb"))).select("_ra", "_rb")
             parts += [eq, near]
@@ -100,10 +105,13 @@ def variant_pairs(df: DataFrame, block: str, comparisons: Mapping[str, str],
     else:
         v = base.select(*cols).distinct()
         vcols = cols
+    v, _ = materialize(v, "variants")
+    similar = {c: _similar_values(v, block, c, string_method, string_threshold)
+               for c, kind in comparisons.items() if kind == "string"}
     a = v.select(*[F.col(c).alias(f"a_{c}") for c in vcols])
     b = v.select(*[F.col(c).alias(f"b_{c}") for c in vcols])
     if prune and id_col is not None and match_threshold >= 0:
-        cand = _positive_candidates(v, block, comparisons, string_method, string_threshold)
+        cand = _positive_candidates(v, block, comparisons, similar)
         pairs = cand.join(a, "a__rep").join(b, "b__rep")
     else:
         if id_col is not None:
@@ -116,11 +124,11 @@ def variant_pairs(df: DataFrame, block: str, comparisons: Mapping[str, str],
     for c, kind in comparisons.items():
         ca, cb = F.col(f"a_{c}"), F.col(f"b_{c}")
         if kind == "string":
-            sims = _value_similarity(v, block, c, string_method)
+            sims = similar[c].withColumn("_close", F.lit(True))
             pairs = pairs.join(sims, (ca == F.col("_va")) & (cb == F.col("_vb")), "left")
-            sim = F.when(ca.isNull() | cb.isNull(), F.lit(None)).when(ca == cb, F.lit(1.0)) \
-                   .otherwise(F.col("_sim"))
-            pairs = pairs.withColumn(c, string_feature(sim, string_threshold)).drop("_va", "_vb", "_sim")
+            pairs = pairs.withColumn(c, F.when(ca.isNull() | cb.isNull(), F.lit(None))
+                                     .when((ca == cb) | F.col("_close"), F.lit(1.0)).otherwise(F.lit(0.0))) \
+                         .drop("_va", "_vb", "_close")
         elif kind == "date":
             pairs = pairs.withColumn(c, date_feature(ca, cb))
         else:
