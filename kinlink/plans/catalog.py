@@ -161,7 +161,8 @@ def q_group_min_size(spark, d):
 WITH d AS (
   SELECT l_orderkey, l_linestatus, l_returnflag, l_linenumber FROM (
     SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linestatus, l_returnflag
-                                 ORDER BY {_LI_TIE_DESC}) AS rn FROM lineitem) WHERE rn = 1),
+                                 ORDER BY {_LI_TIE_DESC}) AS rn
+    FROM (SELECT * REPLACE (CASE WHEN l_linenumber = 7 THEN 'U' ELSE l_linestatus END AS l_linestatus) FROM lineitem)) WHERE rn = 1),
 e AS (SELECT l_orderkey, l_returnflag AS l_returnflag_entry, l_linenumber AS l_linenumber_entry
       FROM d WHERE l_linestatus = 'F'),
 x AS (SELECT l_orderkey, l_returnflag AS l_returnflag_exit, l_linenumber AS l_linenumber_exit
@@ -171,7 +172,8 @@ SELECT coalesce(e.l_orderkey, x.l_orderkey) AS l_orderkey, l_returnflag_entry, l
 FROM e FULL OUTER JOIN x ON e.l_orderkey IS NOT DISTINCT FROM x.l_orderkey
 """)
 def q_split_stage(spark, d):
-    li = table(spark, d, "lineitem").select("l_linestatus", "l_returnflag", *LI_ORDER)
+    li = table(spark, d, "lineitem").select(F.when(F.col("l_linenumber") == 7, "U").otherwise(F.col("l_linestatus")).alias("l_linestatus"),
+                                            "l_returnflag", *LI_ORDER)
     li = dedup.keep_last(li, ["l_orderkey", "l_linestatus", "l_returnflag"], LI_TIE)
     li = li.select("l_orderkey", "l_linestatus", "l_returnflag", "l_linenumber")
     return reshape.entry_exit_wide(li, "l_linestatus", "F", "O", "l_orderkey")
@@ -191,7 +193,7 @@ def q_type_stage_wide(spark, d):
         F.when(F.col("l_returnflag") == "A", 1).when(F.col("l_returnflag") == "N", 2)
          .when(F.col("l_returnflag") == "R", 3).alias("rtype"))
     return reshape.type_stage_wide(li, "l_orderkey", "l_linestatus", "rtype", "l_quantity",
-                                   "F", "O", _FLAG_TYPES)
+                                   "F", "O", _FLAG_TYPES, one_row=True)
 
 
 # -------------------------------------------------------------------- A3 --
@@ -462,6 +464,25 @@ def q_link_records(spark, d):
     return linkage.link_records(p, "p_partkey", ["p_partkey"], passes).select("p_partkey", "linkage_PID")
 
 
+@query("match_dates", """
+WITH d AS (SELECT o_orderkey, o_custkey, o_orderpriority, CAST(o_orderdate AS DATE) AS dt FROM orders WHERE o_custkey IS NOT NULL),
+p AS (SELECT a.o_orderkey AS id_a, b.o_orderkey AS id_b,
+        CASE WHEN a.dt IS NULL OR b.dt IS NULL THEN NULL WHEN a.dt = b.dt THEN 1.0
+             WHEN year(a.dt) = year(b.dt) AND month(a.dt) = day(b.dt) AND day(a.dt) = month(b.dt) THEN 0.5
+             WHEN year(a.dt) = year(b.dt) AND day(a.dt) = day(b.dt)
+                  AND (month(a.dt), month(b.dt)) IN ((6, 7), (7, 6), (9, 10), (10, 9)) THEN 0.5 ELSE 0.0 END AS dt,
+        CASE WHEN a.o_orderpriority IS NULL OR b.o_orderpriority IS NULL THEN NULL
+             WHEN jaro_winkler_similarity(a.o_orderpriority, b.o_orderpriority) >= 0.85 THEN 1.0 ELSE 0.0 END AS o_orderpriority
+      FROM d a JOIN d b ON a.o_custkey = b.o_custkey AND a.o_orderkey < b.o_orderkey)
+SELECT id_a, id_b, dt, o_orderpriority, (dt + o_orderpriority) / 2 AS mean, true AS match FROM p
+WHERE (dt + o_orderpriority) / 2 > 0.2
+""")
+def q_match_dates(spark, d):
+    """L1 with L3: one customer's orders on equal dates, swapped days and months, or mixed-up months."""
+    o = table(spark, d, "orders").withColumn("dt", F.col("o_orderdate").cast("date"))
+    return linkage.block_and_match(o, "o_orderkey", "o_custkey", {"dt": "date", "o_orderpriority": "string"}, match_threshold=0.2)
+
+
 # -------------------------------------------------------------------- A6 --
 @query("frequent_dates", """
 SELECT strftime(o_orderdate, '%Y-%m-%d') AS value, count(*) AS n FROM orders
@@ -478,10 +499,13 @@ _EIGHT = ", ".join(str(11111111 * i) for i in range(1, 9))
 _NINE = ", ".join(str(111111111 * i) for i in range(0, 10))
 
 
+# eight equal digits for one order in 50, nine for another, no number for a third
 @query("ssn_quality", f"""
-WITH s AS (SELECT o_orderkey, o_orderdate,
-                  CASE WHEN CAST(floor(o_totalprice * 1000) AS BIGINT) IN ({_EIGHT}) THEN NULL
-                       ELSE CAST(floor(o_totalprice * 1000) AS BIGINT) END AS ssn FROM orders),
+WITH r AS (SELECT o_orderkey, o_orderdate,
+                  CASE o_orderkey % 50 WHEN 0 THEN NULL WHEN 1 THEN 11111111 * (o_orderkey // 50 % 9)
+                       WHEN 2 THEN 111111111 * (o_orderkey // 50 % 10)
+                       ELSE CAST(floor(o_totalprice * 1000) AS BIGINT) END AS raw FROM orders),
+s AS (SELECT o_orderkey, o_orderdate, CASE WHEN raw IN ({_EIGHT}) THEN NULL ELSE raw END AS ssn FROM r),
 q AS (SELECT *, CASE WHEN ssn IS NULL THEN 3 WHEN ssn IN ({_NINE}) THEN 3
                      WHEN length(CAST(ssn AS VARCHAR)) < 9 THEN 2 ELSE 1 END AS ssn_dq FROM s)
 SELECT o_orderkey, CAST(ssn AS VARCHAR) AS ssn_str, ssn_dq,
@@ -490,9 +514,12 @@ SELECT o_orderkey, CAST(ssn AS VARCHAR) AS ssn_str, ssn_dq,
 FROM q
 """)
 def q_ssn_quality(spark, d):
+    key = F.col("o_orderkey")
+    part = F.floor(key / 50).cast("bigint")
     o = table(spark, d, "orders").select(
         "o_orderkey", F.col("o_orderdate").alias("dob"),
-        F.floor(F.col("o_totalprice") * 1000).cast("bigint").alias("ssn"))
+        F.when(key % 50 == 0, F.lit(None)).when(key % 50 == 1, part % 9 * 11111111).when(key % 50 == 2, part % 10 * 111111111)
+         .otherwise(F.floor(F.col("o_totalprice") * 1000).cast("bigint")).cast("bigint").alias("ssn"))
     o = o.withColumn("ssn", rc.clean_ssn(F.col("ssn")))
     o = o.withColumn("ssn_dq", rc.ssn_repeated_digit(F.col("ssn"), rc.ssn_quality_pha(F.col("ssn"))))
     o = rc.date_parts(o, "dob")
@@ -532,7 +559,7 @@ _SPELLS_SQL = """sp AS (
               WHEN '5-LOW' THEN 'Street Outreach' ELSE 'Transitional Housing' END AS hmis_proj_type
   FROM orders o LEFT JOIN (SELECT l_orderkey, max(l_shipdate) AS last_ship FROM lineitem GROUP BY l_orderkey) li
     ON o.o_orderkey = li.l_orderkey
-  WHERE o.o_custkey IS NOT NULL AND CAST(o.o_orderdate AS DATE) >= DATE '1996-01-01')"""
+  WHERE o.o_custkey IS NOT NULL)"""
 _SHORT_SQL = "coalesce(hmis_proj_type IN (" + ", ".join(_sql_text(p) for p in codes.SHORT_STAY_PROJECTS) + "), false)"
 _HEXIT_SQL = f"""CASE
   WHEN agency = 'HMIS' AND exit IS NULL AND NOT {_SHORT_SQL} AND n_exit IS NOT NULL THEN n_entry
@@ -559,12 +586,7 @@ def _spells(spark, d) -> DataFrame:
         F.when(pr == "1-URGENT", "SHA").when(pr == "2-HIGH", "KCHA").otherwise("HMIS").alias("agency"),
         F.when(pr == "3-MEDIUM", "Emergency Shelter").when(pr == "4-NOT SPECIFIED", F.lit(None))
          .when(pr == "5-LOW", "Street Outreach").otherwise("Transitional Housing").alias("hmis_proj_type"),
-    ).filter(F.col("linkage_PID").isNotNull() & (F.col("entry") >= F.lit("1996-01-01").cast("date")))
-
-
-def _hot(df: DataFrame, key: str = "linkage_PID") -> bool:
-    """Skew-splitting forms only when one person exceeds the hot-row limit."""
-    return ag.largest_group(df, [key]) > ag.HOT_ROWS
+    ).filter(F.col("linkage_PID").isNotNull())
 
 
 @query("impute_exit", f"""
@@ -573,7 +595,7 @@ SELECT o_orderkey, linkage_PID, strftime(h_exit, '%Y-%m-%d') AS h_exit FROM im
 """)
 def q_impute_exit(spark, d):
     sp = _spells(spark, d)
-    r = spells.impute_exit(sp, tiebreak=["o_orderkey"], skew_safe=_hot(sp))
+    r = spells.impute_exit(sp, tiebreak=["o_orderkey"])
     return r.select("o_orderkey", "linkage_PID", iso("h_exit").alias("h_exit"))
 
 
@@ -611,9 +633,8 @@ FROM fin
 """)
 def q_covered_days(spark, d):
     sp = _spells(spark, d)
-    hot = _hot(sp)
-    r = spells.impute_exit(sp, tiebreak=["o_orderkey"], skew_safe=hot)
-    r = spells.service_days(r, tiebreak=["o_orderkey"], bucket_days=365 if hot else None)
+    r = spells.impute_exit(sp, tiebreak=["o_orderkey"])
+    r = spells.service_days(r, tiebreak=["o_orderkey"])
     return r.select("o_orderkey", "linkage_PID", iso("h_entry").alias("h_entry"), iso("h_exit").alias("h_exit"),
                     "h_servdays", "h_agency_time", "h_tot_time", "h_time_qual")
 
@@ -631,10 +652,9 @@ FROM tr
 """)
 def q_transitions(spark, d):
     sp = _spells(spark, d)
-    hot = _hot(sp)
-    r = spells.impute_exit(sp, tiebreak=["o_orderkey"], skew_safe=hot)
-    r = spells.service_days(r, tiebreak=["o_orderkey"], bucket_days=365 if hot else None)
-    r = spells.transitions(r, tiebreak=["o_orderkey"], skew_safe=hot)
+    r = spells.impute_exit(sp, tiebreak=["o_orderkey"])
+    r = spells.service_days(r, tiebreak=["o_orderkey"])
+    r = spells.transitions(r, tiebreak=["o_orderkey"])
     return r.select("o_orderkey", "h_agency_trans", "h_t2next_prog", "h_overlap", "h_within")
 
 
@@ -957,15 +977,19 @@ def q_person_spells(spark, d):
 _PRE_SSN_SQL = "CAST(floor(o_totalprice * 1000) AS BIGINT)"
 
 
+_PRE_LNAME_SQL = "CASE WHEN o_custkey % 40 = 0 THEN 'Name Refused' ELSE o_orderpriority END"
+_PRE_FNAME_SQL = "CASE WHEN o_custkey % 40 = 1 THEN 'anonymous' ELSE lower(o_orderstatus) END"
+
+
 @query("prelink", f"""
-WITH pa AS (SELECT DISTINCT 'PHA0_' || o_custkey AS pid0, {_PRE_SSN_SQL} AS ssn, o_orderpriority AS lname,
-                   lower(o_orderstatus) AS fname, CAST(NULL AS VARCHAR) AS mname, CAST(NULL AS VARCHAR) AS suf,
+WITH pa AS (SELECT DISTINCT 'PHA0_' || o_custkey AS pid0, {_PRE_SSN_SQL} AS ssn, {_PRE_LNAME_SQL} AS lname,
+                   {_PRE_FNAME_SQL} AS fname, CAST(NULL AS VARCHAR) AS mname, CAST(NULL AS VARCHAR) AS suf,
                    CAST(o_orderdate AS DATE) AS dob,
                    CASE o_orderpriority WHEN '1-URGENT' THEN 'Female' WHEN '2-HIGH' THEN 'Male' END AS gen
             FROM orders WHERE o_orderstatus = 'F'),
 ha AS (SELECT DISTINCT 'HMIS0_' || o_custkey AS pid0, {_PRE_SSN_SQL} AS ssn,
-              CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS ssn_dq, o_orderpriority AS lname,
-              lower(o_orderstatus) AS fname, CAST(NULL AS VARCHAR) AS mname, CAST(NULL AS VARCHAR) AS suf,
+              CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS ssn_dq, {_PRE_LNAME_SQL} AS lname,
+              {_PRE_FNAME_SQL} AS fname, CAST(NULL AS VARCHAR) AS mname, CAST(NULL AS VARCHAR) AS suf,
               CAST(o_orderdate AS DATE) AS dob, CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS gen
        FROM orders WHERE o_orderstatus <> 'F'),
 pbad AS (SELECT CAST(o_orderdate AS DATE) AS d FROM orders WHERE o_orderstatus = 'F' AND o_orderdate IS NOT NULL
@@ -1000,7 +1024,8 @@ def q_prelink(spark, d):
     from . import prelink
     o = table(spark, d, "orders")
     base = o.select(F.col("o_custkey"), F.floor(F.col("o_totalprice") * 1000).cast("bigint").alias("ssn"),
-                    F.col("o_orderpriority").alias("lname"), F.lower("o_orderstatus").alias("fname"),
+                    F.when(F.col("o_custkey") % 40 == 0, "Name Refused").otherwise(F.col("o_orderpriority")).alias("lname"),
+                    F.when(F.col("o_custkey") % 40 == 1, "anonymous").otherwise(F.lower("o_orderstatus")).alias("fname"),
                     F.lit(None).cast("string").alias("mname"), F.lit(None).cast("string").alias("suf"),
                     F.col("o_orderdate").cast("date").alias("dob"), "o_orderstatus", "o_orderpriority")
     pr = F.col("o_orderpriority")
@@ -1065,11 +1090,11 @@ def _ns_full(left: str, right: str, keys: list, lcols: list, rcols: list) -> str
     return f"SELECT {sel} FROM {left} FULL OUTER JOIN {right} ON {on}"
 
 
-def _compat_sql() -> str:
+def _compat_sql(distinct: bool = False) -> str:
     names = [n for _, n in _FLAG_TYPES]
     codes_ = {n: t for t, n in _FLAG_TYPES}
-    parts = ["base AS (SELECT l_orderkey AS id, l_linestatus AS st, CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 "
-             "WHEN 'R' THEN 3 END AS ty, l_quantity AS rs FROM lineitem)",
+    parts = [f"base AS (SELECT {'DISTINCT' if distinct else ''} l_orderkey AS id, l_linestatus AS st, CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 "
+             f"WHEN 'R' THEN 3 END AS ty, {'CAST(l_quantity AS BIGINT)' if distinct else 'l_quantity'} AS rs FROM lineitem)",
              "e AS (SELECT id, ty AS ty_e, rs AS rs_e FROM base WHERE st = 'F')",
              "x AS (SELECT id, ty AS ty_x, rs AS rs_x FROM base WHERE st = 'O')",
              f"w AS ({_ns_full('e', 'x', ['id'], ['ty_e', 'rs_e'], ['ty_x', 'rs_x'])})"]
@@ -1090,7 +1115,7 @@ def _compat_sql() -> str:
         acc, acc_cols = f"s2_{i}", acc_cols + [f"rs_x_{n}"]
     sel = ", ".join(["id AS l_orderkey"] + [f"rs_e_{n} AS {n}_entry" for n in names]
                     + [f"rs_x_{n} AS {n}_exit" for n in names])
-    return "WITH " + ",\n".join(parts) + f"\nSELECT {sel} FROM {acc}"
+    return "WITH " + ",\n".join(x.replace(" AS (", " AS MATERIALIZED (", 1) for x in parts) + f"\nSELECT {sel} FROM {acc}"
 
 
 @query("type_stage_wide_compat", _compat_sql())
@@ -1100,4 +1125,7 @@ def q_type_stage_wide_compat(spark, d):
         F.when(F.col("l_returnflag") == "A", 1).when(F.col("l_returnflag") == "N", 2)
          .when(F.col("l_returnflag") == "R", 3).alias("rtype"))
     return reshape.type_stage_wide(li, "l_orderkey", "l_linestatus", "rtype", "l_quantity",
-                                   "F", "O", _FLAG_TYPES, compat=True)
+                                   "F", "O", _FLAG_TYPES)
+
+
+from . import csv_jobs  # noqa: E402,F401  registers the extract jobs
