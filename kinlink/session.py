@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -14,14 +13,15 @@ def build_session(master: str | None = None, app: str = "kinlink",
 
     On a cluster leave ``master`` unset and size ``shuffle_partitions`` to
     the data (about 128-256 MB of shuffle per partition); AQE then coalesces
-    small ones and splits skewed join partitions at run time.
+    small ones and splits skewed join partitions at run time.  Without it
+    Spark's own setting stays.
     """
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    parts = shuffle_partitions or int(os.environ.get("KINLINK_SHUFFLE_PARTITIONS", "8"))
-    b = (b.config("spark.sql.shuffle.partitions", str(parts))
-          .config("spark.sql.adaptive.enabled", "true")
+    if shuffle_partitions:
+        b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    b = (b.config("spark.sql.adaptive.enabled", "true")
           .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
           .config("spark.sql.adaptive.skewJoin.enabled", "true")
           .config("spark.sql.session.timeZone", "UTC")
