@@ -27,6 +27,7 @@ packed whole.  An empty table gives an empty result.
 from __future__ import annotations
 
 import heapq
+import json
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -44,38 +45,100 @@ END_ID = 2
 
 # ---------------------------------------------------------------- tokens --
 class WordTokens:
-    """Token ids of whole texts, as little-endian unsigned 32-bit bytes."""
+    """Token ids of whole texts, as little-endian unsigned 32-bit bytes.
 
-    def __init__(self, path: str, most_words: int = 400_000, longest: int = 64, at_once: int = 2000):
+    The vocabulary splits texts at white space, and runs of letters from
+    other signs, before it looks at anything else, and folds case.  So the
+    ids of known words can be put together, and those of new words come from
+    one call over all of them: a run of letters ends with the first id that
+    closes a word (``</w>``); other words are told apart by the ids' places.
+    """
+
+    def __init__(self, path: str, most_words: int = 300_000, longest: int = 64, at_once: int = 2000):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        # small ASCII letters need no normal form and no splitting but at spaces
+        plain = json.loads(self.tokenizer.to_str()) | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}}
+        self.plain = Tokenizer.from_str(json.dumps(plain))
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.known: dict[bytes, bytes] = {}
+        self.before: dict[bytes, bytes] = {}    # the words known before the last renewal
         self.most_words, self.longest, self.at_once = most_words, longest, at_once
 
-    def _encode(self, words: list[bytes]) -> dict[bytes, bytes]:
-        """Ids of each word, from one call over the joined words and the tokens' places."""
-        texts = [w.decode("utf-8", "surrogatepass") for w in words]
-        starts = np.cumsum([0, *(len(t) + 1 for t in texts)])
-        got = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
+    def _letters(self, words: list[str], tokenizer=None) -> list[bytes]:
+        """Ids of runs of letters; by their places if closing ids don't tell them apart."""
+        ids = np.array((tokenizer or self.tokenizer).encode(" ".join(words), add_special_tokens=False).ids, "<u4")
+        ends = np.flatnonzero(self.closes[ids]) + 1
+        if len(ends) != len(words):
+            return self._others(words)
+        data, ends = ids.tobytes(), (4 * ends).tolist()
+        return [data[a:b] for a, b in zip([0, *ends], ends)]
+
+    def _plain(self, words: list[str]) -> list[bytes]:
+        return self._letters(words, self.plain)
+
+    def _others(self, words: list[str]) -> list[bytes]:
+        """Ids of any words."""
+        starts = np.cumsum([0, *(len(t) + 1 for t in words)])
+        got = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
         ids = np.array(got.ids, "<u4")
-        places = np.array(got.offsets, np.int64).reshape(-1, 2)[:, 0]
-        cuts = np.searchsorted(places, starts)
-        return {w: ids[a:b].tobytes() for w, a, b in zip(words, cuts[:-1].tolist(), cuts[1:].tolist())}
+        cuts = np.searchsorted(np.array(got.offsets, np.int64).reshape(-1, 2)[:, 0], starts)
+        return [ids[a:b].tobytes() for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+
+    def _learn(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """Ids of words that are not known."""
+        found: dict[bytes, bytes] = {}
+        plain, letters, others, marked = [], [], [], []
+        for w in words:
+            ids = self.before.get(w)
+            if ids is not None:
+                found[w] = ids
+            elif w.isalpha() and w.islower():       # of bytes: ASCII
+                plain.append(w)
+            else:
+                text = w.decode("utf-8", "surrogatepass")
+                if text.isalpha():
+                    letters.append(w)
+                elif text[-1] in ",." and text[:-1].isalpha():
+                    marked.append(w)                # the sign is a token run of its own
+                else:
+                    others.append(w)
+        for w in {x for m in marked for x in (m[:-1], m[-1:])} - words:
+            ids = self.known.get(w) or self.before.get(w)
+            if ids is not None:
+                found[w] = ids
+            elif len(w) == 1:
+                others.append(w)
+            else:
+                (plain if w.isalpha() and w.islower() else letters).append(w)
+        for todo, encode in ((plain, self._plain), (letters, self._letters), (others, self._others)):
+            for at in range(0, len(todo), self.at_once):
+                part = todo[at:at + self.at_once]
+                found.update(zip(part, encode(b" ".join(part).decode("utf-8", "surrogatepass").split(" "))))
+        for w in marked:
+            found[w] = found[w[:-1]] + found[w[-1:]]
+        return found
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
-        split = [t.encode("utf-8", "surrogatepass").split() if t else [] for t in texts]
-        new = sorted(set().union(*split) - self.known.keys())
-        if len(self.known) + len(new) > self.most_words:
-            self.known.clear()  # common words come back with the next texts
-            new = sorted(set().union(*split))
-        table: dict[bytes, bytes] = {}
-        for at in range(0, len(new), self.at_once):
-            table.update(self._encode(new[at:at + self.at_once]))
-        self.known.update((w, v) for w, v in table.items() if len(w) <= self.longest)
-        table = {w: v for w, v in table.items() if len(w) > self.longest}
+        split, values, new = [], [], set()
         find = self.known.get
-        return [b"".join([find(w) or table.get(w, b"") for w in words]) if table
-                else b"".join(map(self.known.__getitem__, words)) for words in split]
+        for t in texts:
+            data = t.encode("utf-8", "surrogatepass") if t else b""
+            words = (data if b"<|" in data else data.lower()).split()   # names of special tokens keep their case
+            ids = list(map(find, words))
+            if None in ids:
+                new.update([w for w, v in zip(words, ids) if v is None])
+            split.append(words)
+            values.append(ids)
+        found = self._learn(new) if new else {}
+        out = [b"".join([found[w] if v is None else v for w, v in zip(words, ids)] if None in ids else ids)
+               for words, ids in zip(split, values)]
+        if len(self.known) + len(found) > self.most_words:
+            self.before, self.known = self.known, {}
+        self.known.update((w, v) for w, v in found.items() if len(w) <= self.longest)
+        return out
 
 
 @lru_cache(maxsize=2)
