@@ -263,8 +263,8 @@ def fold(doc_id: Column) -> Column:
 def fit(docs: DataFrame, per_language: int = 400, order: int = ORDER) -> LanguageModels | NothingLearned:
     """Models from at most ``per_language`` documents of each language."""
     usable = docs.select("doc_id", "text", "lang").dropna().filter(fold(F.col("doc_id")) != 0)
-    # ranks are taken in 64 salted parts first, so no task ranks a whole language
-    rank = usable.select("doc_id", "lang", F.xxhash64("doc_id").alias("_h")).withColumn("_s", F.pmod("_h", F.lit(64)))
+    # ranks are taken in 16 salted parts first, so no task ranks a whole language
+    rank = usable.select("doc_id", "lang", F.xxhash64("doc_id").alias("_h")).withColumn("_s", F.pmod("_h", F.lit(16)))
     for keys in (["lang", "_s"], ["lang"]):
         rank = (rank.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy("_h", "doc_id")))
                 .filter(F.col("_n") <= per_language))
