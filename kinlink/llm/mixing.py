@@ -5,11 +5,14 @@ posterior over domains.  Document rates ``r >= 0`` are then sought so that
 the expected tokens of domain ``d``, the sum of ``r * tokens * p_d`` over
 all documents, match ``target_d``.  This is least squares, each residual
 weighted by the domain's tokens at rate 1, solved by projected gradient
-descent from ``r = 1`` in the metric of the documents' tokens:
+descent from ``r = 1``:
 
-    r <- max(0, r - step * sum_d p_d * (expected_d - target_d) / tokens_d)
+    r <- max(0, r - sum_d p_d * s_d)
 
-The step of a document needs its own posterior and one number a domain, so
+where ``s`` is the residuals' gradient in the metric of the documents whose
+rate is above 0: with a fixed metric, domains that are nearly used up would
+take hundreds of rounds.  The step of a document needs its own posterior and
+one number a domain, so
 a round is one aggregation over all documents, and a document's rate
 follows from the rounds' numbers alone: nothing is written or kept between
 rounds.  Rates become whole copies by adding a fixed number in [0, 1) that
@@ -44,7 +47,6 @@ from .common import free_name, ship, slices
 from .iforest_rules import labelled_sample
 
 BUCKETS = 1 << 16
-STEP = 1.3
 _UPPER = bytes(range(65, 91))
 
 
@@ -166,26 +168,42 @@ def rate(rounds: list[list[float]], names: list[str]) -> Column:
 
 
 def solve(rows: DataFrame, tokens: str, names: list[str], weights: list[float],
-          max_rounds: int = 30, close: float = 1e-4) -> list[list[float]]:
+          max_rounds: int = 40, close: float = 1e-4) -> list[list[float]]:
     """Rounds of projected gradient descent; each is one aggregation of all rows.
 
-    Ends when every expected total is within ``close`` of all tokens of its
-    target, when rates no longer change, or after ``max_rounds``.
+    The aggregation gives the expected totals and the joint posterior tokens
+    of the documents whose rate is above 0.  A round that made the squares
+    larger is halved.  Ends when every expected total is within ``close`` of
+    all tokens of its target, when rates no longer change, or after
+    ``max_rounds``.
     """
     rounds: list[list[float]] = []
-    at_one = None
+    at_one, before = None, np.inf
+    pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
     for _ in range(max_rounds):
         rated = rows.select(tokens, *names, rate(rounds, names).alias("_r"))
-        got = rated.agg(*(F.coalesce(F.sum(F.col("_r") * F.col(tokens) * F.col(n)), F.lit(0.0)) for n in names)).first()
+        held = F.when(F.col("_r") > 0, F.col(tokens)).otherwise(F.lit(0))
+        got = rated.agg(*(F.coalesce(F.sum(F.col("_r") * F.col(tokens) * F.col(n)), F.lit(0.0)) for n in names),
+                        *(F.coalesce(F.sum(held * F.col(names[i]) * F.col(names[j])), F.lit(0.0)) for i, j in pairs)).first()
+        now = np.array(got[:len(names)])
         if at_one is None:
-            at_one, total = list(got), sum(got)
+            at_one, total = np.maximum(now, 1e-12), now.sum()
             if not total:
                 break
-        off = [s - w * total for s, w in zip(got, weights)]
-        steps = [STEP * o / a if a else 0.0 for o, a in zip(off, at_one)]
-        if max(map(abs, off)) <= close * total or max(map(abs, steps)) < 1e-9:
+        off = now - np.array(weights) * total
+        squares = (off ** 2 / at_one).sum()
+        if squares > before * (1 + 1e-9) and max(map(abs, rounds[-1])) > 1e-6:
+            rounds[-1] = [s / 2 for s in rounds[-1]]
+            continue
+        before = squares
+        joint = np.zeros((len(names), len(names)))
+        for (i, j), x in zip(pairs, got[len(names):]):
+            joint[i, j] = joint[j, i] = x
+        scale = 1 / np.sqrt(at_one)
+        steps = np.linalg.lstsq(scale[:, None] * joint, scale * off, rcond=1e-6)[0]
+        if np.abs(off).max() <= close * total or np.abs(steps).max() < 1e-9:
             break
-        rounds.append(steps)
+        rounds.append(steps.tolist())
     return rounds
 
 
