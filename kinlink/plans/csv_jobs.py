@@ -147,3 +147,59 @@ def q_get_project(spark, d):
     p = _text(table(spark, d, "part"), id="p_partkey", name="p_name", ProjectType=F.concat(F.col("p_size").cast("string"), F.lit(".0")))
     return hmis.get_project(spark, file_spec={"x": p}, metadata={
         "program_ID": "id", "project_type_column": "ProjectType", "duplicate_check_columns": ["id", "name", "ProjectType"]})
+
+
+# ---------------------------------------------------------------------- E9 --
+@query("merge_tables", f"""
+WITH st AS (SELECT l_orderkey AS id, l_linestatus AS st, CAST(max(l_quantity) AS BIGINT) AS amount, min(l_returnflag) AS flag
+            FROM lineitem GROUP BY ALL),
+e AS (SELECT * FROM st WHERE st = 'F'), x AS (SELECT * FROM st WHERE st = 'O'),
+first AS (SELECT o_custkey, min(o_orderdate) AS first_entry FROM orders GROUP BY o_custkey),
+client AS (SELECT c_custkey, CAST(DATE '1880-01-01' + CAST(c_custkey * 97 % 45000 AS INTEGER) AS TIMESTAMP) AS dob FROM customer),
+fixed AS (SELECT c.c_custkey, CASE WHEN date_part('year', dob) < 1900 OR dob > first_entry THEN NULL ELSE dob END AS dob
+          FROM client c LEFT JOIN first f ON c.c_custkey = f.o_custkey)
+SELECT CAST(o.o_orderkey AS VARCHAR) AS id, CAST(c.c_custkey AS VARCHAR) AS pid, strftime(o.o_orderdate, '%Y-%m-%d') AS entry,
+       strftime(c.dob, '%Y-%m-%d') AS dob, d.DestinationGroup, d.Subsidy,
+       CASE WHEN x.id IS NOT NULL THEN e.amount END AS Physical_entry, CASE WHEN e.id IS NOT NULL THEN x.amount END AS Physical_exit,
+       e.flag AS employed_entry, x.flag AS employed_exit, e.flag AS health_entry, x.flag AS health_exit,
+       CAST(e.amount AS DOUBLE) AS income_entry, CAST(x.amount AS DOUBLE) AS income_exit, t.ProjectType
+FROM fixed c LEFT JOIN orders o ON o.o_custkey = c.c_custkey
+LEFT JOIN (VALUES {_DEST_VALUES}) AS d(DestinationNumeric, DestinationDescription, DestinationGroup, DestinationSuccess, Subsidy)
+  ON o.o_orderkey % 31 = d.DestinationNumeric
+LEFT JOIN e ON o.o_orderkey = e.id LEFT JOIN x ON o.o_orderkey = x.id
+LEFT JOIN (VALUES {_PROJ_VALUES}) AS t(ProjectNumeric, ProjectType) ON o.o_orderkey % 20 % 15 = t.ProjectNumeric
+""")
+def q_merge_tables(spark, d):
+    """Orders as enrollments and exits, customers as clients, line items as the four stage tables."""
+    o = table(spark, d, "orders")
+    key = F.col("o_orderkey")
+    st = table(spark, d, "lineitem").groupBy("l_orderkey", "l_linestatus").agg(
+        F.max("l_quantity").cast("bigint").alias("amount"), F.min("l_returnflag").alias("flag"))
+    stage = F.when(F.col("l_linestatus") == "F", "1.0").otherwise("3")
+    born = F.date_add(F.lit("1880-01-01").cast("date"), (F.col("c_custkey") * 97 % 45000).cast("int"))
+    files = {
+        "enrollment": _text(o, id="o_orderkey", pid="o_custkey", prog=key % 20, grp="o_custkey", entry="o_orderdate"),
+        "exit": _text(o, id=F.concat(key.cast("string"), F.lit(".0")), dest=key % 31),
+        "client": _text(table(spark, d, "customer"), pid="c_custkey", dob=born),
+        "disabilities": _text(st, id="l_orderkey", stage=stage, type=F.lit("5"), response="amount"),
+        "employment_education": _text(st, id="l_orderkey", stage=stage, employed="flag"),
+        "health_dv": _text(st, id="l_orderkey", stage=stage, health="flag"),
+        "income": _text(st, id="l_orderkey", stage=stage, income="amount"),
+        "project": _text(o.select((key % 20).alias("p")).distinct(), prog="p", kind=F.col("p") % 15),
+    }
+    meta = {
+        "enrollment": {"person_enrollment_ID": "id", "person_ID": "pid", "program_ID": "prog", "groupID_column": "grp",
+                       "entry_date": "entry", "time_var": ["entry"], "duplicate_check_columns": ["id"]},
+        "exit": {"person_enrollment_ID": "id", "destination_column": "dest", "duplicate_check_columns": ["id"]},
+        "client": {"person_ID": "pid", "dob_column": "dob", "time_var": ["dob"], "duplicate_check_columns": ["pid", "dob"]},
+        "disabilities": {**STAGE, "type_column": "type", "response_column": "response", "categorical_var": ["response"],
+                         "categorical_unknown": [], "duplicate_check_columns": ["id", "stage", "type"]},
+        "employment_education": {**STAGE, "duplicate_check_columns": ["id", "stage"]},
+        "health_dv": {**STAGE, "duplicate_check_columns": ["id", "stage"]},
+        "income": {**STAGE, "columns_to_take_max": ["income"], "duplicate_check_columns": ["id", "stage"]},
+        "project": {"program_ID": "prog", "project_type_column": "kind", "duplicate_check_columns": ["prog"]},
+    }
+    m = hmis.merge_tables(spark, meta_files=meta, files={k: {"x": v} for k, v in files.items()}, groups=False)
+    return m.select("id", "pid", iso("entry").alias("entry"), iso("dob").alias("dob"), "DestinationGroup", "Subsidy",
+                    "Physical_entry", "Physical_exit", "employed_entry", "employed_exit", "health_entry", "health_exit",
+                    "income_entry", "income_exit", "ProjectType")
