@@ -14,7 +14,7 @@ PACK_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 SECRET_VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 #: Share of all tokens that each labelled domain shall have in the mix.
-TARGETS = {"good": 0.97, "good_toxic": 0.01, "poor": 0.015, "poor_toxic": 0.005}
+TARGETS = {"good": 0.92, "good_toxic": 0.045, "poor": 0.03, "poor_toxic": 0.005}
 
 
 def labelled_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
