@@ -13,9 +13,10 @@ Rows tied at the boundary are resolved exactly by the smaller id.  A row of
 a block wins or loses on its exact integer score; the blocks' winners meet
 in one ranking a query.
 
-Blocks hold at most ``block_rows`` rows and query blocks ``block_queries``;
-each pair of blocks is one task's work, so neither side is ever whole in
-one place.
+Blocks hold at most ``block_rows`` rows and query blocks ``block_queries``.
+Rows go to a cell for each query block and queries to a cell for each row
+block; a task gets a cell's rows, then its queries, one vector a row, so
+neither side is ever whole in one place.
 
 Defined results: null vectors, and vectors with a null, NaN or infinite
 component, take no part.  Shorter vectors count as padded with zeros.  Rows
@@ -142,35 +143,50 @@ def _numbered(rows: DataFrame, size: int) -> DataFrame:
     return placed.withColumn("_block", F.floor(F.col("_row") / size).cast("int"))
 
 
-def top_k(vectors: DataFrame, every: int = 50, k: int = 5, block_rows: int = 32_768, block_queries: int = 128) -> DataFrame:
+def _search(k: int):
+    """Arrow helper over sorted cells: gathers a cell's rows, then answers its queries."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, gathered, block = None, [], None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key = np.stack([batch.column(c).to_numpy() for c in range(3)], axis=1)
+            cuts = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1).tolist(), len(key)]
+            for a, b in zip(cuts, cuts[1:]):
+                part = batch.slice(a, b - a)
+                ids, numbers = (part.column(c).to_numpy().copy() for c in (3, 4))
+                if tuple(key[a][:2]) != cell:
+                    cell, gathered, block = tuple(key[a][:2]), [], None
+                if not key[a][2]:
+                    gathered.append((ids, numbers, _matrix(part.column(5))))
+                    continue
+                if block is None:
+                    width = max((g[2].shape[1] for g in gathered), default=0)
+                    block = SlicedBlock(*(np.concatenate([g[i] for g in gathered]) for i in (0, 1)),
+                                        np.concatenate([np.pad(g[2], ((0, 0), (0, width - g[2].shape[1]))) for g in gathered]))
+                found = [(q, o, v, s) for q, o, query in zip(ids.tolist(), numbers.tolist(), _matrix(part.column(5)))
+                         for v, s in block.top(query, o, k)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (list(zip(*found)) or [()] * 4)],
+                                                 names=["query_id", "own", "vec_id", "score"])
+
+    return run
+
+
+def top_k(vectors: DataFrame, every: int = 50, k: int = 5, block_rows: int = 32_768, block_queries: int = 512) -> DataFrame:
     """``query_id, rank, vec_id, score`` for queries whose id is divisible by ``every``."""
     ship(vectors.sparkSession)
     rows, _ = materialize(_numbered(quantised(vectors), block_rows), "vectors")
     blocks = (rows.agg(F.max("_block")).first()[0] or 0) + 1
     asked, _ = materialize(_numbered(rows.filter(F.pmod("vec_id", F.lit(every)) == 0)
                                      .select("vec_id", "v", F.col("_row").alias("_own")), block_queries), "queries")
-    gathered = lambda df, by, *cols: df.groupBy(by).agg(F.collect_list(F.struct(*cols)).alias("rows"))
-    # a group is one block, so it has a bounded number of rows
-    queries = (gathered(asked, "_block", "vec_id", "_own", "v").select(F.col("_block").alias("_q"), F.col("rows").alias("asked"))
-               .withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))))
-    index = gathered(rows, "_block", "vec_id", "_row", "v")
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: tuple[int, SlicedBlock] | None = None
-        for batch in batches:
-            for i in range(batch.num_rows):
-                number = batch.column(0)[i].as_py()
-                if held is None or held[0] != number:
-                    part = batch.column(1)[i].values
-                    held = (number, SlicedBlock(part.field(0).to_numpy().copy(), part.field(1).to_numpy().copy(), _matrix(part.field(2))))
-                part = batch.column(2)[i].values
-                ids, own, wanted = part.field(0).to_pylist(), part.field(1).to_pylist(), _matrix(part.field(2))
-                found = [(q, o, v, s) for q, o, query in zip(ids, own, wanted) for v, s in held[1].top(query, o, k)]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (list(zip(*found)) or [()] * 4)],
-                                                 names=["query_id", "own", "vec_id", "score"])
-
-    pairs = index.join(queries.hint("shuffle_hash"), "_block").select("_block", "rows", "asked")
-    found = pairs.mapInArrow(search, "query_id long, own long, vec_id long, score long")
+    parts = (asked.agg(F.max("_block")).first()[0] or 0) + 1
+    every_of = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    cells = (rows.select("_block", every_of(parts).alias("_part"), F.lit(0).alias("_kind"), "vec_id", "_row", "v")
+             .unionByName(asked.select(every_of(blocks).alias("_block"), F.col("_block").alias("_part"), F.lit(1).alias("_kind"),
+                                       "vec_id", F.col("_own").alias("_row"), "v")))
+    dealt = cells.repartition(blocks * parts, "_block", "_part").sortWithinPartitions("_block", "_part", "_kind", "_row")
+    found = dealt.mapInArrow(_search(k), "query_id long, own long, vec_id long, score long")
     best = Window.partitionBy("own").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
