@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, slices
+from .common import least_hashed, ship, slices
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 EXTRA = ("n_upper", "n_marks", "n_same")
@@ -196,7 +196,7 @@ def labelled_sample(labels: DataFrame, column: str, max_labelled: int) -> DataFr
     one = (labels.select("doc_id", F.col(column).alias("_label")).dropna()
            .groupBy("doc_id").agg(F.min("_label").alias("_label"), F.max("_label").alias("_most"))
            .filter("_label = _most").drop("_most"))
-    return one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
+    return least_hashed(one, "doc_id", max_labelled)
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 8000, max_false: float = 0.001,

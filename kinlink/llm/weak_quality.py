@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import ship, slices
+from .common import least_hashed, ship, slices
 from .iforest_rules import rule_counts
 
 BUCKETS = 1 << 12
@@ -170,7 +170,7 @@ def quality_scores(docs: DataFrame, max_train: int = 8000) -> DataFrame:
         return rows.select("doc_id", "votes", F.lit(0.0).alias("weak_label"), F.lit(0.0).alias("score"), F.lit(False).alias("kept"))
     model = VoteModel(numbers([r[0] for r in pattern_counts]), np.array([r[1] for r in pattern_counts], float))
     label = {r[0]: float(p) for r, p in zip(pattern_counts, model.posterior(numbers([r[0] for r in pattern_counts])))}
-    sample = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "votes").limit(max_train).select("buckets", "shares", "votes").collect()
+    sample = least_hashed(rows, "doc_id", max_train).select("buckets", "shares", "votes").collect()
     weights = fit_scorer([(r[0], r[1]) for r in sample], np.array([label[r[2]] for r in sample]))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -12,6 +12,16 @@ from kinlink.llm import (bitsliced_topk as B, kn_langid as L, license_rules as C
 SF2 = "/root/testdata/sf0.01"
 
 
+def test_least_hashed(spark):
+    from pyspark.sql import functions as F
+    from kinlink.llm.common import least_hashed
+    df = spark.range(5000).withColumn("x", F.col("id") * 2)
+    want = df.orderBy(F.xxhash64("id"), "id").limit(40).collect()
+    assert least_hashed(df, "id", 40).collect() == want
+    assert least_hashed(df.limit(3), "id", 40).count() == 3 and least_hashed(df.limit(0), "id", 40).count() == 0
+    assert least_hashed(df.union(df), "id", 5000).count() == 5000
+
+
 # ---------------------------------------------------------------------- 1 --
 def test_weak_labels(spark, awkward, empty):
     got = W.quality_scores(awkward).collect()
