@@ -117,7 +117,8 @@ def fit(docs: DataFrame, labelled: DataFrame, max_labelled: int = 6000, max_feat
     seen = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
             .select("doc_id", "text").mapInArrow(words, f"doc_id {kind}, buckets array<int>, signs array<double>")
             .join(F.broadcast(chosen), "doc_id"))
-    seen, _ = materialize(seen.dropDuplicates(["doc_id"]).withColumnRenamed("_label", "domain"), "domains")
+    one = F.max(F.struct(F.col("_label").alias("domain"), "buckets", "signs")).alias("one")     # of rows with the same id
+    seen, _ = materialize(seen.groupBy("doc_id").agg(one).select("doc_id", "one.*"), "domains")
     sizes = {r[0]: r[1] for r in seen.groupBy("domain").count().collect()}  # one row a domain
     domains = sorted(sizes)
     if not domains:
