@@ -135,7 +135,7 @@ def name_keep(df: DataFrame, name_cols: Sequence[str],
     # one pattern a column: '.' may stand anywhere in an excluded token, as it
     # is ignored; one character, dots aside; any digit
     tokens = [r"\.*".join(re.escape(x) for x in t) for t in exclusion]
-    pattern = "|".join([r"\p{Nd}", r"^\.*[^.]\.*$", *tokens])
+    pattern = "|".join([r"\p{Nd}", r"^\.*[^.]\.*\z", *tokens])
     conds = []
     for c in name_cols:
         if types.get(c) != "string":
