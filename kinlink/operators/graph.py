@@ -4,9 +4,8 @@ Components never need the pair list of a group: linking every member of a
 group (or of a time bucket) to the group's smallest member gives the same
 components with one edge per row.  The component loop is the alternating
 large-star / small-star algorithm (Kiveris et al., 2014) on an edge
-DataFrame; each round is cut from its lineage with a reliable
-``checkpoint()`` in the session's checkpoint folder, so a lost executor
-only recomputes one round.
+DataFrame; each round is written as Parquet in the session's checkpoint
+folder, so a lost executor only recomputes one round.
 """
 
 from __future__ import annotations
@@ -53,7 +52,9 @@ def connected_components(edges: DataFrame, nodes: DataFrame | None = None, src:
     """``(id, component)`` where component is the smallest id it reaches.
 
     ``edges`` are undirected; ``nodes`` (optional, column ``node``) adds
-    isolated vertices, which label themselves.
+    isolated vertices, which label themselves.  Rounds grow with the logarithm
+    of the longest path; more than ``max_rounds`` is an error, never a partial
+    result.
     """
     spark = edges.sparkSession
     ensure_checkpoint_dir(spark)
