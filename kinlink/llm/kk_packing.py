@@ -54,7 +54,7 @@ class WordTokens:
     closes a word (``</w>``); other words are told apart by the ids' places.
     """
 
-    def __init__(self, path: str, most_words: int = 300_000, longest: int = 64, at_once: int = 2000):
+    def __init__(self, path: str, most_words: int = 500_000, longest: int = 64, at_once: int = 2000):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         # small ASCII letters need no normal form and no splitting but at spaces
@@ -151,7 +151,7 @@ def differencing(sizes: list[int], m: int) -> tuple[np.ndarray, np.ndarray]:
     """Window of each part, and window sums, by multiway differencing."""
     n = len(sizes)
     sums: dict[int, np.ndarray] = {}
-    merged: dict[int, tuple[int, int, np.ndarray, np.ndarray]] = {}
+    merged: dict[int, tuple[int, int, np.ndarray]] = {}
     heap = []
     for i, size in enumerate(sizes):
         sums[i] = np.zeros(m, np.int64)
@@ -163,7 +163,7 @@ def differencing(sizes: list[int], m: int) -> tuple[np.ndarray, np.ndarray]:
         both = sums.pop(a) + sums.pop(b)[::-1]
         order = np.argsort(-both, kind="stable")
         sums[node] = both = both[order]
-        merged[node] = (a, b, order.astype(np.int32), (m - 1 - order).astype(np.int32))
+        merged[node] = (a, b, order)
         heapq.heappush(heap, (int(both[-1] - both[0]), node))
     window = np.zeros(n, np.int64)
     todo = [(heap[0][1], np.arange(m))]
@@ -172,11 +172,10 @@ def differencing(sizes: list[int], m: int) -> tuple[np.ndarray, np.ndarray]:
         if node < n:
             window[node] = places[0]
             continue
-        a, b, of_a, of_b = merged[node]
-        for child, of in ((a, of_a), (b, of_b)):
-            at = np.empty(m, np.int64)
-            at[of] = places
-            todo.append((child, at))
+        a, b, order = merged.pop(node)
+        at = np.empty(m, np.int64)
+        at[order] = places
+        todo += [(a, at), (b, at[::-1])]
     return window, sums[heap[0][1]]
 
 
