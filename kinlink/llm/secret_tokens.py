@@ -1,13 +1,21 @@
 """Operator 9, secret scans: fixed patterns and a token-efficiency test.
 
 The base patterns find assignments, access ids and long hex runs.  The
-method adds strings that a tokenizer's vocabulary spells badly: runs of
-key characters with letters and digits whose characters-per-token ratio is
-at most ``max_ratio``.  Words of a language, and identifiers made of them,
-have three or more characters a token; random strings about 1.5.  Known
-digests (hex of a digest's length, UUIDs) and identifiers (words joined by
-separators, with a number at most) are excluded before the test, and runs
-that touch a base span are not repeated.
+method adds strings that a tokenizer's vocabulary spells badly: runs of 16
+or more key characters with a letter whose characters-per-token ratio is at
+most ``max_ratio``.  Words of a language, and identifiers made of them, have
+three or more characters a token; random strings about 1.5.  Known digests
+(hex of a digest's length, UUIDs), runs without digits of which one character
+is half or more, and identifiers (letter groups joined by separators, with a
+number at most, that are one token or of a higher ratio each, or of a higher
+ratio together) are excluded before the test.
+
+A run that passes as a whole is one span.  Of any other, the pieces between
+separators are tested: neighbouring pieces that are no identifiers together,
+then each alone, so a key is found beside the path or name it is glued to.
+A run that touches base spans is cut there, and what is left is tested in
+the same way; of a piece that a base span covers in part, the remainder is
+also a span (of any length) if the whole piece passes.
 
 Defined results: a null text is scanned as an empty one.  Rows with null or
 repeated ids are scanned as they are.  Texts are scanned whole.  An empty
@@ -38,8 +46,10 @@ _KEYWORDS = ("password", "passwd", "secret", "token", "api")
 _RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 _DIGEST = re.compile(r"(?:[0-9A-Fa-f]{32}|[0-9A-Fa-f]{40}|[0-9A-Fa-f]{56}|[0-9A-Fa-f]{64}|[0-9A-Fa-f]{96}|[0-9A-Fa-f]{128}"
                      r"|[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12})")
-_IDENTIFIER = re.compile(r"[A-Za-z]{2,}(?:[_/+=-]+[A-Za-z]{2,})*[_/+=-]*[0-9]{0,8}")
-_DIGITS = b"0123456789"
+_IDENTIFIER = re.compile(r"[_/+=-]*[A-Za-z]+(?:[_/+=-]+[A-Za-z]+)*[_/+=-]*[0-9]{0,8}")
+_LETTERS = re.compile(r"[A-Za-z]+")
+_PIECE = re.compile(r"[A-Za-z0-9]+")
+LEAST = 16
 
 
 @lru_cache(maxsize=2)
@@ -62,16 +72,81 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+@lru_cache(maxsize=65536)
+def tokens(run: str, path: str) -> int:
+    return len(vocabulary(path).encode_ordinary(run))
+
+
+def is_identifier(run: str, path: str, max_ratio: float) -> bool:
+    """Letter groups and a number, cheap in tokens: each of them or all together (capitals may count as small letters).
+
+    One capital before small letters only is how words are written and
+    hardly ever a random string, so two characters a token will do there.
+    """
+    if not _IDENTIFIER.fullmatch(run):
+        return False
+    names = _LETTERS.findall(run)
+    cost = [min(tokens(x, path), tokens(x.lower(), path)) if x.isupper() else tokens(x, path) for x in names]
+    return (all(n == 1 or len(x) > max_ratio * n or x.istitle() and len(x) >= 2 * n for x, n in zip(names, cost))
+            or sum(map(len, names)) > max_ratio * sum(cost))
+
+
+def is_filler(run: str) -> bool:
+    """No digit, and one character in half of its places or more."""
+    return not any(c.isdigit() for c in run) and 2 * max(map(run.count, set(run))) >= len(run)
+
+
+def is_dear(run: str, path: str, max_ratio: float) -> bool:
+    """Letters (and more) at few characters a token, and no digest, filler or identifier."""
+    return (bool(_LETTERS.search(run)) and not _DIGEST.fullmatch(run) and len(run) <= max_ratio * tokens(run, path)
+            and not is_filler(run) and not is_identifier(run, path, max_ratio))
+
+
+def random_parts(run: str, path: str, max_ratio: float) -> list[tuple[int, int]]:
+    """The whole run, or the pieces of it, that the test finds random."""
+    if len(run) < LEAST or _DIGEST.fullmatch(run):
+        return []
+    if is_dear(run, path, max_ratio):
+        return [(0, len(run))]
+    groups: list[list[tuple[int, int]]] = [[]]
+    for m in _PIECE.finditer(run):
+        if is_dear(m[0], path, max_ratio):
+            groups[-1].append(m.span())
+        elif groups[-1] and not (m[0].isdigit() or len(m[0]) <= 3):     # inside a key, numbers and short pieces do not end it
+            groups.append([])
+    found = []
+    for group in groups:
+        whole = [(group[0][0], group[-1][1])] if len(group) > 1 else []
+        for parts in (whole, group):
+            hits = [(a, b) for a, b in parts if b - a >= LEAST and is_dear(run[a:b], path, max_ratio)]
+            if hits:
+                found += hits
+                break
+    return found
+
+
+def free_parts(start: int, end: int, taken: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """What of ``start`` to ``end`` lies in no span of ``taken`` (sorted by start)."""
+    free = []
+    for s, _, e in taken:
+        if s < end and start < e:
+            if start < s:
+                free.append((start, s))
+            start = max(start, e)
+    return [*free, (start, end)] if start < end else free
+
+
 def random_spans(text: str, taken: list[tuple[int, int, int]], path: str, max_ratio: float) -> list[tuple[int, int, int]]:
     found = []
     for m in _RUN.finditer(text):
-        run = m[0]
-        if (not any(c.isdigit() for c in run) or not any(c.isalpha() for c in run)
-                or _DIGEST.fullmatch(run) or _IDENTIFIER.fullmatch(run)
-                or any(s < m.end() and m.start() < e for s, _, e in taken)):
-            continue
-        if len(run) <= max_ratio * len(vocabulary(path).encode_ordinary(run)):
-            found.append((m.start(), 3, m.end()))
+        near = [x for x in taken if x[0] < m.end() and m.start() < x[2]]
+        spans = {(a + s, a + e) for a, b in free_parts(*m.span(), near) for s, e in random_parts(text[a:b], path, max_ratio)}
+        for p in _PIECE.finditer(m[0]) if near else ():
+            a, b = m.start() + p.start(), m.start() + p.end()
+            left = free_parts(a, b, near)
+            if left != [(a, b)] and b - a >= LEAST and is_dear(p[0], path, max_ratio):
+                spans.update(x for x in left if not any(s <= x[0] and x[1] <= e for s, e in spans))
+        found += [(a, 3, b) for a, b in spans]
     return found
 
 
@@ -83,7 +158,7 @@ def scan(text: str | None, path: str, max_ratio: float) -> list[tuple[int, int,
     longest = max(map(len, data.split()), default=0)
     # every span but an assignment's lies in one word of 16 bytes or more
     base = base_spans(text) if longest >= 20 or "=" in text or ":" in text else []
-    if longest < 16 or len(data.translate(None, _DIGITS)) == len(data):
+    if longest < LEAST:
         return base
     return sorted(base + random_spans(text, base, path, max_ratio))
 

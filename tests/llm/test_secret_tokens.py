@@ -62,3 +62,29 @@ def test_redact(spark, empty):
         assert r.text == t if not plain_base(t) else "[REDACTED]" in r.text
         assert r.n_chars == (None if t is None else len(r.text))
     assert S.redact(empty, PATH).collect() == [] and S.find_secrets(empty, PATH).collect() == []
+
+
+def test_keys_without_digits_beside_names_and_base_spans():
+    def marked(text):
+        return {i for a, _, b in S.scan(text, PATH, 2.2) for i in range(a, b)}
+
+    keys = ("qXvZkTbWmRpLsDfG", "qXvZkTbWmRpLsDfGhJcNyVtQ", "KZXVQWJRTPLMNBHGFD", "aB/xKqZtWv+RpLmNsDfGhJcYk", "9Xk2Lq8ZvR4tY7wB1nM6cD3f")
+    for key in keys:
+        for glued in ("{}", "{}12345678", "/home/user/configuration/{}", "AWS_ACCESS_IDENTIFIER={}", "{}-" + "ab12" * 8, "x" + "ab12" * 8 + "/{}"):
+            text = f"see {glued.format(key)} now"
+            at = text.index(key)
+            assert set(range(at, at + len(key))) <= marked(text), text
+    assert S.scan("ZqXvKt" + "ab12" * 8 + "WmRp", PATH, 2.2) == [(0, 3, 6), (6, 2, 38), (38, 3, 42)]
+    for clean in ("src/main/java/com/example/UserController", "getUserAccountByIdentifier", "MAX_CONNECTION_TIMEOUT_MS", "a/b/c/d/e/f/g/h/i/j",
+                  "Geschwindigkeitsbegrenzung", "VERANTWORTUNGSBEWUSSTSEIN", "lorem_ipsum_dolor_sit_amet", "-----------------BEGIN"):
+        assert not marked(clean), clean
+
+
+def test_random_strings_are_found():
+    import random
+    import string
+    r = random.Random(3)
+    for letters in (string.ascii_lowercase, string.ascii_letters, string.ascii_letters + string.digits):
+        for size in (16, 24, 40):
+            texts = ["".join(r.choices(letters, k=size)) for _ in range(200)]
+            assert sum(S.scan(t, PATH, 2.2) == [(0, 3, size)] for t in texts) >= 190
