@@ -1,19 +1,23 @@
 """Operator 8, licence scans by sentence rules; DataFrame functions only.
 
-A text is cut into sentences, each is normalised (lower case, letters and
-digits of ASCII with single spaces between) and looked up among known
-licence sentences, which gives a sequence of sentence identifiers.  Ordered
-rules then match runs of identifiers: the rules are tried from the first
-on, and identifiers that a rule has matched are used up, so a full licence
-text is not also reported as the shorter notices inside it.
-
-Sentences end at ``. ! ? ; :`` before white space and at line ends.  Texts
-wrapped in the middle of sentences are also cut with line ends taken as
-spaces (but for blank lines); the cut that recognises more sentences
-counts, the first one in a tie.
+A text is put in a normal form (lower case, letters and digits of ASCII with
+single spaces between, marks for sentence ends and line ends) and searched
+for known licence sentences, which gives a sequence of sentence identifiers
+in the order of the text.  Ordered rules then match runs of identifiers: the
+rules are tried from the first on, and identifiers that a rule has matched
+are used up, so a full licence text is not also reported as the shorter
+notices inside it.  Identifiers of ``MORE`` name one licence each.
+
+Sentences end at ``. ! ? ; :`` before white space and at blank lines.  A
+known sentence may begin at any sentence end or line end, after up to
+``LEAD`` other words (but no ``not``, ``never`` or ``no``), and line ends
+inside it are spaces, so wrapped texts and unpunctuated lines are found in
+the same text.  Notices (``licensed under ...``) may go on; other sentences
+end at a sentence end or line end.  Spellings (``licence``, ``v2``, verbs of
+notices) and the holder's name of a BSD text are normalised away.
 
 Every known sentence has one of a few stems in it, so texts without any of
-them are not cut at all.
+them are not searched at all.
 
 Defined results: null and empty texts, and texts without a known sentence,
 have no identifiers and no licences.  Null and repeated ids are rows of
@@ -23,6 +27,8 @@ once.  An empty table gives an empty result.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -82,42 +88,149 @@ SENTENCE_END = r"\n|[.!?;:][ \t\n\r]+"
 WRAPPED_END = r"\n[ \t\r]*\n|[.!?;:][ \t\n\r]+"
 
 
-def _identifiers(low: Column, ends: str) -> Column:
+# Sentences beyond the table above: the SQL for DuckDB does not know them.
+SPDX = ["MIT", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "ISC", "Zlib", "BSL-1.0", "CC0-1.0", "Unlicense", "MPL-2.0",
+        "EPL-1.0", "EPL-2.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0"]
+GNU = {"GPL-2.0": ("general", "2"), "GPL-3.0": ("general", "3"), "LGPL-2.0": ("library general", "2"), "LGPL-2.1": ("lesser general", "2 1"),
+       "LGPL-3.0": ("lesser general", "3"), "AGPL-3.0": ("affero general", "3")}
+NOTICES = {
+    "MIT": ["mit license"],
+    "Apache-2.0": ["apache license version 2 0", "apache license 2 0", "apache license version 2", "apache 2 0", "apache version 2", "apache software license version 2 0"],
+    "BSD-3-Clause": ["bsd 3 clause", "3 clause bsd", "new bsd license", "modified bsd license"],
+    "BSD-2-Clause": ["bsd 2 clause", "2 clause bsd", "simplified bsd license"],
+    "ISC": ["isc license"],
+    "Zlib": ["zlib license", "zlib libpng license"],
+    "BSL-1.0": ["boost software license version 1 0", "boost software license 1 0"],
+    "EPL-1.0": ["eclipse public license version 1 0", "eclipse public license 1 0"],
+    "EPL-2.0": ["eclipse public license version 2 0", "eclipse public license 2 0"],
+    "MPL-2.0": ["mozilla public license version 2 0", "mozilla public license 2 0", "mpl 2 0", "mpl version 2 0"],
+    "CC0-1.0": ["cc0 1 0", "creative commons zero version 1 0", "creative commons cc0 1 0"],
+    "CC-BY-SA-4.0": ["a creative commons attribution sharealike 4 0 international license"],
+    "CC-BY-NC-4.0": ["a creative commons attribution noncommercial 4 0 international license"],
+    "Unlicense": ["unlicense"],
+}
+ALONE = {
+    "Zlib": ["the origin of this software must not be misrepresented"],
+    "CC0-1.0": ["has waived all copyright and related or neighboring rights", "has dedicated all copyright and related and neighboring rights",
+                "have dedicated all copyright and related and neighboring rights"],
+}
+
+
+def _more() -> dict[str, tuple[str, str]]:
+    """Sentence in normal form: its identifier and its licence."""
+    out = {}
+    for name in SPDX:
+        out["spdx license identifier " + re.sub("[^a-z0-9]+", " ", name.lower())] = ("spdx-" + name.lower(), name)
+    for name, (kind, version) in GNU.items():
+        short, plain = name.split("-")[0].lower(), re.sub("[^a-z0-9]+", " ", name.lower())
+        later = name + "-or-later"
+        for end, what in (("", name), (" only", name), (" or later", later)):
+            out[f"spdx license identifier {plain}{end}"] = ("spdx-" + what.lower(), what)
+        free = f"you can redistribute it and or modify it under the terms of the gnu {kind} public license"
+        by = "as published by the free software foundation"
+        names = [f"gnu {kind} public license version {version}", f"gnu {short} version {version}", f"{short} version {version}",
+                 f"{short}v{version}", f"gnu {short}v{version}"]
+        if kind == "library general":
+            names = names[:1]
+        names += [f"{x} 0" for x in names if " " not in version]
+        for option in ("", " only"):
+            for x in names:
+                out[f"licensed under the {x}{option}"] = (f"{name.lower()}-notice", name)
+        for option in ("or later", "or any later version", "or at your option any later version", "or newer"):
+            for x in names:
+                out[f"licensed under the {x} {option}"] = (f"{later.lower()}-notice", later)
+        out[f"{free} {by} version {version} of the license"] = (f"{name.lower()}-grant", name)
+        out[f"{free} version {version} {by}"] = out[f"{free} version {version} only {by}"] = (f"{name.lower()}-grant", name)
+        out[f"{free} {by} either version {version} of the license or at your option any later version"] = (f"{later.lower()}-grant", later)
+    for table, lead in ((NOTICES, "licensed under the "), (ALONE, "")):
+        for name, phrases in table.items():
+            for x in phrases:
+                out[lead + x] = (f"{name.lower()}-notice", name)
+    return out
+
+
+#: Replaced one after the other in the normal form, in which `` H`` marks sentence ends and `` S`` line ends.
+GAP = "(?: S)* "
+SAME = [
+    ("licence", "license"),
+    (" v ?([0-9])", " version $1"),
+    (f"(?:released|distributed|made{GAP}available|available|published|licensed){GAP}under{GAP}(?:the{GAP})?(?:terms{GAP}of{GAP}(?:the{GAP})?)?(?!license )",
+     "licensed under the "),
+    (f"neither{GAP}the{GAP}names?{GAP}of{GAP}(?:[a-z0-9]+(?: [HS])* ){{1,15}}?n?or{GAP}the{GAP}names?{GAP}of{GAP}(?:its|their|his|her|any){GAP}contributors",
+     "neither the name of the copyright holder nor the names of its contributors"),
+    ("(?<=spdx license identifier [a-z0-9 ]{1,80}) (?:or|and) (?!later)", " H spdx license identifier "),
+]
+
+
+def _same(key: str) -> str:
+    key = f" {key} "
+    for old, new in SAME:
+        if "(?<=" not in old:   # expressions of identifiers are in no key
+            key = re.sub(old, new.replace("$", "\\"), key)
+    return key.strip()
+
+
+MORE = _more()
+# what the first table has goes first: one identifier a sentence
+KNOWN = {_same(k): i for k, (i, _) in MORE.items()} | {_same(k): i for k, i in SENTENCES.items()}
+#: Every sentence of ``MORE``, as texts spell it, has one of these in it.
+MORE_STEMS = (*STEMS, "licence", "gpl", "apache", "mpl", "bsd", "cc0", "cc by", "cc-by", "misrepresented", "general public")
+LEAD = 12
+
+
+def _pattern() -> str:
+    """Known sentences as one expression, longer ones first; group 1 is the sentence."""
+    def any_of(keys: list[str]) -> str:
+        return "|".join(k.replace(" ", GAP) for k in sorted(keys, key=lambda k: (-len(k), k)))
+
+    notice = [k for k in KNOWN if "licensed under the " in k or k in MORE and not k.startswith("spdx")]
+    spdx = [k for k in KNOWN if k.startswith("spdx")]
+    rest = [k for k in KNOWN if k not in notice and k not in spdx]
+    return (f"(?<=[HS] )(?:(?!(?:not|never|no) )[a-z0-9]+{GAP}){{0,{LEAD}}}?"
+            f"((?:{any_of(rest)})(?= [HS])|(?:{any_of(spdx)})(?= (?:[HS]|with) )|(?:{any_of(notice)})(?= )(?! [0-9] ))")
+
+
+def _identifiers(low: Column) -> Column:
     """Known identifiers of a lower-case text, in order."""
-    known = F.create_map(*(F.lit(x) for pair in SENTENCES.items() for x in pair))
-    normal = F.transform(F.split(low, ends), lambda s: F.trim(F.regexp_replace(s, "[^a-z0-9]+", " ")))
-    return F.transform(F.filter(normal, lambda s: s.isin(*SENTENCES)), lambda s: F.element_at(known, s))
+    known = F.create_map(*(F.lit(x) for pair in KNOWN.items() for x in pair))
+    text = F.regexp_replace(low, "license-identifier:[ \\t]*", "license-identifier ")
+    text = F.regexp_replace(text, "(gpl-[0-9.]+)[+]", "$1-or-later")
+    text = F.regexp_replace(F.regexp_replace(text, WRAPPED_END, " H "), "\n", " S ")
+    text = F.concat(F.lit("H "), F.regexp_replace(text, "[^a-z0-9HS]+", " "), F.lit(" H "))
+    text = F.regexp_replace(text, " +", " ")
+    for old, new in SAME:
+        text = F.regexp_replace(text, old, new)
+    return F.transform(F.regexp_extract_all(text, F.lit(_pattern()), F.lit(1)), lambda s: F.element_at(known, F.regexp_replace(s, "(?: S)+", "")))
 
 
 def find_licenses(docs: DataFrame) -> DataFrame:
     """``doc_id, n_sentences, sentence_ids, licenses`` of every row (lists comma-joined)."""
     low = docs.select("doc_id", F.lower("text").alias("low"))
     stem = F.lit(False)
-    for s in STEMS:
+    for s in MORE_STEMS:
         stem = stem | F.col("low").contains(s)
     none = F.array().cast("array<string>")
-    cut = low.select("doc_id", F.when(stem, F.struct(_identifiers(F.col("low"), SENTENCE_END).alias("line"),
-                                                     _identifiers(F.col("low"), WRAPPED_END).alias("wrapped"))).alias("c"))
-    ids = cut.select("doc_id", F.coalesce(F.when(F.size("c.wrapped") > F.size("c.line"), F.col("c.wrapped"))
-                                          .otherwise(F.col("c.line")), none).alias("ids"))
+    ids = low.select("doc_id", F.coalesce(F.when(stem, _identifiers(F.col("low"))), none).alias("ids"))
     left = ids.withColumn("left", F.concat_ws("", F.transform("ids", lambda i: F.concat(F.lit("<"), i, F.lit(">")))))
     names = []
     for k, (_, run) in enumerate(RULES):
         pattern = F.lit("".join(f"<{i}>" for i in run))
         # only texts with a known sentence have anything left to match
         left = left.withColumn(f"r{k}", F.contains("left", pattern)).withColumn("left", F.replace("left", pattern, F.lit("<>")))
-    for name in dict.fromkeys(n for n, _ in RULES):
+    for name in dict.fromkeys([*(n for n, _ in RULES), *(n for _, n in MORE.values())]):
         hit = F.lit(False)
         for k, (n, _) in enumerate(RULES):
             if n == name:
                 hit = hit | F.col(f"r{k}")
+        for i in sorted({i for i, n in MORE.values() if n == name}):
+            hit = hit | F.array_contains("ids", i)
         names.append(F.when(hit, F.lit(name)))
     return left.select("doc_id", F.size("ids").cast("long").alias("n_sentences"),
                        F.concat_ws(",", "ids").alias("sentence_ids"), F.concat_ws(",", *names).alias("licenses"))
 
 
 def duckdb_sql() -> str:
-    """The same over a table ``documents``, for DuckDB."""
+    """The same over a table ``documents``, for DuckDB, as far as whole sentences of ``SENTENCES`` go (without ``MORE``)."""
     def text(s: str) -> str:
         return "'" + s.replace("'", "''") + "'"
 

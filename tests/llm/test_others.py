@@ -186,6 +186,32 @@ def test_licenses(spark, awkward, empty):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_ordinary_notices(spark):
+    bsd = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions\n"
+           "are met:\n\n1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following\n   disclaimer.\n"
+           "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in\n"
+           "the documentation and/or other materials provided with the distribution.\n")
+    name = ("3. Neither the name of Acme Inc. nor the names of its\ncontributors may be used to endorse or promote products derived from this software "
+            "without specific prior written permission.\n")
+    gnu = "This {} is free software: you can redistribute it and/or\nmodify it under the terms of the GNU {} Public License as published by the Free Software\nFoundation, either version {} of the License, or (at your option) any later version."
+    texts = [("This project is licensed under the MIT License.", "MIT"), ("Foo is released under the MIT licence - see LICENSE for details.", "MIT"),
+             ("# SPDX-License-Identifier: Apache-2.0\nimport x", "Apache-2.0"), ("// SPDX-License-Identifier: (MIT OR GPL-2.0-or-later)\n", "MIT,GPL-2.0-or-later"),
+             ("/* SPDX-License-Identifier: LGPL-2.1+ */", "LGPL-2.1-or-later"), ("SPDX-License-Identifier: GPL-2.0-only WITH Classpath-exception-2.0", "GPL-2.0"),
+             ("SPDX-License-Identifier: MIT-0", ""), (gnu.format("library", "Lesser General", "2.1"), "LGPL-2.1-or-later"),
+             (gnu.format("program", "Affero General", "3"), "AGPL-3.0-or-later"), (gnu.format("program", "General", "2"), "GPL-2.0-or-later"),
+             ("This work is licensed under the GNU General Public License, version 2.", "GPL-2.0"), ("Distributed under the GPLv3 or later.", "GPL-3.0-or-later"),
+             ("This program and the accompanying materials are made available under the terms of the Eclipse Public License v2.0 which accompanies it", "EPL-2.0"),
+             ("The origin of this software must not be misrepresented; you must not claim it.", "Zlib"),
+             ("Distributed under the Boost Software License, Version 1.0. (See http://x)", "BSL-1.0"),
+             ("To the extent possible under law, Jane Doe has waived all copyright and related or neighboring rights to Foo.", "CC0-1.0"),
+             (bsd + name, "BSD-3-Clause"), (bsd, "BSD-2-Clause"), (bsd + name.replace("Acme Inc.", "the University of X"), "BSD-3-Clause"),
+             (MIT + "\n\nLicensed under the Apache License, Version 2.0\nand further text without an end", "MIT,Apache-2.0"),
+             ("It is not licensed under the MIT License.", ""), ("Permission denied by the licence server", "")]
+    got = C.find_licenses(cases.frame(spark, [(i, t, "en", "a", 1) for i, (t, _) in enumerate(texts)])).collect()
+    assert {texts[r.doc_id][0]: r.licenses for r in got} == dict(texts)
+    assert all(any(s in k for s in C.MORE_STEMS) for k in C.MORE)
+
+
 # --------------------------------------------------------------------- 10 --
 def test_mixing(spark, awkward, empty, labels, no_labels):
     from pyspark.sql import functions as F
