@@ -2,15 +2,17 @@
 
 Per text, simple rule counts are taken in one pass over the whole text.
 An isolation forest (random splits of random statistics) gives each text a
-mean path length; texts that few splits isolate are anomalous.  Signs and
-repetition have a forest each, so that an unusual text of one kind does not
-hide the other kind.  The rejection thresholds are calibrated on labelled
-rows: the lowest score that rejects at most ``max_false`` of the rows
-labelled good.
+mean path length; texts that few splits isolate are anomalous.  Signs,
+repetition and length have a forest each, so that an unusual text of one
+kind does not hide the other kinds.
 
-The forests are fitted on a bounded sample: the ``max_labelled`` labelled
+The trees are fitted on a bounded sample: the ``max_labelled`` labelled
 documents with the smallest hash of their id, and ``sample`` rows per tree.
-Counts and verdicts cover all rows.
+The rejection thresholds are calibrated on all labelled rows that pass the
+base rule: Spark counts their scores (in steps of 1 / ``GRID``) for good and
+poor, and of the limits that reject at most ``max_false`` of the good rows
+(rounded up to a row) the one is taken that leaves most between the rejected
+shares of poor and of good rows; none if no limit rejects more of the poor.
 
 Defined results: a null or empty text has zero counts, fails the base rule
 (fewer than 20 words) and is not kept.  Null and repeated ids are kept as
@@ -83,18 +85,22 @@ def base_failed(n_words, n_repeat_words):
 
 
 #: Columns of ``features`` by group; each group has a forest and a threshold.
-GROUPS = {"signs": slice(0, 3), "repetition": slice(3, 6)}
+GROUPS = {"signs": slice(0, 3), "repetition": slice(3, 6), "length": slice(6, 8)}
+#: Scores are compared with limits, and counted, in steps of 1 / GRID.
+GRID = 4096
 
 
 def features(counts: np.ndarray) -> np.ndarray:
     """Statistics the forests split on, from rows of COUNTS + EXTRA.
 
     Shares are taken on a logarithmic scale, so that a random split between
-    "none" and "some" is as likely as one between "some" and "all".
+    "none" and "some" is as likely as one between "some" and "all"; so are
+    the number of words and their mean length.
     """
     words, chars, symbols, dup, repeat, upper, marks, same = np.asarray(counts, np.float64).reshape(-1, 8).T
     w, c = np.maximum(words, 1), np.maximum(chars, 1)
-    return np.log1p(100 * np.column_stack([symbols / c, upper / c, marks / w, same / w, repeat / w, dup / w]))
+    shares = np.column_stack([symbols / c, upper / c, marks / w, same / w, repeat / w, dup / w])
+    return np.log1p(np.column_stack([100 * shares, words, chars / w]))
 
 
 # ---------------------------------------------------------------- forest --
@@ -140,32 +146,46 @@ class IsolationForest:
         return 2.0 ** (-self.path[at].mean(axis=1) / max(_expected_depth(self.size), 1e-9))
 
 
-def threshold(scores: np.ndarray, good: np.ndarray, max_false: float) -> float:
-    """Lowest score above which at most ``max_false`` of the good rows lie."""
-    if not good.any() or good.all():
+def limit(values: np.ndarray, good: np.ndarray, poor: np.ndarray, max_false: float) -> float:
+    """The score above which rows are rejected, from the counts of good and poor rows of each value (ascending)."""
+    if not good.sum() or not poor.sum():
         return float("inf")
-    ok = np.sort(scores[good])
-    return float(ok[min(len(ok) - 1, int(np.ceil((1 - max_false) * len(ok))))])
+    seen = good + poor > 0
+    values, good, poor = values[seen], good[seen], poor[seen]
+    over = [n.sum() - np.cumsum(n) for n in (good, poor)]      # rows above each value
+    gain = np.where(over[0] <= np.ceil(max_false * good.sum() - 1e-9), over[1] / poor.sum() - over[0] / good.sum(), 0)
+    best = np.flatnonzero(gain == gain.max())[-1] if gain.max() > 0 else -1
+    return float(values[best]) if best >= 0 else float("inf")
+
+
+def threshold(scores: np.ndarray, good: np.ndarray, max_false: float) -> float:
+    """``limit`` of single rows."""
+    values, at = np.unique(scores, return_inverse=True)
+    return limit(values, np.bincount(at, good, len(values)), np.bincount(at, ~good, len(values)), max_false)
 
 
 class Rules:
     """One forest and one calibrated threshold per group of statistics."""
 
-    def __init__(self, counts: np.ndarray, good: np.ndarray, max_false: float, trees: int, sample: int):
-        x, judged = features(counts), ~base_failed(counts[:, 0], counts[:, 4])
-        self.forests, self.limits = {}, {}
-        for name, cols in GROUPS.items():
-            self.forests[name] = forest = IsolationForest(x[:, cols], trees, sample)
-            self.limits[name] = threshold(forest.score(x[judged, cols]), good[judged], max_false)
+    def __init__(self, counts: np.ndarray, trees: int, sample: int):
+        x = features(counts)
+        self.forests = {name: IsolationForest(x[:, cols], trees, sample) for name, cols in GROUPS.items()}
+        self.limits = dict.fromkeys(GROUPS, float("inf"))
+
+    def scores(self, counts: np.ndarray) -> np.ndarray:
+        """Anomaly scores of each row, one column a group."""
+        x = features(counts)
+        return np.column_stack([self.forests[name].score(x[:, cols]) for name, cols in GROUPS.items()])
 
     def judge(self, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """``base_failed``, ``kept`` and the largest anomaly score of each row."""
-        x, failed = features(counts), base_failed(counts[:, 0], counts[:, 4])
-        kept, worst = ~failed, np.zeros(len(counts))
-        for name, cols in GROUPS.items():
-            score = self.forests[name].score(x[:, cols])
-            kept, worst = kept & (score <= self.limits[name]), np.maximum(worst, score)
-        return failed, kept, worst
+        failed, scores = base_failed(counts[:, 0], counts[:, 4]), self.scores(counts)
+        kept = ~failed & (steps(scores) <= np.array([self.limits[name] for name in GROUPS])).all(axis=1)
+        return failed, kept, scores.max(axis=1, initial=0)
+
+
+def steps(scores: np.ndarray) -> np.ndarray:
+    return np.floor(scores * GRID).astype(np.int64)
 
 
 class BaseOnly:
@@ -191,26 +211,52 @@ def count_rules(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, " + ", ".join(f"{c} long" for c in names))
 
 
+def consistent(labels: DataFrame, column: str) -> DataFrame:
+    """``doc_id`` and label of the ids with one label."""
+    return (labels.select("doc_id", F.col(column).alias("_label")).dropna()
+            .groupBy("doc_id").agg(F.min("_label").alias("_label"), F.max("_label").alias("_most"))
+            .filter("_label = _most").drop("_most"))
+
+
 def labelled_sample(labels: DataFrame, column: str, max_labelled: int) -> DataFrame:
     """``doc_id`` and label of a bounded sample of consistently labelled ids."""
-    one = (labels.select("doc_id", F.col(column).alias("_label")).dropna()
-           .groupBy("doc_id").agg(F.min("_label").alias("_label"), F.max("_label").alias("_most"))
-           .filter("_label = _most").drop("_most"))
-    return least_hashed(one, "doc_id", max_labelled)
+    return least_hashed(consistent(labels, column), "doc_id", max_labelled)
+
+
+def score_counts(docs: DataFrame, labels: DataFrame, rules: Rules) -> DataFrame:
+    """``group, step, good, n``: counts of the scores of all labelled rows that pass the base rule."""
+    ship(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            got = np.array([rule_counts(t) for t in part.column(1).to_pylist()], np.int64)
+            judged = ~base_failed(got[:, 0], got[:, 4])
+            ids = part.column(0).filter(pa.array(judged))
+            yield pa.RecordBatch.from_arrays([ids, pa.array(list(steps(rules.scores(got[judged]))), pa.list_(pa.int64()))], names=["doc_id", "steps"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    rows = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, steps array<long>").join(consistent(labels, "quality"), "doc_id")
+    return (rows.select((F.col("_label") > 0).alias("good"), F.posexplode("steps").alias("group", "step"))
+            .groupBy("group", "step", "good").agg(F.count("*").alias("n")))
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 8000, max_false: float = 0.001,
         trees: int = 100, sample: int = 64) -> Rules | BaseOnly:
-    """Forests and thresholds from at most ``max_labelled`` labelled documents."""
+    """Forests from at most ``max_labelled`` labelled documents, thresholds from all of them."""
     chosen = labelled_sample(labels, "quality", max_labelled)
     # bounded by max_labelled rows, so this side may be broadcast
     rows = count_rules(docs.join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_semi"))
-    rows = rows.groupBy("doc_id").agg(F.max(F.struct(*COUNTS, *EXTRA)).alias("c")).join(chosen, "doc_id")
-    got = rows.orderBy("doc_id").select("c.*", "_label").collect()
+    rows = rows.groupBy("doc_id").agg(F.max(F.struct(*COUNTS, *EXTRA)).alias("c"))
+    got = rows.orderBy("doc_id").select("c.*").collect()
     if not got:
         return BaseOnly()
-    table = np.array(got, np.float64)
-    return Rules(table[:, :-1], table[:, -1] > 0, max_false, trees, sample)
+    rules = Rules(np.array(got, np.float64), trees, sample)
+    # bounded by groups, steps and two labels
+    counts = np.array(score_counts(docs, labels, rules).select("group", "step", F.col("good").cast("long"), "n").collect(), np.int64).reshape(-1, 4)
+    for k, name in enumerate(GROUPS):
+        n = [np.bincount(c[:, 1], c[:, 3], GRID + 1) for c in (counts[(counts[:, 0] == k) & (counts[:, 2] == g)] for g in (1, 0))]
+        rules.limits[name] = limit(np.arange(GRID + 1), *n, max_false)
+    return rules
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, **fit_options) -> DataFrame:

@@ -67,3 +67,25 @@ def test_forest_isolates_what_is_rare():
     score = R.IsolationForest(x, 100, 64).score(x)
     assert score[-1] > score[:-1].max()
     assert R.threshold(np.arange(100.), np.arange(100) < 90, 0.0) == 89
+
+
+def test_one_mislabelled_row_does_not_switch_a_forest_off():
+    good = np.append(np.arange(300) < 200, True)
+    scores = np.append(np.arange(300.), 1000.)
+    assert R.threshold(scores, good, 0.001) == 199
+    assert R.threshold(-scores, good, 0.001) == float("inf")      # poor rows score lower: nothing to reject
+
+
+def test_limits_come_from_all_labelled_rows(spark):
+    sf = SF.replace("0.001", "0.01")
+    docs, labels = (spark.read.parquet(f"{sf}/{x}.parquet") for x in ("documents", "labels"))
+    rules = R.fit(docs, labels, max_labelled=40)
+    label = {r[0]: r[1] > 0 for r in R.consistent(labels, "quality").collect()}
+    rows = [(label[i], R.rule_counts(t)) for i, t in docs.select("doc_id", "text").collect() if i in label]
+    good, counts = np.array([g for g, _ in rows]), np.array([c for _, c in rows])
+    judged = ~R.base_failed(counts[:, 0], counts[:, 4])
+    assert judged.sum() > 100
+    got = R.steps(rules.scores(counts[judged]))
+    for k, name in enumerate(R.GROUPS):
+        assert rules.limits[name] == R.threshold(got[:, k], good[judged], 0.001), name
+    assert R.features(np.array([[30, 150, 0, 0, 0, 0, 0, 0], [9000, 150, 0, 0, 0, 0, 0, 0]])).std(axis=0)[R.GROUPS["length"]].min() > 0
