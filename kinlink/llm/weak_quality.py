@@ -120,7 +120,9 @@ class VoteModel:
 
 
 def fit_scorer(rows: list[tuple], target: np.ndarray, rounds: int = 400, ridge: float = 1e-4) -> np.ndarray:
-    """Weights of the buckets and a constant, by logistic regression on soft labels."""
+    """Weights of the buckets and a constant, by logistic regression on soft labels; zeros without rows."""
+    if not rows:
+        return np.zeros(BUCKETS + 1)
     at = np.concatenate([np.asarray(r[0], np.int64) for r in rows])
     value = np.concatenate([np.asarray(r[1], float) for r in rows])
     of = np.repeat(np.arange(len(rows)), [len(r[0]) for r in rows])
@@ -170,7 +172,9 @@ def quality_scores(docs: DataFrame, max_train: int = 8000) -> DataFrame:
         return rows.select("doc_id", "votes", F.lit(0.0).alias("weak_label"), F.lit(0.0).alias("score"), F.lit(False).alias("kept"))
     model = VoteModel(numbers([r[0] for r in pattern_counts]), np.array([r[1] for r in pattern_counts], float))
     label = {r[0]: float(p) for r, p in zip(pattern_counts, model.posterior(numbers([r[0] for r in pattern_counts])))}
-    sample = least_hashed(rows, "doc_id", max_train).select("buckets", "shares", "votes").collect()
+    # ids may be null or repeated: rows are told apart by what they hold as well
+    keyed = rows.withColumn("_key", F.xxhash64("doc_id", "votes", "buckets", "shares"))
+    sample = least_hashed(keyed, "_key", max_train).select("buckets", "shares", "votes").collect()
     weights = fit_scorer([(r[0], r[1]) for r in sample], np.array([label[r[2]] for r in sample]))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -34,6 +34,17 @@ def test_weak_labels(spark, awkward, empty):
     assert np.mean([score[r.doc_id].kept for r in labelled if not r.quality]) < 0.15
 
 
+def test_samples_with_null_and_repeated_ids(spark):
+    from pyspark.sql import functions as F
+    from kinlink.llm.common import least_hashed
+    df = spark.range(20000).withColumn("k", F.col("id") % 200)
+    assert least_hashed(df, "k", 100).count() == 100
+    texts = spark.range(600).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("some words of text number "), F.expr("repeat('word ', 1 + cast(id % 300 as int))")).alias("text"))
+    got = W.quality_scores(texts, max_train=50).collect()
+    assert len(got) == 600 and all(0 <= r.score <= 1 for r in got)
+    assert not W.fit_scorer([], np.zeros(0)).any()
+
+
 def test_em_finds_the_accuracies():
     rng = np.random.default_rng(1)
     truth = rng.random(20000) < 0.7
