@@ -76,7 +76,7 @@ def votes(words: int, values: list[float]) -> list[int]:
 def hashed_features(text: str | None, words: int, values: list[float]) -> tuple[list[int], list[float]]:
     """Bucket and value of each feature: shape shares, steps of the shares, size."""
     shaped = _RUNS.sub(lambda m: m[0][:1], (text or "").encode("utf-8", "surrogatepass").translate(_SHAPE)).split()
-    found = {b"shape " + k: (v / len(shaped)) ** 0.5 for k, v in Counter(shaped).most_common(64)}
+    found = {b"shape " + k: (v / len(shaped)) ** 0.5 for k, v in Counter(shaped).items()}
     found[b"words %d" % min(12, words.bit_length())] = 1.0
     for name, v in zip(FAULTS, values):
         found[b"%s %d" % (name.encode(), int(min(8, np.ceil(np.log2(1 + 256 * v)))))] = 1.0

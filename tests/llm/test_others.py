@@ -45,6 +45,13 @@ def test_samples_with_null_and_repeated_ids(spark):
     assert not W.fit_scorer([], np.zeros(0)).any()
 
 
+def test_every_word_shape_counts():
+    text = " ".join("a1" * k + "-" * (k % 3) for k in range(1, 90))
+    words, values = W.shares(text)
+    start, whole = W.hashed_features(text, words, values), W.hashed_features(text + " Zz9Zz9Zz9", words, values)
+    assert len(whole[0]) == len(start[0]) + 1 and len(start[0]) > 70
+
+
 def test_em_finds_the_accuracies():
     rng = np.random.default_rng(1)
     truth = rng.random(20000) < 0.7
