@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bitsliced_topk, iforest_rules, kk_packing, kn_langid, license_rules, mixing, secret_tokens, simhash_anchor, sparse_suffix, weak_quality
+from . import (bitsliced_topk, iforest_rules, kk_packing, kn_langid, license_rules, merkle, mixing, secret_tokens, simhash_anchor,
+               sparse_suffix, weak_quality, whitening)
 from .common import table
 
 #: Vocabulary files, by the path they have on every executor.
@@ -75,6 +76,14 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.domain_rates(table(spark, sf_dir, "documents"), labelled_domains(spark, sf_dir), TARGETS)
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_simhash": op2_simhash,
@@ -86,10 +95,13 @@ QUERIES = {
     "op8_licenses": op8_licenses,
     "op9_secrets": op9_secrets,
     "op10_mixing": op10_mixing,
+    "op12_merkle": op12_merkle,
+    "op13_whitening": op13_whitening,
 }
 
 SQL: dict[str, str] = {
     "op8_licenses": license_rules.duckdb_sql(),
+    "op12_merkle": merkle.duckdb_sql(),
     "op7_topk": """
         WITH parts AS (
             SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
