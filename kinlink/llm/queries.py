@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (bitsliced_topk, iforest_rules, kk_packing, kn_langid, license_rules, merkle, mixing, secret_tokens, simhash_anchor,
-               sparse_suffix, weak_quality, whitening)
+               sparse_suffix, warc_zstd, weak_quality, whitening)
 from .common import table
 
 #: Vocabulary files, by the path they have on every executor.
@@ -76,6 +76,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.domain_rates(table(spark, sf_dir, "documents"), labelled_domains(spark, sf_dir), TARGETS)
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_zstd.archive_pages(table(spark, sf_dir, "pages"), min_bytes=0)
+
+
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(table(spark, sf_dir, "documents"))
 
@@ -95,12 +99,14 @@ QUERIES = {
     "op8_licenses": op8_licenses,
     "op9_secrets": op9_secrets,
     "op10_mixing": op10_mixing,
+    "op11_warc": op11_warc,
     "op12_merkle": op12_merkle,
     "op13_whitening": op13_whitening,
 }
 
 SQL: dict[str, str] = {
     "op8_licenses": license_rules.duckdb_sql(),
+    "op11_warc": warc_zstd.duckdb_sql(),
     "op12_merkle": merkle.duckdb_sql(),
     "op7_topk": """
         WITH parts AS (
