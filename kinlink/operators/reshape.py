@@ -4,7 +4,9 @@ R1's definition is a chain of null-safe full outer joins, one per
 category: several rows for one key and category multiply, null keys match
 each other.  When (key, category) is known to be unique the same result is
 a single conditional aggregation (one shuffle, map-side combine); callers
-opt in with ``unique=True``.
+opt in with ``unique=True``.  R3, which would chain such joins over stages and
+types, multiplies each enrollment's responses instead: one scan, two
+exchanges, whatever the number of types.
 """
 
 from __future__ import annotations
@@ -78,9 +80,10 @@ def type_stage_wide(df: DataFrame, enrollment_id: str, stage_column: str, type_c
                     one_row: bool = False) -> DataFrame:
     """``<Type>_entry`` / ``<Type>_exit`` response columns per enrollment.
 
-    The stage split and two type splits with R1's joins: several responses
-    of one enrollment, stage and type give several rows, and an enrollment
-    needs rows at both stages.  ``one_row=True`` is one conditional
+    The rows are those of a stage split and two type splits with R1's joins:
+    several responses of one enrollment, stage and type give several rows,
+    and an enrollment needs rows at both stages.  They are made in one pass
+    as products of each enrollment's responses.  ``one_row=True`` is one conditional
     aggregation instead: the largest response of each stage and type, one
     row an enrollment, those with one stage included.
     """
@@ -92,16 +95,35 @@ def type_stage_wide(df: DataFrame, enrollment_id: str, stage_column: str, type_c
                 for s, sfx in stages for t, name in types]
         return (df.filter(st.isin([s for s, _ in stages]) & ty.isin([t for t, _ in types]))
                   .groupBy(enrollment_id).agg(*aggs))
-    e_sfx, x_sfx = suffixes[0], suffixes[1]
-    wide = entry_exit_wide(df.select(enrollment_id, stage_column, type_column, response_column),
-                           stage_column, entry_val, exit_val, enrollment_id, suffixes)
-    type_sfx = {t: "_" + name for t, name in types}
-    step1 = split_rows_to_columns(wide, type_column + e_sfx, type_sfx,
-                                  [enrollment_id, type_column + x_sfx, response_column + x_sfx])
-    keys2 = [enrollment_id] + [response_column + e_sfx + s for s in type_sfx.values()]
-    step2 = split_rows_to_columns(step1, type_column + x_sfx, type_sfx, keys2)
-    ren = {}
-    for sfx in (e_sfx, x_sfx):
-        for t, name in types:
-            ren[f"{response_column}{sfx}_{name}"] = f"{name}{sfx}"
-    return step2.select(enrollment_id, *[F.col(k).alias(v) for k, v in ren.items()])
+    return _type_products(df.select(enrollment_id, stage_column, type_column, response_column), enrollment_id, stage_column, type_column,
+                          response_column, (entry_val, exit_val), types, suffixes)
+
+
+def _type_products(df: DataFrame, key: str, stage: str, kind: str, response: str, stages: Sequence, types: Sequence[tuple],
+                   suffixes: Sequence[str]) -> DataFrame:
+    """The rows that R1's joins of stages and types give, from one pass.
+
+    Responses are counted per key, stage and type, and gathered one row a
+    key: the joins give each combination of one response a type and stage,
+    types without one being null, for keys with some type at both stages.
+    Equal rows multiply as in the joins: a split by type pairs every type's
+    rows with each other, so a response that occurs ``n`` times counts ``n``
+    times for each type of the other stage.
+    """
+    rows = df.filter(F.col(stage).isin(list(stages)) & F.col(kind).isin([t for t, _ in types]))
+    seen = rows.groupBy(key, stage, kind, response).agg(F.count(F.lit(1)).alias("_n"))
+    cells = [(s, t, name + sfx) for s, sfx in zip(stages, suffixes) for t, name in types]
+    given = F.struct(F.col(response).alias("response"), F.col("_n").alias("n"))
+    wide = seen.groupBy(key).agg(*[F.collect_list(F.when((F.col(stage) == F.lit(s)) & (F.col(kind) == F.lit(t)), given)).alias(f"_c{i}")
+                                   for i, (s, t, _) in enumerate(cells)])
+    entry, exit_ = range(len(types)), range(len(types), len(cells))
+    present = {part: reduce(lambda a, b: a + b, [(F.size(f"_c{i}") > 0).cast("int") for i in part]) for part in (entry, exit_)}
+    wide = wide.select("*", present[entry].alias("_p"), present[exit_].alias("_q")).filter("_p > 0 AND _q > 0")
+    for i, _ in enumerate(cells):
+        # a type without response is one null
+        none = F.array(F.struct(F.lit(None).alias("response"), F.lit(1).cast("long").alias("n")))
+        wide = wide.withColumn(f"_c{i}", F.explode(F.when(F.size(f"_c{i}") > 0, F.col(f"_c{i}")).otherwise(none)))
+    times = {part: reduce(lambda a, b: a * b, [F.col(f"_c{i}.n") for i in part]) for part in (entry, exit_)}
+    n = F.pow(times[entry], "_q") * F.pow(times[exit_], "_p")
+    return (wide.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), n.cast("int"))))
+                .select(key, *[F.col(f"_c{i}.response").alias(name) for i, (_, _, name) in enumerate(cells)]))

@@ -1090,11 +1090,14 @@ def _ns_full(left: str, right: str, keys: list, lcols: list, rcols: list) -> str
     return f"SELECT {sel} FROM {left} FULL OUTER JOIN {right} ON {on}"
 
 
-def _compat_sql(distinct: bool = False) -> str:
-    names = [n for _, n in _FLAG_TYPES]
-    codes_ = {n: t for t, n in _FLAG_TYPES}
-    parts = [f"base AS (SELECT {'DISTINCT' if distinct else ''} l_orderkey AS id, l_linestatus AS st, CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 "
-             f"WHEN 'R' THEN 3 END AS ty, {'CAST(l_quantity AS BIGINT)' if distinct else 'l_quantity'} AS rs FROM lineitem)",
+_FLAG_SQL = "CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 WHEN 'R' THEN 3 END"
+
+
+def _compat_sql(distinct: bool = False, types=_FLAG_TYPES, kind: str = _FLAG_SQL, response: str = "l_quantity") -> str:
+    names = [n for _, n in types]
+    codes_ = {n: t for t, n in types}
+    parts = [f"base AS (SELECT {'DISTINCT' if distinct else ''} l_orderkey AS id, l_linestatus AS st, {kind} AS ty, "
+             f"{f'CAST({response} AS BIGINT)' if distinct else response} AS rs FROM lineitem)",
              "e AS (SELECT id, ty AS ty_e, rs AS rs_e FROM base WHERE st = 'F')",
              "x AS (SELECT id, ty AS ty_x, rs AS rs_x FROM base WHERE st = 'O')",
              f"w AS ({_ns_full('e', 'x', ['id'], ['ty_e', 'rs_e'], ['ty_x', 'rs_x'])})"]

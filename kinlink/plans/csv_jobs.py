@@ -11,8 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import codes
 from . import hmis
-from .catalog import (_FLAG_TYPES, _DEST_VALUES, _PROJ_VALUES, SQL, _compat_sql, iso, query, table)
+from .catalog import (_DEST_VALUES, _PROJ_VALUES, SQL, _compat_sql, iso, query, table)
 
 STAGE = {"collection_stage_column": "stage", "entry_stage_val": 1, "exit_stage_val": 3, "update_stage_val": 2,
          "annual_assessment_stage_val": 5, "post_exit_stage_val": 6, "person_enrollment_ID": "id"}
@@ -126,14 +127,18 @@ def q_get_income(spark, d):
 
 
 # ---------------------------------------------------------------------- E4 --
-@query("get_disabilities", _compat_sql(distinct=True).replace("id AS l_orderkey", "CAST(id AS VARCHAR) AS id", 1))
+#: Types 5 to 10 are listed, 11 is not; lines of one order share types now and then.
+_SIX_TYPES = "5 + (l_partkey + l_linenumber) % 7"
+
+
+@query("get_disabilities", _compat_sql(distinct=True, types=codes.DISABILITY_TYPES, kind=_SIX_TYPES, response="l_quantity % 5").replace(
+    "id AS l_orderkey", "CAST(id AS VARCHAR) AS id", 1))
 def q_get_disabilities(spark, d):
-    """Return flags as types, quantities as responses; several responses multiply rows."""
-    li = table(spark, d, "lineitem")
-    kind = F.when(F.col("l_returnflag") == "A", "1").when(F.col("l_returnflag") == "N", "2.0").when(F.col("l_returnflag") == "R", "3")
-    x = _text(li, id="l_orderkey", stage=F.when(F.col("l_linestatus") == "F", "1.0").otherwise("3"), type=kind,
-              response=F.col("l_quantity").cast("int"))
-    return hmis.get_disabilities(spark, file_spec={"x": x}, disability_types=_FLAG_TYPES, metadata={
+    """E4 with all six types: line items as responses; several responses of a type multiply rows."""
+    x = _text(table(spark, d, "lineitem"), id="l_orderkey", stage=F.when(F.col("l_linestatus") == "F", "1.0").otherwise("3"),
+              type=F.concat(F.expr(_SIX_TYPES).cast("string"), F.when(F.col("l_linenumber") == 2, ".0").otherwise("")),
+              response=(F.col("l_quantity") % 5).cast("int"))
+    return hmis.get_disabilities(spark, file_spec={"x": x}, metadata={
         **STAGE, "type_column": "type", "response_column": "response", "categorical_var": ["response"],
         "duplicate_check_columns": ["id", "stage", "type", "response"]}, categorical_unknown=[])
 
@@ -150,8 +155,14 @@ def q_get_project(spark, d):
 
 
 # ---------------------------------------------------------------------- E9 --
+_DIS_SQL = _compat_sql(distinct=True, types=codes.DISABILITY_TYPES, kind=_SIX_TYPES, response="l_quantity % 5")
+_DIS_NAMES = [f"{name}{sfx}" for sfx in ("_entry", "_exit") for _, name in codes.DISABILITY_TYPES]
+_DIS_COLUMNS = ", ".join(f"dis.{c}" for c in _DIS_NAMES)
+
+
 @query("merge_tables", f"""
-WITH st AS (SELECT l_orderkey AS id, l_linestatus AS st, CAST(max(l_quantity) AS BIGINT) AS amount, min(l_returnflag) AS flag
+WITH dis AS ({_DIS_SQL}),
+st AS (SELECT l_orderkey AS id, l_linestatus AS st, CAST(max(l_quantity) AS BIGINT) AS amount, min(l_returnflag) AS flag
             FROM lineitem GROUP BY ALL),
 e AS (SELECT * FROM st WHERE st = 'F'), x AS (SELECT * FROM st WHERE st = 'O'),
 first AS (SELECT o_custkey, min(o_orderdate) AS first_entry FROM orders GROUP BY o_custkey),
@@ -160,13 +171,13 @@ fixed AS (SELECT c.c_custkey, CASE WHEN date_part('year', dob) < 1900 OR dob > f
           FROM client c LEFT JOIN first f ON c.c_custkey = f.o_custkey)
 SELECT CAST(o.o_orderkey AS VARCHAR) AS id, CAST(c.c_custkey AS VARCHAR) AS pid, strftime(o.o_orderdate, '%Y-%m-%d') AS entry,
        strftime(c.dob, '%Y-%m-%d') AS dob, d.DestinationGroup, d.Subsidy,
-       CASE WHEN x.id IS NOT NULL THEN e.amount END AS Physical_entry, CASE WHEN e.id IS NOT NULL THEN x.amount END AS Physical_exit,
+       {_DIS_COLUMNS},
        e.flag AS employed_entry, x.flag AS employed_exit, e.flag AS health_entry, x.flag AS health_exit,
        CAST(e.amount AS DOUBLE) AS income_entry, CAST(x.amount AS DOUBLE) AS income_exit, t.ProjectType
 FROM fixed c LEFT JOIN orders o ON o.o_custkey = c.c_custkey
 LEFT JOIN (VALUES {_DEST_VALUES}) AS d(DestinationNumeric, DestinationDescription, DestinationGroup, DestinationSuccess, Subsidy)
   ON o.o_orderkey % 31 = d.DestinationNumeric
-LEFT JOIN e ON o.o_orderkey = e.id LEFT JOIN x ON o.o_orderkey = x.id
+LEFT JOIN dis ON o.o_orderkey = dis.l_orderkey LEFT JOIN e ON o.o_orderkey = e.id LEFT JOIN x ON o.o_orderkey = x.id
 LEFT JOIN (VALUES {_PROJ_VALUES}) AS t(ProjectNumeric, ProjectType) ON o.o_orderkey % 20 % 15 = t.ProjectNumeric
 """)
 def q_merge_tables(spark, d):
@@ -181,7 +192,8 @@ def q_merge_tables(spark, d):
         "enrollment": _text(o, id="o_orderkey", pid="o_custkey", prog=key % 20, grp="o_custkey", entry="o_orderdate"),
         "exit": _text(o, id=F.concat(key.cast("string"), F.lit(".0")), dest=key % 31),
         "client": _text(table(spark, d, "customer"), pid="c_custkey", dob=born),
-        "disabilities": _text(st, id="l_orderkey", stage=stage, type=F.lit("5"), response="amount"),
+        "disabilities": _text(table(spark, d, "lineitem"), id="l_orderkey", stage=stage, type=F.expr(_SIX_TYPES),
+                              response=(F.col("l_quantity") % 5).cast("int")),
         "employment_education": _text(st, id="l_orderkey", stage=stage, employed="flag"),
         "health_dv": _text(st, id="l_orderkey", stage=stage, health="flag"),
         "income": _text(st, id="l_orderkey", stage=stage, income="amount"),
@@ -193,7 +205,7 @@ def q_merge_tables(spark, d):
         "exit": {"person_enrollment_ID": "id", "destination_column": "dest", "duplicate_check_columns": ["id"]},
         "client": {"person_ID": "pid", "dob_column": "dob", "time_var": ["dob"], "duplicate_check_columns": ["pid", "dob"]},
         "disabilities": {**STAGE, "type_column": "type", "response_column": "response", "categorical_var": ["response"],
-                         "categorical_unknown": [], "duplicate_check_columns": ["id", "stage", "type"]},
+                         "categorical_unknown": [], "duplicate_check_columns": ["id", "stage", "type", "response"]},
         "employment_education": {**STAGE, "duplicate_check_columns": ["id", "stage"]},
         "health_dv": {**STAGE, "duplicate_check_columns": ["id", "stage"]},
         "income": {**STAGE, "columns_to_take_max": ["income"], "duplicate_check_columns": ["id", "stage"]},
@@ -201,5 +213,5 @@ def q_merge_tables(spark, d):
     }
     m = hmis.merge_tables(spark, meta_files=meta, files={k: {"x": v} for k, v in files.items()}, groups=False)
     return m.select("id", "pid", iso("entry").alias("entry"), iso("dob").alias("dob"), "DestinationGroup", "Subsidy",
-                    "Physical_entry", "Physical_exit", "employed_entry", "employed_exit", "health_entry", "health_exit",
+                    *_DIS_NAMES, "employed_entry", "employed_exit", "health_entry", "health_exit",
                     "income_entry", "income_exit", "ProjectType")

@@ -87,7 +87,8 @@ def _read(spark, meta: dict, file_spec, county, data_dir, paths, **kw) -> DataFr
     allowed = {"columns_to_drop", "categorical_var", "categorical_unknown", "time_var",
                "duplicate_check_columns", "dedup_rows", "encoding", "name_columns"}
     args = {k: v for k, v in meta.items() if k in allowed}
-    args["key_columns"] = [meta[k] for k in ("person_ID", "person_enrollment_ID", "program_ID", "groupID_column") if k in meta]
+    args["key_columns"] = [meta[k] for k in ("person_ID", "person_enrollment_ID", "program_ID", "groupID_column",
+                                               "collection_stage_column", "type_column") if k in meta]
     args["numeric_columns"] = list(meta.get("columns_to_take_max", []))
     args.update(kw)
     return read_table(spark, file_spec, county, data_dir, paths, **args)

@@ -374,3 +374,54 @@ def test_unlisted_stages_are_counted(spark, tmp_path):  # P6
     seen = Observation("stages")
     got = hmis.read_entry_exit_table(spark, meta, file_spec={"x": f}, observation=seen).collect()
     assert [(r.id, r.value_entry, r.value_exit) for r in got] == [("1", "a", "b")] and seen.get["n_unlisted"] == 2
+
+
+def _joined_by_type(rows, types):
+    """R3 by its definition: a stage split, then two type splits, each a chain of full joins."""
+    def full(left, right, keys, n_left, n_right):
+        out = []
+        for k in dict.fromkeys([r[0] for r in left] + [r[0] for r in right]):
+            ls = [r[1] for r in left if r[0] == k] or [(None,) * n_left]
+            rs = [r[1] for r in right if r[0] == k] or [(None,) * n_right]
+            out += [(k, a + b) for a in ls for b in rs]
+        return out
+
+    def split(rows, keys, kind, value):
+        acc = None
+        for i, t in enumerate(types):
+            part = [(keys(r), (value(r),)) for r in rows if kind(r) == t]
+            acc = part if acc is None else full(acc, part, keys, i, 1)
+        return acc
+
+    e = [(i, (t, v)) for i, s, t, v in rows if s == 1]
+    x = [(i, (t, v)) for i, s, t, v in rows if s == 3]
+    wide = full(e, x, None, 2, 2)
+    step1 = split(wide, lambda r: (r[0], r[1][2], r[1][3]), lambda r: r[1][0], lambda r: r[1][1])
+    step2 = split(step1, lambda r: (r[0][0], r[1]), lambda r: r[0][1], lambda r: r[0][2])
+    return sorted(((k[0], *k[1], *v) for k, v in step2), key=str)
+
+
+def test_type_products_equal_the_joins(spark):
+    """Repeated responses, null responses, unlisted types and one-stage enrollments, against the chain of joins."""
+    import random
+
+    from kinlink.operators.reshape import type_stage_wide
+    r = random.Random(4)
+    types = [5, 6, 7]
+    for size in (6, 60, 140):
+        rows = [(r.choice([1, 2, 3, 4, 5, 6, 7, None]), r.choice([1, 1, 3, 3, 2]), r.choice([5, 6, 7, 8, None]), r.choice([0, 1, None]))
+                for _ in range(size)]
+        rows = rows[:60] + list(dict.fromkeys(rows[60:]))
+        df = spark.createDataFrame(rows, "id int, stage int, type int, response int")
+        got = type_stage_wide(df, "id", "stage", "type", "response", 1, 3, [(t, f"t{t}") for t in types])
+        assert sorted(map(tuple, got.collect()), key=str) == _joined_by_type(rows, types)
+
+
+def test_type_products_scan_once(spark, tmp_path):
+    """All six types: one scan and two exchanges behind the read, three with its keep-last."""
+    spark.createDataFrame([(1, 1, 5, 0)], "id int, stage int, type int, response int").write.parquet(str(tmp_path / "t"))
+    from kinlink.functions import codes
+    from kinlink.operators.reshape import type_stage_wide
+    wide = type_stage_wide(spark.read.parquet(str(tmp_path / "t")), "id", "stage", "type", "response", 1, 3, codes.DISABILITY_TYPES)
+    plan = wide._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count(" Exchange ") == 2 and "Join" not in plan
