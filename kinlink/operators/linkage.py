@@ -4,83 +4,185 @@ Work is done on *variants* (distinct tuples of block key + compared
 values), not on records: records with identical tuples score identically
 against everybody, so scoring variant pairs once and mapping the result
 back is exact.  Variants and the similar values of each compared column are
-written once in the checkpoint folder; string similarity (the only Python
-step) runs once per pair of distinct values that lengths and characters do
-not rule out.  Linking (L4) never expands to record
-pairs: records join their variant's smallest record, and a matching
-variant pair links the two smallest records, which yields the same
-connected components.
+written once in the checkpoint folder; similar values of a block meet on keys
+that they must share, and string similarity (with the making of these keys
+the only Python step) runs once per pair that lengths and characters do not
+rule out.
+
+Which columns must agree follows from the threshold and the columns that
+are present on both sides.  Each smallest set of agreements that makes a match is
+a join key, so variants meet only if they match: a value that a third of a
+block has in common pairs nobody by itself, unless it alone is a match.
+Linking (L4) lists no pairs at all: all variants of one key match all of a
+partner key, and one link per pair of keys, one per member and one per
+record of a variant yield the same connected components.
 """
 
 from __future__ import annotations
 
 from functools import reduce
+from itertools import combinations, product
 from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import codes
-from ..functions.similarity import SWAP_MONTHS, date_feature, may_reach, string_similarity
+from ..functions.similarity import SWAP_MONTH_DAY_CREDIT, SWAP_MONTHS, date_feature, may_reach, string_similarity
 from ..session import materialize
 from .graph import connected_components, dense_ids
+from .signatures import candidate_pairs
 
 
 def _ns_eq(cols: Sequence[str], l: str, r: str) -> Column:
     return reduce(lambda a, b: a & b, [F.col(f"{l}{c}").eqNullSafe(F.col(f"{r}{c}")) for c in cols])
 
 
-def _similar_values(v: DataFrame, block: str, col: str, method: str, threshold: float) -> DataFrame:
-    """Ordered pairs of different values of ``col`` in one block that are
-    similar enough.  Pairs that cannot be are dropped before any Python runs;
-    the table is written, so each pair is compared once."""
-    vals = v.select(F.col(block).alias("_b"), F.col(col).alias("_v")).filter(F.col("_v").isNotNull()).distinct()
-    a = vals.select("_b", F.col("_v").alias("_va"))
-    b = vals.select("_b", F.col("_v").alias("_vb"))
-    vp = a.join(b, "_b").filter((F.col("_va") != F.col("_vb")) & may_reach(F.col("_va"), F.col("_vb"), method, threshold))
-    vp = vp.select("_va", "_vb").distinct()
-    sim = string_similarity(F.col("_va"), F.col("_vb"), method)
-    return materialize(vp.filter(sim >= threshold), "similar")[0]
-
-
-def _positive_candidates(v: DataFrame, block: str, comparisons: Mapping[str, str],
-                         similar: Mapping[str, DataFrame]) -> DataFrame:
-    """Variant pairs ``(a__rep <= b__rep)`` with at least one positive feature.
-
-    Every match has one (its mean of non-null features is above a
-    threshold >= 0), so scoring only these pairs is exact.  Each source is
-    an equi-join: equal string values; similar string values through the
-    similarity table of distinct values; equal dates, day/month swaps and
-    the listed month mix-ups through (year, month, day) keys.
+def _similar_values(v: DataFrame, block: str, col: str, method: str, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """Similar different values of ``col``: ordered pairs ``_va, _vb`` and, per block and value, the list of them.
+
+    Values of a block meet on keys that every similar pair shares
+    (``signatures``), and pairs that lengths and characters rule out are
+    dropped before any Python runs; each unordered pair is compared once.
     """
-    parts = []
-    for c, kind in comparisons.items():
+    vals, _ = materialize(v.select(F.col(block).alias("_b"), F.col(col).alias("_v")).filter(F.col("_v").isNotNull()).distinct(), "values")
+    near = candidate_pairs(vals, "_b", "_v", method, threshold).filter(may_reach(F.col("_va"), F.col("_vb"), method, threshold))
+    near, _ = materialize(near, "near")
+    pairs = near.select("_va", "_vb").distinct()
+    pairs, _ = materialize(pairs.filter(string_similarity(F.col("_va"), F.col("_vb"), method) >= threshold), "similar")
+    both = F.explode(F.array(F.struct("_va", "_vb"), F.struct(F.col("_vb").alias("_va"), F.col("_va").alias("_vb"))))
+    lists = (near.join(pairs, ["_va", "_vb"]).select("_b", both.alias("_p")).groupBy("_b", F.col("_p._va").alias("_v"))
+             .agg(F.collect_list("_p._vb").alias("_alts")))
+    return pairs.select(both.alias("_p")).select("_p._va", "_p._vb"), lists
+
+
+#: What a date agreement can be worth besides 1.
+PARTIAL = SWAP_MONTH_DAY_CREDIT
+
+
+def atom_sets(kinds: Sequence[str], present: Sequence[int], threshold: float) -> list[tuple[tuple[int, float], ...]]:
+    """Smallest sets of agreements ``(column, worth)`` that make a match of a pair with these columns present.
+
+    A pair matches if what its agreements are worth exceeds the threshold
+    times the columns present on both sides; dropping agreements one by one
+    while that holds leads to one of these sets, and a pair that has all of a
+    set's agreements matches, whatever its other columns are.
+    """
+    def enough(atoms) -> bool:
+        return bool(atoms) and sum(w for _, w in atoms) / len(present) > threshold
+
+    out = []
+    for k in range(1, len(present) + 1):
+        for columns in combinations(present, k):
+            for worth in product(*[(1.0, PARTIAL) if kinds[c] == "date" else (1.0,) for c in columns]):
+                atoms = tuple(zip(columns, worth))
+                if enough(atoms) and not any(enough(atoms[:i] + atoms[i + 1:]) for i in range(k)):
+                    out.append(atoms)
+    return out
+
+
+def _day(y: Column, m: Column, d: Column) -> Column:
+    return (y * 10000 + m * 100 + d).cast("string")
+
+
+def _partial_days(c: str) -> Column:
+    """Days that agree in part with a date: day and month swapped, months mixed up."""
+    y, m, d = F.year(c), F.month(c), F.dayofmonth(c)
+    days = [_day(y, d, m)] + [F.when(m == one, _day(y, F.lit(other), d)) for one, other, _ in SWAP_MONTHS]
+    return F.array_except(F.array_distinct(F.array_compact(F.array(*days))), F.array(_day(y, m, d)))
+
+
+def _extended(keys: Column, values: Column) -> Column:
+    """Each key with each of the values at its end."""
+    return F.flatten(F.transform(keys, lambda k: F.transform(values, lambda x: F.concat(k, F.array(x)))))
+
+
+def keyed_variants(v: DataFrame, block: str, comparisons: Mapping[str, str], lists: Mapping[str, DataFrame], threshold: float) -> DataFrame:
+    """``_rep, _key, _partners``: the keys of each variant, and the keys of those it matches.
+
+    A key is a set of agreements, the columns that are present, the block and
+    the values of the set's columns.  A variant has one for each set it may
+    match by; its partners are the keys of variants whose values agree with
+    its own (equal, similar or partly agreeing, as the set says), one for
+    each list of columns that the other may have.  Two variants match if and
+    only if one has the other's key as a partner.
+    """
+    names, kinds = list(comparisons), list(comparisons.values())
+    n = len(names)
+    for i, (c, kind) in enumerate(comparisons.items()):
         if kind == "string":
-            vals = v.select(F.col(block).alias("_b"), F.col(c).alias("_v"), "_rep").filter(F.col("_v").isNotNull())
-            a = vals.select("_b", F.col("_v").alias("_va"), F.col("_rep").alias("_ra"))
-            b = vals.select(F.col("_b").alias("_bb"), F.col("_v").alias("_vb"), F.col("_rep").alias("_rb"))
-            eq = a.join(b, (F.col("_b") == F.col("_bb")) & (F.col("_va") == F.col("_vb"))).select("_ra", "_rb")
-            sims = similar[c].select(F.col("_va").alias("_sa"), F.col("_vb").alias("_sb"))
-            ab = a.join(sims, F.col("_va") == F.col("_sa"))
-            near = ab.join(b, (F.col("_b") == F.col("_bb")) & (F.col("_sb") == F.col("_vb"))).select("_ra", "_rb")
-            parts += [eq, near]
-        elif kind == "date":
-            d = v.select(F.col(block).alias("_b"), "_rep", F.year(c).alias("_y"), F.month(c).alias("_m"),
-                         F.dayofmonth(c).alias("_d")).filter(F.col("_y").isNotNull())
-            keys = [F.struct(F.col("_y").alias("y"), F.col("_m").alias("m"), F.col("_d").alias("d")),
-                    F.struct(F.col("_y").alias("y"), F.col("_d").alias("m"), F.col("_m").alias("d"))]
-            for m1, m2, _ in SWAP_MONTHS:
-                keys.append(F.when(F.col("_m") == m1, F.struct(F.col("_y").alias("y"), F.lit(m2).alias("m"),
-                                                               F.col("_d").alias("d"))))
-            a = d.select("_b", F.col("_rep").alias("_ra"), F.explode(F.array(*keys)).alias("_k")) \
-                 .filter(F.col("_k").isNotNull())
-            b = d.select(F.col("_b").alias("_bb"), F.col("_rep").alias("_rb"),
-                         F.struct(F.col("_y").alias("y"), F.col("_m").alias("m"), F.col("_d").alias("d")).alias("_kb"))
-            parts.append(a.join(b, (F.col("_b") == F.col("_bb")) & (F.col("_k") == F.col("_kb"))).select("_ra", "_rb"))
-        else:
+            near = lists[c].select(F.col("_b").alias("_nb"), F.col("_v").alias("_nv"), F.col("_alts").alias(f"_near{i}"))
+            v = v.join(near, (F.col(block) == F.col("_nb")) & (F.col(c) == F.col("_nv")), "left").drop("_nb", "_nv")
+    own = [F.col(c).cast("string") if kind == "string" else _day(F.year(c), F.month(c), F.dayofmonth(c)) for c, kind in comparisons.items()]
+    v = v.select("_rep", F.col(block).cast("string").alias("_blk"), *[o.alias(f"_x{i}") for i, o in enumerate(own)],
+                 *[(F.array_compact(F.concat(F.array(o), F.coalesce(f"_near{i}", F.array().cast("array<string>")))) if kind == "string"
+                    else F.array(o)).alias(f"_full{i}") for i, (o, kind) in enumerate(zip(own, kinds))],
+                 *[_partial_days(c).alias(f"_part{i}") for i, (c, kind) in enumerate(comparisons.items()) if kind == "date"],
+                 sum((F.when(F.col(c).isNotNull(), 1 << i).otherwise(0) for i, c in enumerate(names)), F.lit(0)).alias("_has"))
+    masks = range(1, 1 << n)
+    columns = {m: [i for i in range(n) if m >> i & 1] for m in range(1 << n)}
+    found: dict[tuple, set[tuple[int, int]]] = {}
+    for mine in masks:
+        for other in masks:
+            if mine & other:
+                for atoms in atom_sets(kinds, columns[mine & other], threshold):
+                    found.setdefault(atoms, set()).add((mine, other))
+    made = []
+    for number, atoms in enumerate(found):
+        pairs = found[atoms]
+        head = [F.lit(str(number)), F.col("_has").cast("string"), F.col("_blk")]
+        key = F.array(*head, *[F.col(f"_x{i}") for i, _ in atoms])
+        others = F.array().cast("array<string>")
+        for mine in {m for m, _ in pairs}:
+            others = F.when(F.col("_has") == mine, F.array(*[F.lit(str(o)) for m, o in sorted(pairs) if m == mine])).otherwise(others)
+        partners = F.transform(others, lambda o: F.array(F.lit(str(number)), o, F.col("_blk")))
+        for i, worth in atoms:
+            partners = _extended(partners, F.col(f"_full{i}" if worth == 1.0 else f"_part{i}"))
+        made.append(F.when(F.col("_has").isin(sorted({m for m, _ in pairs})), F.struct(key.alias("_key"), partners.alias("_partners"))))
+    if not made:
+        return v.select("_rep", F.array(F.lit("")).alias("_key"), F.array(F.array(F.lit(""))).alias("_partners")).limit(0)
+    return v.select("_rep", F.explode(F.array_compact(F.array(*made))).alias("_k")).select("_rep", "_k._key", "_k._partners")
+
+
+def _matching_variants(keyed: DataFrame) -> DataFrame:
+    """Pairs ``(a__rep <= b__rep)`` of matching variants, each with itself included."""
+    a = keyed.select(F.col("_rep").alias("_ra"), F.explode("_partners").alias("_partner"))
+    met = a.join(keyed.select(F.col("_rep").alias("_rb"), "_key"), F.col("_partner") == F.col("_key"))
+    return met.select(F.least("_ra", "_rb").alias("a__rep"), F.greatest("_ra", "_rb").alias("b__rep")).distinct()
+
+
+def _matching_stars(keyed: DataFrame) -> DataFrame:
+    """Edges whose components are those of all matching pairs, without listing these.
+
+    All variants of one key match all of a partner key.  So it suffices to
+    link one variant of each key to one of each partner key, and all variants
+    of a key that has a partner (itself or another) to that one.
+    """
+    keyed, _ = materialize(keyed, "keys")
+    groups = keyed.groupBy("_key").agg(F.min("_rep").alias("_head"), F.any_value("_partners").alias("_partners"))
+    groups, _ = materialize(groups, "keygroups")
+    a = groups.select("_head", F.col("_key").alias("_from"), F.explode("_partners").alias("_partner"))
+    met = a.join(groups.select(F.col("_head").alias("_other"), "_key"), F.col("_partner") == F.col("_key"))
+    met, _ = materialize(met.select("_head", "_from", "_other", "_key"), "partners")
+    linked = (met.select(F.col("_from").alias("_key"), "_head").unionByName(met.select("_key", F.col("_other").alias("_head")))).distinct()
+    stars = keyed.select("_rep", "_key").join(linked, "_key").select(F.col("_rep").alias("src"), F.col("_head").alias("dst"))
+    return (met.select(F.col("_head").alias("src"), F.col("_other").alias("dst")).unionByName(stars)
+               .filter(F.col("src") != F.col("dst")).distinct())
+
+
+def _variants(df: DataFrame, block: str, comparisons: Mapping[str, str], id_col: str | None) -> DataFrame:
+    """Distinct tuples of block and compared columns (with the smallest id as ``_rep``), written once."""
+    for c, kind in comparisons.items():
+        if kind not in ("string", "date"):
             raise ValueError(f"unknown comparison {kind!r} for {c}")
-    allc = reduce(lambda x, y: x.unionByName(y), parts)
-    return allc.select(F.least("_ra", "_rb").alias("a__rep"), F.greatest("_ra", "_rb").alias("b__rep")).distinct()
+    cols = [block, *comparisons]
+    base = df.filter(F.col(block).isNotNull())
+    v = base.select(*cols).distinct() if id_col is None else base.groupBy(*cols).agg(F.min(id_col).alias("_rep"))
+    return materialize(v, "variants")[0]
+
+
+def _similar(v: DataFrame, block: str, comparisons: Mapping[str, str], method: str, threshold: float) -> dict[str, tuple[DataFrame, DataFrame]]:
+    return {c: _similar_values(v, block, c, method, threshold) for c, kind in comparisons.items() if kind == "string"}
 
 
 def variant_pairs(df: DataFrame, block: str, comparisons: Mapping[str, str],
@@ -94,25 +196,18 @@ def variant_pairs(df: DataFrame, block: str, comparisons: Mapping[str, str],
     feature column per compared column, ``mean`` and ``match``.  With
     ``id_col`` every variant carries its smallest record id (``a__rep``,
     ``b__rep``) and pairs are oriented by it.  ``prune=True`` (needs
-    ``id_col`` and a threshold >= 0) scores only pairs with a positive
-    feature, which contain every match; otherwise all pairs of a block.
+    ``id_col`` and a threshold >= 0) makes and scores the matching pairs
+    only; otherwise all pairs of a block.
     """
-    cols = [block, *comparisons]
-    base = df.filter(F.col(block).isNotNull())
-    if id_col is not None:
-        v = base.groupBy(*cols).agg(F.min(id_col).alias("_rep"))
-        vcols = cols + ["_rep"]
-    else:
-        v = base.select(*cols).distinct()
-        vcols = cols
-    v, _ = materialize(v, "variants")
-    similar = {c: _similar_values(v, block, c, string_method, string_threshold)
-               for c, kind in comparisons.items() if kind == "string"}
+    v = _variants(df, block, comparisons, id_col)
+    vcols = v.columns
+    found = _similar(v, block, comparisons, string_method, string_threshold)
+    similar = {c: pairs for c, (pairs, _) in found.items()}
     a = v.select(*[F.col(c).alias(f"a_{c}") for c in vcols])
     b = v.select(*[F.col(c).alias(f"b_{c}") for c in vcols])
     if prune and id_col is not None and match_threshold >= 0:
-        cand = _positive_candidates(v, block, comparisons, similar)
-        pairs = cand.join(a, "a__rep").join(b, "b__rep")
+        keyed = keyed_variants(v, block, comparisons, {c: lists for c, (_, lists) in found.items()}, match_threshold)
+        pairs = _matching_variants(materialize(keyed, "keys")[0]).join(a, "a__rep").join(b, "b__rep")
     else:
         if id_col is not None:
             orient = F.col("a__rep") <= F.col("b__rep")
@@ -178,12 +273,16 @@ def match_edges(df: DataFrame, id_col: str, block: str, comparisons: Mapping[str
     of its records to its representative.  No record pair is listed.
     """
     cols = [block, *comparisons]
-    vp = variant_pairs(df, block, comparisons, match_threshold, string_method, string_threshold,
-                       id_col=id_col, prune=True).filter("match")
-    cross = (vp.filter(F.col("a__rep") != F.col("b__rep"))
-               .select(F.col("a__rep").alias("src"), F.col("b__rep").alias("dst")))
-    keep = vp.filter(F.col("a__rep") == F.col("b__rep")).select(
-        F.col("a__rep").alias("_rep"), *[F.col(f"a_{c}").alias(f"k_{c}") for c in cols])
+    v = _variants(df, block, comparisons, id_col)
+    if match_threshold >= 0:
+        found = _similar(v, block, comparisons, string_method, string_threshold)
+        cross = _matching_stars(keyed_variants(v, block, comparisons, {c: lists for c, (_, lists) in found.items()}, match_threshold))
+    else:
+        pairs = variant_pairs(df, block, comparisons, match_threshold, string_method, string_threshold, id_col=id_col).filter("match")
+        cross = pairs.filter(F.col("a__rep") != F.col("b__rep")).select(F.col("a__rep").alias("src"), F.col("b__rep").alias("dst"))
+    # a variant matches itself if all its present columns, worth 1 each, exceed the threshold
+    some = reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in comparisons])
+    keep = v.filter(some & F.lit(match_threshold < 1)).select("_rep", *[F.col(c).alias(f"k_{c}") for c in cols])
     rec = df.select(F.col(id_col).alias("_id"), *cols).filter(F.col(block).isNotNull())
     members = rec.join(keep, _ns_eq(cols, "", "k_"))
     inner = members.filter(F.col("_id") != F.col("_rep")).select(F.col("_id").alias("src"), F.col("_rep").alias("dst"))

@@ -1,6 +1,7 @@
 """L1-L4 (fixture F14) and the similarity features."""
 
 import datetime as dt
+from collections import Counter
 
 import pytest
 
@@ -96,3 +97,129 @@ def test_pruned_candidates_find_every_match(spark):  # exactness of positive-fea
         pruned = linkage.variant_pairs(df, "blk", comp, t, id_col="row", prune=True).filter("match")
         k = ["a__rep", "b__rep", "f", "l", "dob", "mean"]
         assert sorted(map(tuple, full.select(*k).collect())) == sorted(map(tuple, pruned.select(*k).collect()))
+
+
+def _sharing(texts, method, threshold):
+    """Pairs of texts that share a key, as the shorter and the longer one."""
+    from kinlink.operators import signatures as S
+    starts = S.bands(max(map(len, texts)))
+    rules = S.plans(starts, method, threshold)
+    begins = method == "jarowinkler" and threshold > 0.7
+    count = Counter("".join(texts))
+    rank = {c: i for i, (c, _) in enumerate(reversed(count.most_common()))}
+    held = [{}, {}]
+    for role in (0, 1):
+        for t in texts:
+            for k in S.keys_of(t, bool(role), starts, rules, rank, begins):
+                held[role].setdefault(k, set()).add(t)
+    return {frozenset((a, b)) for k, short in held[0].items() for a in short for b in held[1].get(k, ()) if a != b}
+
+
+@pytest.mark.parametrize("threshold", [0.95, 0.85, 0.75, 0.7, 0.6, 0.3, 0.0])
+def test_every_similar_pair_shares_a_key(threshold):  # L2, exact
+    import random
+    r = random.Random(int(threshold * 100))
+    texts = {"", "a", "b", "ab", "ba"}
+    for _ in range(90):
+        t = "".join(r.choices("abcdé", k=r.randint(1, 14)))
+        texts.add(t)
+        for _ in range(3):
+            u = list(t)
+            for _ in range(r.randint(1, 3)):
+                k = r.randrange(len(u) + 1)
+                u[k:k + r.randint(0, 1)] = r.choices("abcdé", k=r.randint(0, 2))
+            texts.add("".join(u))
+        texts.add(t + "".join(r.choices("abcdé", k=r.randint(1, 20))))
+    texts = sorted(texts)
+    shared = _sharing(texts, "jarowinkler", threshold)
+    for i, a in enumerate(texts):
+        for b in texts[i + 1:]:
+            if jaro_winkler(a, b) >= threshold or jaro_winkler(b, a) >= threshold:
+                assert frozenset((a, b)) in shared, (a, b)
+
+    def edits(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            row, last = [i], row
+            for j, y in enumerate(b, 1):
+                row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+        return row[-1]
+
+    some = texts[:250]
+    shared = _sharing(some, "levenshtein", threshold)
+    for i, a in enumerate(some):
+        for b in some[i + 1:]:
+            if 1 - edits(a, b) / max(len(a), len(b)) >= threshold:
+                assert frozenset((a, b)) in shared, (a, b)
+
+
+def test_keys_are_few_and_selective():  # names of common lengths
+    import random
+
+    from kinlink.operators import signatures as S
+    r = random.Random(2)
+    letters = "eeeeeaaaarrriiiooottnnsslcudpmhgbfywkvxzjq"
+    names = sorted({"".join(r.choices(letters, k=r.randint(4, 11))) for _ in range(4000)})
+    starts = S.bands(11)
+    rules = S.plans(starts, "jarowinkler", 0.85)
+    n = [len(S.keys_of(x, role, starts, rules, {}, True)) for x in names for role in (False, True)]
+    assert sum(n) / len(n) <= 60
+    assert len(_sharing(names, "jarowinkler", 0.85)) < len(names) ** 2 / 2 / 20
+
+
+def test_hot_name_pairs_nobody(spark):  # L1, L4: 10^5 records of one block with one first name
+    from pyspark.sql import functions as F
+    n = 100_000
+    df = spark.range(n).select(
+        F.col("id").alias("row"), F.lit("SMITH").alias("lname"), F.lit("MARY").alias("fname"),
+        F.format_string("%09d", F.col("id") * 7919 % 999_999_937).alias("ssn"),
+        F.timestamp_seconds(F.col("id") * 86_400 * 11 % (86_400 * 365 * 90)).cast("date").alias("dob"))
+    comparisons = {"fname": "string", "dob": "date"}
+    v = linkage._variants(df, "lname", comparisons, "row")
+    found = linkage._similar(v, "lname", comparisons, "jarowinkler", 0.85)
+    keyed = linkage.keyed_variants(v, "lname", comparisons, {c: x for c, (_, x) in found.items()}, 0.5)
+    assert keyed.count() <= 4 * v.count()
+    matches = linkage._matching_variants(keyed)
+    days = v.count()                                            # one variant a birth date
+    swapped = matches.filter("a__rep <> b__rep").count()
+    assert matches.count() == days + swapped and swapped < 3 * days      # swapped or mixed-up dates only
+    edges = linkage.match_edges(df, "row", "lname", comparisons)
+    assert edges.count() < 4 * n
+
+
+def test_groups_link_as_all_pairs_do(spark):  # L4: stars of keys against the pairs themselves
+    import random
+    from kinlink.operators.graph import connected_components
+    r = random.Random(9)
+    names = ["QWERT", "QERWT", "ASDF", "ASDG", "ZXCV", None, None]
+    recs = [(i, r.choice(["B1", "B2", "B3", None]), r.choice(names), r.choice(names),
+             None if r.random() < 0.3 else dt.date(1990, r.choice([1, 2, 6, 7, 9, 10]), r.choice([1, 2, 6, 7]))) for i in range(70)]
+    df = spark.createDataFrame(recs, "row int, blk string, f string, l string, dob date")
+    comp = {"f": "string", "l": "string", "dob": "date"}
+    for t in (0.0, 0.5, 1.0):
+        pairs = linkage.block_and_match(df, "row", "blk", comp, t, keep="all").filter("match")
+        want = connected_components(pairs.select(F_col("id_a", "src"), F_col("id_b", "dst")), df.select("row"), node="row")
+        got = connected_components(linkage.match_edges(df, "row", "blk", comp, t), df.select("row"), node="row")
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def F_col(name, alias):
+    from pyspark.sql import functions as F
+    return F.col(name).alias(alias)
+
+
+def test_no_join_on_the_block_alone(spark):  # L2: values of a block meet on keys
+    from kinlink.operators import signatures as S
+    vals = spark.createDataFrame([("b", "MARY"), ("b", "MARIE")], "blk string, v string")
+    plan = S.candidate_pairs(vals, "blk", "v", "jarowinkler", 0.85)._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join " in line]
+    assert len(joins) == 1 and "_k1" in joins[0] and "_k2" in joins[0]
+
+
+def test_atom_sets():  # which agreements make a match
+    sets = linkage.atom_sets(["string", "string", "date"], [0, 1, 2], 0.5)
+    assert sets == [((0, 1.0), (1, 1.0)), ((0, 1.0), (2, 1.0)), ((1, 1.0), (2, 1.0))]
+    assert linkage.atom_sets(["string", "date"], [0, 1], 0.5) == [((0, 1.0), (1, 1.0)), ((0, 1.0), (1, 0.5))]
+    assert linkage.atom_sets(["string", "string"], [1], 0.5) == [((1, 1.0),)]
+    assert linkage.atom_sets(["date"], [0], 0.5) == [((0, 1.0),)]
+    assert linkage.atom_sets(["string", "date"], [0, 1], 1.0) == []
