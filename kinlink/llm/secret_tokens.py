@@ -136,17 +136,33 @@ def free_parts(start: int, end: int, taken: list[tuple[int, int, int]]) -> list[
     return [*free, (start, end)] if start < end else free
 
 
+class _Meeting:
+    """Spans (sorted by start) that meet ascending parts of a text: both lists are gone through once."""
+
+    def __init__(self, spans: list[tuple[int, int, int]]):
+        self.spans, self.at, self.open = spans, 0, []
+
+    def of(self, start: int, end: int) -> list[tuple[int, int, int]]:
+        while self.at < len(self.spans) and self.spans[self.at][0] < end:
+            self.open.append(self.spans[self.at])
+            self.at += 1
+        self.open = [x for x in self.open if x[2] > start]
+        return [x for x in self.open if x[0] < end]
+
+
 def random_spans(text: str, taken: list[tuple[int, int, int]], path: str, max_ratio: float) -> list[tuple[int, int, int]]:
-    found = []
+    found, meeting = [], _Meeting(taken)
     for m in _RUN.finditer(text):
-        near = [x for x in taken if x[0] < m.end() and m.start() < x[2]]
-        spans = {(a + s, a + e) for a, b in free_parts(*m.span(), near) for s, e in random_parts(text[a:b], path, max_ratio)}
+        near = meeting.of(*m.span())
+        spans = sorted({(a + s, a + e) for a, b in free_parts(*m.span(), near) for s, e in random_parts(text[a:b], path, max_ratio)})
+        within, known = _Meeting([(a, 3, b) for a, b in spans]), set(spans)
+        beside = _Meeting(near)
         for p in _PIECE.finditer(m[0]) if near else ():
             a, b = m.start() + p.start(), m.start() + p.end()
-            left = free_parts(a, b, near)
+            left, around = free_parts(a, b, beside.of(a, b)), within.of(a, b)
             if left != [(a, b)] and b - a >= LEAST and is_dear(p[0], path, max_ratio):
-                spans.update(x for x in left if not any(s <= x[0] and x[1] <= e for s, e in spans))
-        found += [(a, 3, b) for a, b in spans]
+                known.update(x for x in left if not any(s <= x[0] and x[1] <= e for s, _, e in around))
+        found += [(a, 3, b) for a, b in known]
     return found
 
 

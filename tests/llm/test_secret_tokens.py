@@ -88,3 +88,18 @@ def test_random_strings_are_found():
         for size in (16, 24, 40):
             texts = ["".join(r.choices(letters, k=size)) for _ in range(200)]
             assert sum(S.scan(t, PATH, 2.2) == [(0, 3, size)] for t in texts) >= 190
+
+
+def test_many_hits_in_one_text():
+    """10^5 assignments, and as many digests in one run: time in proportion to the hits."""
+    import time
+    vocabulary = queries.SECRET_VOCABULARY
+    for one, kind in (("token=abc%05d ", 0), ("%024x-", 2)):
+        taken = []
+        for n in (20_000, 100_000):
+            text = "".join(one % i for i in range(n))
+            start = time.process_time()
+            spans = S.scan(text, vocabulary, 2.2)
+            taken.append(time.process_time() - start)
+            assert sum(k == kind for _, k, _ in spans) == n
+        assert taken[1] < 12 * taken[0] + 1
