@@ -4,19 +4,26 @@ A softmax classifier, fitted on the labelled table, gives every document a
 posterior over domains.  Document rates ``r >= 0`` are then sought so that
 the expected tokens of domain ``d``, the sum of ``r * tokens * p_d`` over
 all documents, match ``target_d``.  This is least squares, each residual
-weighted by the domain's tokens at rate 1, solved by projected gradient
-descent from ``r = 1``:
-
-    r <- max(0, r - sum_d p_d * s_d)
-
-where ``s`` is the residuals' gradient in the metric of the documents whose
-rate is above 0: with a fixed metric, domains that are nearly used up would
-take hundreds of rounds.  The step of a document needs its own posterior and
-one number a domain, so
-a round is one aggregation over all documents, and a document's rate
-follows from the rounds' numbers alone: nothing is written or kept between
-rounds.  Rates become whole copies by adding a fixed number in [0, 1) that
-is hashed from the id and cutting down, so the expected copies are the rate.
+weighted by the domain's tokens at rate 1, solved by projected gradients from
+``r = 1`` in their lazy form: the steps ``s`` are summed up, and the sum is
+projected once,
+
+    r = max(0, 1 - sum_d p_d * s_d)
+
+so that a document's rate follows from its own posterior and one number a
+domain, whatever the number of rounds.  Of all rates that reach the least
+squares these are the ones nearest to 1, token by token.  A round is one
+aggregation over all documents: it sums the expected totals (the gradient)
+and the joint posterior tokens of the documents whose rate is above 0, in
+whose metric the next step is taken; a step that does not lower the convex
+function whose gradient this is, is shortened, with several lengths tried in the
+same round, and damped if none helps.  A small pull towards rate 1, lowered
+as rounds go on, keeps the steps unique.
+
+Rounds end when the duality gap, which bounds how far the squares are from
+those of the best nonnegative rates, is at most ``close`` of all tokens (an
+expected share is then off by at most the root of twice that).  If it cannot
+be brought there, that is an error; no rates are returned that fall short.
 
 The classifier is fitted on a bounded sample: the ``max_labelled`` labelled
 documents with the smallest hash of their id.  It sees the ``max_features``
@@ -159,53 +166,97 @@ def _added(docs: DataFrame, model: DomainModel, tokens: str, names: list[str]) -
                                             *(StructField(n, DoubleType()) for n in names)]))
 
 
-def rate(rounds: list[list[float]], names: list[str]) -> Column:
-    """A document's rate after the given rounds, from its posteriors."""
-    r = F.lit(1.0)
-    for steps in rounds:
-        down = sum((F.col(n) * F.lit(s) for n, s in zip(names, steps)), F.lit(0.0))
-        r = F.greatest(F.lit(0.0), r - down)
-    return r
+def rate(steps: list[float], names: list[str]) -> Column:
+    """A document's rate after the summed steps, from its posteriors."""
+    down = sum((F.col(n) * F.lit(float(s)) for n, s in zip(names, steps)), F.lit(0.0))
+    return F.greatest(F.lit(0.0), F.lit(1.0) - down)
+
+
+#: Lengths of a step that one round tries.
+LENGTHS = 0.5 ** np.arange(12)
 
 
-def solve(rows: DataFrame, tokens: str, names: list[str], weights: list[float],
-          max_rounds: int = 40, close: float = 1e-4) -> list[list[float]]:
-    """Rounds of projected gradient descent; each is one aggregation of all rows.
+def _round(at: np.ndarray, step: np.ndarray, total: float):
+    """Arrow helper: a task's part of what a round sums, one row a number, for each length of the step.
 
-    The aggregation gives the expected totals and the joint posterior tokens
-    of the documents whose rate is above 0.  A round that made the squares
-    larger is halved.  Ends when every expected total is within ``close`` of
-    all tokens of its target, when rates no longer change, or after
-    ``max_rounds``.
+    Per length: half the squared rates, smallest ``p . s``, expected totals,
+    joint tokens of documents with a rate above 0 (all by tokens).
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        k = len(at)
+        sums, least = np.zeros((len(LENGTHS), 1 + k + k * k)), np.full(len(LENGTHS), np.inf)
+        for batch in batches:
+            t = batch.column(0).to_numpy(zero_copy_only=False) / total
+            p = np.stack([batch.column(1 + d).to_numpy(zero_copy_only=False) for d in range(k)], axis=1)[t > 0]
+            t = t[t > 0]
+            if not len(t):
+                continue
+            for i, length in enumerate(LENGTHS if step.any() else LENGTHS[:1]):
+                down = p @ (at + length * step)
+                r = np.maximum(0, 1 - down)
+                held = p * np.where(r > 0, t, 0)[:, None]
+                sums[i] += np.concatenate([[t @ r ** 2 / 2], p.T @ (t * r), (held.T @ p).ravel()])
+                least[i] = min(least[i], down.min())
+        n = sums.size
+        yield pa.RecordBatch.from_arrays([pa.array(range(n + len(LENGTHS)), pa.int32()), pa.array(np.concatenate([sums.ravel(), least]))],
+                                         names=["i", "x"])
+
+    return run
+
+
+def solve(rows: DataFrame, tokens: str, names: list[str], weights: list[float], close: float = 1e-8) -> list[float]:
+    """Summed steps, one a domain, that lead to the best rates.
+
+    ArithmeticError if the duality gap does not come down to ``close``.
     """
-    rounds: list[list[float]] = []
-    at_one, before = None, np.inf
-    pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
-    for _ in range(max_rounds):
-        rated = rows.select(tokens, *names, rate(rounds, names).alias("_r"))
-        held = F.when(F.col("_r") > 0, F.col(tokens)).otherwise(F.lit(0))
-        got = rated.agg(*(F.coalesce(F.sum(F.col("_r") * F.col(tokens) * F.col(n)), F.lit(0.0)) for n in names),
-                        *(F.coalesce(F.sum(held * F.col(names[i]) * F.col(names[j])), F.lit(0.0)) for i, j in pairs)).first()
-        now = np.array(got[:len(names)])
-        if at_one is None:
-            at_one, total = np.maximum(now, 1e-12), now.sum()
-            if not total:
-                break
-        off = now - np.array(weights) * total
-        squares = (off ** 2 / at_one).sum()
-        if squares > before * (1 + 1e-9) and max(map(abs, rounds[-1])) > 1e-6:
-            rounds[-1] = [s / 2 for s in rounds[-1]]
-            continue
-        before = squares
-        joint = np.zeros((len(names), len(names)))
-        for (i, j), x in zip(pairs, got[len(names):]):
-            joint[i, j] = joint[j, i] = x
-        scale = 1 / np.sqrt(at_one)
-        steps = np.linalg.lstsq(scale[:, None] * joint, scale * off, rcond=1e-6)[0]
-        if np.abs(off).max() <= close * total or np.abs(steps).max() < 1e-9:
-            break
-        rounds.append(steps.tolist())
-    return rounds
+    k = len(names)
+    first = rows.agg(*(F.coalesce(F.sum(F.col(tokens) * F.col(n)), F.lit(0.0)) for n in names)).first()
+    at_one = np.array(first, float)
+    total = at_one.sum()
+    if not total:
+        return [0.0] * k
+    want, w = np.array(weights), np.maximum(at_one / total, 1e-6)
+    narrow = rows.select(F.col(tokens).cast("double").alias("t"), *names)
+
+    def look(at, step):
+        """Per length: half squares, smallest ``p . s``, totals, joint tokens."""
+        run = _round(at, step, total)
+        both = F.struct(F.sum("x").alias("sum"), F.min("x").alias("least"))
+        got = {r["i"]: r["x"] for r in narrow.mapInArrow(run, "i int, x double").groupBy("i").agg(both.alias("x")).collect()}
+        size, n = 1 + k + k * k, len(LENGTHS)
+        for i in range(n if step.any() else 1):
+            x = np.array([got[i * size + j]["sum"] for j in range(size)])
+            yield x[0], got[n * size + i]["least"], x[1:1 + k], x[1 + k:].reshape(k, k)
+
+    def value(at, half):
+        """The convex function whose slope is target minus total, with the pull."""
+        return half + at @ want + pull / 2 * (w @ at ** 2)
+
+    pull, damp, at, step = 1e-2, 0.0, np.zeros(k), np.zeros(k)
+    seen = None
+    while True:
+        tried = [(value(at + length * step, x[0]), length, x) for length, x in zip(LENGTHS, look(at, step))]
+        new, length, x = min(tried, key=lambda y: y[0])
+        better = seen is None or new < value(at, seen[0])
+        if better:
+            at, seen = at + length * step, x
+            damp = damp / 16 if length == 1 else damp
+        half, least, totals, joint = seen
+        off = totals - want
+        feasible = pull * at + max(0.0, -pull * least)          # a point of the dual problem: its value is a lower bound
+        gap = ((off ** 2 / w).sum() + w @ feasible ** 2) / 2 + want @ feasible
+        if gap <= close:
+            return at.tolist()
+        slope, metric = want + pull * w * at - totals, joint + pull * np.diag(w)
+        if slope @ np.linalg.solve(metric, slope) < 1e-4 * abs(close) or not better and damp > 1e6:
+            if pull < 1e-13:
+                raise ArithmeticError(f"the squares may be {gap} above the least, {close} was asked for")
+            pull, damp = pull / 100, 0.0                        # the best rates under this pull are found
+            slope, metric = want + pull * w * at - totals, joint + pull * np.diag(w)
+        elif not better:
+            damp = max(16 * damp, 1e-3 * pull)                  # shorter and more like a plain gradient
+        step = -np.linalg.solve(metric + damp * np.diag(w), slope)
 
 
 def _weights(model: DomainModel, targets: Mapping[str, float]) -> list[float]:
@@ -227,9 +278,9 @@ def domain_rates(docs: DataFrame, labelled: DataFrame, targets: Mapping[str, flo
     model = fit(docs, labelled, **fit_options)
     names = [f"p{i}" for i in range(len(model.domains))]
     rows, _ = materialize(_added(docs.select("doc_id", "text"), model, "n_tokens", names).drop("text"), "posteriors")
-    rounds = solve(rows, "n_tokens", names, _weights(model, targets))
+    steps = solve(rows, "n_tokens", names, _weights(model, targets))
     best = F.array(*names)
-    return (rows.withColumn("rate", rate(rounds, names))
+    return (rows.withColumn("rate", rate(steps, names))
             .select("doc_id", "n_tokens",
                     F.element_at(F.array(*map(F.lit, model.domains)), F.array_position(best, F.array_max(best)).cast("int")).alias("domain"),
                     best.alias("posterior"), "rate", copies(F.col("rate")).alias("copies")))
@@ -241,8 +292,8 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: Mapping[str, float], **fi
     tokens = free_name(docs, "_tokens")
     names = [free_name(docs, f"_p{i}") for i in range(len(model.domains))]
     rows, _ = materialize(_added(docs, model, tokens, names), "mixed")
-    rounds = solve(rows, tokens, names, _weights(model, targets))
+    steps = solve(rows, tokens, names, _weights(model, targets))
     # array_repeat of zero copies is empty, and explode then drops the row
-    many = F.array_repeat(F.lit(True), copies(rate(rounds, names)).cast("int"))
+    many = F.array_repeat(F.lit(True), copies(rate(steps, names)).cast("int"))
     mark = free_name(docs, "_copy")
     return rows.select(*docs.columns, F.explode(many).alias(mark)).drop(mark)
