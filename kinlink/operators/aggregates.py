@@ -1,4 +1,4 @@
-"""Aggregations.
+"""Aggregations.
 
 Group filters are ``groupBy`` counts joined back (map-side combine, AQE
 skew split) rather than windows over the raw rows.
@@ -6,6 +6,7 @@ skew split) rather than windows over the raw rows.
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -78,47 +79,41 @@ def modal_value(df: DataFrame, key: str, value: str, keep_ties: bool = True) ->
     return mode_from_counts(c, key, value, "n", keep_ties)
 
 
-def covered_days(df: DataFrame, keys: Sequence[str], start: str, end: str,
-                 order_tiebreak: Sequence[str] = (), out: str = "covered_days",
-                 bucket_days: int = 365) -> DataFrame:
+def furthest_ends(df: DataFrame, keys: Sequence[str], start: str, end: str) -> DataFrame:
+    """``keys, _s, _e``: the furthest end of the intervals that start on a day.
+
+    A union of intervals depends on nothing else, so a key keeps one row a
+    day however many intervals it has; partial aggregation makes them in
+    each input partition.  Intervals without a day (null or reversed) go.
+    """
+    s, e = F.col(start).cast("date"), F.col(end).cast("date")
+    return (df.filter(s.isNotNull() & e.isNotNull() & (e > s)).groupBy(*keys, s.alias("_s")).agg(F.max(e).alias("_e")))
+
+
+def union_days(ends: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
+    """Days of the union per key, from furthest ends that may have more keys.
+
+    In order of starts an interval adds what reaches past the furthest end
+    before it.  The window of a key has at most one row a calendar day.
+    """
+    merged = ends.groupBy(*keys, "_s").agg(F.max("_e").alias("_e"))
+    before = F.max("_e").over(Window.partitionBy(*keys).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1))
+    add = F.greatest(F.lit(0), F.datediff("_e", F.greatest(F.col("_s"), F.coalesce(before, F.col("_s")))))
+    return merged.select(*keys, add.alias("_add")).groupBy(*keys).agg(F.sum("_add").cast("long").alias(out))
+
+
+def with_totals(df: DataFrame, totals: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
+    """``df`` with the total of its keys (equal nulls), 0 where there is none."""
+    t = totals.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col(out).alias("_tot"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
+    return df.join(t, same, "left").withColumn(out, F.coalesce("_tot", F.lit(0)).cast("long")).drop("_tot", *[f"_k{i}" for i in range(len(keys))])
+
+
+def covered_days(df: DataFrame, keys: Sequence[str], start: str, end: str, out: str = "covered_days") -> DataFrame:
     """Days covered by the union of ``[start, end)`` per key, on every row.
 
-    Union length is additive over disjoint time ranges, so each interval is
-    clipped to fixed buckets of ``bucket_days`` and the union is measured
-    per (key, bucket) with a running maximum: sorted by start, an interval
-    adds the part that reaches past the furthest end seen so far.  A key
-    holding many rows is thereby spread over many tasks.  Totals are summed
-    per key and joined back (null-safe).  Rows with a null bound add
-    nothing.
+    Intervals shrink to the furthest end of each key and day before they
+    meet, so a key holding a third of all rows is a few thousand rows.
+    Totals are joined back (null-safe).  Rows with a null bound add nothing.
     """
-    s, e = F.col(start), F.col(end)
-    valid = s.isNotNull() & e.isNotNull() & (e > s)
-    epoch = F.lit("1970-01-01").cast("date")
-    b0 = F.floor(F.datediff(s, epoch) / bucket_days)
-    b1 = F.floor((F.datediff(e, epoch) - 1) / bucket_days)
-    iv = (df.filter(valid)
-            .select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], s.alias("_s"), e.alias("_e"),
-                    *[F.col(c).alias(f"_t{i}") for i, c in enumerate(order_tiebreak)],
-                    F.explode(F.sequence(b0, b1)).alias("_b")))
-    lo = F.date_add(epoch, (F.col("_b") * bucket_days).cast("int"))
-    hi = F.date_add(epoch, ((F.col("_b") + 1) * bucket_days).cast("int"))
-    iv = iv.withColumn("_cs", F.greatest(F.col("_s"), lo)).withColumn("_ce", F.least(F.col("_e"), hi))
-    kcols = [f"_k{i}" for i in range(len(keys))]
-    w_prev = (Window.partitionBy(*kcols, "_b")
-                    .orderBy("_cs", "_ce", *[f"_t{i}" for i in range(len(order_tiebreak))])
-                    .rowsBetween(Window.unboundedPreceding, -1))
-    prev_end = F.max("_ce").over(w_prev)
-    add = F.greatest(F.lit(0), F.datediff(F.col("_ce"), F.greatest(F.col("_cs"), F.coalesce(prev_end, F.col("_cs")))))
-    tot = iv.withColumn("_add", add).groupBy(*kcols).agg(F.sum("_add").alias("_tot"))
-    cond = None
-    for i, k in enumerate(keys):
-        c = F.col(k).eqNullSafe(F.col(f"_k{i}"))
-        cond = c if cond is None else cond & c
-    return (df.join(tot, cond, "left").withColumn(out, F.coalesce(F.col("_tot"), F.lit(0)).cast("long"))
-              .drop("_tot", *kcols))
-
-
-def cluster_sizes(df: DataFrame, cluster: str, person: str, out: str = "cluster_size") -> DataFrame:
-    """Number of distinct persons per cluster, joined to every row."""
-    sizes = df.select(cluster, person).distinct().groupBy(cluster).agg(F.count(F.lit(1)).alias(out))
-    return df.join(sizes, cluster, "left")
+    return with_totals(df, union_days(furthest_ends(df, keys, start, end), keys, out), keys, out)

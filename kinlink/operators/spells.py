@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from ..functions import codes
 from ..functions.nulls import if_else3, r_in
+from ..session import materialize
+from .aggregates import furthest_ends, union_days, with_totals
 
 
 def next_values(df: DataFrame, part: str, first: str, rest: Sequence[tuple], cols: Sequence[str],
@@ -20,30 +22,27 @@ def next_values(df: DataFrame, part: str, first: str, rest: Sequence[tuple], col
     """``lead`` of ``cols`` within ``part`` ordered by ``first`` (nulls last)
     then ``rest`` (``(column, nulls_last)`` pairs, ascending).
 
-    ``lead`` inside each (part, first) group, and for a group's last row the
-    first row of the next group, read from a per-(part, first) heads table
-    (one row per person and date).  A person holding many rows is thereby
-    spread over many window partitions; only the small heads table is
-    ordered per person.
+    The rows are sorted over ranges of (part, first, rest) and written once;
+    ``lead`` runs inside a range, and a range's last row gets the first row
+    of the next one, from a table of one row a range.  Ranges have about
+    equal numbers of rows, whatever number a person or a date has.  Rows that
+    agree in the whole order follow a hash of all their columns; null parts
+    are one part.
     """
-    vals = F.struct(*[F.col(c) for c in cols])
-    rest_order = [F.col(c).asc_nulls_last() if nl else F.col(c).asc_nulls_first() for c, nl in rest]
-    # with no further order the group is unordered; order by the
-    # (constant) group column so lead is defined
-    w1 = Window.partitionBy(part, first).orderBy(*(rest_order or [F.col(first)]))
-    inner = df.withColumn("_in", F.lead(vals).over(w1))
-    key = []
-    for c, nl in rest:
-        key += [F.col(c).isNull() if nl else F.col(c).isNotNull(), F.col(c)]
-    heads = df.groupBy(F.col(part).alias("_p"), F.col(first).alias("_f")).agg(
-        F.min_by(vals, F.struct(*key) if key else F.lit(0)).alias("_head"))
-    w2 = Window.partitionBy("_p").orderBy(F.col("_f").asc_nulls_last())
-    heads = heads.select("_p", "_f", F.lead("_head").over(w2).alias("_nh"))
-    cond = F.col(part).eqNullSafe(F.col("_p")) & F.col(first).eqNullSafe(F.col("_f"))
-    out = (inner.join(heads, cond, "left")
-                .withColumn("_nv", F.when(F.col("_in").isNull(), F.col("_nh")).otherwise(F.col("_in")))
-                .drop("_in", "_nh", "_p", "_f"))
-    return out.select("*", *[F.col("_nv")[c].alias(prefix + c) for c in cols]).drop("_nv")
+    order = [F.col(part).asc_nulls_first(), F.col(first).asc_nulls_last(),
+             *[F.col(c).asc_nulls_last() if nl else F.col(c).asc_nulls_first() for c, nl in rest],
+             F.xxhash64(*[c for c, t in df.dtypes if not t.startswith("map")])]
+    at = F.monotonically_increasing_id()
+    sorted_, _ = materialize(df.repartitionByRange(*order).sortWithinPartitions(*order)
+                             .select("*", F.shiftright(at, 33).alias("_range"), at.alias("_at")), "sequence")
+    row = F.struct(F.col(part).alias("_part"), *cols)
+    heads = sorted_.groupBy("_range").agg(F.min_by(row, "_at").alias("_head"))
+    # one row a range: this window and the broadcast are bounded by the number of partitions
+    after = heads.select("_range", F.lead("_head").over(Window.orderBy("_range")).alias("_after"))
+    inside = sorted_.withColumn("_in", F.lead(row).over(Window.partitionBy("_range").orderBy("_at")))
+    out = inside.join(F.broadcast(after), "_range", "left").withColumn("_nv", F.coalesce("_in", "_after"))
+    same = F.col("_nv").isNotNull() & F.col("_nv._part").eqNullSafe(F.col(part))
+    return out.select(*df.columns, *[F.when(same, F.col("_nv")[c]).alias(prefix + c) for c in cols])
 
 
 def age_and_relcode(df: DataFrame, entry: str = "entry", dob: str = "h_dob",
@@ -150,21 +149,20 @@ def impute_exit(df: DataFrame, person: str = "linkage_PID", entry: str = "entry"
 
 
 def service_days(df: DataFrame, person: str = "linkage_PID", agency: str = "agency",
-                 entry: str = "entry", exit: str = "exit", tiebreak: Sequence[str] = (),
-                 bucket_days: int = 365) -> DataFrame:
+                 entry: str = "entry", exit: str = "exit") -> DataFrame:
     """E16 + A12: service days, negative-spell swap, covered days, quality flag.
 
     Covered days (``h_agency_time`` per person and agency, ``h_tot_time`` per
-    person) use the dates before negative spells are nulled.
+    person) use the dates before negative spells are nulled.  The spells are
+    written once; both totals come from one aggregation of them.
     """
-    from .aggregates import covered_days
     serv = F.datediff(F.col("h_exit"), F.col(entry))
     df = df.withColumn("h_servdays", serv).withColumn(
         "h_entry", if_else3(F.col("h_servdays") < 0, F.col(exit), F.col(entry)).cast("date"))
-    df = covered_days(df, [person, agency], "h_entry", "h_exit", tiebreak, out="h_agency_time",
-                      bucket_days=bucket_days)
-    df = covered_days(df, [person], "h_entry", "h_exit", tiebreak, out="h_tot_time",
-                      bucket_days=bucket_days)
+    df, _ = materialize(df, "service")
+    ends = furthest_ends(df, [person, agency], "h_entry", "h_exit")
+    df = with_totals(df, union_days(ends, [person, agency], "h_agency_time"), [person, agency], "h_agency_time")
+    df = with_totals(df, union_days(ends, [person], "h_tot_time"), [person], "h_tot_time")
     sd = if_else3(F.col("h_servdays") < 0, F.lit(None).cast("int"), F.col("h_servdays"))
     df = df.withColumn("h_servdays", sd)
     df = df.withColumn("h_exit", F.when(F.col("h_servdays").isNull(), F.lit(None)).otherwise(F.col("h_exit")))

@@ -68,18 +68,12 @@ def pha_spells(pha: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         *[F.col(src).alias(dst) for dst, src in PHA_PROGRAM])
 
 
-def repeated_links(links: DataFrame) -> DataFrame:
-    """J11 check: ``pid0`` values with more than one link, and how many."""
-    return links.groupBy("pid0").agg(F.count(F.lit(1)).alias("n_links")).filter("n_links > 1")
-
-
 def merge_agencies(hmis: DataFrame, pha: DataFrame, links: DataFrame,
                    keep: Sequence[str] = ()) -> DataFrame:
     """Stack both agencies, attach ``linkage_PID`` (J11), program strings (P20).
 
     ``links`` maps ``pid0`` to ``linkage_PID`` (plus ``pid1``/``pid2``);
-    several links for one ``pid0`` multiply rows as in a left join
-    (``repeated_links`` finds them).
+    several links for one ``pid0`` multiply rows as in a left join.
     """
     merged = stack_by_name([hmis_spells(hmis, keep), pha_spells(pha, keep)])
     lk = links.select("pid0", *[c for c in ("pid1", "pid2") if c in links.columns], "linkage_PID")
@@ -119,15 +113,14 @@ def real_dob(merged: DataFrame, keep_ties: bool = False) -> DataFrame:
 
 def person_spell_frame(merged: DataFrame, min_entry: str = codes.SPELL_MIN_ENTRY,
                        keep_ties: bool = False, tiebreak: Sequence[str] = ("pid0",),
-                       relcode_when_no_age: bool = False, bucket_days: int = 365) -> DataFrame:
+                       relcode_when_no_age: bool = False) -> DataFrame:
     """One row per linked person and spell with age, household, exit
     imputation, service days, covered days and transitions.
 
     ``merged`` is written once, so that the birth dates and the rows come
-    from one computation.  The per-person steps spread a person's rows over
-    many tasks (two-level lead, covered days per time bucket of
-    ``bucket_days``); each reads its input twice, so the spells are written
-    before them and after service days.  These tables lie in the checkpoint
+    from one computation.  The per-person steps work on ranges of spells sorted
+    by person and date, which split hot persons (``next_values``), and on one row a
+    person and day (covered days).  Their tables lie in the checkpoint
     folder until ``session.clear_materialized``.
     """
     tb = list(tiebreak)
@@ -136,10 +129,6 @@ def person_spell_frame(merged: DataFrame, min_entry: str = codes.SPELL_MIN_ENTRY
     df = df.filter(F.col("linkage_PID").isNotNull() & (F.col("entry") >= F.lit(min_entry).cast("date")))
     df = spells.age_and_relcode(df)
     df = spells.child_elder_flags(df, relcode_when_no_age)
-    df, second = materialize(spells.household_mix(df), "spells")
+    df = spells.impute_exit(spells.household_mix(df), tiebreak=tb)
     drop_materialized(merged.sparkSession, first)
-    df = spells.impute_exit(df, tiebreak=tb)
-    df = spells.service_days(df, tiebreak=tb, bucket_days=bucket_days)
-    df, _ = materialize(df.distinct(), "spells")
-    drop_materialized(merged.sparkSession, second)
-    return spells.transitions(df, tiebreak=tb)
+    return spells.transitions(spells.service_days(df).distinct(), tiebreak=tb)

@@ -634,7 +634,7 @@ FROM fin
 def q_covered_days(spark, d):
     sp = _spells(spark, d)
     r = spells.impute_exit(sp, tiebreak=["o_orderkey"])
-    r = spells.service_days(r, tiebreak=["o_orderkey"])
+    r = spells.service_days(r)
     return r.select("o_orderkey", "linkage_PID", iso("h_entry").alias("h_entry"), iso("h_exit").alias("h_exit"),
                     "h_servdays", "h_agency_time", "h_tot_time", "h_time_qual")
 
@@ -653,7 +653,7 @@ FROM tr
 def q_transitions(spark, d):
     sp = _spells(spark, d)
     r = spells.impute_exit(sp, tiebreak=["o_orderkey"])
-    r = spells.service_days(r, tiebreak=["o_orderkey"])
+    r = spells.service_days(r)
     r = spells.transitions(r, tiebreak=["o_orderkey"])
     return r.select("o_orderkey", "h_agency_trans", "h_t2next_prog", "h_overlap", "h_within")
 

@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from kinlink.operators import aggregates as ag
@@ -88,7 +90,7 @@ def test_service_days_and_transitions(spark):  # E16, W2-W5
     rows = [(1, "HMIS", None, d(0), d(10), "a"), (1, "SHA", None, d(5), d(8), "b"),
             (1, "SHA", None, d(20), d(15), "c")]
     df = spark.createDataFrame(rows, "linkage_PID int, agency string, hmis_proj_type string, entry date, exit date, k string")
-    df = spells.service_days(spells.impute_exit(df, tiebreak=["k"]), tiebreak=["k"])
+    df = spells.service_days(spells.impute_exit(df, tiebreak=["k"]))
     df = spells.transitions(df, tiebreak=["k"])
     got = {r.k: r for r in df.collect()}
     assert got["a"].h_servdays == 11 and got["c"].h_servdays is None and got["c"].h_time_qual == 1
@@ -150,7 +152,8 @@ def test_person_spell_frame(spark):  # E11, E12
     assert out["HMIS0_2"].h_child == "yes" and out["HMIS0_2"].h_hh_type2 == "single parent household with children"
 
 
-def test_hot_person_forms_agree_with_plain_windows(spark):  # two-level lead and bucketed union
+@pytest.mark.parametrize("coalesce", ["true", "false"])
+def test_hot_person_forms_agree_with_plain_windows(spark, coalesce):  # sequence over ranges, furthest ends
     import random
 
     from pyspark.sql import Window
@@ -162,20 +165,43 @@ def test_hot_person_forms_agree_with_plain_windows(spark):  # two-level lead and
         a = rnd.randint(0, 40)
         rows.append((k, p, d(a), None if rnd.random() < 0.2 else d(a + rnd.randint(0, 12))))
     df = spark.createDataFrame(rows, "k int, p int, s date, e date")
-    a = spells.next_values(df, "p", "s", [("e", True), ("k", False)], ["k", "e"])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
+    try:
+        a = spells.next_values(df, "p", "s", [("e", True), ("k", False)], ["k", "e"]).select("k", "_n_k", "_n_e").collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     w = Window.partitionBy("p").orderBy(F.col("s").asc_nulls_last(), F.col("e").asc_nulls_last(), "k")
     b = df.select("k", F.lead("k").over(w), F.lead("e").over(w))
-    assert sorted(map(tuple, a.select("k", "_n_k", "_n_e").collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
+    assert sorted(map(tuple, a), key=str) == sorted(map(tuple, b.collect()), key=str)
     days = {}
     for _, p, s, e in rows:
         if e is not None:
             days.setdefault(p, set()).update(range(s.toordinal(), e.toordinal()))
-    for width in (1, 3, 365):
-        x = ag.covered_days(df, ["p"], "s", "e", ["k"], bucket_days=width)
-        assert all(r.covered_days == len(days.get(r.p, ())) for r in x.collect())
+    x = ag.covered_days(df, ["p"], "s", "e")
+    assert all(r.covered_days == len(days.get(r.p, ())) for r in x.collect())
 
 
-def test_person_spell_frame_does_not_depend_on_buckets(spark):
-    cols = ["pid0", "h_exit", "h_servdays", "h_agency_time", "h_tot_time", "h_agency_trans", "h_overlap"]
-    a, b = (agencies.person_spell_frame(_merged(spark), bucket_days=n).select(*cols).collect() for n in (7, 365))
-    assert sorted(map(tuple, a), key=str) == sorted(map(tuple, b), key=str)
+def test_hot_person_and_date_are_split(spark):  # 40,000 spells of one person on one day
+    from pyspark.sql import functions as F
+    n = 40_000
+    df = spark.range(n).select(F.col("id").alias("k"), F.lit(1).alias("p"), F.lit("2012-01-01").cast("date").alias("s"),
+                               F.date_add(F.lit("2012-01-02").cast("date"), (F.col("id") % 50).cast("int")).alias("e"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = spells.next_values(df, "p", "s", [("e", False), ("k", False)], ["k"], "_n_")
+        got = out.agg(F.count("_n_k"), F.countDistinct("_n_k"), F.count_if(F.col("_n_k") == F.col("k"))).first()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert tuple(got) == (n - 1, n - 1, 0)
+    ends = ag.furthest_ends(df, ["p"], "s", "e")
+    assert ends.count() == 1                                    # what the person's window sees
+    assert ag.covered_days(df, ["p"], "s", "e").agg(F.max("covered_days"), F.min("covered_days")).first() == (50, 50)
+
+
+def test_one_scan(spark, tmp_path):
+    rows = [(1, "HMIS", "x", d(0), d(10), "a"), (1, "SHA", None, d(5), d(8), "b")]
+    spark.createDataFrame(rows, "linkage_PID int, agency string, hmis_proj_type string, entry date, exit date, k string").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    out = spells.transitions(spells.service_days(spells.impute_exit(df, tiebreak=["k"])), tiebreak=["k"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2                          # the written sequence, and the heads of its ranges
