@@ -117,11 +117,6 @@ def may_reach(a: Column, b: Column, method: str, threshold: float) -> Column:
     return F.coalesce(best >= F.lit(threshold - 1e-9), F.lit(True))
 
 
-def string_feature(sim: Column, threshold: float) -> Column:
-    """L2: 1 when the similarity reaches the threshold, else 0; null stays null."""
-    return F.when(sim.isNull(), F.lit(None)).when(sim >= threshold, F.lit(1.0)).otherwise(F.lit(0.0))
-
-
 def date_feature(a: Column, b: Column) -> Column:
     """L3: 1 when equal, partial credit for day/month swaps, null if missing."""
     same_year = F.year(a) == F.year(b)

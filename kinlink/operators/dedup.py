@@ -41,11 +41,6 @@ def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataF
     return _keep_by(df, keys, order, last=True)
 
 
-def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One row per key, the first in ``order``."""
-    return _keep_by(df, keys, order, last=False)
-
-
 def _person_stats(df: DataFrame, pid: str, cols: Sequence[str]) -> DataFrame:
     aggs = [F.count(F.lit(1)).alias("_n")]
     for c in cols:

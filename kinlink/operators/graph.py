@@ -20,31 +20,45 @@ from ..session import drop_materialized, ensure_checkpoint_dir, materialize
 from ._time import delta_micros, epoch_micros
 
 MAX_ROUNDS = 100
+#: Vertices with fewer pairs are no hubs.
+HUB_LEAST = 16
 
 
 # ---------------------------------------------------------------- G5 ------
-def _large_star(e: DataFrame) -> DataFrame:
+def _with_least(pairs: DataFrame, hub: int) -> DataFrame:
+    """``src, dst, m``: each pair with the smallest ``dst`` of its ``src``.
+
+    A vertex with more than ``hub`` pairs has its minimum looked up where its
+    pairs lie: there are fewer such vertices than pairs over ``hub``, which
+    bounds the broadcast.  The others are joined, at most ``hub`` rows a vertex.
+    """
+    m = pairs.groupBy("src").agg(F.min("dst").alias("m"), F.count(F.lit(1)).alias("_n"))
+    hubs = F.broadcast(m.filter(F.col("_n") > hub).select("src", "m"))
+    rest = m.filter(F.col("_n") <= hub).select("src", "m")
+    return pairs.join(hubs, "src").unionByName(pairs.join(hubs.select("src"), "src", "left_anti").join(rest, "src"))
+
+
+def _large_star(e: DataFrame, hub: int) -> DataFrame:
     nb = e.select("src", "dst").unionByName(e.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    m = nb.groupBy("src").agg(F.least(F.min("dst"), F.first("src")).alias("m"))
     # duplicates are harmless here: small-star groups and de-duplicates
-    return (nb.join(m, "src").filter(F.col("dst") > F.col("src"))
-              .select(F.col("dst").alias("src"), F.col("m").alias("dst")))
+    return (_with_least(nb, hub).filter(F.col("dst") > F.col("src"))
+            .select(F.col("dst").alias("src"), F.least("m", "src").alias("dst")))
 
 
-def _small_star(e: DataFrame) -> DataFrame:
+def _small_star(e: DataFrame, hub: int) -> DataFrame:
     o = e.select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")) \
          .filter(F.col("src") != F.col("dst"))
-    m = o.groupBy("src").agg(F.min("dst").alias("m"))
-    j = o.join(m, "src")
+    j = _with_least(o, hub)
     leaves = j.filter(F.col("dst") != F.col("m")).select(F.col("dst").alias("src"), F.col("m").alias("dst"))
-    centre = m.select("src", F.col("m").alias("dst"))
+    centre = j.select("src", F.col("m").alias("dst"))
     return leaves.unionByName(centre).distinct()
 
 
 def _is_star_forest(e: DataFrame) -> bool:
-    non_root = e.join(e.select(F.col("src").alias("dst")).distinct(), "dst", "left_semi").select("src")
+    roots = e.select(F.col("dst").alias("src")).distinct()
+    deep = roots.join(e.select("src").distinct(), "src", "left_semi")
     multi = e.groupBy("src").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("src")
-    return non_root.unionByName(multi).isEmpty()
+    return deep.unionByName(multi).isEmpty()
 
 
 def connected_components(edges: DataFrame, nodes: DataFrame | None = None, src: str = "src",
@@ -63,8 +77,10 @@ def connected_components(edges: DataFrame, nodes: DataFrame | None = None, src:
               .select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst"))
               .distinct())
     e, path = materialize(e, "cc")
+    # rounds never add edges, so at most some 2000 vertices are hubs in any of them
+    hub = max(HUB_LEAST, e.count() // 1000)
     for _ in range(max_rounds):
-        nxt, npath = materialize(_small_star(_large_star(e)), "cc")
+        nxt, npath = materialize(_small_star(_large_star(e, hub), hub), "cc")
         drop_materialized(spark, path)
         e, path = nxt, npath
         if _is_star_forest(e):

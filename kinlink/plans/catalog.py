@@ -1131,4 +1131,4 @@ def q_type_stage_wide_compat(spark, d):
                                    "F", "O", _FLAG_TYPES)
 
 
-from . import csv_jobs  # noqa: E402,F401  registers the extract jobs
+from . import csv_jobs, file_jobs  # noqa: E402,F401  register the extract jobs

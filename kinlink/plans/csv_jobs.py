@@ -182,6 +182,15 @@ LEFT JOIN (VALUES {_PROJ_VALUES}) AS t(ProjectNumeric, ProjectType) ON o.o_order
 """)
 def q_merge_tables(spark, d):
     """Orders as enrollments and exits, customers as clients, line items as the four stage tables."""
+    meta, files = _extracts(spark, d)
+    m = hmis.merge_tables(spark, meta_files=meta, files=files, groups=False)
+    return m.select("id", "pid", iso("entry").alias("entry"), iso("dob").alias("dob"), "DestinationGroup", "Subsidy",
+                    *_DIS_NAMES, "employed_entry", "employed_exit", "health_entry", "health_exit",
+                    "income_entry", "income_exit", "ProjectType")
+
+
+def _extracts(spark, d) -> tuple[dict, dict]:
+    """Configurations and files of the eight tables."""
     o = table(spark, d, "orders")
     key = F.col("o_orderkey")
     st = table(spark, d, "lineitem").groupBy("l_orderkey", "l_linestatus").agg(
@@ -211,7 +220,22 @@ def q_merge_tables(spark, d):
         "income": {**STAGE, "columns_to_take_max": ["income"], "duplicate_check_columns": ["id", "stage"]},
         "project": {"program_ID": "prog", "project_type_column": "kind", "duplicate_check_columns": ["prog"]},
     }
-    m = hmis.merge_tables(spark, meta_files=meta, files={k: {"x": v} for k, v in files.items()}, groups=False)
-    return m.select("id", "pid", iso("entry").alias("entry"), iso("dob").alias("dob"), "DestinationGroup", "Subsidy",
-                    *_DIS_NAMES, "employed_entry", "employed_exit", "health_entry", "health_exit",
-                    "income_entry", "income_exit", "ProjectType")
+    return meta, {k: {"x": v} for k, v in files.items()}
+
+
+# --------------------------------------------------------------- A5, D10 --
+@query("merge_counts", f"""
+WITH st AS (SELECT DISTINCT l_orderkey AS id FROM lineitem), dis AS ({_DIS_SQL}),
+first AS (SELECT o_custkey, min(o_orderdate) AS first_entry FROM orders GROUP BY o_custkey),
+client AS (SELECT c_custkey, CAST(DATE '1880-01-01' + CAST(c_custkey * 97 % 45000 AS INTEGER) AS TIMESTAMP) AS dob FROM customer)
+SELECT 'rows_enrollment' AS metric, count(*) AS n FROM orders UNION ALL SELECT 'rows_exit', count(*) FROM orders
+UNION ALL SELECT 'rows_client', count(*) FROM customer UNION ALL SELECT 'rows_disabilities', count(*) FROM dis
+UNION ALL SELECT 'rows_employment_education', count(*) FROM st UNION ALL SELECT 'rows_health_dv', count(*) FROM st
+UNION ALL SELECT 'rows_income', count(*) FROM st UNION ALL SELECT 'rows_project', count(DISTINCT o_orderkey % 20) FROM orders
+UNION ALL SELECT 'n_bad_dob', count(*) FROM client c LEFT JOIN first f ON c.c_custkey = f.o_custkey
+          WHERE date_part('year', dob) < 1900 OR dob > first_entry
+""")
+def q_merge_counts(spark, d):
+    """The counts that a merge reports, gathered while its result is written."""
+    meta, files = _extracts(spark, d)
+    return hmis.merge_counts(spark, meta_files=meta, files=files, groups=False)[1]

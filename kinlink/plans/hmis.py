@@ -19,6 +19,7 @@ from ..functions import codes
 from ..functions import recode as rc
 from ..operators import aggregates as ag
 from ..operators import dedup, joins, reshape
+from ..session import materialize
 from ..sources import hmis_config
 from ..sources.readers import (ROW_ORD, SRC_ORD, drop_if_present, ordered, read_one, resolve_file_spec,
                                stack_by_name)
@@ -28,6 +29,7 @@ ORDER = [SRC_ORD, ROW_ORD]
 
 
 def _meta(metadata) -> dict:
+    """A configuration: a dict, or the path of a JSON file in any store that Spark reads."""
     if metadata is None:
         return {}
     if isinstance(metadata, str):
@@ -298,3 +300,14 @@ def merge_tables(spark, county=None, meta_files: Mapping | None = None, data_dir
     pm = m("project")
     project = counted("project", get_project(spark, file_spec=f("project"), metadata=pm, **common))
     return joins.safe_join(merged, project, prid, pm["program_ID"], "left")
+
+
+def merge_counts(spark, **how) -> tuple[DataFrame, DataFrame]:
+    """E9 written once, and what was counted on the way (A5, D10) as ``metric, n`` rows.
+
+    Nothing is computed a second time for a count.
+    """
+    bad, counts = Observation("bad_dob"), {}
+    merged, _ = materialize(merge_tables(spark, observation=bad, row_counts=counts, **how), "merged")
+    found = [(f"rows_{name}", seen.get["n_rows"]) for name, seen in counts.items()] + [("n_bad_dob", bad.get["n_bad_dob"] or 0)]
+    return merged, spark.createDataFrame(found, "metric string, n long")

@@ -93,17 +93,3 @@ def read_one(spark: SparkSession, path: str, fmt: str = "csv", encoding: str | N
 def stack_by_name(frames: Sequence[DataFrame]) -> DataFrame:
     """Append frames by column name; absent columns become null."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-
-
-def read_stacked(spark: SparkSession, file_spec: Mapping[str, str], fmt: str = "csv",
-                 encoding: str | None = None, compat_order: bool = False) -> DataFrame:
-    """S3: read every file of the spec and stack them by name.
-
-    ``_src_ord`` follows the folder list, so the last folder is the newest.
-    ``compat_order=True`` reproduces the reference's precedence, where the
-    last folder is read first and the second-to-last one wins keep-last.
-    """
-    items = list(file_spec.items())
-    if compat_order and len(items) > 1:
-        items = [items[-1]] + items[:-1]
-    return stack_by_name([read_one(spark, path, fmt, encoding, source=i) for i, (_, path) in enumerate(items)])

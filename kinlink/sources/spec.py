@@ -1,79 +1,19 @@
 """Table configuration.
 
-A configuration is the JSON dict the reference keeps per table (key
-columns, columns to drop, code columns, time columns, stage codes).  We
-load it on the driver into a frozen ``TableSpec``; nothing here touches
-data.
+A configuration is a JSON object per table (key columns, columns to drop,
+code columns, time columns, stage codes), read on the driver.
 """
 
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass, field, fields
-from typing import Any
 
-
-@dataclass(frozen=True)
-class TableSpec:
-    name: str = ""
-    duplicate_check_columns: tuple = ()
-    columns_to_drop: tuple = ()
-    categorical_var: tuple = ()
-    time_var: tuple = ()
-    person_ID: str | None = None
-    person_enrollment_ID: str | None = None
-    program_ID: str | None = None
-    groupID_column: str | None = None
-    entry_date: str | None = None
-    destination_column: str | None = None
-    dob_column: str | None = None
-    boolean: tuple = ()
-    numeric_code: tuple = ()
-    name_columns: tuple = ()
-    collection_stage_column: str | None = None
-    entry_stage_val: Any = None
-    exit_stage_val: Any = None
-    update_stage_val: Any = None
-    annual_assessment_stage_val: Any = None
-    post_exit_stage_val: Any = None
-    type_column: str | None = None
-    response_column: str | None = None
-    columns_to_take_max: tuple = ()
-    project_type_column: str | None = None
-    extra: dict = field(default_factory=dict)
-
-    @classmethod
-    def from_dict(cls, d: dict) -> "TableSpec":
-        known = {f.name for f in fields(cls)}
-        kw, extra = {}, {}
-        for k, v in d.items():
-            if k in known:
-                kw[k] = tuple(v) if isinstance(v, list) else v
-            else:
-                extra[k] = v
-        return cls(**kw, extra=extra)
-
-    def require(self, *keys: str) -> None:
-        """ValueError naming the first missing configuration key."""
-        for k in keys:
-            if getattr(self, k, None) in (None, ()):
-                raise ValueError(f"{k} entry must be present in metadata file")
+from pyspark.sql import SparkSession
 
 
 def get_metadata_dict(path: str) -> dict:
-    """Read a JSON configuration; the ``name`` entry is discarded."""
-    with open(path) as fh:
-        d = json.load(fh)
+    """Read a JSON configuration from any store that Spark reads; the ``name`` entry is discarded."""
+    spark = SparkSession.active()
+    d = json.loads(spark.read.text(path, wholetext=True).first()[0])
     d.pop("name", None)
     return d
-
-
-def load_spec(spec) -> TableSpec:
-    """Accept a TableSpec, a dict or a JSON path."""
-    if isinstance(spec, TableSpec):
-        return spec
-    if isinstance(spec, dict):
-        return TableSpec.from_dict(spec)
-    if isinstance(spec, str):
-        return TableSpec.from_dict(get_metadata_dict(spec))
-    raise TypeError(f"cannot read a table spec from {type(spec).__name__}")

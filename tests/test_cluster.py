@@ -132,3 +132,34 @@ def test_dense_ids_after_shuffle(spark):  # G6 on a shuffled, pruned input stays
     out = graph.dense_ids(df, ["a", "b"], out="n").select("a", "b", "n")
     got = sorted((r.a, r.b, r.n) for r in out.collect())
     assert [n for *_, n in got] == list(range(1, len(got) + 1))
+
+
+def test_hub_components(spark):  # G5: a vertex that half of all edges meet, chains and stars hanging on it
+    import random
+    from kinlink.operators.graph import _with_least, connected_components
+    r = random.Random(3)
+    edges = [(0, i) for i in range(1, 3000)] + [(i, 10_000 + i) for i in range(1, 3000, 3)]
+    edges += [(20_000 + i, 20_001 + i) for i in range(60)] + [(30_000, 30_000 + i) for i in range(1, 400)]
+    edges += [(r.randint(40_000, 42_000), r.randint(40_000, 42_000)) for _ in range(1500)]
+    ids = {v for e in edges for v in e}
+    parent = {v: v for v in ids}
+
+    def root(v):
+        while parent[v] != v:
+            parent[v] = parent[parent[v]]
+            v = parent[v]
+        return v
+
+    for a, b in edges:
+        a, b = root(a), root(b)
+        parent[max(a, b)] = min(a, b)
+    r.shuffle(edges)
+    df = spark.createDataFrame([e if r.random() < 0.5 else e[::-1] for e in edges], "src long, dst long")
+    got = {x.id: x.component for x in connected_components(df).collect()}
+    assert got == {v: root(v) for a, b in edges if a != b for v in (a, b)}
+    least = {}
+    for a, b in df.collect():
+        least[a] = min(b, least.get(a, b))
+    for hub in (1, 16, 10_000):
+        rows = _with_least(df, hub).collect()
+        assert len(rows) == df.count() and all(x.m == least[x.src] for x in rows)
