@@ -13,16 +13,22 @@ Rows tied at the boundary are resolved exactly by the smaller id.  A row of
 a block wins or loses on its exact integer score; the blocks' winners meet
 in one ranking a query.
 
-Blocks hold at most ``block_rows`` rows and query blocks ``block_queries``.
-Rows go to a cell for each query block and queries to a cell for each row
-block; a task gets a cell's rows, then its queries, one vector a row, so
-neither side is ever whole in one place.
+Blocks hold at most ``block_rows`` rows.  Their bitmaps are built once and
+written, one row a block (about 2 bits a digit and component of its rows), and
+the queries are sent to them: a task reads a block's bitmaps, then answers its
+queries one after the other, so any number of queries passes through.  Where
+there are fewer blocks than cores, a block's queries are dealt into
+``stripes`` that have a copy of its bitmaps each; this lays out the same work
+and changes no result.  Tasks are never more than ``MOST_TASKS``; beyond that a
+task takes several blocks in turn.
 
 Defined results: null vectors, and vectors with a null, NaN or infinite
 component, take no part.  Shorter vectors count as padded with zeros.  Rows
 with a null id take no part (they cannot be named).  Equal ids are
 different rows: each is its own query and a candidate of the others; equal
-scores and ids keep any order.  Scores must fit 62 bits.
+scores and ids keep any order.  Scores must fit 62 bits.  An empty table, and
+one without a query or with no row but the query's own, gives no rows.  Other
+columns of the table are not read.
 """
 
 from __future__ import annotations
@@ -39,6 +45,7 @@ from ..session import materialize
 from .common import ship
 
 SCALE = 256
+MOST_TASKS = 16_384
 
 
 def quantised(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
@@ -62,24 +69,39 @@ def _matrix(column: pa.Array) -> np.ndarray:
 class SlicedBlock:
     """Bitmaps of one block: ``digits[c, b]`` has the rows whose component c has digit b."""
 
-    def __init__(self, ids: np.ndarray, rows: np.ndarray, values: np.ndarray):
-        order = np.lexsort((rows, ids))     # ties go to the first row
-        self.ids, self.rows, values = ids[order], rows[order], values[order]
-        self.n, self.width = values.shape
-        self.least = values.min(axis=0, initial=np.iinfo(np.int64).max) if self.n else np.zeros(self.width, np.int64)
-        above = (values - self.least).astype(np.uint64)
-        self.digits = max(1, int(above.max(initial=0)).bit_length())
-        words = -(-self.n // 64)
+    def __init__(self, ids: np.ndarray, rows: np.ndarray, least: np.ndarray, plain: np.ndarray):
+        self.ids, self.rows, self.least = ids, rows, least
+        self.width, self.digits, words = plain.shape
+        every = np.zeros(words * 64, np.uint8)
+        every[:len(ids)] = 1
+        self.all = np.packbits(every, bitorder="little").view(np.uint64)
         # [plain or complement, component, digit, word of 64 rows]
-        self.maps = np.zeros((2, self.width, self.digits, words), np.uint64)
-        for b in range(self.digits):
-            bits = np.zeros((self.width, words * 64), np.uint8)
-            bits[:, :self.n] = ((above >> np.uint64(b)) & np.uint64(1)).T
-            self.maps[0, :, b] = np.packbits(bits, axis=1, bitorder="little").view(np.uint64)
-        self.all = np.zeros(words * 64, np.uint8)
-        self.all[:self.n] = 1
-        self.all = np.packbits(self.all, bitorder="little").view(np.uint64)
-        self.maps[1] = ~self.maps[0] & self.all
+        self.maps = np.stack([plain, ~plain & self.all])
+
+    @classmethod
+    def of(cls, ids: np.ndarray, rows: np.ndarray, values: np.ndarray) -> "SlicedBlock":
+        order = np.lexsort((rows, ids))     # ties go to the first row
+        ids, rows, values = ids[order], rows[order], values[order]
+        least = values.min(axis=0)
+        above = (values - least).astype(np.uint64)
+        digits, words = max(1, int(above.max(initial=0)).bit_length()), -(-len(ids) // 64)
+        plain = np.zeros((values.shape[1], digits, words), np.uint64)
+        for b in range(digits):
+            bits = np.zeros((values.shape[1], words * 64), np.uint8)
+            bits[:, :len(ids)] = ((above >> np.uint64(b)) & np.uint64(1)).T
+            plain[:, b] = np.packbits(bits, axis=1, bitorder="little").view(np.uint64)
+        return cls(ids, rows, least, plain)
+
+    def to_bytes(self) -> bytes:
+        head = np.array([len(self.ids), self.width, self.digits], np.int64)
+        return b"".join(x.tobytes() for x in (head, self.ids, self.rows, self.least, self.maps[0]))
+
+    @classmethod
+    def from_bytes(cls, blob: bytes) -> "SlicedBlock":
+        n, width, digits = np.frombuffer(blob, np.int64, 3).tolist()
+        ids, rows, least = np.split(np.frombuffer(blob, np.int64, 2 * n + width, 24), [n, 2 * n])
+        plain = np.frombuffer(blob, np.uint64, offset=24 + 8 * (2 * n + width))
+        return cls(ids, rows, least, plain.reshape(width, digits, -(-n // 64)))
 
     def score_slices(self, query: np.ndarray) -> tuple[list[np.ndarray], int]:
         """Bitmaps of (score - base) from the least significant on, and base."""
@@ -143,29 +165,46 @@ def _numbered(rows: DataFrame, size: int) -> DataFrame:
     return placed.withColumn("_block", F.floor(F.col("_row") / size).cast("int"))
 
 
+def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Arrow helper over rows sorted by block: one row of bitmaps a block."""
+
+    def built(block: int, parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        width = max(v.shape[1] for _, _, v in parts)
+        values = np.concatenate([np.pad(v, ((0, 0), (0, width - v.shape[1]))) for _, _, v in parts])
+        ids, rows = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
+        return pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([SlicedBlock.of(ids, rows, values).to_bytes()], pa.binary())],
+                                          names=["_block", "maps"])
+
+    block, parts = None, []
+    for batch in batches:
+        key = batch.column(0).to_numpy()
+        cuts = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist(), len(key)]
+        for a, b in zip(cuts, cuts[1:]):
+            if a == b:
+                continue
+            if parts and key[a] != block:
+                yield built(block, parts)
+                parts = []
+            block, part = int(key[a]), batch.slice(a, b - a)
+            parts.append((*(part.column(c).to_numpy().copy() for c in (1, 2)), _matrix(part.column(3))))
+    if parts:
+        yield built(block, parts)
+
+
 def _search(k: int):
-    """Arrow helper over sorted cells: gathers a cell's rows, then answers its queries."""
+    """Arrow helper over sorted cells: a row of bitmaps, then the queries that they answer."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cell, gathered, block = None, [], None
+        block = None
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            key = np.stack([batch.column(c).to_numpy() for c in range(3)], axis=1)
-            cuts = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1).tolist(), len(key)]
-            for a, b in zip(cuts, cuts[1:]):
-                part = batch.slice(a, b - a)
-                ids, numbers = (part.column(c).to_numpy().copy() for c in (3, 4))
-                if tuple(key[a][:2]) != cell:
-                    cell, gathered, block = tuple(key[a][:2]), [], None
-                if not key[a][2]:
-                    gathered.append((ids, numbers, _matrix(part.column(5))))
+            at = np.flatnonzero(batch.column(2).is_valid().to_numpy(zero_copy_only=False)).tolist()
+            for a, b in zip([-1, *at], [*at, batch.num_rows]):
+                if a >= 0:                  # the row of a cell's bitmaps
+                    block = SlicedBlock.from_bytes(batch.column(2)[a].as_py())
+                part = batch.slice(a + 1, b - a - 1)
+                if not part.num_rows:
                     continue
-                if block is None:
-                    width = max((g[2].shape[1] for g in gathered), default=0)
-                    block = SlicedBlock(*(np.concatenate([g[i] for g in gathered]) for i in (0, 1)),
-                                        np.concatenate([np.pad(g[2], ((0, 0), (0, width - g[2].shape[1]))) for g in gathered]))
-                found = [(q, o, v, s) for q, o, query in zip(ids.tolist(), numbers.tolist(), _matrix(part.column(5)))
+                found = [(q, o, v, s) for q, o, query in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), _matrix(part.column(3)))
                          for v, s in block.top(query, o, k)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (list(zip(*found)) or [()] * 4)],
                                                  names=["query_id", "own", "vec_id", "score"])
@@ -173,20 +212,25 @@ def _search(k: int):
     return run
 
 
-def top_k(vectors: DataFrame, every: int = 50, k: int = 5, block_rows: int = 32_768, block_queries: int = 512) -> DataFrame:
+def top_k(vectors: DataFrame, every: int = 50, k: int = 5, block_rows: int = 32_768, stripes: int | None = None) -> DataFrame:
     """``query_id, rank, vec_id, score`` for queries whose id is divisible by ``every``."""
-    ship(vectors.sparkSession)
+    spark = vectors.sparkSession
+    ship(spark)
     rows, _ = materialize(_numbered(quantised(vectors), block_rows), "vectors")
     blocks = (rows.agg(F.max("_block")).first()[0] or 0) + 1
-    asked, _ = materialize(_numbered(rows.filter(F.pmod("vec_id", F.lit(every)) == 0)
-                                     .select("vec_id", "v", F.col("_row").alias("_own")), block_queries), "queries")
-    parts = (asked.agg(F.max("_block")).first()[0] or 0) + 1
+    stripes = stripes or max(1, -(-2 * spark.sparkContext.defaultParallelism // blocks))
+    dealt = rows.select("_block", "vec_id", "_row", "v").repartition(min(blocks, MOST_TASKS), "_block").sortWithinPartitions("_block")
+    index, _ = materialize(dealt.mapInArrow(_build, "_block int, maps binary"), "bitmaps")
     every_of = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    cells = (rows.select("_block", every_of(parts).alias("_part"), F.lit(0).alias("_kind"), "vec_id", "_row", "v")
-             .unionByName(asked.select(every_of(blocks).alias("_block"), F.col("_block").alias("_part"), F.lit(1).alias("_kind"),
-                                       "vec_id", F.col("_own").alias("_row"), "v")))
-    dealt = cells.repartition(blocks * parts, "_block", "_part").sortWithinPartitions("_block", "_part", "_kind", "_row")
-    found = dealt.mapInArrow(_search(k), "query_id long, own long, vec_id long, score long")
+    asked = rows.filter(F.pmod("vec_id", F.lit(every)) == 0)
+    cells = (index.select("_block", every_of(stripes).alias("_part"), F.lit(None).cast("long").alias("vec_id"),
+                          F.lit(None).cast("long").alias("_row"), "maps", F.lit(None).cast("array<bigint>").alias("v"))
+             .unionByName(asked.select(every_of(blocks).alias("_block"), F.pmod(F.xxhash64("_row"), F.lit(stripes)).cast("int").alias("_part"),
+                                       "vec_id", "_row", F.lit(None).cast("binary").alias("maps"), "v")))
+    # nulls sort first: a cell's bitmaps come before its queries
+    met = (cells.repartition(min(blocks * stripes, MOST_TASKS), "_block", "_part").sortWithinPartitions("_block", "_part", "_row")
+           .select("vec_id", "_row", "maps", "v"))
+    found = met.mapInArrow(_search(k), "query_id long, own long, vec_id long, score long")
     best = Window.partitionBy("own").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

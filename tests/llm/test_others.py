@@ -164,7 +164,7 @@ def test_top_k(spark):
     rows += [(500, [0.0] * 7), (550, [1.0, -1.0]), (600, []), (650, None), (700, [None] * 7), (750, [float("nan")] * 7),
              (800, [float("inf")] * 7), (None, rows[0][1]), (850, [3e4] * 7), (-50, rows[9][1])]
     df = vectors(spark, [(i, v, 1, "x", "x", "x", "x") for i, v in rows])
-    for blocks in ({}, {"block_rows": 64, "block_queries": 2}):
+    for blocks in ({}, {"block_rows": 64, "stripes": 2}, {"block_rows": 64, "stripes": 1}):
         got = sorted((a, b, c, d) for a, b, c, d in B.top_k(df, every=50, k=5, **blocks).collect())
         assert got == plain_top(rows, 50, 5)
     few = vectors(spark, [(i, v, 1, "x", "x", "x", "x") for i, v in rows[50:53]])
