@@ -6,7 +6,8 @@ for known licence sentences, which gives a sequence of sentence identifiers
 in the order of the text.  Ordered rules then match runs of identifiers: the
 rules are tried from the first on, and identifiers that a rule has matched
 are used up, so a full licence text is not also reported as the shorter
-notices inside it.  Identifiers of ``MORE`` name one licence each.
+notices inside it.  "All rights reserved" is the rule of last resort: it stands
+only where no other licence was found and the text refers to none.
 
 Sentences end at ``. ! ? ; :`` before white space and at blank lines.  A
 known sentence may begin at any sentence end or line end, after up to
@@ -14,7 +15,10 @@ known sentence may begin at any sentence end or line end, after up to
 inside it are spaces, so wrapped texts and unpunctuated lines are found in
 the same text.  Notices (``licensed under ...``) may go on; other sentences
 end at a sentence end or line end.  Spellings (``licence``, ``v2``, verbs of
-notices) and the holder's name of a BSD text are normalised away.
+notices) and the holder's name of a BSD text, of any length, are normalised
+away; SPDX expressions and notices that name several licences (``MIT or
+Apache-2.0``) become one sentence a licence, however many they are.  A heading
+(``The MIT License (MIT)``) counts where it is a whole line.
 
 Every known sentence has one of a few stems in it, so texts without any of
 them are not searched at all.
@@ -22,7 +26,9 @@ them are not searched at all.
 Defined results: null and empty texts, and texts without a known sentence,
 have no identifiers and no licences.  Null and repeated ids are rows of
 their own.  Repeated sentences are repeated identifiers; a licence is named
-once.  An empty table gives an empty result.
+once.  Texts of any length are searched whole; no expression here
+recurses on a text.  Other columns of the table are not read.  An empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -78,8 +84,12 @@ RULES = [
     ("CC-BY-4.0", ["cc-by-notice"]),
     ("MPL-2.0", ["mpl-notice"]),
     ("Unlicense", ["unlicense-notice"]),
-    ("Proprietary", ["all-rights-reserved"]),
 ]
+#: Tried after all others, and only in texts without a match of ``REFERS``.
+LAST = ("Proprietary", ["all-rights-reserved"])
+_W = "[ \\t\\n\\r]+"
+REFERS = (f"(governed|covered){_W}by{_W}(the|an?|its){_W}[^.]*licen[cs]e|licen[cs]ed{_W}under|under{_W}the{_W}terms{_W}of|licen[cs]e{_W}file|"
+          f"spdx-license-identifier|see{_W}(the{_W})?(accompanying{_W}|included{_W})?[^a-z0-9 ]?licen[cs]e")
 
 #: Every known sentence has one of these in it.
 STEMS = ("licen", "reserved", "permission", "permitted", "warrant", "copyright", "redistribut", "unencumbered")
@@ -109,6 +119,19 @@ NOTICES = {
     "CC-BY-NC-4.0": ["a creative commons attribution noncommercial 4 0 international license"],
     "Unlicense": ["unlicense"],
 }
+#: Known where the sentence or line ends after them.
+BARE = {"MIT": "mit", "ISC": "isc", "Zlib": "zlib"}
+HEADINGS = {
+    "MIT": ["mit license", "mit license mit", "expat license"],
+    "Apache-2.0": ["apache license version 2 0", "apache license 2 0", "apache license version 2 0 january 2004"],
+    "BSD-3-Clause": ["bsd 3 clause license", "3 clause bsd license", "bsd 3 clause new or revised license"],
+    "BSD-2-Clause": ["bsd 2 clause license", "2 clause bsd license", "bsd 2 clause simplified license"],
+    "ISC": ["isc license", "isc license isc"],
+    "Zlib": ["zlib license"],
+    "BSL-1.0": ["boost software license version 1 0", "boost software license version 1 0 august 17th 2003"],
+    "MPL-2.0": ["mozilla public license version 2 0"],
+    "EPL-2.0": ["eclipse public license version 2 0", "eclipse public license v 2 0"],
+}
 ALONE = {
     "Zlib": ["the origin of this software must not be misrepresented"],
     "CC0-1.0": ["has waived all copyright and related or neighboring rights", "has dedicated all copyright and related and neighboring rights",
@@ -146,6 +169,11 @@ def _more() -> dict[str, tuple[str, str]]:
         for name, phrases in table.items():
             for x in phrases:
                 out[lead + x] = (f"{name.lower()}-notice", name)
+    for name, x in BARE.items():
+        out["licensed under the " + x] = (f"{name.lower()}-notice", name)
+    for name, phrases in HEADINGS.items():
+        for x in phrases:
+            out[f"T {x}"] = (f"{name.lower()}-heading", name)
     return out
 
 
@@ -154,36 +182,53 @@ GAP = "(?: S)* "
 SAME = [
     ("licence", "license"),
     (" v ?([0-9])", " version $1"),
-    (f"(?:released|distributed|made{GAP}available|available|published|licensed){GAP}under{GAP}(?:the{GAP})?(?:terms{GAP}of{GAP}(?:the{GAP})?)?(?!license )",
-     "licensed under the "),
-    (f"neither{GAP}the{GAP}names?{GAP}of{GAP}(?:[a-z0-9]+(?: [HS])* ){{1,15}}?n?or{GAP}the{GAP}names?{GAP}of{GAP}(?:its|their|his|her|any){GAP}contributors",
+    (f"(?:released|distributed|made{GAP}available|available|published|licensed){GAP}under{GAP}(?:the{GAP})?(?:terms{GAP}of{GAP}(?:the{GAP})?)?(?!license )"
+     f"(?:(?:either|both){GAP}(?:of{GAP})?(?:the{GAP})?)?", "licensed under the "),
+    # N stands for the words before a holder's name, so the search for its end stops at the next one
+    (f"neither{GAP}the{GAP}names?{GAP}of ", "N "),
+    (f"N [^N]+? n?or{GAP}the{GAP}names?{GAP}of{GAP}(?:its|their|his|her|any){GAP}contributors",
      "neither the name of the copyright holder nor the names of its contributors"),
-    ("(?<=spdx license identifier [a-z0-9 ]{1,80}) (?:or|and) (?!later)", " H spdx license identifier "),
+    ("N ", "neither the name of "),
 ]
 
 
 def _same(key: str) -> str:
     key = f" {key} "
     for old, new in SAME:
-        if "(?<=" not in old:   # expressions of identifiers are in no key
-            key = re.sub(old, new.replace("$", "\\"), key)
+        key = re.sub(old, new.replace("$", "\\"), key)
     return key.strip()
 
 
 MORE = _more()
 # what the first table has goes first: one identifier a sentence
 KNOWN = {_same(k): i for k, (i, _) in MORE.items()} | {_same(k): i for k, i in SENTENCES.items()}
+#: Rules of the identifiers of ``MORE``, in the order of the tables.
+MORE_RULES = list({i: (n, [i]) for i, n in MORE.values()}.values())
 #: Every sentence of ``MORE``, as texts spell it, has one of these in it.
-MORE_STEMS = (*STEMS, "licence", "gpl", "apache", "mpl", "bsd", "cc0", "cc by", "cc-by", "misrepresented", "general public")
+MORE_STEMS = (*STEMS, "licence", "gpl", "apache", "mpl", "bsd", "cc0", "cc by", "cc-by", "misrepresented", "general public", "under mit", "under the mit", "under isc",
+              "under zlib")
 LEAD = 12
 
 
+def _lists() -> list[tuple[str, str]]:
+    """Replacements in the normal form of texts that cut lists of licences into sentences, and mark headings."""
+    named = {k.removeprefix("licensed under the ") for k in KNOWN if k.startswith("licensed under the ")}
+    phrase = "(?:" + "|".join(x.replace(" ", GAP) for x in sorted(named, key=lambda x: (-len(x), x))) + ")"
+    heading = "|".join(k[2:] for k in sorted(KNOWN, key=lambda k: (-len(k), k)) if k.startswith("T "))
+    # \\G goes on where the last match ended, so lists have no greatest length
+    return [("(spdx license identifier |\\G)([^HS]*?) (?:or|and) (?!later)", "$1$2 H spdx license identifier "),
+            (f"(licensed{GAP}under{GAP}the{GAP}|\\G)({phrase}(?:{GAP}license)?){GAP}(?:and{GAP}or|or|and){GAP}(?:the{GAP})?(?={phrase} )",
+             "$1$2 H licensed under the "),
+            (f"(?<=[HS] )(?:the )?({heading})(?= [HS])", "T $1")]
+
+
 def _pattern() -> str:
     """Known sentences as one expression, longer ones first; group 1 is the sentence."""
     def any_of(keys: list[str]) -> str:
         return "|".join(k.replace(" ", GAP) for k in sorted(keys, key=lambda k: (-len(k), k)))
 
-    notice = [k for k in KNOWN if "licensed under the " in k or k in MORE and not k.startswith("spdx")]
+    bare = {f"licensed under the {x}" for x in BARE.values()} | {k for k in KNOWN if k.startswith("T ")}
+    notice = [k for k in KNOWN if k not in bare and ("licensed under the " in k or k in MORE and not k.startswith("spdx"))]
     spdx = [k for k in KNOWN if k.startswith("spdx")]
     rest = [k for k in KNOWN if k not in notice and k not in spdx]
     return (f"(?<=[HS] )(?:(?!(?:not|never|no) )[a-z0-9]+{GAP}){{0,{LEAD}}}?"
@@ -198,7 +243,7 @@ def _identifiers(low: Column) -> Column:
     text = F.regexp_replace(F.regexp_replace(text, WRAPPED_END, " H "), "\n", " S ")
     text = F.concat(F.lit("H "), F.regexp_replace(text, "[^a-z0-9HS]+", " "), F.lit(" H "))
     text = F.regexp_replace(text, " +", " ")
-    for old, new in SAME:
+    for old, new in (*SAME, *_lists()):
         text = F.regexp_replace(text, old, new)
     return F.transform(F.regexp_extract_all(text, F.lit(_pattern()), F.lit(1)), lambda s: F.element_at(known, F.regexp_replace(s, "(?: S)+", "")))
 
@@ -210,23 +255,24 @@ def find_licenses(docs: DataFrame) -> DataFrame:
     for s in MORE_STEMS:
         stem = stem | F.col("low").contains(s)
     none = F.array().cast("array<string>")
-    ids = low.select("doc_id", F.coalesce(F.when(stem, _identifiers(F.col("low"))), none).alias("ids"))
-    left = ids.withColumn("left", F.concat_ws("", F.transform("ids", lambda i: F.concat(F.lit("<"), i, F.lit(">")))))
-    names = []
-    for k, (_, run) in enumerate(RULES):
-        pattern = F.lit("".join(f"<{i}>" for i in run))
-        # only texts with a known sentence have anything left to match
-        left = left.withColumn(f"r{k}", F.contains("left", pattern)).withColumn("left", F.replace("left", pattern, F.lit("<>")))
-    for name in dict.fromkeys([*(n for n, _ in RULES), *(n for _, n in MORE.values())]):
-        hit = F.lit(False)
-        for k, (n, _) in enumerate(RULES):
-            if n == name:
-                hit = hit | F.col(f"r{k}")
-        for i in sorted({i for i, n in MORE.values() if n == name}):
-            hit = hit | F.array_contains("ids", i)
-        names.append(F.when(hit, F.lit(name)))
-    return left.select("doc_id", F.size("ids").cast("long").alias("n_sentences"),
-                       F.concat_ws(",", "ids").alias("sentence_ids"), F.concat_ws(",", *names).alias("licenses"))
+    ids = low.select("doc_id", F.coalesce(F.when(stem, _identifiers(F.col("low"))), none).alias("ids"),
+                     F.coalesce(F.when(F.col("low").contains("reserved"), F.col("low").rlike(REFERS)), F.lit(False)).alias("refers"))
+    # the rules one after the other: what a rule matches is named and used up
+    rules = F.array(*(F.struct(F.lit(n).alias("name"), F.lit("".join(f"<{i}>" for i in run)).alias("run")) for n, run in (*RULES, *MORE_RULES, LAST)))
+    begin = F.struct(F.concat_ws("", F.transform("ids", lambda i: F.concat(F.lit("<"), i, F.lit(">")))).alias("left"), none.alias("names"))
+
+    def apply(state: Column, rule: Column) -> Column:
+        last = (rule["name"] == LAST[0]) & ((F.size(state["names"]) > 0) | F.col("refers"))
+        return (F.when(F.contains(state["left"], rule["run"]) & ~last,
+                       F.struct(F.replace(state["left"], rule["run"], F.lit("<>")).alias("left"),
+                                F.array_append(state["names"], rule["name"]).alias("names"))).otherwise(state))
+
+    matched = F.when(F.size("ids") > 0, F.aggregate(rules, begin, apply)["names"]).otherwise(none)
+    order = F.array(*map(F.lit, dict.fromkeys(n for n, _ in (*RULES, LAST, *MORE_RULES))))
+    return (ids.withColumn("names", matched)
+            .select("doc_id", F.size("ids").cast("long").alias("n_sentences"), F.concat_ws(",", "ids").alias("sentence_ids"),
+                    F.when(F.size("names") > 0, F.concat_ws(",", F.filter(order, lambda n: F.array_contains("names", n))))
+                    .otherwise(F.lit("")).alias("licenses")))
 
 
 def duckdb_sql() -> str:
@@ -242,7 +288,7 @@ def duckdb_sql() -> str:
         return f"list_transform(list_filter({normal}, lambda s: list_contains([{keys}], s)), lambda s: ([{values}])[list_position([{keys}], s)])"
 
     steps, seen = [], "ids0"
-    for k, (_, run) in enumerate(RULES):
+    for k, (_, run) in enumerate((*RULES, LAST)):
         pattern = text("".join(f"<{i}>" for i in run))
         steps.append(f"ids{k + 1} AS (SELECT *, contains(s{k}, {pattern}) AS r{k}, replace(s{k}, {pattern}, '<>') AS s{k + 1} FROM {seen})")
         seen = f"ids{k + 1}"
@@ -250,12 +296,14 @@ def duckdb_sql() -> str:
     for name in dict.fromkeys(n for n, _ in RULES):
         hit = " OR ".join(f"r{k}" for k, (n, _) in enumerate(RULES) if n == name)
         names.append(f"CASE WHEN {hit} THEN {text(name)} END")
+    others = " OR ".join(f"r{k}" for k in range(len(RULES)))
+    names.append(f"CASE WHEN r{len(RULES)} AND NOT ({others}) AND NOT refers THEN {text(LAST[0])} END")
     return f"""
         WITH low AS (SELECT doc_id, lower(text) AS low FROM documents),
-        cut AS (SELECT doc_id, CASE WHEN {stems} THEN {identifiers(SENTENCE_END)} END AS line,
+        cut AS (SELECT doc_id, coalesce(regexp_matches(low, E{text(REFERS.replace(chr(92), chr(92) * 2))}), false) AS refers, CASE WHEN {stems} THEN {identifiers(SENTENCE_END)} END AS line,
                        CASE WHEN {stems} THEN {identifiers(WRAPPED_END)} END AS wrapped FROM low),
-        ids0 AS (SELECT doc_id, ids, coalesce(list_aggregate(list_transform(ids, lambda i: '<' || i || '>'), 'string_agg', ''), '') AS s0
-                 FROM (SELECT doc_id, coalesce(CASE WHEN len(wrapped) > len(line) THEN wrapped ELSE line END, []) AS ids FROM cut)),
+        ids0 AS (SELECT doc_id, refers, ids, coalesce(list_aggregate(list_transform(ids, lambda i: '<' || i || '>'), 'string_agg', ''), '') AS s0
+                 FROM (SELECT doc_id, refers, coalesce(CASE WHEN len(wrapped) > len(line) THEN wrapped ELSE line END, []) AS ids FROM cut)),
         {", ".join(steps)}
         SELECT doc_id, CAST(len(ids) AS BIGINT) AS n_sentences, coalesce(list_aggregate(ids, 'string_agg', ','), '') AS sentence_ids,
                concat_ws(',', {", ".join(names)}) AS licenses

@@ -197,7 +197,7 @@ def test_licenses(spark, awkward, empty):
     texts = {1: MIT, 2: "x |\nAll rights reserved.", 3: "Licensed under the Apache License, Version 2.0.\nAll Rights  Reserved. Released under the MIT License!",
              4: "no licence here; permission denied", 5: "Licensed under CC BY-NC 4.0."}
     got = {r.doc_id: r for r in C.find_licenses(cases.frame(spark, [(i, t, "en", "a", 1) for i, t in texts.items()])).collect()}
-    assert {i: r.licenses for i, r in got.items()} == {1: "MIT", 2: "Proprietary", 3: "MIT,Apache-2.0,Proprietary", 4: "", 5: "CC-BY-NC-4.0"}
+    assert {i: r.licenses for i, r in got.items()} == {1: "MIT", 2: "Proprietary", 3: "MIT,Apache-2.0", 4: "", 5: "CC-BY-NC-4.0"}
     assert got[1].sentence_ids == "mit-grant,mit-condition,mit-warranty"
     assert {(r.n_sentences, r.sentence_ids, r.licenses) for r in C.find_licenses(awkward).collect()} == {(0, "", "")}
     assert C.find_licenses(awkward).count() == awkward.count() and C.find_licenses(empty).collect() == []
@@ -223,11 +223,22 @@ def test_ordinary_notices(spark):
              ("The origin of this software must not be misrepresented; you must not claim it.", "Zlib"),
              ("Distributed under the Boost Software License, Version 1.0. (See http://x)", "BSL-1.0"),
              ("To the extent possible under law, Jane Doe has waived all copyright and related or neighboring rights to Foo.", "CC0-1.0"),
+             ("Copyright (c) 2020, Acme Corp.\nAll rights reserved.\n\n" + bsd + name, "BSD-3-Clause"),
+             ("Copyright 2020 X. All rights reserved. Use of this source code is governed by a BSD-style license that can be found", ""),
+             ("Copyright 2020 X. All rights reserved.", "Proprietary"),
+             (bsd + name.replace("Acme Inc.", "the " + "very " * 40 + "long name, Inc."), "BSD-3-Clause"),
+             (bsd + name.replace("Acme Inc. nor the names of its", "Acme Inc. or") + "x " * 20000, "BSD-2-Clause"),
+             ("SPDX-License-Identifier: MIT OR Apache-2.0 OR BSD-3-Clause OR ISC OR Zlib OR BSL-1.0 OR (MPL-2.0 AND EPL-2.0 AND GPL-2.0-or-later)\n",
+              "MIT,BSD-3-Clause,Apache-2.0,ISC,GPL-2.0-or-later,MPL-2.0,Zlib,BSL-1.0,EPL-2.0"),
+             ("MIT License\n\nCopyright", "MIT"), ("# The MIT License (MIT)\n", "MIT"), ("The MIT License server is down", ""),
+             ("Licensed under MIT.", "MIT"), ("Released under MIT.", "MIT"), ("Licensed under MIT Press rules", ""), ("Licensed under MIT or Apache-2.0 at your option", "MIT,Apache-2.0"),
+             ("Licensed under either of the Apache License, Version 2.0 or the MIT license at your option.", "MIT,Apache-2.0"),
+             ("This is available under the MIT License, or the ISC license, and the GPLv2 or later.", "MIT,ISC,GPL-2.0-or-later"),
              (bsd + name, "BSD-3-Clause"), (bsd, "BSD-2-Clause"), (bsd + name.replace("Acme Inc.", "the University of X"), "BSD-3-Clause"),
              (MIT + "\n\nLicensed under the Apache License, Version 2.0\nand further text without an end", "MIT,Apache-2.0"),
              ("It is not licensed under the MIT License.", ""), ("Permission denied by the licence server", "")]
     got = C.find_licenses(cases.frame(spark, [(i, t, "en", "a", 1) for i, (t, _) in enumerate(texts)])).collect()
-    assert {texts[r.doc_id][0]: r.licenses for r in got} == dict(texts)
+    assert [(texts[r.doc_id][0][:90], r.licenses) for r in got if r.licenses != texts[r.doc_id][1]] == []
     assert all(any(s in k for s in C.MORE_STEMS) for k in C.MORE)
 
 
