@@ -82,13 +82,38 @@ def test_language(spark, awkward, empty):
 
 
 def test_kneser_ney_sums_to_one():
-    texts = {"x": ["the cat sat on the mat and the rat ran"], "y": ["un chat est sur le tapis avec un rat"]}
-    m = L.LanguageModels(texts, order=3)
-    symbols = sorted({int(c) for v in texts.values() for t in v for c in L.symbols(t)})
-    for context in ("th", "at", "un"):
-        rows = np.stack([np.array([*map(ord, context), s], np.uint64) for s in symbols])
-        total = sum(np.exp(m._log_probs(r, 3, np.array([2]))[0].astype(float)) for r in rows)
-        assert (total < 1.05).all() and (total > 0.5).all()
+    texts = {"x": ["the cat sat on the mat and the rat ran", "that is it"], "y": ["un chat est sur le tapis avec un rat"]}
+    m = L.LanguageModels({k: L.counted(v, 3) for k, v in texts.items()})
+    known = sorted({int(c) for v in texts.values() for t in v for c in L.symbols(t)})
+    for context in ("th", "at", "un", "  ", "zq"):
+        rows = np.stack([np.array([*map(ord, context), s], np.uint64) for s in [*known, 0x4E00]])
+        p = np.stack([np.exp(m._log_probs(r, 3, np.array([2]))[0].astype(float)) for r in rows])
+        assert np.allclose(p[:-1].sum(axis=0) + 1000 * p[-1], 1, atol=1e-6)     # what no text has shares one symbol's place
+
+
+def test_counts_of_parts_add_up():
+    texts = [cases.words(50, i) for i in range(6)]
+    whole, parts = L.counted(texts), [L.counted(texts[:2]), L.counted(texts[2:])]
+    for n in range(L.ORDER):
+        total = defaultdict(int)
+        for part in parts:
+            for h, c in zip(part[n][0].tolist(), part[n][1].tolist()):
+                total[h] += c
+        assert total == dict(zip(whole[n][0].tolist(), whole[n][1].tolist()))
+
+
+def test_language_rejection(spark):
+    import string
+    r = random.Random(3)
+    rows = [(i, cases.words(40, i) if i % 2 else cases.words(40, i)[::-1].replace("t", "z"), "ab"[i % 2], "s", 1) for i in range(400)]
+    rows += [(1000 + i, "".join(r.choices(string.ascii_lowercase + " ", k=200)), None, "s", 1) for i in range(20)]
+    rows += [(2000, "совсем другой язык без общих букв", None, "s", 1), (2001, "\u65e5\u672c\u8a9e", None, "s", 1)]
+    got = L.identify(cases.frame(spark, rows), per_language=100).collect()
+    own = [x for x in got if x.doc_id < 1000]
+    assert all(x.lang_pred == "ab"[x.doc_id % 2] for x in own)
+    assert np.mean([x.rejected for x in own]) < 0.02 and all(x.score > 0.5 for x in own if not x.rejected)
+    strange = [x for x in got if x.doc_id >= 1000]
+    assert len(strange) == 22 and all(x.rejected and x.score < 0.5 for x in strange)
 
 
 # ---------------------------------------------------------------------- 6 --
