@@ -122,22 +122,21 @@ class WordTokens:
         return found
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
-        split, values, new = [], [], set()
-        find = self.known.get
+        split, seen = [], set()
         for t in texts:
             data = t.encode("utf-8", "surrogatepass") if t else b""
             words = (data if b"<|" in data else data.lower()).split()   # names of special tokens keep their case
-            ids = list(map(find, words))
-            if None in ids:
-                new.update([w for w, v in zip(words, ids) if v is None])
+            seen.update(words)
             split.append(words)
-            values.append(ids)
-        found = self._learn(new) if new else {}
-        out = [b"".join([found[w] if v is None else v for w, v in zip(words, ids)] if None in ids else ids)
-               for words, ids in zip(split, values)]
-        if len(self.known) + len(found) > self.most_words:
-            self.before, self.known = self.known, {}
-        self.known.update((w, v) for w, v in found.items() if len(w) <= self.longest)
+        known = self.known
+        found = self._learn(seen.difference(known))
+        known.update(found)
+        ids = known.__getitem__
+        out = [b"".join(map(ids, words)) for words in split]
+        for w in [w for w in found if len(w) > self.longest]:
+            del known[w]
+        if len(known) > self.most_words:
+            self.before, self.known = known, {}
         return out
 
 
