@@ -118,34 +118,39 @@ def test_language_rejection(spark):
 
 # ---------------------------------------------------------------------- 6 --
 def plain_passages(rows, width=50):
+    """Words in windows that another text has, and in windows that only this text has, twice."""
     texts, where = defaultdict(int), defaultdict(set)
     for _, t, *_ in rows:
         texts[t] += 1
     for t in texts:
         w = (t or "").encode().split()
         for s in range(len(w) - width + 1):
-            where[tuple(w[s:s + width])].add(t)
+            where[tuple(w[s:s + width])].add((t, s))
     out = []
     for i, t, *_ in rows:
         w = (t or "").encode().split()
-        covered = set()
+        other, own = set(), set()
         for s in range(len(w) - width + 1):
-            if len(where[tuple(w[s:s + width])]) > 1 or texts[t] > 1:
-                covered |= set(range(s, s + width))
-        out.append((str(i), len(w), covered))
-    return sorted(out, key=lambda x: (x[0], x[1], sorted(x[2])))
+            places = where[tuple(w[s:s + width])]
+            if len({x for x, _ in places}) > 1 or texts[t] > 1:
+                other |= set(range(s, s + width))
+            elif len(places) > 1:
+                own |= set(range(s, s + width))
+        out.append((str(i), len(w), sorted(other), sorted(own)))
+    return sorted(out)
+
+
+def inside(spans, n):
+    have = set()
+    for s in filter(None, spans.split(",")):
+        a, b = map(int, s.split(":"))
+        have |= set(range(a, b))
+    assert len(have) == n
+    return sorted(have)
 
 
 def covered(got):
-    out = []
-    for r in got:
-        have = set()
-        for s in filter(None, r.spans.split(",")):
-            a, b = map(int, s.split(":"))
-            have |= set(range(a, b))
-        assert len(have) == r.n_repeated
-        out.append((str(r.doc_id), r.n_words, have))
-    return sorted(out, key=lambda x: (x[0], x[1], sorted(x[2])))
+    return sorted((str(r.doc_id), r.n_words, inside(r.spans, r.n_repeated), inside(r.own_spans, r.n_own)) for r in got)
 
 
 def test_passages(spark, awkward, empty):
@@ -161,6 +166,30 @@ def test_passages(spark, awkward, empty):
     assert covered(P.repeated_passages(cases.frame(spark, rows)).collect()) == plain_passages(rows)
 
 
+@pytest.mark.parametrize("letters, partitions", [(1, 3), (2, 5), (3, 16), (40, 7)])
+def test_passages_few_words(spark, letters, partitions):
+    """Texts cut from one another: matches of every length to both sides, frequent seeds, many ranges."""
+    r = random.Random(letters)
+    base = [f"w{r.randrange(letters)}" for _ in range(160)]
+    rows = []
+    for i in range(60):
+        a, b = sorted((r.randrange(161), r.randrange(161)))
+        c = r.randrange(120)
+        new = [f"w{r.randrange(letters)}" for _ in range(r.randrange(40))]
+        rows.append((i, " ".join(base[a:b] + new + base[c:c + r.randrange(60)] + ["x" * (60 + i)]), "en", "a", 1))
+    wanted = {"spark.sql.shuffle.partitions": str(partitions), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        assert covered(P.repeated_passages(cases.frame(spark, rows)).collect()) == plain_passages(rows)
+        got = P.repeated_passages(cases.frame(spark, rows), min_words=20, seed=8).collect()
+        assert covered(got) == plain_passages(rows, 20)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_passages_of_whole_table(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
     assert covered(queries.op6_passages(spark, SF).collect()) == plain_passages(rows)
