@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..session import drop_materialized, ensure_checkpoint_dir, materialize
 from ._time import delta_micros, epoch_micros
+from .joins import CELL, group_pairs, proximity_pairs
 
 MAX_ROUNDS = 100
 #: Vertices with fewer pairs are no hubs.
@@ -132,41 +133,35 @@ def dense_ids(df: DataFrame, order: Sequence, out: str = "dense_id", start: int
 
 
 # ---------------------------------------------------------------- G1 ------
-def group_co_occurrence(df: DataFrame, individual: str, group: str) -> DataFrame:
+def group_co_occurrence(df: DataFrame, individual: str, group: str, cell: int = CELL) -> DataFrame:
     """G1: for each pair of individuals (a < b), the number of groups they share.
 
     Ids count once per group; null groups and null ids are ignored.  The
     matrix is symmetric, so only the upper triangle is returned.  The
-    result itself holds one row per sharing pair.
+    result itself holds one row per sharing pair; groups of more than
+    ``cell`` members are paired chunk by chunk.
     """
     m = df.select(F.col(individual).alias("_i"), F.col(group).alias("_g")) \
           .filter(F.col("_i").isNotNull() & F.col("_g").isNotNull()).distinct()
-    a = m.select(F.col("_i").alias("id_a"), "_g")
-    b = m.select(F.col("_i").alias("id_b"), "_g")
-    return (a.join(b, "_g").filter(F.col("id_a") < F.col("id_b"))
-             .groupBy("id_a", "id_b").agg(F.count(F.lit(1)).alias("n_shared")))
+    return (group_pairs(m, cell).groupBy(F.col("a").alias("id_a"), F.col("b").alias("id_b"))
+             .agg(F.count(F.lit(1)).alias("n_shared")))
 
 
 # ---------------------------------------------------------------- G2 ------
 def time_co_occurrence(df: DataFrame, individual: str, time_vars: Sequence[str],
-                       time_unit: str = "ns", time_delta=0) -> DataFrame:
+                       time_unit: str = "ns", time_delta=0, cell: int = CELL) -> DataFrame:
     """For each pair (a < b), the number of time columns in which some of
     their rows lie within ``time_delta`` units.  Same column only; null
     times never co-occur."""
     per_col = []
     for i, tv in enumerate(time_vars):
-        p = proximity_pairs_for(df, individual, tv, time_delta, time_unit)
+        p = proximity_pairs(df, individual, tv, time_delta, time_unit, cell)
         per_col.append(p.select(F.col("a").alias("id_a"), F.col("b").alias("id_b"))
                         .distinct().withColumn("_tv", F.lit(i)))
     allp = reduce(lambda x, y: x.unionByName(y), per_col)
     return allp.groupBy("id_a", "id_b").agg(F.count(F.lit(1)).alias("n_shared"))
 
 
-def proximity_pairs_for(df, individual, tv, delta, unit):
-    from .joins import proximity_pairs
-    return proximity_pairs(df, individual, tv, delta, unit)
-
-
 # ---------------------------------------------------------------- G3 ------
 def _star_edges(members: DataFrame) -> DataFrame:
     """Edges from every member of a group to the group's smallest member."""

@@ -83,6 +83,36 @@ def test_components_match_union_find(spark, seed):  # G5
     assert got == _union_find(nodes, edges)
 
 
+@pytest.mark.parametrize("cell", [1, 3, 7])
+def test_large_groups_in_cells(spark, cell):  # G1: one group holds a third of all rows
+    rnd = random.Random(cell)
+    recs = [(i, rnd.randint(0, 40) if i % 20 else None, 0 if i % 3 == 0 else rnd.randint(1, 25)) for i in range(240)]
+    df = spark.createDataFrame(recs, "row int, person long, grp long")
+    groups, want = {}, {}
+    for _, p, g in recs:
+        if p is not None:
+            groups.setdefault(g, set()).add(p)
+    for members in groups.values():
+        for a in members:
+            for b in members:
+                if a < b:
+                    want[a, b] = want.get((a, b), 0) + 1
+    got = graph.group_co_occurrence(df, "person", "grp", cell).collect()
+    assert len(got) == len(want) and {(r.id_a, r.id_b): r.n_shared for r in got} == want
+
+
+@pytest.mark.parametrize("cell, delta", [(1, 4), (4, 4), (5, 0), (9, 30)])
+def test_dense_times_in_cells(spark, cell, delta):  # J9: each pair of rows exactly once
+    rnd = random.Random(cell)
+    base = dt.datetime(1969, 12, 31, 23, 59)
+    recs = {(rnd.randint(0, 30), base + dt.timedelta(seconds=7 if i % 3 == 0 else rnd.randint(0, 200))) for i in range(200)}
+    recs |= {(None, base), (3, None)}
+    df = spark.createDataFrame(sorted(recs, key=str), "person long, t1 timestamp_ntz")
+    want = sorted((a, b) for a, ta in recs for b, tb in recs if a is not None and b is not None and a < b
+                  and ta is not None and tb is not None and abs((ta - tb).total_seconds()) <= delta)
+    assert sorted((r.a, r.b) for r in proximity_pairs(df, "person", "t1", delta, "s", cell).collect()) == want
+
+
 @pytest.mark.parametrize("seed", [5, 6])
 def test_time_buckets_match_all_pairs(spark, seed):  # J9 + G3 bucket shortcut
     rnd = random.Random(seed)
