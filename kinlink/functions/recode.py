@@ -61,28 +61,37 @@ def whole_number_text(col: Column) -> Column:
     return F.when(col.rlike(r"^\s*[+-]?[0-9]+\.0*\s*$"), F.regexp_extract(col, r"^\s*\+?(-?[0-9]+)", 1)).otherwise(col)
 
 
-def typed_numbers(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+def _as_double(c: str) -> Column:
+    return F.trim(F.col(c)).try_cast("double")
+
+
+def number_counts(df: DataFrame, cols: Sequence[str]) -> dict[str, Column]:
+    """For each listed text column two aggregates: its values that are no numbers (``text:c``), and
+    its numbers that are not whole (``part:c``)."""
+    types, found = dict(df.dtypes), {}
+    for c in dict.fromkeys(cols):
+        if types.get(c) == "string":
+            number = _as_double(c)
+            found[f"text:{c}"] = F.count_if(F.col(c).isNotNull() & number.isNull())
+            found[f"part:{c}"] = F.count_if(number.isNotNull() & ~((number == F.floor(number)) & (F.abs(number) < 2.0 ** 63)))
+    return found
+
+
+def typed_numbers(df: DataFrame, seen: dict[str, int]) -> DataFrame:
     """Text columns whose every value is a number become numbers.
 
     As when a reader infers types, a column is whole numbers if all its
-    values are, else doubles if all are numbers, else it stays text.  One
-    aggregation over all the columns decides; typed columns are left alone.
+    values are, else doubles if all are numbers, else it stays text.
+    ``seen`` holds the values of ``number_counts``; columns without one are
+    left alone.
     """
-    types = dict(df.dtypes)
-    todo = [c for c in dict.fromkeys(cols) if types.get(c) == "string"]
-    if not todo:
-        return df
-    number = {c: F.trim(F.col(c)).try_cast("double") for c in todo}
-    seen = df.agg(*[x for i, c in enumerate(todo) for x in (
-        F.count_if(F.col(c).isNotNull() & number[c].isNull()).alias(f"t{i}"),
-        F.count_if(number[c].isNotNull() & ~((number[c] == F.floor(number[c])) & (F.abs(number[c]) < 2.0 ** 63))).alias(f"d{i}"))]).first()
-    to = {c: "double" if seen[f"d{i}"] else "bigint" for i, c in enumerate(todo) if not seen[f"t{i}"]}
+    to = {c: "double" if seen[f"part:{c}"] else "bigint" for c in df.columns if seen.get(f"text:{c}") == 0}
 
     def typed(c: str) -> Column:
         if to[c] == "double":
-            return number[c]
+            return _as_double(c)
         # text of whole numbers keeps all digits; "1.0" goes by way of a double
-        return F.coalesce(F.trim(F.col(c)).try_cast("bigint"), number[c].cast("bigint"))
+        return F.coalesce(F.trim(F.col(c)).try_cast("bigint"), _as_double(c).cast("bigint"))
 
     return df.select(*[typed(c).alias(c) if c in to else F.col(c) for c in df.columns])
 

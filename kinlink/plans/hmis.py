@@ -49,8 +49,10 @@ def read_table(spark: SparkSession, file_spec, county=None, data_dir=None, paths
 
     ``file_spec`` is a file name (with ``county`` or ``data_dir``/``paths``)
     or a dict ``{folder: path}``; a dict value may also be a DataFrame.
-    Code columns become numbers where all their values are (one aggregation
-    over the files decides), ``numeric_columns`` doubles, time columns
+    Code columns become numbers where all their values are: the stacked text
+    is written once to the checkpoint folder, which counts its non-numbers,
+    and the columns are cast on reading that table, so the files are parsed
+    once, however many steps follow.  ``numeric_columns`` become doubles, time columns
     timestamps; every other column keeps its text, that of ``key_columns``
     in one form ("1.0" is "1").  Dedup runs on these values, before recode
     and date parsing.  ``multi_line`` accepts line breaks inside quotes.
@@ -66,7 +68,11 @@ def read_table(spark: SparkSession, file_spec, county=None, data_dir=None, paths
     df = stack_by_name(frames)
     df = rc.null_tokens(df)
     df = drop_if_present(df, list(columns_to_drop or []))
-    df = rc.typed_numbers(df, list(categorical_var or []))
+    counts = rc.number_counts(df, list(categorical_var or []))
+    if counts:
+        seen = Observation("numbers")
+        df, _ = materialize(df.observe(seen, *[n.alias(c) for c, n in counts.items()]), "landed")
+        df = rc.typed_numbers(df, seen.get)
     text = {c for c, t in df.dtypes if t == "string"}
     df = df.withColumns({c: rc.whole_number_text(F.col(c)) for c in (key_columns or []) if c in text}
                         | {c: F.trim(F.col(c)).try_cast("double") for c in (numeric_columns or []) if c in text})

@@ -71,6 +71,16 @@ def test_stack_by_name_and_newest_wins(spark, tmp_path):  # S3, U1, D1 order
                            compat_order=True).collect()[0]["v"] == "y2015"
 
 
+def test_files_are_parsed_once(spark, tmp_path):  # S2, S3: code columns are typed in the pass that reads the files
+    a = write_csv(str(tmp_path / "a"), "t.csv", pd.DataFrame({"id": [1, 2], "n": ["1", "2.0"], "d": ["1.5", ""], "t": ["71", "x"]}))
+    b = write_csv(str(tmp_path / "b"), "t.csv", pd.DataFrame({"id": [3], "n": [""], "d": ["2"], "t": ["72"]}))
+    df = hmis.read_table(spark, {"a": a, "b": b}, categorical_var=["n", "d", "t"], duplicate_check_columns=["id"])
+    assert [t for c, t in df.dtypes if c in ("n", "d", "t")] == ["bigint", "double", "string"]
+    assert not any(f.endswith(".csv") for f in df.inputFiles())
+    got = {r["id"]: (r["n"], r["d"], r["t"]) for r in df.collect()}
+    assert got == {"1": (1, 1.5, "71"), "2": (2, None, "x"), "3": (None, 2.0, "72")}
+
+
 def test_bom_and_null_tokens(spark):  # P1, P5
     df = spark.createDataFrame([("a", "NA"), ("", "x")], ["﻿name", "val"])
     df = readers.strip_bom(df)
