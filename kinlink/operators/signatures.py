@@ -109,7 +109,8 @@ def keys_of(text: str, longer: bool, starts: Sequence[int], rules: Sequence[tupl
 def _maker(longer: bool, starts, rules, rank, begins):
     @pandas_udf(ArrayType(StringType()))
     def keys(texts: pd.Series) -> pd.Series:
-        return pd.Series([keys_of(t, longer, starts, rules, rank, begins) for t in texts], dtype=object)
+        made = {t: keys_of(t, longer, starts, rules, rank, begins) for t in texts.unique()}     # blocks repeat texts
+        return pd.Series([made[t] for t in texts], dtype=object)
 
     return keys
 
@@ -143,5 +144,6 @@ def candidate_pairs(values: DataFrame, block: str, column: str, method: str, thr
         return values.select(F.col(block).alias(f"_b{name}"), F.col(column).alias(f"_v{name}"), key.alias(f"_k{name}"))
 
     a, b = side(False, "1"), side(True, "2")
-    met = a.join(b, (F.col("_k1") == F.col("_k2")) & (F.col("_b1") == F.col("_b2"))).filter(F.col("_v1") != F.col("_v2"))
+    # the keys of a small file of values may fill gigabytes, so they are not broadcast
+    met = a.join(b.hint("merge"), (F.col("_k1") == F.col("_k2")) & (F.col("_b1") == F.col("_b2"))).filter(F.col("_v1") != F.col("_v2"))
     return met.select(F.col("_b1").alias(block), F.least("_v1", "_v2").alias("_va"), F.greatest("_v1", "_v2").alias("_vb")).distinct()
