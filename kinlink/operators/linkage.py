@@ -20,6 +20,7 @@ record of a variant yield the same connected components.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 from itertools import combinations, product
 from typing import Mapping, Sequence
@@ -31,6 +32,7 @@ from ..functions import codes
 from ..functions.similarity import SWAP_MONTH_DAY_CREDIT, SWAP_MONTHS, date_feature, may_reach, string_similarity
 from ..session import materialize
 from .graph import connected_components, dense_ids
+from .joins import CELL, chunks
 from .signatures import candidate_pairs
 
 
@@ -38,6 +40,17 @@ def _ns_eq(cols: Sequence[str], l: str, r: str) -> Column:
     return reduce(lambda a, b: a & b, [F.col(f"{l}{c}").eqNullSafe(F.col(f"{r}{c}")) for c in cols])
 
 
+#: Pairs of similar values that a join may send to every task.
+FEW_PAIRS = 100_000
+#: Pairs of records that a task lists, about.
+TASK_PAIRS = 1_000_000
+
+
+def _spread(df: DataFrame) -> DataFrame:
+    """``df`` for a join that sorts both sides: a written table of a few MB may hold gigabytes of repeated text."""
+    return df.hint("merge")
+
+
 def _similar_values(v: DataFrame, block: str, col: str, method: str, threshold: float) -> tuple[DataFrame, DataFrame]:
     """Similar different values of ``col``: ordered pairs ``_va, _vb`` and, per block and value, the list of them.
 
@@ -50,6 +63,7 @@ def _similar_values(v: DataFrame, block: str, col: str, method: str, threshold:
     near, _ = materialize(near, "near")
     pairs = near.select("_va", "_vb").distinct()
     pairs, _ = materialize(pairs.filter(string_similarity(F.col("_va"), F.col("_vb"), method) >= threshold), "similar")
+    pairs = pairs if pairs.count() <= FEW_PAIRS else _spread(pairs)
     both = F.explode(F.array(F.struct("_va", "_vb"), F.struct(F.col("_vb").alias("_va"), F.col("_va").alias("_vb"))))
     lists = (near.join(pairs, ["_va", "_vb"]).select("_b", both.alias("_p")).groupBy("_b", F.col("_p._va").alias("_v"))
              .agg(F.collect_list("_p._vb").alias("_alts")))
@@ -147,7 +161,7 @@ def keyed_variants(v: DataFrame, block: str, comparisons: Mapping[str, str], lis
 def _matching_variants(keyed: DataFrame) -> DataFrame:
     """Pairs ``(a__rep <= b__rep)`` of matching variants, each with itself included."""
     a = keyed.select(F.col("_rep").alias("_ra"), F.explode("_partners").alias("_partner"))
-    met = a.join(keyed.select(F.col("_rep").alias("_rb"), "_key"), F.col("_partner") == F.col("_key"))
+    met = a.join(_spread(keyed.select(F.col("_rep").alias("_rb"), "_key")), F.col("_partner") == F.col("_key"))
     return met.select(F.least("_ra", "_rb").alias("a__rep"), F.greatest("_ra", "_rb").alias("b__rep")).distinct()
 
 
@@ -162,22 +176,27 @@ def _matching_stars(keyed: DataFrame) -> DataFrame:
     groups = keyed.groupBy("_key").agg(F.min("_rep").alias("_head"), F.any_value("_partners").alias("_partners"))
     groups, _ = materialize(groups, "keygroups")
     a = groups.select("_head", F.col("_key").alias("_from"), F.explode("_partners").alias("_partner"))
-    met = a.join(groups.select(F.col("_head").alias("_other"), "_key"), F.col("_partner") == F.col("_key"))
+    met = a.join(_spread(groups.select(F.col("_head").alias("_other"), "_key")), F.col("_partner") == F.col("_key"))
     met, _ = materialize(met.select("_head", "_from", "_other", "_key"), "partners")
     linked = (met.select(F.col("_from").alias("_key"), "_head").unionByName(met.select("_key", F.col("_other").alias("_head")))).distinct()
-    stars = keyed.select("_rep", "_key").join(linked, "_key").select(F.col("_rep").alias("src"), F.col("_head").alias("dst"))
+    stars = keyed.select("_rep", "_key").join(_spread(linked), "_key").select(F.col("_rep").alias("src"), F.col("_head").alias("dst"))
     return (met.select(F.col("_head").alias("src"), F.col("_other").alias("dst")).unionByName(stars)
                .filter(F.col("src") != F.col("dst")).distinct())
 
 
-def _variants(df: DataFrame, block: str, comparisons: Mapping[str, str], id_col: str | None) -> DataFrame:
-    """Distinct tuples of block and compared columns (with the smallest id as ``_rep``), written once."""
+def _variants(df: DataFrame, block: str, comparisons: Mapping[str, str], id_col: str | None, numbered: bool = False) -> DataFrame:
+    """Distinct tuples of block and compared columns (with the smallest id as ``_rep``), written once.
+
+    ``numbered`` adds a number ``_no`` and the records ``_n`` of each.
+    """
     for c, kind in comparisons.items():
         if kind not in ("string", "date"):
             raise ValueError(f"unknown comparison {kind!r} for {c}")
     cols = [block, *comparisons]
     base = df.filter(F.col(block).isNotNull())
     v = base.select(*cols).distinct() if id_col is None else base.groupBy(*cols).agg(F.min(id_col).alias("_rep"))
+    if numbered:
+        v = base.groupBy(*cols).agg(F.min(id_col).alias("_rep"), F.count(F.lit(1)).alias("_n")).withColumn("_no", F.monotonically_increasing_id())
     return materialize(v, "variants")[0]
 
 
@@ -199,17 +218,22 @@ def variant_pairs(df: DataFrame, block: str, comparisons: Mapping[str, str],
     ``id_col`` and a threshold >= 0) makes and scores the matching pairs
     only; otherwise all pairs of a block.
     """
-    v = _variants(df, block, comparisons, id_col)
+    return _scored(_variants(df, block, comparisons, id_col), block, comparisons, match_threshold, string_method, string_threshold,
+                   id_col is not None, prune)
+
+
+def _scored(v: DataFrame, block: str, comparisons: Mapping[str, str], match_threshold: float, string_method: str,
+            string_threshold: float, with_rep: bool, prune: bool) -> DataFrame:
     vcols = v.columns
     found = _similar(v, block, comparisons, string_method, string_threshold)
     similar = {c: pairs for c, (pairs, _) in found.items()}
     a = v.select(*[F.col(c).alias(f"a_{c}") for c in vcols])
     b = v.select(*[F.col(c).alias(f"b_{c}") for c in vcols])
-    if prune and id_col is not None and match_threshold >= 0:
+    if prune and with_rep and match_threshold >= 0:
         keyed = keyed_variants(v, block, comparisons, {c: lists for c, (_, lists) in found.items()}, match_threshold)
-        pairs = _matching_variants(materialize(keyed, "keys")[0]).join(a, "a__rep").join(b, "b__rep")
+        pairs = _matching_variants(materialize(keyed, "keys")[0]).join(_spread(a), "a__rep").join(_spread(b), "b__rep")
     else:
-        if id_col is not None:
+        if with_rep:
             orient = F.col("a__rep") <= F.col("b__rep")
         else:
             orient = F.struct(*[F.col(f"a_{c}") for c in comparisons]) <= F.struct(
@@ -220,6 +244,8 @@ def variant_pairs(df: DataFrame, block: str, comparisons: Mapping[str, str],
         ca, cb = F.col(f"a_{c}"), F.col(f"b_{c}")
         if kind == "string":
             sims = similar[c].withColumn("_close", F.lit(True))
+            if similar[c].count() > 2 * FEW_PAIRS:
+                sims = _spread(sims)
             pairs = pairs.join(sims, (ca == F.col("_va")) & (cb == F.col("_vb")), "left")
             pairs = pairs.withColumn(c, F.when(ca.isNull() | cb.isNull(), F.lit(None))
                                      .when((ca == cb) | F.col("_close"), F.lit(1.0)).otherwise(F.lit(0.0))) \
@@ -240,28 +266,56 @@ def block_and_match(df: DataFrame, id_col: str, block: str, comparisons: Mapping
                     match_threshold: float = codes.MATCH_THRESHOLD,
                     string_method: str = "jarowinkler",
                     string_threshold: float = codes.STRING_THRESHOLD,
-                    keep: str = "matches") -> DataFrame:
+                    keep: str = "matches", cell: int = CELL) -> DataFrame:
     """L1: record pairs ``(id_a < id_b)`` of one block with their features.
 
     ``keep="matches"`` (default) returns the matching pairs only, which is
     what linking consumes; ``keep="all"`` returns every candidate pair of
     the block (quadratic in the block size, as in the reference).
     """
-    vp = variant_pairs(df, block, comparisons, match_threshold, string_method, string_threshold,
-                       id_col=id_col, prune=(keep == "matches"))
+    cols = [block, *comparisons]
+    # ids that repeat may be the smallest of several variants, so variants are numbered
+    v = _variants(df, block, comparisons, id_col, numbered=True)
+    vp = _scored(v, block, comparisons, match_threshold, string_method, string_threshold, True, keep == "matches")
     if keep == "matches":
         vp = vp.filter("match")
-    cols = [block, *comparisons]
-    rec = df.select(F.col(id_col).alias("_id"), *cols).filter(F.col(block).isNotNull())
-    ra = rec.select(F.col("_id").alias("id_a"), *[F.col(c).alias(f"ra_{c}") for c in cols])
-    rb = rec.select(F.col("_id").alias("id_b"), *[F.col(c).alias(f"rb_{c}") for c in cols])
-    j = vp.join(ra, _ns_eq(cols, "a_", "ra_")).join(rb, _ns_eq(cols, "b_", "rb_"))
-    j = j.filter(F.col("id_a") != F.col("id_b"))
-    out = j.select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b"),
-                   *list(comparisons), "mean", "match")
+    vp = vp.filter((F.col("a__rep") < F.col("b__rep")) | (F.col("a__no") <= F.col("b__no")))
+    rec = df.select(F.col(id_col).alias("_id"), *cols).filter(F.col(block).isNotNull() & F.col("_id").isNotNull())
+    members, _ = materialize(rec.join(_spread(v.select("_no", "_n", *[F.col(c).alias(f"k_{c}") for c in cols])), _ns_eq(cols, "", "k_"))
+                                .select("_id", "_no", "_n").distinct(), "members")
+    out = _record_pairs(vp, members, list(comparisons), cell)
+    # pairs of ids that have one variant each are listed once
+    if members.groupBy("_id").agg(F.count(F.lit(1)).alias("_k")).filter("_k > 1").isEmpty():
+        return out
     return out.distinct()
 
 
+def _record_pairs(vp: DataFrame, members: DataFrame, features: Sequence[str], cell: int) -> DataFrame:
+    """Records ``_id`` of the variants ``_no`` of each pair: ``id_a < id_b``, features, mean and match.
+
+    A variant of ``_n`` > ``cell`` records is dealt into chunks.  Each pair of
+    variants, and of their chunks, is a cell with a number of its own on which
+    its records meet, and there are as many tasks as the pairs of all cells need.
+    """
+    alike = F.col("a__no") == F.col("b__no")
+    cells = vp.filter(~alike | (F.col("a__n") > 1))
+    for side, at in (("a", "_p"), ("b", "_q")):
+        cells = cells.withColumn(f"_c{side}", chunks(F.col(f"{side}__n"), cell)).withColumn(at, F.explode(F.sequence(F.lit(0), F.col(f"_c{side}") - 1)))
+    cells = cells.filter(~alike | (F.col("_p") <= F.col("_q"))).select(
+        F.monotonically_increasing_id().alias("_cell"), "a__no", "_p", "b__no", "_q", (alike & (F.col("_p") == F.col("_q"))).alias("_self"),
+        (F.col("a__n") / F.col("_ca") * F.col("b__n") / F.col("_cb")).alias("_pairs"), *features, "mean", "match")
+    cells, _ = materialize(cells, "cells")
+    tasks = max(1, math.ceil((cells.agg(F.sum("_pairs")).first()[0] or 0) / TASK_PAIRS))
+    dealt = members.withColumn("_m", F.pmod(F.xxhash64("_id"), chunks(F.col("_n"), cell)).cast("int"))
+    a = dealt.select(F.col("_no").alias("a__no"), F.col("_m").alias("_p"), F.col("_id").alias("_a"))
+    b = dealt.select(F.col("_no").alias("b__no"), F.col("_m").alias("_q"), F.col("_id").alias("_b"))
+    x = cells.select("_cell", "_self", "a__no", "_p", *features, "mean", "match").join(_spread(a), ["a__no", "_p"]).drop("a__no", "_p")
+    y = cells.select("_cell", "b__no", "_q").join(_spread(b), ["b__no", "_q"]).select("_cell", "_b")
+    met = x.repartition(tasks, "_cell").join(_spread(y.repartition(tasks, "_cell")), "_cell")
+    return (met.filter(F.when(F.col("_self"), F.col("_a") < F.col("_b")).otherwise(F.col("_a") != F.col("_b")))
+               .select(F.least("_a", "_b").alias("id_a"), F.greatest("_a", "_b").alias("id_b"), *features, "mean", "match"))
+
+
 def match_edges(df: DataFrame, id_col: str, block: str, comparisons: Mapping[str, str],
                 match_threshold: float = codes.MATCH_THRESHOLD,
                 string_method: str = "jarowinkler",
