@@ -18,7 +18,7 @@ from .aggregates import furthest_ends, union_days, with_totals
 
 
 def next_values(df: DataFrame, part: str, first: str, rest: Sequence[tuple], cols: Sequence[str],
-                prefix: str = "_n_") -> DataFrame:
+                prefix: str = "_n_", written: list | None = None) -> DataFrame:
     """``lead`` of ``cols`` within ``part`` ordered by ``first`` (nulls last)
     then ``rest`` (``(column, nulls_last)`` pairs, ascending).
 
@@ -27,14 +27,16 @@ def next_values(df: DataFrame, part: str, first: str, rest: Sequence[tuple], col
     of the next one, from a table of one row a range.  Ranges have about
     equal numbers of rows, whatever number a person or a date has.  Rows that
     agree in the whole order follow a hash of all their columns; null parts
-    are one part.
+    are one part.  The path of the written table is added to ``written``.
     """
     order = [F.col(part).asc_nulls_first(), F.col(first).asc_nulls_last(),
              *[F.col(c).asc_nulls_last() if nl else F.col(c).asc_nulls_first() for c, nl in rest],
              F.xxhash64(*[c for c, t in df.dtypes if not t.startswith("map")])]
     at = F.monotonically_increasing_id()
-    sorted_, _ = materialize(df.repartitionByRange(*order).sortWithinPartitions(*order)
+    sorted_, path = materialize(df.repartitionByRange(*order).sortWithinPartitions(*order)
                              .select("*", F.shiftright(at, 33).alias("_range"), at.alias("_at")), "sequence")
+    if written is not None:
+        written.append(path)
     row = F.struct(F.col(part).alias("_part"), *cols)
     heads = sorted_.groupBy("_range").agg(F.min_by(row, "_at").alias("_head"))
     # one row a range: this window and the broadcast are bounded by the number of partitions
@@ -125,7 +127,7 @@ def impute_exit(df: DataFrame, person: str = "linkage_PID", entry: str = "entry"
                 agency: str = "agency", proj_type: str = "hmis_proj_type",
                 tiebreak: Sequence[str] = (), open_end: str = codes.OPEN_SPELL_END,
                 short_days: int = codes.SHORT_STAY_DAYS,
-                short_stay: Sequence[str] = codes.SHORT_STAY_PROJECTS) -> DataFrame:
+                short_stay: Sequence[str] = codes.SHORT_STAY_PROJECTS, written: list | None = None) -> DataFrame:
     """E15 (with W1): ``h_exit`` for HMIS spells without an exit.
 
     Next entry / next exit come from ``lead`` over the person's spells in
@@ -134,7 +136,7 @@ def impute_exit(df: DataFrame, person: str = "linkage_PID", entry: str = "entry"
     stay: entry + 90 unless the next exit is known and the next entry is
     under 90 days away, then the next entry.
     """
-    df = next_values(df, person, entry, [(c, False) for c in tiebreak], [entry, exit], "_nx_")
+    df = next_values(df, person, entry, [(c, False) for c in tiebreak], [entry, exit], "_nx_", written)
     n_entry, n_exit = F.col("_nx_" + entry), F.col("_nx_" + exit)
     hmis_open = (F.col(agency) == "HMIS") & F.col(exit).isNull()
     short = r_in(F.col(proj_type), short_stay)
@@ -149,7 +151,7 @@ def impute_exit(df: DataFrame, person: str = "linkage_PID", entry: str = "entry"
 
 
 def service_days(df: DataFrame, person: str = "linkage_PID", agency: str = "agency",
-                 entry: str = "entry", exit: str = "exit") -> DataFrame:
+                 entry: str = "entry", exit: str = "exit", written: list | None = None) -> DataFrame:
     """E16 + A12: service days, negative-spell swap, covered days, quality flag.
 
     Covered days (``h_agency_time`` per person and agency, ``h_tot_time`` per
@@ -159,7 +161,9 @@ def service_days(df: DataFrame, person: str = "linkage_PID", agency: str = "agen
     serv = F.datediff(F.col("h_exit"), F.col(entry))
     df = df.withColumn("h_servdays", serv).withColumn(
         "h_entry", if_else3(F.col("h_servdays") < 0, F.col(exit), F.col(entry)).cast("date"))
-    df, _ = materialize(df, "service")
+    df, path = materialize(df, "service")
+    if written is not None:
+        written.append(path)
     ends = furthest_ends(df, [person, agency], "h_entry", "h_exit")
     df = with_totals(df, union_days(ends, [person, agency], "h_agency_time"), [person, agency], "h_agency_time")
     df = with_totals(df, union_days(ends, [person], "h_tot_time"), [person], "h_tot_time")

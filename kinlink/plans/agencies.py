@@ -85,11 +85,14 @@ def merge_agencies(hmis: DataFrame, pha: DataFrame, links: DataFrame,
     return merged.withColumn("ha_prog_cat", ha).withColumn("hmis_prog_cat", hm)
 
 
-def household_clusters(merged: DataFrame) -> DataFrame:
+def household_clusters(merged: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """E11 (G4 + A13): persons sharing a household id at any time.
 
-    ``merged`` feeds edges, nodes, sizes and labels, so it is written once.
+    ``merged`` feeds edges, nodes, sizes and labels, so it is written once;
+    of its columns those that the step needs, and ``columns`` (default: all).
     """
+    if columns is not None:
+        merged = merged.select([c for c in merged.columns if c in {"linkage_PID", "hh_id", *columns}])
     merged, _ = materialize(merged, "merged")
     return graph.household_clusters(merged, "linkage_PID", "hh_id")
 
@@ -111,24 +114,47 @@ def real_dob(merged: DataFrame, keep_ties: bool = False) -> DataFrame:
                                keep_ties).drop("n")
 
 
+#: Columns that the steps of a person-spell frame read on the way.
+_SPELL_INPUTS = ("dob", "relcode", "hh_id", "disability", "hmis_proj_type")
+
+
 def person_spell_frame(merged: DataFrame, min_entry: str = codes.SPELL_MIN_ENTRY,
                        keep_ties: bool = False, tiebreak: Sequence[str] = ("pid0",),
-                       relcode_when_no_age: bool = False) -> DataFrame:
+                       relcode_when_no_age: bool = False, columns: Sequence[str] | None = None) -> DataFrame:
     """One row per linked person and spell with age, household, exit
     imputation, service days, covered days and transitions.
 
     ``merged`` is written once, so that the birth dates and the rows come
     from one computation.  The per-person steps work on ranges of spells sorted
     by person and date, which split hot persons (``next_values``), and on one row a
-    person and day (covered days).  Their tables lie in the checkpoint
-    folder until ``session.clear_materialized``.
+    person and day (covered days).  A table of a step is removed once
+    the next one is written; the last lies in the checkpoint folder until
+    ``session.clear_materialized``.
+
+    ``columns`` names the columns of ``merged`` to return (default: all).
+    The others go along as one digest, for the rows that differ in them only,
+    and as long as a step reads them.
     """
-    tb = list(tiebreak)
+    tb, spark = list(tiebreak), merged.sparkSession
+    kept = list(merged.columns) if columns is None else [c for c in merged.columns if c in {"linkage_PID", "agency", "entry", "exit", *tb, *columns}]
+    gone = [c for c in merged.columns if c not in kept]
+    if gone:
+        digest = F.unhex(F.md5(F.to_json(F.struct(*gone))))
+        merged = merged.select(*kept, *[c for c in gone if c in _SPELL_INPUTS], digest.alias("_others"))
+
+    def without(df: DataFrame, *names: str) -> DataFrame:
+        return df.drop(*[c for c in names if c in gone])
+
     merged, first = materialize(merged, "merged")
     df = merged.join(real_dob(merged, keep_ties), "linkage_PID", "left")
     df = df.filter(F.col("linkage_PID").isNotNull() & (F.col("entry") >= F.lit(min_entry).cast("date")))
-    df = spells.age_and_relcode(df)
+    df = without(spells.age_and_relcode(without(df, "dob")), "relcode")
     df = spells.child_elder_flags(df, relcode_when_no_age)
-    df = spells.impute_exit(spells.household_mix(df), tiebreak=tb)
-    drop_materialized(merged.sparkSession, first)
-    return spells.transitions(spells.service_days(df).distinct(), tiebreak=tb)
+    written: list[str] = []
+    df = spells.impute_exit(without(spells.household_mix(df), "hh_id", "disability"), tiebreak=tb, written=written)
+    drop_materialized(spark, first)
+    df = spells.service_days(without(df, "hmis_proj_type"), written=written)
+    drop_materialized(spark, written[0])
+    df = spells.transitions(df.distinct(), tiebreak=tb)
+    drop_materialized(spark, written[1])
+    return df.drop("_others")

@@ -899,7 +899,7 @@ SELECT merged.row_key, merged.pid0, merged.linkage_PID, CAST(num.h AS INTEGER) A
 FROM merged LEFT JOIN cc ON merged.linkage_PID = cc.node LEFT JOIN num ON cc.comp = num.comp
 """)
 def q_household_clusters(spark, d):
-    r = agencies.household_clusters(_merged(spark, d))
+    r = agencies.household_clusters(_merged(spark, d), columns=["row_key", "pid0"])
     return r.select("row_key", "pid0", "linkage_PID", "h_cluster", "h_cluster_ct")
 
 
@@ -966,7 +966,7 @@ SELECT row_key, linkage_PID, agency, h_age, h_relcode, h_child, h_elder, h_hh_ct
 FROM tr
 """)
 def q_person_spells(spark, d):
-    r = agencies.person_spell_frame(_merged(spark, d), min_entry="1996-01-01", tiebreak=["row_key"])
+    r = agencies.person_spell_frame(_merged(spark, d), min_entry="1996-01-01", tiebreak=["row_key"], columns=[])
     return r.select(*_SPELL_OUT, iso("h_dob").alias("h_dob"), iso("h_entry").alias("h_entry"),
                     iso("h_exit").alias("h_exit"))
 
