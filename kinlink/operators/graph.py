@@ -24,6 +24,8 @@ from .proximity import BLOCK, MOST_COLUMNS, matrix_pairs
 MAX_ROUNDS = 100
 #: Vertices with fewer pairs are no hubs.
 HUB_LEAST = 16
+#: Edges a vertex from which the graph is contracted before the rounds.
+DENSE = 4
 
 
 # ---------------------------------------------------------------- G5 ------
@@ -63,6 +65,34 @@ def _is_star_forest(e: DataFrame) -> bool:
     return deep.unionByName(multi).isEmpty()
 
 
+def _contracted(e: DataFrame) -> tuple[DataFrame, str]:
+    """``id, root``: each vertex and a smaller one that it reaches, or itself.
+
+    A vertex follows its smallest neighbour, and that one's, up to four in a
+    row.  A component's smallest id stays what it is, and edges between roots
+    join the same components, so only those are left to the rounds.
+    """
+    spark = e.sparkSession
+    near = (e.select(F.explode(F.array(F.struct(F.col("src").alias("id"), F.col("dst").alias("to")),
+                                       F.struct(F.col("dst").alias("id"), F.col("src").alias("to")))).alias("_s"))
+             .groupBy("_s.id").agg(F.min("_s.to").alias("to")))
+    step, path = materialize(near.select("id", F.least("id", "to").alias("root")), "cc")
+    for _ in range(2):
+        onward = step.select(F.col("id").alias("root"), F.col("root").alias("_next"))
+        nxt, npath = materialize(step.join(onward, "root").select("id", F.col("_next").alias("root")), "cc")
+        drop_materialized(spark, path)
+        step, path = nxt, npath
+    return step, path
+
+
+def _between_roots(e: DataFrame, step: DataFrame) -> DataFrame:
+    """Edges between the roots of their ends."""
+    for c in ("src", "dst"):
+        e = e.join(step.select(F.col("id").alias(c), F.col("root").alias("_r")), c).drop(c).withColumnRenamed("_r", c)
+    return (e.filter(F.col("src") != F.col("dst"))
+             .select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")).distinct())
+
+
 def connected_components(edges: DataFrame, nodes: DataFrame | None = None, src: str = "src",
                          dst: str = "dst", node: str = "id", max_rounds: int = MAX_ROUNDS) -> DataFrame:
     """``(id, component)`` where component is the smallest id it reaches.
@@ -70,7 +100,8 @@ def connected_components(edges: DataFrame, nodes: DataFrame | None = None, src:
     ``edges`` are undirected; ``nodes`` (optional, column ``node``) adds
     isolated vertices, which label themselves.  Rounds grow with the logarithm
     of the longest path; more than ``max_rounds`` is an error, never a partial
-    result.
+    result.  A graph of many edges a vertex is contracted first, so the
+    rounds do not go through all edges time and again.
     """
     spark = edges.sparkSession
     ensure_checkpoint_dir(spark)
@@ -79,11 +110,21 @@ def connected_components(edges: DataFrame, nodes: DataFrame | None = None, src:
               .select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst"))
               .distinct())
     e, path = materialize(e, "cc")
+    n, ends = e.agg(F.count(F.lit(1)), F.approx_count_distinct("src")).first()
+    step = None
+    if n > DENSE * ends:
+        step, _ = _contracted(e)
+        nxt, npath = materialize(_between_roots(e, step), "cc")
+        drop_materialized(spark, path)
+        e, path = nxt, npath
     # rounds never add edges, so at most some 2000 vertices are hubs in any of them
     hub = max(HUB_LEAST, e.count() // 1000)
     for _ in range(max_rounds):
-        nxt, npath = materialize(_small_star(_large_star(e, hub), hub), "cc")
+        # small star goes through its edges three times
+        large, lpath = materialize(_large_star(e, hub), "cc")
+        nxt, npath = materialize(_small_star(large, hub), "cc")
         drop_materialized(spark, path)
+        drop_materialized(spark, lpath)
         e, path = nxt, npath
         if _is_star_forest(e):
             break
@@ -91,6 +132,9 @@ def connected_components(edges: DataFrame, nodes: DataFrame | None = None, src:
         raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
     labels = e.select(F.col("src").alias(node), F.col("dst").alias("component")).unionByName(
         e.select(F.col("dst").alias(node), F.col("dst").alias("component"))).distinct()
+    if step is not None:
+        roots = labels.select(F.col(node).alias("root"), "component")
+        labels = step.join(roots, "root", "left").select(F.col("id").alias(node), F.coalesce("component", "root").alias("component"))
     if nodes is None:
         return labels
     allnodes = nodes.select(F.col(node)).filter(F.col(node).isNotNull()).distinct()
@@ -185,8 +229,8 @@ def time_co_occurrence(df: DataFrame, individual: str, time_vars: Sequence[str],
 
 # ---------------------------------------------------------------- G3 ------
 def _star_edges(members: DataFrame) -> DataFrame:
-    """Edges from every member of a group to the group's smallest member."""
-    m = members.filter(F.col("_i").isNotNull() & F.col("_g").isNotNull()).distinct()
+    """Edges from every member of a group to the group's smallest member, as often as it is listed."""
+    m = members.filter(F.col("_i").isNotNull() & F.col("_g").isNotNull())
     rep = m.groupBy("_g").agg(F.min("_i").alias("_rep"))
     return m.join(rep, "_g").select(F.col("_i").alias("src"), F.col("_rep").alias("dst"))
 
