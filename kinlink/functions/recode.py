@@ -58,7 +58,8 @@ def recode_unknown(df: DataFrame, cols: Sequence[str],
 
 def whole_number_text(col: Column) -> Column:
     """Text of a whole number without a fraction ("1.0" is "1"); other text unchanged."""
-    return F.when(col.rlike(r"^\s*[+-]?[0-9]+\.0*\s*$"), F.regexp_extract(col, r"^\s*\+?(-?[0-9]+)", 1)).otherwise(col)
+    # few values have a point, the others need no pattern
+    return F.when(F.contains(col, F.lit(".")) & col.rlike(r"^\s*[+-]?[0-9]+\.0*\s*$"), F.regexp_extract(col, r"^\s*\+?(-?[0-9]+)", 1)).otherwise(col)
 
 
 def _as_double(c: str) -> Column:

@@ -26,9 +26,14 @@ def _keep_by(df: DataFrame, keys: Sequence[str], order: Sequence[str], last: boo
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.select(*keys).distinct()
-    pick = F.max_by if last else F.min_by
-    row = F.struct(*[F.col(c) for c in rest])
-    agg = df.groupBy(*keys).agg(pick(row, F.struct(*[F.col(c) for c in order])).alias("_r"))
+    if set(order) <= set(rest) and not any(x in t for _, t in df.dtypes for x in ("map<", "variant", "interval")):
+        # the order's columns are part of the row: one struct that begins with them, each value once
+        row = F.struct(*[F.col(c) for c in dict.fromkeys([*order, *rest])])
+        agg = df.groupBy(*keys).agg((F.max if last else F.min)(row).alias("_r"))
+    else:
+        pick = F.max_by if last else F.min_by
+        row = F.struct(*[F.col(c) for c in rest])
+        agg = df.groupBy(*keys).agg(pick(row, F.struct(*[F.col(c) for c in order])).alias("_r"))
     return agg.select(*keys, *[F.col("_r")[c].alias(c) for c in rest]).select(*df.columns)
 
 
