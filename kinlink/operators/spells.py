@@ -10,41 +10,59 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from ..functions import codes
 from ..functions.nulls import if_else3, r_in
 from ..session import materialize
+from ._sequence import followed
 from .aggregates import furthest_ends, union_days, with_totals
 
 
 def next_values(df: DataFrame, part: str, first: str, rest: Sequence[tuple], cols: Sequence[str],
-                prefix: str = "_n_", written: list | None = None) -> DataFrame:
+                prefix: str = "_n_", written: list | None = None, distinct: bool = False,
+                apart: Sequence[str] = ()) -> DataFrame:
     """``lead`` of ``cols`` within ``part`` ordered by ``first`` (nulls last)
     then ``rest`` (``(column, nulls_last)`` pairs, ascending).
 
-    The rows are sorted over ranges of (part, first, rest) and written once;
-    ``lead`` runs inside a range, and a range's last row gets the first row
-    of the next one, from a table of one row a range.  Ranges have about
+    The rows are sorted over ranges of (part, first, rest); each task reads
+    the next row's values as it goes through its range, and the rows are
+    written once.  A range's last row gets the first row of the next one,
+    from a table of one row a range.  Ranges have about
     equal numbers of rows, whatever number a person or a date has.  Rows that
     agree in the whole order follow a hash of all their columns; null parts
     are one part.  The path of the written table is added to ``written``.
+
+    ``distinct``: equal rows, which the order brings together, become one
+    before.  ``apart`` names columns that only tell rows of an equal order
+    apart: they become null where no row of the range beside has the same.
     """
+    nested = [c for c, t in df.dtypes if t.startswith(("map", "array", "struct"))]
+    if distinct and nested:
+        df, distinct = df.distinct(), False
     order = [F.col(part).asc_nulls_first(), F.col(first).asc_nulls_last(),
              *[F.col(c).asc_nulls_last() if nl else F.col(c).asc_nulls_first() for c, nl in rest],
              F.xxhash64(*[c for c, t in df.dtypes if not t.startswith("map")])]
-    at = F.monotonically_increasing_id()
-    sorted_, path = materialize(df.repartitionByRange(*order).sortWithinPartitions(*order)
-                             .select("*", F.shiftright(at, 33).alias("_range"), at.alias("_at")), "sequence")
+    # rows of an equal hash may differ: equal ones are neighbours once all columns are in the order
+    ties = df.columns if distinct else []
+    keys = [part, first, *[c for c, _ in rest]]
+    kinds = {f.name: f.dataType for f in df.schema}
+    schema = StructType([*[StructField(c, kind) for c, kind in kinds.items()], *[StructField(prefix + c, kinds[c]) for c in cols],
+                         StructField("_begins", BooleanType()), StructField("_ends", BooleanType())])
+    sorted_, path = materialize(
+        df.repartitionByRange(*order).sortWithinPartitions(*order, *ties)
+          .mapInArrow(followed(part, list(cols), prefix, keys, list(apart), distinct), schema)
+          .withColumn("_range", F.spark_partition_id()), "sequence")
     if written is not None:
         written.append(path)
     row = F.struct(F.col(part).alias("_part"), *cols)
-    heads = sorted_.groupBy("_range").agg(F.min_by(row, "_at").alias("_head"))
+    heads = sorted_.filter("_begins").select("_range", row.alias("_head"))
     # one row a range: this window and the broadcast are bounded by the number of partitions
     after = heads.select("_range", F.lead("_head").over(Window.orderBy("_range")).alias("_after"))
-    inside = sorted_.withColumn("_in", F.lead(row).over(Window.partitionBy("_range").orderBy("_at")))
-    out = inside.join(F.broadcast(after), "_range", "left").withColumn("_nv", F.coalesce("_in", "_after"))
-    same = F.col("_nv").isNotNull() & F.col("_nv._part").eqNullSafe(F.col(part))
-    return out.select(*df.columns, *[F.when(same, F.col("_nv")[c]).alias(prefix + c) for c in cols])
+    out = sorted_.join(F.broadcast(after), "_range", "left")
+    same = F.col("_after").isNotNull() & F.col("_after._part").eqNullSafe(F.col(part))
+    return out.select(*df.columns, *[F.when(~F.col("_ends"), F.col(prefix + c)).when(same, F.col("_after")[c])
+                                     .alias(prefix + c) for c in cols])
 
 
 def age_and_relcode(df: DataFrame, entry: str = "entry", dob: str = "h_dob",
@@ -127,7 +145,8 @@ def impute_exit(df: DataFrame, person: str = "linkage_PID", entry: str = "entry"
                 agency: str = "agency", proj_type: str = "hmis_proj_type",
                 tiebreak: Sequence[str] = (), open_end: str = codes.OPEN_SPELL_END,
                 short_days: int = codes.SHORT_STAY_DAYS,
-                short_stay: Sequence[str] = codes.SHORT_STAY_PROJECTS, written: list | None = None) -> DataFrame:
+                short_stay: Sequence[str] = codes.SHORT_STAY_PROJECTS, written: list | None = None,
+                apart: Sequence[str] = ()) -> DataFrame:
     """E15 (with W1): ``h_exit`` for HMIS spells without an exit.
 
     Next entry / next exit come from ``lead`` over the person's spells in
@@ -136,7 +155,7 @@ def impute_exit(df: DataFrame, person: str = "linkage_PID", entry: str = "entry"
     stay: entry + 90 unless the next exit is known and the next entry is
     under 90 days away, then the next entry.
     """
-    df = next_values(df, person, entry, [(c, False) for c in tiebreak], [entry, exit], "_nx_", written)
+    df = next_values(df, person, entry, [(c, False) for c in tiebreak], [entry, exit], "_nx_", written, apart=apart)
     n_entry, n_exit = F.col("_nx_" + entry), F.col("_nx_" + exit)
     hmis_open = (F.col(agency) == "HMIS") & F.col(exit).isNull()
     short = r_in(F.col(proj_type), short_stay)
@@ -156,7 +175,7 @@ def service_days(df: DataFrame, person: str = "linkage_PID", agency: str = "agen
 
     Covered days (``h_agency_time`` per person and agency, ``h_tot_time`` per
     person) use the dates before negative spells are nulled.  The spells are
-    written once; both totals come from one aggregation of them.
+    written once; both totals come from one aggregation of them and are joined as one.
     """
     serv = F.datediff(F.col("h_exit"), F.col(entry))
     df = df.withColumn("h_servdays", serv).withColumn(
@@ -164,9 +183,14 @@ def service_days(df: DataFrame, person: str = "linkage_PID", agency: str = "agen
     df, path = materialize(df, "service")
     if written is not None:
         written.append(path)
-    ends = furthest_ends(df, [person, agency], "h_entry", "h_exit")
-    df = with_totals(df, union_days(ends, [person, agency], "h_agency_time"), [person, agency], "h_agency_time")
-    df = with_totals(df, union_days(ends, [person], "h_tot_time"), [person], "h_tot_time")
+    # a person has at most one row an agency and day here
+    ends = furthest_ends(df, [person, agency], "h_entry", "h_exit").repartition(F.col(person))
+    totals = with_totals(df.select(person, agency).distinct(), union_days(ends, [person, agency], "h_agency_time"), [person, agency], "h_agency_time")
+    totals = with_totals(totals, union_days(ends, [person], "h_tot_time"), [person], "h_tot_time")
+    totals = totals.select(person, agency, F.struct("h_agency_time", "h_tot_time").alias("_times"))
+    df = (df.withColumnsRenamed({person: "_p", agency: "_a"})
+            .join(totals, F.col("_p").eqNullSafe(F.col(person)) & F.col("_a").eqNullSafe(F.col(agency)), "left")
+            .select(*[F.col("_p").alias(c) if c == person else F.col("_a").alias(c) if c == agency else F.col(c) for c in df.columns], "_times.*"))
     sd = if_else3(F.col("h_servdays") < 0, F.lit(None).cast("int"), F.col("h_servdays"))
     df = df.withColumn("h_servdays", sd)
     df = df.withColumn("h_exit", F.when(F.col("h_servdays").isNull(), F.lit(None)).otherwise(F.col("h_exit")))
@@ -176,10 +200,10 @@ def service_days(df: DataFrame, person: str = "linkage_PID", agency: str = "agen
 
 
 def transitions(df: DataFrame, person: str = "linkage_PID", agency: str = "agency",
-                tiebreak: Sequence[str] = ()) -> DataFrame:
-    """W2-W5 over the person's spells ordered by (h_entry, h_exit), nulls last."""
+                tiebreak: Sequence[str] = (), distinct: bool = False) -> DataFrame:
+    """W2-W5 over the person's spells (``distinct``: equal ones count once) ordered by (h_entry, h_exit), nulls last."""
     df = next_values(df, person, "h_entry", [("h_exit", True)] + [(c, False) for c in tiebreak],
-                     [agency, "h_entry", "h_exit"], "_tr_")
+                     [agency, "h_entry", "h_exit"], "_tr_", distinct=distinct)
     n_agency, n_entry, n_exit = F.col("_tr_" + agency), F.col("_tr_h_entry"), F.col("_tr_h_exit")
     e, x = F.col("h_entry"), F.col("h_exit")
     return (df.withColumn("h_agency_trans", F.when(n_agency.isNull(), F.col(agency))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import codes
@@ -68,16 +68,36 @@ def pha_spells(pha: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         *[F.col(src).alias(dst) for dst, src in PHA_PROGRAM])
 
 
+#: Digest of columns that are not asked for.
+OTHERS = ("_others_a", "_others_b")
+PROGRAMS = ("ha_prog_cat", "hmis_prog_cat")
+
+
+def digest(df: DataFrame, columns: Sequence[str]) -> list[Column]:
+    """128 bits of ``columns`` as ``OTHERS``: rows that differ in them only stay apart."""
+    nested = {c for c, t in df.dtypes if t.startswith(("map", "array", "struct"))}
+    values = [F.to_json(F.struct(c)) if c in nested else F.col(c) for c in columns]
+    nulls = F.concat(F.lit(""), *[F.when(F.col(c).isNull(), "0").otherwise("1") for c in columns])    # a hash skips nulls
+    return [F.xxhash64(F.lit(name), nulls, *values).alias(name) for name in OTHERS]
+
+
 def merge_agencies(hmis: DataFrame, pha: DataFrame, links: DataFrame,
-                   keep: Sequence[str] = ()) -> DataFrame:
+                   keep: Sequence[str] = (), columns: Sequence[str] | None = None) -> DataFrame:
     """Stack both agencies, attach ``linkage_PID`` (J11), program strings (P20).
 
     ``links`` maps ``pid0`` to ``linkage_PID`` (plus ``pid1``/``pid2``);
     several links for one ``pid0`` multiply rows as in a left join.
+    ``columns`` names those that are read later (default: all); the others
+    become one digest before the join.
     """
     merged = stack_by_name([hmis_spells(hmis, keep), pha_spells(pha, keep)])
+    if columns is not None and not {*columns} & {*PROGRAMS}:
+        read = [c for c in merged.columns if c == "pid0" or c in columns]
+        merged = merged.select(*read, *digest(merged, [c for c in merged.columns if c not in read]))
     lk = links.select("pid0", *[c for c in ("pid1", "pid2") if c in links.columns], "linkage_PID")
     merged = merged.join(lk, "pid0", "left")
+    if OTHERS[0] in merged.columns:    # the program strings are made of columns in the digest
+        return merged
     ha, hm = rc.program_category(
         F.col("agency"),
         [F.col("ha_sub_type"), F.col("ha_vouch_type"), F.col("ha_op_type"), F.col("ha_portfolio")],
@@ -116,6 +136,7 @@ def real_dob(merged: DataFrame, keep_ties: bool = False) -> DataFrame:
 
 #: Columns that the steps of a person-spell frame read on the way.
 _SPELL_INPUTS = ("dob", "relcode", "hh_id", "disability", "hmis_proj_type")
+SPELL_COLUMNS = ("linkage_PID", "agency", "entry", "exit", *_SPELL_INPUTS)
 
 
 def person_spell_frame(merged: DataFrame, min_entry: str = codes.SPELL_MIN_ENTRY,
@@ -132,15 +153,15 @@ def person_spell_frame(merged: DataFrame, min_entry: str = codes.SPELL_MIN_ENTRY
     ``session.clear_materialized``.
 
     ``columns`` names the columns of ``merged`` to return (default: all).
-    The others go along as one digest, for the rows that differ in them only,
-    and as long as a step reads them.
+    The others go along as long as a step reads them, and as one digest
+    until the first sort shows which rows it has to tell apart.
     """
     tb, spark = list(tiebreak), merged.sparkSession
     kept = list(merged.columns) if columns is None else [c for c in merged.columns if c in {"linkage_PID", "agency", "entry", "exit", *tb, *columns}]
     gone = [c for c in merged.columns if c not in kept]
+    others = list(OTHERS) if gone else []
     if gone:
-        digest = F.unhex(F.md5(F.to_json(F.struct(*gone))))
-        merged = merged.select(*kept, *[c for c in gone if c in _SPELL_INPUTS], digest.alias("_others"))
+        merged = merged.select(*kept, *[c for c in gone if c in _SPELL_INPUTS], *digest(merged, gone))
 
     def without(df: DataFrame, *names: str) -> DataFrame:
         return df.drop(*[c for c in names if c in gone])
@@ -151,10 +172,11 @@ def person_spell_frame(merged: DataFrame, min_entry: str = codes.SPELL_MIN_ENTRY
     df = without(spells.age_and_relcode(without(df, "dob")), "relcode")
     df = spells.child_elder_flags(df, relcode_when_no_age)
     written: list[str] = []
-    df = spells.impute_exit(without(spells.household_mix(df), "hh_id", "disability"), tiebreak=tb, written=written)
+    df = without(spells.impute_exit(df, tiebreak=tb, written=written, apart=others), "hmis_proj_type")
     drop_materialized(spark, first)
-    df = spells.service_days(without(df, "hmis_proj_type"), written=written)
+    df = without(spells.household_mix(df), "hh_id", "disability")
+    df = spells.service_days(df, written=written)
     drop_materialized(spark, written[0])
-    df = spells.transitions(df.distinct(), tiebreak=tb)
+    df = spells.transitions(df, tiebreak=tb, distinct=True)
     drop_materialized(spark, written[1])
-    return df.drop("_others")
+    return df.drop(*others)

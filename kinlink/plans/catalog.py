@@ -867,9 +867,9 @@ def _agency_inputs(spark, d):
     return hm, ph, links
 
 
-def _merged(spark, d):
+def _merged(spark, d, columns=None):
     hm, ph, links = _agency_inputs(spark, d)
-    return agencies.merge_agencies(hm, ph, links, keep=["row_key"])
+    return agencies.merge_agencies(hm, ph, links, keep=["row_key"], columns=columns)
 
 
 _MERGED_COLS = ["row_key", "pid0", "hh_id", "relcode", "gender", "r_aian", "r_asian", "r_black", "r_nhpi",
@@ -966,7 +966,8 @@ SELECT row_key, linkage_PID, agency, h_age, h_relcode, h_child, h_elder, h_hh_ct
 FROM tr
 """)
 def q_person_spells(spark, d):
-    r = agencies.person_spell_frame(_merged(spark, d), min_entry="1996-01-01", tiebreak=["row_key"], columns=[])
+    r = agencies.person_spell_frame(_merged(spark, d, ["row_key", *agencies.SPELL_COLUMNS]), min_entry="1996-01-01",
+                                    tiebreak=["row_key"], columns=[])
     return r.select(*_SPELL_OUT, iso("h_dob").alias("h_dob"), iso("h_entry").alias("h_entry"),
                     iso("h_exit").alias("h_exit"))
 
